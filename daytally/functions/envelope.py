@@ -42,22 +42,21 @@ def inspect(
     if required is None:
         required = [f.name for f in schema if not f.nullable]
     with_corrupt = nullable(schema).add(CORRUPT, T.StringType())
-    text = F.col("value").cast("string")
-    parsed = messages.select(
-        text.alias(RAW),
-        F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT}).alias("data"),
-        *carry,
+    # The generator keeps the parse where it is. Behind a plain projection a filter on
+    # ``reason`` would be moved below the parse and repeat it once for every field.
+    parse = F.from_json(RAW, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
+    parsed = messages.select(F.col("value").cast("string").alias(RAW), *carry).select(
+        RAW, *carry, F.inline(F.array(parse))
     )
     missing = F.lit(False)
     for name in required:
-        missing = missing | F.col(f"data.{name}").isNull()
+        missing = missing | F.col(name).isNull()
     reason = (
         F.when(F.col(RAW).isNull() | (F.trim(RAW) == ""), "empty")
-        .when(F.col(f"data.{CORRUPT}").isNotNull(), "malformed")
+        .when(F.col(CORRUPT).isNotNull(), "malformed")
         .when(missing, "incomplete")
     )
-    fields = [F.col(f"data.{f.name}").alias(f.name) for f in schema]
-    return parsed.select(*fields, *carry, RAW, reason.alias(REASON))
+    return parsed.select(*schema.fieldNames(), *carry, RAW, reason.alias(REASON))
 
 
 def good(inspected: DataFrame) -> DataFrame:

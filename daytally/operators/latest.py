@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daytally.operators.reports import Report
@@ -41,13 +41,15 @@ def latest_rows(report: Report, changes: DataFrame, keep_version: bool = False)
     return rows.select(*report.columns, *([VERSION] if keep_version else []))
 
 
-def latest_by(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One whole row per key: the greatest by ``order``, then by the row itself."""
-    others = [c for c in rows.columns if c not in keys]
-    ranked = rows.groupBy(*keys).agg(
-        F.max_by(F.struct(*others), F.struct(*order, *others)).alias("row")
-    )
-    return ranked.select(*keys, "row.*").select(*rows.columns)
+def latest_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One whole row per key: the greatest by ``order``, then by its other columns.
+
+    The row travels once, as the value that is compared. Of a key with very many rows
+    each task sends one.
+    """
+    others = [c for c in rows.columns if c not in keys and c not in order]
+    newest = F.max(F.struct(*order, *others)).alias("newest")
+    return rows.groupBy(*keys).agg(newest).select(*keys, "newest.*").select(*rows.columns)
 
 
 def latest_records(raw: DataFrame, resent_same_day: bool = False) -> DataFrame:
@@ -57,4 +59,4 @@ def latest_records(raw: DataFrame, resent_same_day: bool = False) -> DataFrame:
     ``ts_date``; the date then joins the key, and a filter on it prunes partitions.
     """
     keys = ["ts_id", "ts_date"] if resent_same_day else ["ts_id"]
-    return latest_by(raw, keys, [F.col(ARRIVED)]).drop(ARRIVED)
+    return latest_by(raw, keys, [ARRIVED]).drop(ARRIVED)

@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 RSD = 0.05
 
+# Three standard errors.
+BOUND = 0.15
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -131,8 +134,8 @@ def users_with_bound(records: DataFrame, keys: list[str], user: str = "customer_
 
 
 def within_bound(estimate: Column, exact: Column) -> Column:
-    """Three standard errors, and never tighter than two users in a small group."""
-    return F.abs(estimate - exact) <= F.greatest(F.lit(2), F.ceil(3 * RSD * exact))
+    """Whether the estimate is near enough; in a small group two users off is near enough."""
+    return F.abs(estimate - exact) <= F.greatest(F.lit(2), F.ceil(BOUND * exact))
 
 
 def roll_up(report_rows: DataFrame, key: str, measure: str, alias: str) -> DataFrame:

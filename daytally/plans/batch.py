@@ -150,7 +150,7 @@ def raw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines written again under the same order and line number replace one another."""
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     lines = table(spark, sf_dir, "lineitem").select(*columns)
-    return latest_by(lines, ["l_orderkey", "l_linenumber"], [F.col("l_partkey"), F.col("l_suppkey")])
+    return latest_by(lines, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
 
 
 # Messages
@@ -251,29 +251,24 @@ def text_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select("ts_date", "daily_pu", *back)
 
 
-def _user_changes(records: DataFrame, keys: list[str]) -> DataFrame:
-    """Users so far per key: a user counts from the first version that has them."""
-    first = records.groupBy(*keys, "customer_id").agg(F.min(VERSION).alias(VERSION))
-    new = first.groupBy(*keys, VERSION).agg(F.count("customer_id").alias("daily_pu"))
-    touched = records.select(*keys, VERSION).distinct()
-    return touched.join(new, [*keys, VERSION], "left").fillna(0, ["daily_pu"])
-
-
 def running_changelog(spark: SparkSession, sf_dir: str, report: Report) -> DataFrame:
     """A changelog of totals so far, the line number of an order serving as version.
 
-    Sums are taken per key and version first, so the running total then goes over the
-    few versions of a key, never over its records.
+    Records are read once and summed per key, version and customer before anything
+    else. A customer is new in the first version that has them, so new customers add up
+    like any sum. Both windows then go over the few versions of a key, never its records.
     """
     keys = report.key_names
     lines = report_input_with_version(spark, sf_dir, report)
-    sums = [m for m in report.measures if m.kind == "sum"]
-    parts = []
-    if sums:
-        parts.append(lines.groupBy(*keys, VERSION).agg(*[F.sum(m.source).alias(m.name) for m in sums]))
-    if len(sums) < len(report.measures):
-        parts.append(_user_changes(lines, keys))
-    steps = parts[0] if len(parts) == 1 else parts[0].join(parts[1], [*keys, VERSION])
+    source = {m.name: m.source for m in report.measures}
+    if any(m.kind == "users" for m in report.measures):
+        sums = [F.sum(m.source).alias(m.name) for m in report.measures if m.kind == "sum"]
+        per_user = lines.groupBy(*keys, VERSION, "customer_id").agg(F.count("customer_id").alias("n"), *sums)
+        first = F.min(VERSION).over(Window.partitionBy(*keys, "customer_id"))
+        is_new = (F.col("n") > 0) & (F.col(VERSION) == first)
+        lines = per_user.withColumn("daily_pu", is_new.cast("bigint"))
+        source = {m.name: m.name for m in report.measures}
+    steps = lines.groupBy(*keys, VERSION).agg(*[F.sum(source[m]).alias(m) for m in report.measure_names])
     so_far = Window.partitionBy(*keys).orderBy(VERSION).rowsBetween(Window.unboundedPreceding, 0)
     return steps.select(*keys, VERSION, *[F.sum(m).over(so_far).alias(m) for m in report.measure_names])
 
