@@ -195,8 +195,14 @@ def finish(queries: Sequence[StreamingQuery]) -> None:
 
 def serve(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
     """Run a service until any of its queries ends; a failing one is never overlooked."""
+    spark.streams.resetTerminated()
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+        for query in queries:
+            if not query.isActive and query.exception():
+                raise query.exception()
     finally:
         stop(queries)
 
