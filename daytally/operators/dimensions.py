@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from daytally.functions.pricing import list_price
 from daytally.schemas import CUSTOMER_FIELDS, PRODUCT_FIELDS
 
-# Hex digits of the bucket name: 16^3 = 4096 buckets.
-_BUCKET_DIGITS = 3
+# Hex digits of the bucket name: 16^4 = 65,536 buckets.
+_BUCKET_DIGITS = 4
 
 
 def customer_dim(sample: DataFrame) -> DataFrame:
@@ -29,9 +29,9 @@ def bucket_of(*texts: Column) -> Column:
 def with_index(rows: DataFrame, bucket: Column, order: list[str], name: str = "idx") -> DataFrame:
     """Number distinct rows 0..n-1 in a repeatable way.
 
-    Rows are numbered inside 4096 hash buckets, each a small sort of its own, and then
-    shifted by the size of the buckets before. Only the 4096 bucket sizes meet in one
-    task, however many rows there are.
+    Rows are numbered inside 65,536 hash buckets, each a small sort of its own, and then
+    shifted by the size of the buckets before. Only the bucket sizes meet in one task,
+    so that task stays as small however many rows there are.
     """
     bucketed = rows.withColumn("_bucket", bucket)
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
@@ -40,7 +40,7 @@ def with_index(rows: DataFrame, bucket: Column, order: list[str], name: str = "i
     inside = Window.partitionBy("_bucket").orderBy(*order)
     numbered = bucketed.withColumn("_place", F.row_number().over(inside) - 1)
     index = (F.col("_place") + F.col("_shift")).cast("bigint").alias(name)
-    # At most 4096 rows by construction, so this side may always be broadcast.
+    # At most 65,536 rows by construction, so this side may always be broadcast.
     return numbered.join(F.broadcast(shifts), "_bucket").select(index, *rows.columns)
 
 

@@ -30,10 +30,14 @@ def _write_once(rows: DataFrame, path: str) -> None:
     """Write a folder unless it is there already, complete.
 
     A micro-batch that runs again after a crash has the same content. Leaving a
-    complete folder alone keeps the files that a consumer may be reading. The rebalance
-    turns the many small outputs of the state partitions into files of a fair size.
+    complete folder alone keeps the files that a consumer may be reading; the rows are
+    then only computed, as that is what brings a stream's state up to date. The
+    rebalance turns the many small outputs of the state partitions into files of a fair
+    size.
     """
-    if not is_complete(rows.sparkSession, path):
+    if is_complete(rows.sparkSession, path):
+        rows.write.format("noop").mode("overwrite").save()
+    else:
         rows.hint("rebalance").write.mode("overwrite").parquet(path)
 
 

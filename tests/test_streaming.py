@@ -216,6 +216,21 @@ def test_rerun_of_a_batch_leaves_its_files(spark, root):
     assert read_changelog(spark, root).count() == 1
 
 
+@pytest.mark.parametrize("written", [True, False])
+def test_crash_before_the_commit(spark, root, written):
+    """The last batch runs again, whether or not its changelog folder was complete."""
+    feed, name = f"{root}/feed", f"report-{DAILY_CATEGORY_PRODUCT.name}"
+    for n in range(2):
+        put(feed, f"f{n}", [message(i) for i in range(n, n + 4)], at=1_700_000_000 + n)
+    run_report(spark, DAILY_CATEGORY_PRODUCT, root, feed, maxFilesPerTrigger="1")
+    os.rename(f"{root}/checkpoints/{name}/commits/1", f"{root}/lost-commit")
+    if not written:
+        os.rename(f"{root}/{DAILY_CATEGORY_PRODUCT.name}/changelog/version=1/_SUCCESS", f"{root}/lost-marker")
+    put(feed, "f2", [message(i, day=2) for i in range(4)])
+    run_report(spark, DAILY_CATEGORY_PRODUCT, root, feed, maxFilesPerTrigger="1")
+    assert bag(run_table(spark, DAILY_CATEGORY_PRODUCT, root)) == bag(batch_result(spark, DAILY_CATEGORY_PRODUCT, feed))
+
+
 def test_unfinished_batch_is_written_again(spark, root):
     rows = spark.createDataFrame([("2023-12-01", 1.0)], "ts_date string, daily_rev double")
     write_version(rows, root, 0, 3)
