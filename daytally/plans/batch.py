@@ -240,7 +240,6 @@ def typed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_changes(report, typed, f"{root}/{report.name}/changes", 0, 0)
     database = f"daily_report_{uuid.uuid4().hex}"
     create_tables(spark, database, root, [report])
-    spark.sql(f"MSCK REPAIR TABLE {database}.{report.name}_changes")
     return spark.table(f"{database}.{report.name}")
 
 

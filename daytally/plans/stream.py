@@ -24,7 +24,7 @@ from daytally.operators.reports import (
 )
 from daytally.plans.batch import damaged_messages, money, tidy
 from daytally.session import new_folder
-from daytally.sources.files import read_topic_files
+from daytally.sources.files import append_topic_files, read_topic_files
 from daytally.sources.tables import event_messages, event_records
 from daytally.streaming import jobs
 from daytally.streaming.changelog import compact, read_changelog, read_report, to_report_types
@@ -49,7 +49,7 @@ def replay(spark: SparkSession, messages: DataFrame, step: Step, parts: list[Col
     """Let each wave arrive as files, then run ``step`` on the feed so far."""
     feed = new_folder(spark, "feed")
     for number, part in enumerate(parts or waves()):
-        messages.filter(part).select("value").write.mode("append").text(feed)
+        append_topic_files(messages.filter(part), feed)
         step(feed, number)
 
 

@@ -11,15 +11,19 @@ from daytally.functions.envelope import message_fields
 MAX_BYTES_PER_TRIGGER = 64 * 1024**3
 
 
-def read_topic_files(
-    spark: SparkSession, path: str, max_bytes: int = MAX_BYTES_PER_TRIGGER, **options: str
-) -> DataFrame:
-    """A folder of text files, one message per line, as a stream with a ``value`` column.
+def batch_limit(options: dict[str, str], max_bytes: int = MAX_BYTES_PER_TRIGGER) -> dict[str, str]:
+    """Bound a micro-batch by size, so that a long backlog is worked off in steps."""
+    return options if "maxFilesPerTrigger" in options else {"maxBytesPerTrigger": str(max_bytes), **options}
 
-    ``max_bytes`` bounds a micro-batch, so a long backlog is worked off in steps.
-    """
-    limit = {} if "maxFilesPerTrigger" in options else {"maxBytesPerTrigger": str(max_bytes)}
-    return spark.readStream.options(**limit, **options).text(path)
+
+def read_topic_files(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """A folder of text files, one message per line, as a stream with a ``value`` column."""
+    return spark.readStream.options(**batch_limit(options)).text(path)
+
+
+def append_topic_files(messages: DataFrame, path: str) -> None:
+    """Add messages to a topic folder, one per line."""
+    messages.select("value").write.mode("append").text(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

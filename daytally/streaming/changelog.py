@@ -20,6 +20,7 @@ from daytally.functions.envelope import RAW, REASON, encode, inspect
 from daytally.operators.latest import VERSION, latest_rows, version_of
 from daytally.operators.reports import Report
 from daytally.session import ensure_folder, is_complete, numbered_folders
+from daytally.sources.files import batch_limit
 
 MESSAGE = T.StructType().add("value", T.StringType()).add(VERSION, T.LongType())
 
@@ -62,8 +63,8 @@ def stream_changelog(spark: SparkSession, path: str, **options: str) -> DataFram
     A file of an unfinished write may vanish; the write that replaces it has the same
     version and rows, so missing files are passed over.
     """
-    reader = spark.readStream.schema(MESSAGE).option("ignoreMissingFiles", "true").options(**options)
-    return reader.parquet(ensure_folder(spark, path))
+    reader = spark.readStream.schema(MESSAGE).option("ignoreMissingFiles", "true")
+    return reader.options(**batch_limit(options)).parquet(ensure_folder(spark, path))
 
 
 def to_report_types(report: Report, messages: DataFrame) -> DataFrame:
@@ -154,7 +155,7 @@ def create_tables(spark: SparkSession, database: str, root: str, reports: list[R
 
     ``<report>_changes`` is the append-only table under ``root/<report>``, ``<report>``
     the keyed view that ad-hoc SQL reads. A filter on a key passes through to the
-    files. Call it again after a compaction to make the view start from the snapshot.
+    files. Call it again to see newly added parts, or to start from a new snapshot.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/{database}'")
     for report in reports:
@@ -162,8 +163,9 @@ def create_tables(spark: SparkSession, database: str, root: str, reports: list[R
         fields = changes_schema(report).add(PART, T.LongType()).toDDL()
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table}_changes ({fields}) USING parquet "
-            f"PARTITIONED BY ({PART}) LOCATION '{folder}/changes'"
+            f"PARTITIONED BY ({PART}) LOCATION '{ensure_folder(spark, folder + '/changes')}'"
         )
+        spark.sql(f"MSCK REPAIR TABLE {table}_changes")
         columns = ", ".join([*report.columns, VERSION])
         source = f"SELECT {columns} FROM {table}_changes"
         upto = newest_snapshot(spark, folder)

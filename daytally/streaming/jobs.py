@@ -19,6 +19,7 @@ from daytally.operators.latest import ARRIVED, VERSION, first_version
 from daytally.operators.reports import RSD, Report
 from daytally.schemas import RECORD, nullable
 from daytally.session import configure_streaming, ensure_folder, folder_exists, numbered_folders
+from daytally.sources.files import batch_limit
 from daytally.streaming.changelog import stream_changelog, to_report_types, write_changes, write_version
 
 WATERMARK = "1 minute"
@@ -87,7 +88,7 @@ def read_raw(spark: SparkSession, root: str) -> DataFrame:
 def stream_raw(spark: SparkSession, root: str, **options: str) -> DataFrame:
     """The raw table as a stream: decoded once, and read by column, by all reports."""
     path = ensure_folder(spark, f"{root}/raw")
-    rows = spark.readStream.schema(raw_schema()).options(**options).parquet(path)
+    rows = spark.readStream.schema(raw_schema()).options(**batch_limit(options)).parquet(path)
     return rows.drop(ARRIVED).withWatermark("ts", WATERMARK)
 
 
