@@ -21,7 +21,14 @@ from daytally.operators.reports import (
     roll_up,
     users_with_bound,
 )
-from daytally.schemas import CUSTOMER_FIELDS, MESSAGE_FIELDS, RECORD, SAMPLE_CSV, nullable
+from daytally.schemas import (
+    CUSTOMER_FIELDS,
+    MESSAGE_FIELDS,
+    PRODUCT_SALE_FIELDS,
+    RECORD,
+    SAMPLE_CSV,
+    nullable,
+)
 from daytally.session import new_folder
 from daytally.sources import files
 from daytally.sources.tables import (
@@ -136,7 +143,7 @@ def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.product_dim(sample_sales(spark, sf_dir))
+    return dimensions.product_dim(sample_sales(spark, sf_dir, PRODUCT_SALE_FIELDS))
 
 
 def geocode_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,7 +328,7 @@ def _synthetic(spark: SparkSession, sf_dir: str, per_customer: bool) -> DataFram
     root = new_folder(spark, "dimensions")
     buyers = dimensions.customer_dim(customers(spark, sf_dir, CUSTOMER_FIELDS))
     dimensions.indexed_customers(buyers).write.parquet(f"{root}/customers")
-    goods = dimensions.product_dim(sample_sales(spark, sf_dir))
+    goods = dimensions.product_dim(sample_sales(spark, sf_dir, PRODUCT_SALE_FIELDS))
     dimensions.indexed_products(goods).write.parquet(f"{root}/products")
     buyers, goods = spark.read.parquet(f"{root}/customers"), spark.read.parquet(f"{root}/products")
     limit = generator.size_of(buyers) if per_customer else generator.MAX_PER_DAY

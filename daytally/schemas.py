@@ -54,6 +54,9 @@ MESSAGE_FIELDS = (
 CUSTOMER_FIELDS = ("customer_id", "customer_name", "segment", "country", "city")
 PRODUCT_FIELDS = ("category", "sub_category", "product_name", "price")
 
+# What the sample must have for a product to be found and priced.
+PRODUCT_SALE_FIELDS = ("category", "sub_category", "product_name", "sales", "quantity", "discount")
+
 SAMPLE_CSV = (
     T.StructType()
     .add("customer_id", T.StringType())

@@ -95,3 +95,9 @@ def test_a_report_reaches_the_shuffle_pre_aggregated(spark, sf_dir):
 def test_running_totals_read_each_table_once(spark, sf_dir):
     rows = batch.running_changelog(spark, sf_dir, DAILY_PU_REV)
     assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+
+
+@pytest.mark.parametrize("name, tables", [("product_dim", 2), ("customer_dim", 5), ("daily_pu_rev", 2), ("list_price", 1)])
+def test_no_table_is_read_in_vain(spark, sf_dir, name, tables):
+    plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == tables
