@@ -45,11 +45,12 @@ def with_index(rows: DataFrame, bucket: Column, order: list[str], name: str = "i
 
 
 def indexed_customers(customers: DataFrame) -> DataFrame:
-    return with_index(customers, bucket_of(F.col("customer_id")), list(CUSTOMER_FIELDS))
+    return with_index(customers, bucket_of(*[F.col(c) for c in CUSTOMER_FIELDS]), list(CUSTOMER_FIELDS))
 
 
 def indexed_products(products: DataFrame) -> DataFrame:
-    """Bucketed by name and price in cents: one product with very many prices spreads."""
-    cents = F.floor(F.col("price") * 100).cast("bigint").cast("string")
-    bucket = bucket_of(F.col("category"), F.col("sub_category"), F.col("product_name"), cents)
+    """Bucketed by name and price (in whole millionths, whose text is the same
+    everywhere): one product with very many prices spreads."""
+    millionths = F.floor(F.col("price") * 1_000_000).cast("bigint").cast("string")
+    bucket = bucket_of(F.col("category"), F.col("sub_category"), F.col("product_name"), millionths)
     return with_index(products, bucket, list(PRODUCT_FIELDS))

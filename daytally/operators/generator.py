@@ -19,8 +19,8 @@ DISCOUNTS = [(0.5, 10), (0.4, 3), (0.3, 4), (0.0, 12)]
 
 SECONDS_PER_DAY = 86400
 
-# Rows one task explodes at a time; a longer day is cut into blocks of this size.
-BLOCK = 100_000
+# Tries one task makes; the number of tasks follows from it.
+TRIES_PER_TASK = 5_000_000
 
 
 def tries(
@@ -28,21 +28,21 @@ def tries(
     seed: int,
     first_day: str = FIRST_DAY,
     days: int = DAYS,
-    max_per_day: int | Column = MAX_PER_DAY,
+    max_per_day: int = MAX_PER_DAY,
 ) -> DataFrame:
     """``(day, n)`` for every record to make: 1 to ``max_per_day`` a day, uniform.
 
-    Days are cut into blocks before they are exploded, and blocks are spread over the
-    tasks, so one long day is not the work of one task.
+    All possible tries are one range of numbers, which Spark splits evenly over tasks
+    without a shuffle; those beyond the size of their day are left out. However long a
+    day, it is the work of many tasks.
     """
-    first = F.lit(first_day).cast("date")
-    per_day = spark.range(days).select(F.date_add(first, F.col("id").cast("int")).alias("day"))
-    per_day = per_day.withColumn("size", 1 + pick(max_per_day, seed, "size", F.col("day")))
-    last_block = F.floor((F.col("size") - 1) / BLOCK).cast("bigint")
-    blocks = per_day.select("day", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("block"))
-    start = F.col("block") * BLOCK
-    end = F.least(start + BLOCK, F.col("size")) - 1
-    return blocks.repartition("day", "block").select("day", F.explode(F.sequence(start, end)).alias("n"))
+    total = days * max_per_day
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // TRIES_PER_TASK))
+    place = F.expr(f"id div {max_per_day}").cast("int")
+    numbered = spark.range(0, total, 1, tasks).select(
+        F.date_add(F.lit(first_day).cast("date"), place).alias("day"), (F.col("id") % max_per_day).alias("n")
+    )
+    return numbered.filter(F.col("n") < 1 + pick(max_per_day, seed, "size", F.col("day")))
 
 
 def synthesize(
@@ -82,5 +82,5 @@ def synthesize(
 
 
 def size_of(indexed: DataFrame) -> Column:
-    """The number of rows as a scalar subquery: no join, and nothing on the driver."""
+    """The number of rows as a scalar subquery, without a join."""
     return indexed.select(F.count(F.lit(1))).scalar()

@@ -331,7 +331,7 @@ def _synthetic(spark: SparkSession, sf_dir: str, per_customer: bool) -> DataFram
     goods = dimensions.product_dim(sample_sales(spark, sf_dir, PRODUCT_SALE_FIELDS))
     dimensions.indexed_products(goods).write.parquet(f"{root}/products")
     buyers, goods = spark.read.parquet(f"{root}/customers"), spark.read.parquet(f"{root}/products")
-    limit = generator.size_of(buyers) if per_customer else generator.MAX_PER_DAY
+    limit = buyers.count() if per_customer else generator.MAX_PER_DAY
     wanted = generator.tries(spark, SEED, max_per_day=limit)
     records = generator.synthesize(wanted, buyers, goods, gazetteer(spark, sf_dir), SEED)
     return records.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))

@@ -92,8 +92,9 @@ def _synthetic(limit: str) -> str:
     return f"""
 WITH r AS ({RECORDS}),
 customers AS (
-  SELECT row_number() OVER (ORDER BY substr(md5(customer_id), 1, {_BUCKET_DIGITS}), customer_id, customer_name,
-                                     segment, country, city) - 1 AS idx, *
+  SELECT row_number() OVER (
+           ORDER BY substr(md5(concat_ws('|', customer_id, customer_name, segment, country, city)), 1, {_BUCKET_DIGITS}),
+                    customer_id, customer_name, segment, country, city) - 1 AS idx, *
   FROM (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name,
                c_mktsegment AS segment, r_name AS country, n_name AS city
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
@@ -101,7 +102,7 @@ customers AS (
 products AS (
   SELECT row_number() OVER (
            ORDER BY substr(md5(concat_ws('|', category, sub_category, product_name,
-                                         CAST(CAST(floor(price * 100) AS BIGINT) AS VARCHAR))), 1, {_BUCKET_DIGITS}),
+                                         CAST(CAST(floor(price * 1000000) AS BIGINT) AS VARCHAR))), 1, {_BUCKET_DIGITS}),
                     category, sub_category, product_name, price) - 1 AS idx, *
   FROM (SELECT DISTINCT category, sub_category, product_name, price FROM r)),
 days AS (

@@ -69,5 +69,27 @@ def _in_utc(query: Query) -> Query:
     return run
 
 
+def _sized_to_one_machine(query: Query) -> Query:
+    """In local mode, start streams with no more state partitions than cores.
+
+    Each one is a task and a store in every micro-batch, and Spark's default of 200
+    costs minutes there. On a cluster the session's own setting holds.
+    """
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        context, before = spark.sparkContext, spark.conf.get("spark.sql.shuffle.partitions")
+        if not context.master.startswith("local"):
+            return query(spark, sf_dir)
+        spark.conf.set("spark.sql.shuffle.partitions", str(min(int(before), context.defaultParallelism)))
+        try:
+            return query(spark, sf_dir)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {name: _in_utc(query) for name, query in {**BATCH, **STREAM}.items()}
+    streams = {name: _sized_to_one_machine(query) for name, query in STREAM.items()}
+    return {name: _in_utc(query) for name, query in {**BATCH, **streams}.items()}

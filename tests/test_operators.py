@@ -190,8 +190,8 @@ def test_index_of_one_product_with_many_prices_spreads(spark):
     )
     from daytally.operators.dimensions import bucket_of
 
-    cents = F.floor(F.col("price") * 100).cast("bigint").cast("string")
-    largest = rows.groupBy(bucket_of("category", "sub_category", "product_name", cents)).count()
+    millionths = F.floor(F.col("price") * 1_000_000).cast("bigint").cast("string")
+    largest = rows.groupBy(bucket_of("category", "sub_category", "product_name", millionths)).count()
     assert largest.agg(F.max("count")).first()[0] < 50
     assert indexed_products(rows).agg(F.max("idx")).first()[0] == 19_999
 
@@ -250,13 +250,19 @@ def test_measured_bytes_grows_with_text(spark):
 # Generator
 
 
-def test_tries_of_a_long_day_are_whole(spark, monkeypatch):
-    """Cutting a day into blocks must not lose or repeat a record."""
+def test_tries_spread_over_tasks(spark, monkeypatch):
+    """A long day is split over tasks, and none of its records is lost or repeated."""
     whole = generator.tries(spark, 5, days=3, max_per_day=5000)
     want = bag(whole)
-    monkeypatch.setattr(generator, "BLOCK", 7)
-    assert bag(generator.tries(spark, 5, days=3, max_per_day=5000)) == want
+    monkeypatch.setattr(generator, "TRIES_PER_TASK", 700)
+    split = generator.tries(spark, 5, days=3, max_per_day=5000)
+    assert bag(split) == want
     assert len(set(want)) == len(want)
+    assert split.select(F.spark_partition_id()).distinct().count() > 10
+    assert "Exchange" not in split._jdf.queryExecution().executedPlan().toString()
+    for day in {d for d, _ in want}:
+        numbers = [n for d, n in want if d == day]
+        assert sorted(numbers) == list(range(len(numbers)))
 
 
 def test_tries_per_day_in_range(spark):
