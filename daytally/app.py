@@ -48,25 +48,18 @@ def read_messages(spark: SparkSession, topic: str, servers: str | None) -> DataF
 
 
 def stream(spark: SparkSession, topic: str, root: str, servers: str | None, run: int, once: bool) -> None:
-    """Topic to raw table and quarantine; raw table to the three changelogs.
-
-    Messages are decoded once. The reports read the raw table by column.
-    """
+    """Topic to intake table, good and bad apart; its good records to the changelogs."""
     trigger = jobs.AVAILABLE_NOW if once else {}
-    messages = read_messages(spark, topic, servers)
-    intake = [
-        jobs.start_raw(jobs.records_of(messages), root, **trigger),
-        jobs.start_quarantine(messages, root, **trigger),
-    ]
+    intake = jobs.start_intake(read_messages(spark, topic, servers), root, **trigger)
     if once:
-        jobs.finish(intake)
+        jobs.finish([intake])
     reports = [
         jobs.start_report(report, jobs.stream_raw(spark, root), root, run, **trigger) for report in REPORTS.values()
     ]
     if once:
         jobs.finish(reports)
     else:
-        jobs.serve(spark, intake + reports)
+        jobs.serve(spark, [intake, *reports])
 
 
 def tables(spark: SparkSession, root: str, run: int, once: bool) -> None:

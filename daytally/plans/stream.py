@@ -86,8 +86,7 @@ def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "stream")
 
     def step(feed: str, _: int) -> None:
-        records = jobs.records_of(read_topic_files(spark, feed))
-        jobs.finish([jobs.start_raw(records, root, **NOW)])
+        jobs.finish([jobs.start_intake(read_topic_files(spark, feed), root, **NOW)])
 
     replay(spark, event_messages(spark, sf_dir), step, [F.lit(True), F.lit(True)])
     rows = latest_records(jobs.read_raw(spark, root))
@@ -129,9 +128,8 @@ def stream_daily_final(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_chain(spark: SparkSession, root: str, feed: str, reports: list[Report]) -> None:
-    """Decode once into the raw table, then all reports from it, then their tables."""
-    records = jobs.records_of(read_topic_files(spark, feed))
-    jobs.finish([jobs.start_raw(records, root, **NOW)])
+    """Decode once into the intake table, then all reports from it, then their tables."""
+    jobs.finish([jobs.start_intake(read_topic_files(spark, feed), root, **NOW)])
     jobs.finish([jobs.start_report(r, jobs.stream_raw(spark, root), root, **NOW) for r in reports])
     jobs.finish([jobs.start_consumer(spark, r, root, **NOW) for r in reports])
 
@@ -167,18 +165,12 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "stream")
 
     def step(feed: str, _: int) -> None:
-        messages = read_topic_files(spark, feed)
-        jobs.finish(
-            [
-                jobs.start_raw(jobs.records_of(messages), root, **NOW),
-                jobs.start_quarantine(messages, root, **NOW),
-            ]
-        )
+        jobs.finish([jobs.start_intake(read_topic_files(spark, feed), root, **NOW)])
 
     replay(spark, damaged_messages(spark, sf_dir), step)
-    bad = spark.read.parquet(f"{root}/quarantine").groupBy(REASON).agg(F.count(F.lit(1)).alias("n"))
+    bad = jobs.read_quarantine(spark, root).groupBy(REASON).agg(F.count(F.lit(1)).alias("n"))
     good = jobs.read_raw(spark, root).agg(F.count(F.lit(1)).alias("n"))
-    return bad.unionByName(good.select(F.lit("good").alias(REASON), "n"))
+    return bad.unionByName(good.select(F.lit(jobs.GOOD).alias(REASON), "n"))
 
 
 def changelog_latest(spark: SparkSession, sf_dir: str) -> DataFrame:

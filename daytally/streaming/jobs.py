@@ -1,4 +1,4 @@
-"""Streaming jobs: raw records, the three reports, second-stage consumers.
+"""Streaming jobs: intake of messages, the three reports, second-stage consumers.
 
 Each job has its own checkpoint under a root the caller gives. Every ``start_``
 function takes the trigger as keyword arguments of ``DataStreamWriter.trigger``; none
@@ -12,17 +12,21 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from daytally.functions.envelope import RAW, REASON, bad, good, inspect
 from daytally.operators.latest import ARRIVED, VERSION, first_version
 from daytally.operators.reports import RSD, Report
-from daytally.schemas import RECORD, nullable
+from daytally.schemas import RECORD, RECORD_FIELDS, nullable
 from daytally.session import configure_streaming, ensure_folder, folder_exists, numbered_folders
 from daytally.sources.files import batch_limit
 from daytally.streaming.changelog import stream_changelog, to_report_types, write_changes, write_version
 
 WATERMARK = "1 minute"
+
+# Where the intake table keeps records without fault.
+GOOD = "good"
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -60,42 +64,57 @@ def records_of(messages: DataFrame) -> DataFrame:
     return good(inspect(messages)).withWatermark("ts", WATERMARK)
 
 
-def start_raw(
-    records: DataFrame, root: str, files_per_day: int | None = None, **trigger: Any
+def start_intake(
+    messages: DataFrame, root: str, files_per_day: int | None = None, **trigger: Any
 ) -> StreamingQuery:
-    """Append records to the raw table, by day, with their time of arrival.
+    """Decode messages once and append them all to the intake table.
 
-    Spark logs a micro-batch's time with its offsets, so a batch that runs again
-    stamps the same time. ``files_per_day`` shuffles each batch to at most that many
-    files a day; use it for a backlog of many days.
+    Its folders keep good records, by day, apart from bad messages, by reason; only the
+    latter keep their text. Spark logs a micro-batch's time with its offsets, so a
+    batch that runs again stamps the same arrival. ``files_per_day`` shuffles each batch
+    to at most that many files a day; use it for a backlog of many days.
     """
-    rows = records.select("*", F.current_timestamp().alias(ARRIVED))
+    judged = inspect(messages)
+    is_good = F.col(REASON).isNull()
+    rows = judged.select(
+        *[c for c in RECORD_FIELDS if c != "ts_date"],
+        F.when(~is_good, F.col(RAW)).alias(RAW),
+        F.current_timestamp().alias(ARRIVED),
+        F.coalesce(REASON, F.lit(GOOD)).alias(REASON),
+        F.when(is_good, F.col("ts_date")).alias("ts_date"),
+    )
     if files_per_day:
-        part = F.pmod(F.xxhash64("ts_id"), F.lit(files_per_day))
-        rows = rows.repartition(F.col("ts_date"), part)
-    writer = _append_files(rows, f"{root}/raw", checkpoint(root, "raw"))
-    return _start(writer.partitionBy("ts_date"), trigger)
+        part = F.pmod(F.xxhash64("ts_id", RAW), F.lit(files_per_day))
+        rows = rows.repartition(F.col(REASON), F.col("ts_date"), part)
+    writer = _append_files(rows, f"{root}/intake", checkpoint(root, "intake"))
+    return _start(writer.partitionBy(REASON, "ts_date"), trigger)
 
 
-def raw_schema():
-    return nullable(RECORD).add(ARRIVED, "timestamp")
+def intake_schema() -> T.StructType:
+    """Folder columns come last, as Spark puts them: a stream may start on an empty folder
+    and cannot tell them from the others before the first file is there."""
+    fields = [f for f in nullable(RECORD) if f.name != "ts_date"]
+    kept = T.StructType(fields).add(RAW, "string").add(ARRIVED, "timestamp")
+    return kept.add(REASON, "string").add("ts_date", "date")
 
 
 def read_raw(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(raw_schema()).parquet(f"{root}/raw")
+    """All good records with their arrival, resent ones included."""
+    rows = spark.read.schema(intake_schema()).parquet(f"{root}/intake")
+    return rows.filter(F.col(REASON) == GOOD).select(*RECORD_FIELDS, ARRIVED)
 
 
-def stream_raw(spark: SparkSession, root: str, **options: str) -> DataFrame:
-    """The raw table as a stream: decoded once, and read by column, by all reports."""
-    path = ensure_folder(spark, f"{root}/raw")
-    rows = spark.readStream.schema(raw_schema()).options(**batch_limit(options)).parquet(path)
-    return rows.drop(ARRIVED).withWatermark("ts", WATERMARK)
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """All bad messages, whole, with the reason."""
+    rows = spark.read.schema(intake_schema()).parquet(f"{root}/intake")
+    return rows.filter(F.col(REASON) != GOOD).select(REASON, RAW, ARRIVED)
 
 
-def start_quarantine(messages: DataFrame, root: str, **trigger: Any) -> StreamingQuery:
-    """Keep bad messages, whole, with the reason."""
-    rows = bad(inspect(messages))
-    return _start(_append_files(rows, f"{root}/quarantine", checkpoint(root, "quarantine")), trigger)
+def stream_raw(spark: SparkSession, root: str, **options: str) -> DataFrame:
+    """The good records as a stream, for all reports: read by column, not parsed again."""
+    path = ensure_folder(spark, f"{root}/intake")
+    rows = spark.readStream.schema(intake_schema()).options(**batch_limit(options)).parquet(path)
+    return rows.filter(F.col(REASON) == GOOD).select(*RECORD_FIELDS).withWatermark("ts", WATERMARK)
 
 
 def start_report(

@@ -158,7 +158,7 @@ def test_fresh_start_needs_a_higher_run(spark, root):
 
 def test_raw_table_refuses_a_lost_checkpoint(spark, root):
     put(f"{root}/feed", "a", [message(1)])
-    start = lambda: jobs.start_raw(jobs.records_of(read_topic_files(spark, f"{root}/feed")), root, **NOW)
+    start = lambda: jobs.start_intake(read_topic_files(spark, f"{root}/feed"), root, **NOW)
     jobs.finish([start()])
     os.rename(f"{root}/checkpoints", f"{root}/lost")
     with pytest.raises(ValueError, match="checkpoint is gone"):
@@ -168,8 +168,7 @@ def test_raw_table_refuses_a_lost_checkpoint(spark, root):
 def test_raw_keeps_one_row_per_id_while_reports_count_twice(spark, root):
     put(f"{root}/feed", "a", [message(1), message(2)])
     put(f"{root}/feed", "b", [message(1)])
-    records = jobs.records_of(read_topic_files(spark, f"{root}/feed"))
-    jobs.finish([jobs.start_raw(records, root, files_per_day=2, **NOW)])
+    jobs.finish([jobs.start_intake(read_topic_files(spark, f"{root}/feed"), root, files_per_day=2, **NOW)])
     assert jobs.read_raw(spark, root).count() == 3
     assert latest_records(jobs.read_raw(spark, root)).count() == 2
     jobs.finish([jobs.start_report(DAILY_PU_REV, jobs.stream_raw(spark, root), root, **NOW)])
@@ -179,25 +178,54 @@ def test_raw_keeps_one_row_per_id_while_reports_count_twice(spark, root):
 def test_a_resent_record_replaces_the_first(spark, root):
     for name, revenue in (("a", 8.0), ("b", 12.0)):
         put(f"{root}/feed", name, [message(1, revenue=revenue)])
-        jobs.finish([jobs.start_raw(jobs.records_of(read_topic_files(spark, f"{root}/feed")), root, **NOW)])
+        jobs.finish([jobs.start_intake(read_topic_files(spark, f"{root}/feed"), root, **NOW)])
     assert [r.revenue for r in latest_records(jobs.read_raw(spark, root)).collect()] == [12.0]
 
 
 def test_bad_messages_go_to_quarantine_and_leave_totals_alone(spark, root):
     put(f"{root}/feed", "a", [message(1), "not json", "", message(2, quantity="x"), message(3, ts_date=None)])
-    messages = read_topic_files(spark, f"{root}/feed")
-    jobs.finish([jobs.start_quarantine(messages, root, **NOW)])
-    kept = spark.read.parquet(f"{root}/quarantine")
+    jobs.finish([jobs.start_intake(read_topic_files(spark, f"{root}/feed"), root, **NOW)])
+    kept = jobs.read_quarantine(spark, root)
     assert {r[REASON]: r["count"] for r in kept.groupBy(REASON).count().collect()} == {
         "malformed": 2,
         "empty": 1,
         "incomplete": 1,
     }
     assert kept.filter(F.col(RAW) == "not json").count() == 1
+    assert [r.ts_id for r in jobs.read_raw(spark, root).collect()] == ["id1"]
     run_report(spark, DAILY_PU_REV, root, f"{root}/feed")
     assert [r.daily_rev for r in run_table(spark, DAILY_PU_REV, root).collect()] == [8.0]
 
 
+def test_service_takes_files_as_they_come(spark, root):
+    """Default trigger, all jobs at once: intake, three reports, three consumers."""
+    feed = f"{root}/feed"
+    put(feed, "a", [message(i, day=1 + i % 4) for i in range(20)])
+    intake = jobs.start_intake(read_topic_files(spark, feed), root)
+    reports = [jobs.start_report(r, jobs.stream_raw(spark, root), root) for r in REPORTS.values()]
+    consumers = [jobs.start_consumer(spark, r, root) for r in REPORTS.values()]
+    try:
+        put(f"{root}/staging", "b", ["bad", *[message(i, day=3) for i in range(20, 30)]])
+        os.rename(f"{root}/staging/b.txt", f"{feed}/b.txt")
+        for stage in ([intake], reports, consumers):
+            for query in stage:
+                query.processAllAvailable()
+    finally:
+        jobs.stop([intake, *reports, *consumers])
+    for report in REPORTS.values():
+        got = read_report(spark, report, f"{root}/{report.name}")
+        assert bag(got) == bag(batch_result(spark, report, feed))
+
+
+def test_raw_read_prunes_by_day(spark, root):
+    put(f"{root}/feed", "a", [message(1, day=1), message(2, day=2), "bad"])
+    jobs.finish([jobs.start_intake(read_topic_files(spark, f"{root}/feed"), root, **NOW)])
+    day = latest_records(jobs.read_raw(spark, root), resent_same_day=True).filter("ts_date = DATE'2023-12-02'")
+    assert [r.ts_id for r in day.collect()] == ["id2"]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(reason" in plan
+
+
 def test_replay_of_the_whole_changelog_changes_nothing(spark, root):
     put(f"{root}/feed", "a", [message(i, day=1 + i % 3) for i in range(9)])
     run_report(spark, DAILY_ADDRESS, root, f"{root}/feed")
@@ -247,7 +275,7 @@ def test_failure_in_one_query_is_raised(spark, root):
         raise RuntimeError("no room")
 
     writer = records.writeStream.foreachBatch(fail).option("checkpointLocation", f"{root}/checkpoints/fail")
-    healthy = jobs.start_raw(records, root)
+    healthy = jobs.start_intake(read_topic_files(spark, f"{root}/feed"), root)
     with pytest.raises(StreamingQueryException, match="no room"):
         jobs.serve(spark, [healthy, writer.start()])
     assert not healthy.isActive
