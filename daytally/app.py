@@ -76,7 +76,7 @@ def tables(spark: SparkSession, root: str, run: int, once: bool) -> None:
 
 
 def compact_all(spark: SparkSession, root: str) -> None:
-    """Snapshot every report table; run it while ``tables`` is not running."""
+    """Snapshot every report table, at any time."""
     for report in REPORTS.values():
         compact(spark, report, f"{root}/{report.name}")
 

@@ -70,9 +70,10 @@ def located_records(spark: SparkSession, sf_dir: str, columns: list[str]) -> Dat
     return geocode(daily_records(spark, sf_dir, needed), gazetteer(spark, sf_dir)).select(*columns)
 
 
-def report_input(spark: SparkSession, sf_dir: str, report: Report) -> DataFrame:
+def report_input(spark: SparkSession, sf_dir: str, report: Report, *more: str) -> DataFrame:
+    """The records a report reads, with no other columns than it needs."""
     source = located_records if "latitude" in report.inputs else daily_records
-    return source(spark, sf_dir, report.inputs)
+    return source(spark, sf_dir, [*report.inputs, *more])
 
 
 # Reports
@@ -265,7 +266,7 @@ def running_changelog(spark: SparkSession, sf_dir: str, report: Report) -> DataF
     like any sum. Both windows then go over the few versions of a key, never its records.
     """
     keys = report.key_names
-    lines = report_input_with_version(spark, sf_dir, report)
+    lines = report_input(spark, sf_dir, report, VERSION)
     source = {m.name: m.source for m in report.measures}
     if any(m.kind == "users" for m in report.measures):
         sums = [F.sum(m.source).alias(m.name) for m in report.measures if m.kind == "sum"]
@@ -279,11 +280,6 @@ def running_changelog(spark: SparkSession, sf_dir: str, report: Report) -> DataF
     return steps.select(*keys, VERSION, *[F.sum(m).over(so_far).alias(m) for m in report.measure_names])
 
 
-def report_input_with_version(spark: SparkSession, sf_dir: str, report: Report) -> DataFrame:
-    source = located_records if "latitude" in report.inputs else daily_records
-    return source(spark, sf_dir, [*report.inputs, VERSION])
-
-
 def _upsert(spark: SparkSession, sf_dir: str, report: Report) -> DataFrame:
     changes = running_changelog(spark, sf_dir, report)
     rows = latest_rows(report, changes, keep_version=True)

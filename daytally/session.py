@@ -85,11 +85,11 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return folder_exists(spark, f"{path}/_SUCCESS")
 
 
-def numbered_folders(spark: SparkSession, path: str, label: str) -> list[int]:
-    """The numbers n of all complete folders ``label=n`` under ``path``, ascending."""
+def newest_complete(spark: SparkSession, path: str, label: str) -> int | None:
+    """The highest n of the complete folders ``label=n`` under ``path``."""
     fs, hadoop_path = _path(spark, path)
     if not fs.exists(hadoop_path):
-        return []
+        return None
     names = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory()]
-    numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{label}="))
-    return [n for n in numbers if is_complete(spark, f"{path}/{label}={n}")]
+    numbers = sorted((int(n.split("=")[1]) for n in names if n.startswith(f"{label}=")), reverse=True)
+    return next((n for n in numbers if is_complete(spark, f"{path}/{label}={n}")), None)

@@ -4,7 +4,7 @@ Layout under a report's folder, given by the caller:
 
     changelog/version=<v>/   JSON messages of one micro-batch of the report
     changes/part=<p>/        the same rows, decoded to report types by a consumer
-    snapshots/upto=<v>/      one row per key of all versions up to v
+    snapshots/upto=<p>/      one row per key of all parts up to p
 
 A version is (run, batch number) of the report's stream; rows keep it all the way, so
 the order and number of deliveries do not matter to a reader.
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from daytally.functions.envelope import RAW, REASON, encode, inspect
 from daytally.operators.latest import VERSION, latest_rows, version_of
 from daytally.operators.reports import Report
-from daytally.session import ensure_folder, is_complete, numbered_folders
+from daytally.session import ensure_folder, is_complete, newest_complete
 from daytally.sources.files import batch_limit
 
 MESSAGE = T.StructType().add("value", T.StringType()).add(VERSION, T.LongType())
@@ -98,18 +98,19 @@ def changes_schema(report: Report) -> T.StructType:
     return T.StructType(list(report.schema) + [T.StructField(VERSION, T.LongType())])
 
 
-def _read_typed(spark: SparkSession, report: Report, path: str) -> DataFrame:
-    return spark.read.schema(changes_schema(report)).parquet(path).select(*report.columns, VERSION)
-
-
 def read_changes(spark: SparkSession, report: Report, root: str) -> DataFrame:
-    """All rows a reader must look at: the newest snapshot and the versions after it."""
-    changes = _read_typed(spark, report, f"{root}/changes")
+    """All rows a reader must look at: the newest snapshot and the parts after it.
+
+    Parts that are in the snapshot are passed over by their folder names, unopened.
+    """
+    columns = [*report.columns, VERSION]
+    schema = changes_schema(report)
+    changes = spark.read.schema(changes_schema(report).add(PART, T.LongType())).parquet(f"{root}/changes")
     upto = newest_snapshot(spark, root)
     if upto is None:
-        return changes
-    snapshot = _read_typed(spark, report, snapshot_path(root, upto))
-    return snapshot.unionByName(changes.filter(F.col(VERSION) > upto))
+        return changes.select(columns)
+    snapshot = spark.read.schema(schema).parquet(snapshot_path(root, upto))
+    return snapshot.select(columns).unionByName(changes.filter(F.col(PART) > upto).select(columns))
 
 
 def read_report(spark: SparkSession, report: Report, root: str) -> DataFrame:
@@ -122,26 +123,22 @@ def snapshot_path(root: str, upto: int) -> str:
 
 
 def newest_snapshot(spark: SparkSession, root: str) -> int | None:
-    return max(numbered_folders(spark, f"{root}/snapshots", "upto"), default=None)
+    return newest_complete(spark, f"{root}/snapshots", "upto")
 
 
-def compact(spark: SparkSession, report: Report, root: str, upto: int | None = None) -> int | None:
-    """Fold all versions up to ``upto`` into a new snapshot and return that version.
+def compact(spark: SparkSession, report: Report, root: str) -> int | None:
+    """Fold all complete parts into a new snapshot and return the last of them.
 
-    All these versions must have been consumed. Without ``upto`` the newest one
-    present is taken; do so only while no consumer runs. Nothing is overwritten:
-    readers change over when the new folder is complete. Files are ranged by the whole
-    key, so a day with very many keys is spread over several of them, and a filter on
-    the day skips the others.
+    A consumer may go on meanwhile: its later parts are read beside the snapshot.
+    Nothing is overwritten; readers change over when the new folder is complete. Files
+    are ranged by the whole key, so a day with very many keys is spread over several
+    of them, and a filter on the day skips the others.
     """
-    rows = read_changes(spark, report, root)
-    if upto is None:
-        upto = rows.agg(F.max(VERSION).alias(VERSION)).first()[VERSION]
-    newest = newest_snapshot(spark, root)
-    if upto is None or (newest is not None and upto <= newest):
-        return newest
+    upto = newest_complete(spark, f"{root}/changes", PART)
+    if upto is None or upto == newest_snapshot(spark, root):
+        return upto
     (
-        latest_rows(report, rows.filter(F.col(VERSION) <= upto), keep_version=True)
+        latest_rows(report, read_changes(spark, report, root), keep_version=True)
         .repartitionByRange(*report.key_names)
         .sortWithinPartitions(*report.key_names)
         .write.mode("overwrite")
@@ -171,7 +168,7 @@ def create_tables(spark: SparkSession, database: str, root: str, reports: list[R
         upto = newest_snapshot(spark, folder)
         if upto is not None:
             snapshot = f"SELECT {columns} FROM parquet.`{snapshot_path(folder, upto)}`"
-            source = f"{snapshot} UNION ALL {source} WHERE {VERSION} > {upto}"
+            source = f"{snapshot} UNION ALL {source} WHERE {PART} > {upto}"
         keys = ", ".join(report.key_names)
         newest = f"max(struct({VERSION}, {', '.join(report.measure_names)}))"
         picked = ", ".join(

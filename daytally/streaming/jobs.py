@@ -19,7 +19,7 @@ from daytally.functions.envelope import RAW, REASON, bad, good, inspect
 from daytally.operators.latest import ARRIVED, VERSION, first_version
 from daytally.operators.reports import RSD, Report
 from daytally.schemas import RECORD, RECORD_FIELDS, nullable
-from daytally.session import configure_streaming, ensure_folder, folder_exists, numbered_folders
+from daytally.session import configure_streaming, ensure_folder, folder_exists, newest_complete
 from daytally.sources.files import batch_limit
 from daytally.streaming.changelog import stream_changelog, to_report_types, write_changes, write_version
 
@@ -145,8 +145,8 @@ def start_report(
 def _refuse_old_run(spark: SparkSession, checkpoint_path: str, changelog: str, run: int) -> None:
     if folder_exists(spark, f"{checkpoint_path}/offsets"):
         return
-    versions = numbered_folders(spark, changelog, VERSION)
-    if versions and versions[-1] >= first_version(run):
+    newest = newest_complete(spark, changelog, VERSION)
+    if newest is not None and newest >= first_version(run):
         raise ValueError(f"{changelog} has versions of run {run} or later: give a fresh start a higher run")
 
 
