@@ -8,6 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from daytally.plans import batch, stream
+from daytally.session import settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,14 +79,11 @@ def _sized_to_one_machine(query: Query) -> Query:
 
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        context, before = spark.sparkContext, spark.conf.get("spark.sql.shuffle.partitions")
+        context, partitions = spark.sparkContext, int(spark.conf.get("spark.sql.shuffle.partitions"))
         if not context.master.startswith("local"):
             return query(spark, sf_dir)
-        spark.conf.set("spark.sql.shuffle.partitions", str(min(int(before), context.defaultParallelism)))
-        try:
+        with settings(spark, {"spark.sql.shuffle.partitions": str(min(partitions, context.defaultParallelism))}):
             return query(spark, sf_dir)
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", before)
 
     return run
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from daytally.functions.envelope import RAW, REASON, encode, inspect
 from daytally.operators.latest import VERSION, latest_rows, version_of
 from daytally.operators.reports import Report
-from daytally.session import ensure_folder, is_complete, newest_complete
+from daytally.session import ensure_folder, is_complete, newest_complete, settings
 from daytally.sources.files import batch_limit
 
 MESSAGE = T.StructType().add("value", T.StringType()).add(VERSION, T.LongType())
@@ -34,11 +34,14 @@ def _write_once(rows: DataFrame, path: str) -> None:
     complete folder alone keeps the files that a consumer may be reading; the rows are
     then only computed, as that is what brings a stream's state up to date. The
     rebalance turns the many small outputs of the state partitions into files of a fair
-    size.
+    size. Spark turns run-time planning off in a stream's session; this write, a batch
+    query of its own, needs it.
     """
-    if is_complete(rows.sparkSession, path):
+    spark = rows.sparkSession
+    if is_complete(spark, path):
         rows.write.format("noop").mode("overwrite").save()
-    else:
+        return
+    with settings(spark, {"spark.sql.adaptive.enabled": "true"}):
         rows.hint("rebalance").write.mode("overwrite").parquet(path)
 
 

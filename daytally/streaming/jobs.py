@@ -19,7 +19,7 @@ from daytally.functions.envelope import RAW, REASON, bad, good, inspect
 from daytally.operators.latest import ARRIVED, VERSION, first_version
 from daytally.operators.reports import RSD, Report
 from daytally.schemas import RECORD, RECORD_FIELDS, nullable
-from daytally.session import configure_streaming, ensure_folder, folder_exists, newest_complete
+from daytally.session import configure_streaming, ensure_folder, folder_exists, newest_complete, settings
 from daytally.sources.files import batch_limit
 from daytally.streaming.changelog import stream_changelog, to_report_types, write_changes, write_version
 
@@ -139,7 +139,10 @@ def start_report(
         .option("checkpointLocation", checkpoint(root, name))
         .outputMode("update")
     )
-    return _start(writer, trigger)
+    # The watermark closes nothing here, so a batch without data, run only because it
+    # moved, would do nothing but cost a commit of all state partitions.
+    with settings(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+        return _start(writer, trigger)
 
 
 def _refuse_old_run(spark: SparkSession, checkpoint_path: str, changelog: str, run: int) -> None:

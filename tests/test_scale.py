@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from daytally.operators.reports import DAILY_CATEGORY_PRODUCT, DAILY_PU_REV
 from daytally.plans import batch, registry
+from daytally.session import settings
 from daytally.sources.tables import daily_records, table
 
 # Thresholds that let a few megabytes stand for the gigabytes of a real shuffle.
@@ -21,12 +22,8 @@ SMALL_LIMITS = {
 
 @pytest.fixture()
 def small_limits(spark):
-    before = {k: spark.conf.get(k, None) for k in SMALL_LIMITS}
-    for key, value in SMALL_LIMITS.items():
-        spark.conf.set(key, value)
-    yield
-    for key, value in before.items():
-        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    with settings(spark, SMALL_LIMITS):
+        yield
 
 
 @pytest.fixture(scope="module")
@@ -69,13 +66,9 @@ def test_hot_join_key_is_split_at_run_time(spark, hot_dir, small_limits, report)
 def test_hot_tables_give_the_same_with_and_without_broadcast(spark, hot_dir, name):
     query = registry.queries()[name]
     plain = rounded(query(spark, hot_dir))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    with settings(spark, off):
         shuffled = rounded(query(spark, hot_dir))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert shuffled == plain
     assert plain
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from daytally.operators.reports import DAILY_ADDRESS, DAILY_PU_REV, REPORTS
 from daytally.plans import registry
 from daytally.schemas import MESSAGE_FIELDS, SAMPLE_CSV, nullable
-from daytally.session import new_folder, shared_root
+from daytally.session import new_folder, settings, shared_root
 from daytally.sources import files, stores, topics
 from daytally.sources.tables import BATCH_FIELDS, daily_records, event_messages, table
 
@@ -53,19 +53,15 @@ def test_scan_reads_only_needed_columns(spark, sf_dir):
 
 def test_the_line_table_is_shuffled_once_for_all_order_fields(spark, sf_dir):
     """The chain order - customer - place is joined to the lines as a whole."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         text = plan(daily_records(spark, sf_dir, ["customer_id", "segment", "country", "revenue"]))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     lines = [i for i, line in enumerate(text.splitlines()) if "Exchange hashpartitioning(l_" in line]
     assert len(lines) == 1
 
 
 def test_date_filter_reaches_the_scan(spark, sf_dir):
-    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
-    text = plan(registry.queries()["revenue_on_date"](spark, sf_dir))
-    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    with settings(spark, {"spark.sql.maxMetadataStringLength": "1000"}):
+        text = plan(registry.queries()["revenue_on_date"](spark, sf_dir))
     assert "GreaterThanOrEqual(l_shipdate,1998-06-15" in text
     assert "LessThan(l_shipdate,1998-06-16" in text
 
@@ -107,11 +103,8 @@ def test_export_replaces_only_its_days(spark, root):
 
 def test_export_cuts_a_big_day_into_files(spark, root):
     """A day too big for one task must not be written by one."""
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
-    try:
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB"}):
         files.export_daily(export_rows(spark, "2023-12-01", 60_000, "a").repartition(8), root)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len([n for n in os.listdir(f"{root}/day=2023-12-01") if n.endswith(".parquet")]) > 1
 
 

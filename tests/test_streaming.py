@@ -107,6 +107,16 @@ def test_changelog_holds_totals_so_far_and_only_changed_keys(spark, root):
     assert sent == [(0, "2023-12-01", 8.0), (0, "2023-12-02", 8.0), (1, "2023-12-02", 16.0)]
 
 
+def test_a_small_batch_is_one_file(spark, root):
+    """The state is in several partitions; their few rows are not written to as many files."""
+    put(f"{root}/feed", "a", [message(i, day=1 + i) for i in range(20)])
+    query = run_report(spark, DAILY_PU_REV, root, f"{root}/feed")
+    assert len(query.recentProgress) == 1
+    path = f"{root}/daily_pu_rev/changelog"
+    assert os.listdir(path) == ["version=0"]
+    assert len([n for n in os.listdir(f"{path}/version=0") if n.endswith(".parquet")]) == 1
+
+
 def test_late_record_counts(spark, root):
     put(f"{root}/feed", "a", [message(1, day=20)], at=1_700_000_000)
     put(f"{root}/feed", "b", [message(2, day=21)], at=1_700_000_100)
@@ -249,7 +259,10 @@ def test_crash_before_the_commit(spark, root, written):
     for n in range(2):
         put(feed, f"f{n}", [message(i) for i in range(n, n + 4)], at=1_700_000_000 + n)
     run_report(spark, DAILY_CATEGORY_PRODUCT, root, feed, maxFilesPerTrigger="1")
-    os.rename(f"{root}/checkpoints/{name}/commits/1", f"{root}/lost-commit")
+    commits = f"{root}/checkpoints/{name}/commits"
+    assert max(int(n) for n in os.listdir(commits) if n.isdigit()) == 1
+    for n, file in enumerate(("1", ".1.crc")):
+        os.rename(f"{commits}/{file}", f"{root}/lost-commit-{n}")
     if not written:
         os.rename(f"{root}/{DAILY_CATEGORY_PRODUCT.name}/changelog/version=1/_SUCCESS", f"{root}/lost-marker")
     put(feed, "f2", [message(i, day=2) for i in range(4)])
