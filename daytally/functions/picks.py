@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 # 15 hex digits are 60 bits: they fit a BIGINT and leave the modulus unbiased for
 # dimensions of any size in practice.
-_DIGITS = 15
+DIGITS = 15
 
 
 def draw(seed: int, label: str, *ids: Column) -> Column:
     """A uniform BIGINT in [0, 2^60)."""
     text = F.concat_ws("|", F.lit(str(seed)), F.lit(label), *[i.cast("string") for i in ids])
-    return F.conv(F.substring(F.md5(text), 1, _DIGITS), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(text), 1, DIGITS), 16, 10).cast("bigint")
 
 
 def pick(size: Column | int, seed: int, label: str, *ids: Column) -> Column:

@@ -9,7 +9,7 @@ from daytally.functions.pricing import list_price
 from daytally.schemas import CUSTOMER_FIELDS, PRODUCT_FIELDS
 
 # Hex digits of the bucket name: 16^4 = 65,536 buckets.
-_BUCKET_DIGITS = 4
+BUCKET_DIGITS = 4
 
 
 def customer_dim(sample: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def product_dim(sample: DataFrame) -> DataFrame:
 
 
 def bucket_of(*texts: Column) -> Column:
-    return F.substring(F.md5(F.concat_ws("|", *texts)), 1, _BUCKET_DIGITS)
+    return F.substring(F.md5(F.concat_ws("|", *texts)), 1, BUCKET_DIGITS)
 
 
 def with_index(rows: DataFrame, bucket: Column, order: list[str], name: str = "idx") -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from daytally.functions.picks import _DIGITS
-from daytally.operators.dimensions import _BUCKET_DIGITS
+from daytally.functions.picks import DIGITS
+from daytally.operators.dimensions import BUCKET_DIGITS
 from daytally.operators.generator import DAYS, DISCOUNTS, FIRST_DAY, MAX_PER_DAY, MAX_QUANTITY, SECONDS_PER_DAY
 from daytally.plans.batch import REPORT_DATE, SEED
 
@@ -80,7 +80,7 @@ def _e(select: str) -> str:
 
 def _draw(label: str, *ids: str) -> str:
     text = " || '|' || ".join([f"'{SEED}'", f"'{label}'", *[f"CAST({i} AS VARCHAR)" for i in ids]])
-    return f"CAST('0x' || substr(md5({text}), 1, {_DIGITS}) AS BIGINT)"
+    return f"CAST('0x' || substr(md5({text}), 1, {DIGITS}) AS BIGINT)"
 
 
 def _synthetic(limit: str) -> str:
@@ -93,7 +93,8 @@ def _synthetic(limit: str) -> str:
 WITH r AS ({RECORDS}),
 customers AS (
   SELECT row_number() OVER (
-           ORDER BY substr(md5(concat_ws('|', customer_id, customer_name, segment, country, city)), 1, {_BUCKET_DIGITS}),
+           ORDER BY substr(md5(concat_ws('|', customer_id, customer_name, segment, country, city)),
+                           1, {BUCKET_DIGITS}),
                     customer_id, customer_name, segment, country, city) - 1 AS idx, *
   FROM (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name,
                c_mktsegment AS segment, r_name AS country, n_name AS city
@@ -102,7 +103,8 @@ customers AS (
 products AS (
   SELECT row_number() OVER (
            ORDER BY substr(md5(concat_ws('|', category, sub_category, product_name,
-                                         CAST(CAST(floor(price * 1000000) AS BIGINT) AS VARCHAR))), 1, {_BUCKET_DIGITS}),
+                                         CAST(CAST(floor(price * 1000000) AS BIGINT) AS VARCHAR))),
+                           1, {BUCKET_DIGITS}),
                     category, sub_category, product_name, price) - 1 AS idx, *
   FROM (SELECT DISTINCT category, sub_category, product_name, price FROM r)),
 days AS (

@@ -76,9 +76,10 @@ def _check_users(spark: SparkSession, sf_dir: str, report: Report, rows: DataFra
     """Compare estimated users to the exact number from the event table."""
     events = event_records(spark, sf_dir).withColumn("ts_date", F.col("ts_date").cast("date"))
     exact = events.groupBy(*report.key_names).agg(F.count_distinct("customer_id").alias("exact"))
-    near = within_bound(F.col("daily_pu"), F.col("exact")).alias("pu_in_bound")
+    near = within_bound(F.col("daily_pu"), F.col("exact"))
     others = [c for c in report.columns if c != "daily_pu"]
-    return rows.join(exact, report.key_names, "left").select(*others, F.coalesce(near, F.lit(False)).alias("pu_in_bound"))
+    checked = rows.join(exact, report.key_names, "left")
+    return checked.select(*others, F.coalesce(near, F.lit(False)).alias("pu_in_bound"))
 
 
 def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -135,7 +135,9 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sample_sales(spark: SparkSession, sf_dir: str, columns: Iterable[str] = tuple(SAMPLE_CSV.fieldNames())) -> DataFrame:
+def sample_sales(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str] = tuple(SAMPLE_CSV.fieldNames())
+) -> DataFrame:
     """The sales sample from which both dimensions are taken: each sale as sold."""
     return daily_records(spark, sf_dir, columns)
 

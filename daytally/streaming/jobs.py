@@ -21,7 +21,7 @@ from daytally.operators.reports import RSD, Report
 from daytally.schemas import RECORD, RECORD_FIELDS, nullable
 from daytally.session import configure_streaming, ensure_folder, folder_exists, newest_complete, settings
 from daytally.sources.files import batch_limit
-from daytally.streaming.changelog import stream_changelog, to_report_types, write_changes, write_version
+from daytally.streaming.changelog import PART, stream_changelog, to_report_types, write_changes, write_version
 
 WATERMARK = "1 minute"
 
@@ -128,7 +128,7 @@ def start_report(
     spark = configure_streaming(records.sparkSession)
     name = f"report-{report.name}"
     path = f"{root}/{report.name}/changelog"
-    _refuse_old_run(spark, checkpoint(root, name), path, run)
+    _refuse_old_run(spark, checkpoint(root, name), path, VERSION, run)
 
     def write(rows: DataFrame, batch: int) -> None:
         write_version(rows, path, run, batch)
@@ -145,12 +145,13 @@ def start_report(
         return _start(writer, trigger)
 
 
-def _refuse_old_run(spark: SparkSession, checkpoint_path: str, changelog: str, run: int) -> None:
+def _refuse_old_run(spark: SparkSession, checkpoint_path: str, path: str, label: str, run: int) -> None:
+    """With a new checkpoint, batches of a run already written would be taken for repeats."""
     if folder_exists(spark, f"{checkpoint_path}/offsets"):
         return
-    newest = newest_complete(spark, changelog, VERSION)
+    newest = newest_complete(spark, path, label)
     if newest is not None and newest >= first_version(run):
-        raise ValueError(f"{changelog} has versions of run {run} or later: give a fresh start a higher run")
+        raise ValueError(f"{path} has batches of run {run} or later: give a fresh start a higher run")
 
 
 def start_consumer(
@@ -163,7 +164,8 @@ def start_consumer(
     message twice, or late, does not change the keyed table.
     """
     typed = to_report_types(report, stream_changelog(spark, f"{root}/{report.name}/changelog"))
-    path = f"{root}/{report.name}/changes"
+    path, progress = f"{root}/{report.name}/changes", checkpoint(root, f"table-{report.name}-{run}")
+    _refuse_old_run(spark, progress, path, PART, run)
 
     def write(rows: DataFrame, batch: int) -> None:
         write_changes(report, rows, path, run, batch)
@@ -172,7 +174,7 @@ def start_consumer(
         typed.filter(F.col(REASON).isNull())
         .drop(REASON, RAW)
         .writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint(root, f"table-{report.name}-{run}"))
+        .option("checkpointLocation", progress)
         .outputMode("append")
     )
     return _start(writer, trigger)

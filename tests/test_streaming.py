@@ -9,7 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from daytally.functions.envelope import RAW, REASON, good, inspect
-from daytally.operators.latest import latest_records, version_of
+from daytally.operators.latest import latest_records
 from daytally.operators.reports import DAILY_ADDRESS, DAILY_CATEGORY_PRODUCT, DAILY_PU_REV, REPORTS
 from daytally.sources.files import read_topic_files
 from daytally.streaming import jobs
@@ -164,6 +164,18 @@ def test_fresh_start_needs_a_higher_run(spark, root):
     assert [r.daily_rev for r in run_table(spark, DAILY_PU_REV, root).collect()] == [16.0]
 
 
+def test_fresh_consumer_needs_a_higher_run(spark, root):
+    put(f"{root}/feed", "a", [message(1)])
+    run_report(spark, DAILY_PU_REV, root, f"{root}/feed")
+    run_table(spark, DAILY_PU_REV, root)
+    os.rename(f"{root}/checkpoints/table-daily_pu_rev-0", f"{root}/lost")
+    put(f"{root}/feed", "b", [message(2)])
+    run_report(spark, DAILY_PU_REV, root, f"{root}/feed")
+    with pytest.raises(ValueError, match="higher run"):
+        run_table(spark, DAILY_PU_REV, root)
+    assert [r.daily_rev for r in run_table(spark, DAILY_PU_REV, root, run=1).collect()] == [16.0]
+
+
 def test_raw_table_refuses_a_lost_checkpoint(spark, root):
     put(f"{root}/feed", "a", [message(1)])
     start = lambda: jobs.start_intake(read_topic_files(spark, f"{root}/feed"), root, **NOW)
