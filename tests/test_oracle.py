@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from daytally.plans import oracle, registry
 from tests.compare import differences, duck
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,8 +15,10 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= entry_module.queries().keys()
+    assert SQL.items() <= entry_module.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
