@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daytally.llm import exact_dedup, mixing
+from daytally.llm import bpe, exact_dedup, mixing, token_records
 from daytally.llm.common import table
 
 
@@ -15,6 +16,27 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    manifest = token_records.write(docs, token_records.scratch(spark), token_records.vocabulary())
+    n_tokens = (F.octet_length("ids") / 4).cast("long")
+    return token_records.read(manifest).select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), bpe.vocabulary())
+    return bpe_digests(bpe.decode(encoded, bpe.vocabulary()))
+
+
+def bpe_digests(decoded: DataFrame) -> DataFrame:
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup.mark(table(spark, sf_dir, "documents"))
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -23,5 +45,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
+        "op3_token_records": op3_token_records,
+        "op5_bpe": op5_bpe,
         "op9_exact_dedup": op9_exact_dedup,
     }
