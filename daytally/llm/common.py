@@ -48,3 +48,26 @@ def unit(key: Column, seed: int) -> Column:
 def fold(key: Column, folds: int) -> Column:
     """``crc32`` of the key as text, modulo ``folds``; null keys count as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % folds
+
+
+#: Bits of a broadcast filter of keys: 2 MB. With more keys than it tells apart, more rows
+#: pass it; the join that follows is exact.
+FILTER_BITS = 1 << 24
+_PAGE = 32768
+
+
+def _slot(key: str) -> tuple[Column, Column]:
+    slot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    return F.floor(slot / _PAGE).cast("int"), slot % _PAGE
+
+
+def maybe_in(rows: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not among ``keys``: a cheap step
+    before a join that shuffles long texts."""
+    page, bit = _slot(name)
+    pages = keys.groupBy(page.alias("_page")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    page, bit = _slot(key)
+    byte = F.conv(F.hex(F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.expr("shiftleft(1, cast(_bit % 8 AS int))").bitwiseAND(byte) != 0
+    tested = rows.withColumns({"_page": page, "_bit": bit}).join(F.broadcast(pages), "_page")
+    return tested.filter(is_set).select(*rows.columns)

@@ -53,5 +53,45 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
 
 
+OP4 = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+shingled AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+         ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3])) END AS s
+  FROM worded
+),
+sets AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM shingled WHERE len(s) > 0),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS c
+  FROM sets x JOIN sets y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL
+),
+links AS (SELECT a, b FROM shared WHERE 100 * c >= 85 * (na + nb - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS node, doc_id AS seen FROM documents
+  UNION SELECT r.node, l.b FROM reached r JOIN both_ways l ON r.seen = l.a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, (SELECT min(seen) FROM reached WHERE node = doc_id) AS component_id
+FROM shingled"""
+
+
+OP2 = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i])), lambda a, b: a + b)) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id != c.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, (row_number() OVER near)::INT AS rank, vec_id, score FROM scored
+WINDOW near AS (PARTITION BY query_id ORDER BY score, vec_id) QUALIFY row_number() OVER near <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1, "op9_exact_dedup": OP9}
+    return {"op1_mixing": OP1, "op2_knn": OP2, "op4_ngram_join": OP4, "op9_exact_dedup": OP9}

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import bpe, exact_dedup, mixing, token_records
+from daytally.llm import bpe, exact_dedup, knn, mixing, ngram_join, passages, pii, quality, token_records, toxicity
 from daytally.llm.common import table
+from daytally.llm.training import in_fold
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +17,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op2_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = token_records.write(docs, token_records.scratch(spark), token_records.vocabulary())
@@ -23,29 +28,68 @@ def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.read(manifest).select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(table(spark, sf_dir, "documents"), bpe.vocabulary())
     return bpe_digests(bpe.decode(encoded, bpe.vocabulary()))
 
 
-def bpe_digests(decoded: DataFrame) -> DataFrame:
+def bpe_digests(decoded: DataFrame, *more: str) -> DataFrame:
     return decoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), in_fold(5, 0))
+    return _predicted(toxicity.score(docs, model), in_fold(5, 0, "doc_id"), "n_passages")
+
+
+def _predicted(scored: DataFrame, held_out: Column, *more: str) -> DataFrame:
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted, *more)
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    n_of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = pii.as_text(F.filter("spans", lambda s: s["kind"] != pii.TERM))
+    return found.select("doc_id", *map(n_of, pii.KINDS), F.sha2(base, 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup.mark(table(spark, sf_dir, "documents"))
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    weights = quality.fit(docs, table(spark, sf_dir, "labels"), in_fold(3, 1))
+    return _predicted(quality.score(docs, weights), in_fold(3, 1, "doc_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_knn": op2_knn,
         "op3_token_records": op3_token_records,
+        "op4_ngram_join": op4_ngram_join,
         "op5_bpe": op5_bpe,
+        "op6_passages": op6_passages,
+        "op7_toxicity": op7_toxicity,
+        "op8_pii": op8_pii,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_quality": op10_quality,
     }

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from daytally.llm.bpe import CACHED, groups
 from daytally.llm.common import written
+from daytally.llm.words import BY_SPACE, EXACT, located_words, text_bytes
 from daytally.session import new_folder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -39,6 +39,8 @@ END_ID = 2
 #: Fixed value: added to a rotated checksum.
 MASK = 0xA282EAD8
 PIECE = 1 << 20
+#: Words a Python worker knows before it starts anew: about 50 MB. Memory only.
+KNOWN = 1 << 21
 _HEAD = struct.Struct("<Q")
 _CHECK = struct.Struct("<I")
 _KEY = struct.Struct("<Bq")
@@ -79,41 +81,50 @@ class LibraryEncoder:
     """The tokenizers library over whole texts, each distinct word encoded once.
 
     Only for vocabularies that drop white space and whose rules see no further than a
-    word: then a text's ids are those of its words, one after another.
+    word: then a text's ids are those of its words, one after another. Known words are
+    kept by their 64-bit hash, ascending, with the ids of all of them in one array.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self._words: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        if len(self._words) > CACHED:
-            self._words.clear()
-        new = [*{w for w in words if w not in self._words}]
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            found = self.library.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            self._words.update((w, np.array(e.ids, f"<u{self.width}").tobytes()) for w, e in zip(some, found))
-        return [self._words[w] for w in words]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        if sum(map(len, texts)) <= 2 * PIECE:
-            cut = [t.split() for t in texts]
-            self._encode([*set().union(*cut)])
-            return [b"".join(map(self._words.__getitem__, words)) for words in cut]
-        return [b"".join(b"".join(self._encode(piece.split())) for piece in pieces(t)) for t in texts]
-
-
-def pieces(text: bytes) -> Iterator[bytes]:
-    """A long text in pieces cut at spaces or line ends."""
-    at = 0
-    while at < len(text):
-        cut = at + PIECE
-        while cut < len(text) and text[cut] not in b" \n\t":
-            cut += 1
-        yield text[at:cut]
-        at = cut
+        self._forget()
+
+    def _forget(self) -> None:
+        self._hashes, self._starts, self._lengths = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32)
+        self._ids = np.empty(0, f"<u{self.width}")
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """``hashes`` ascending and new."""
+        found = []
+        for low in range(0, len(words), 4096):
+            some = [w.decode() for w in words[low : low + 4096]]
+            found += [e.ids for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int32, len(found))
+        flat = np.fromiter((i for ids in found for i in ids), self._ids.dtype, int(lengths.sum()))
+        at = np.searchsorted(self._hashes, hashes)
+        starts = np.cumsum(lengths) - lengths + len(self._ids)
+        self._hashes, self._lengths = np.insert(self._hashes, at, hashes), np.insert(self._lengths, at, lengths)
+        self._starts, self._ids = np.insert(self._starts, at, starts), np.concatenate([self._ids, flat])
+
+    def _known(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self._hashes, hashes)
+        return (at < len(self._hashes)) & (self._hashes[np.minimum(at, len(self._hashes) - 1)] == hashes) if len(self._hashes) else np.zeros(len(hashes), bool)
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Of runs of texts: the first text's number, all ids, and where each text's begin."""
+        data, _ = text_bytes(texts)
+        for first, _, hashes, bounds, starts, ends in located_words(texts, BY_SPACE, EXACT):
+            if len(self._hashes) > KNOWN:
+                self._forget()
+            distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
+            new = ~self._known(distinct)
+            self._learn(distinct[new], [data[a:b].tobytes() for a, b in zip(starts[sample[new]], ends[sample[new]])])
+            at = np.searchsorted(self._hashes, distinct)[which]
+            lengths = self._lengths[at].astype(np.int64)
+            total = np.concatenate([[0], np.cumsum(lengths)])
+            gather = np.arange(total[-1]) + np.repeat(self._starts[at] - total[:-1], lengths)
+            yield first, self._ids[gather], total[bounds]
 
 
 @cache
@@ -133,13 +144,13 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_i
     records = n_ids = at = 0
     out = index = None
     for batch in batches:
-        for a, b in groups(batch.column(1)):
-            if out is None and b > a:
+        keys = batch.column(0).to_pylist()
+        for first, ids, bounds in bpe.encode(batch.column(1)):
+            if out is None:
                 files.create_dir(top, recursive=True)
                 out, index = files.open_output_stream(f"{top}/{name}.rec"), files.open_output_stream(f"{top}/{name}.idx")
-            keys = batch.column(0).slice(a, b - a).to_pylist()
-            for k, ids in zip(keys, bpe.encode(batch.column(1).slice(a, b - a).to_pylist())):
-                payload = _KEY.pack(k is not None, k or 0) + ids + end
+            for k, low, high in zip(keys[first:], bounds, bounds[1:]):
+                payload = b"".join((_KEY.pack(k is not None, k or 0), ids[low:high].tobytes(), end))
                 record = frame(payload)
                 out.write(record)
                 index.write(_INDEX.pack(k or 0, at, len(payload)))
@@ -159,7 +170,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, text: s
     A null text is empty and has the end id alone. Null ids come first; rows with one id
     are ordered by the hash of the text. An empty table gives an empty manifest.
     """
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("key", "tie").sortWithinPartitions("key", "tie")
 
     return written(ordered.drop("tie").mapInArrow(lambda batches: _write_part(batches, folder, path, end_id), "part int, file string, n_records long, n_ids long, width int"), "manifest")

@@ -54,11 +54,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _piece(data: np.ndarray, firsts: np.ndarray, is_word: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and starts of the words of ``data``; a text begins at each of ``firsts``."""
+def _piece(data: np.ndarray, firsts: np.ndarray, is_word: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words of ``data``; a text begins at each of ``firsts``."""
     n = len(data)
     if not n:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     inside = is_word[data]
     begins = np.empty(n + 1, bool)
     begins[0], begins[n], begins[1:n] = True, True, ~inside[:-1]
@@ -74,7 +74,7 @@ def _piece(data: np.ndarray, firsts: np.ndarray, is_word: np.ndarray, letters: n
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
     np.cumsum(letters[data] * powers[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64)), starts
+    return mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64)), starts, ends
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -88,14 +88,10 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole, bounds
 
 
-def hashed_words(
+def located_words(
     column: pa.Array, is_word: np.ndarray = BY_SPACE, letters: np.ndarray = LOWER
-) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Word hashes of a column of texts, in runs of whole texts of about ``PIECE`` bytes.
-
-    Yields (first, last, hashes, bounds): text ``first + i`` has the words
-    ``hashes[bounds[i]:bounds[i + 1]]``. Texts beyond ``PIECE`` are cut between words.
-    """
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Like :func:`hashed_words`, with the words' starts and ends in the column's bytes."""
     data, at = text_bytes(column)
     n, first = len(column), 0
     while first < n:
@@ -107,18 +103,32 @@ def hashed_words(
                 cut = min(low + PIECE, high)
                 while cut < high and is_word[data[cut]]:
                     cut += 1
-                parts.append(_piece(data[low:cut], np.zeros(1, np.int64), is_word, letters)[0])
+                hashes, starts, ends = _piece(data[low:cut], np.zeros(1, np.int64), is_word, letters)
+                parts.append((hashes, starts + low, ends + low))
                 low = cut
-            hashes = np.concatenate(parts)
+            hashes, starts, ends = (np.concatenate(x) for x in zip(*parts))
             bounds = np.array([0, len(hashes)])
         else:
             firsts = at[first : last + 1] - low
-            hashes, starts = _piece(data[low:high], firsts[:-1], is_word, letters)
+            hashes, starts, ends = _piece(data[low:high], firsts[:-1], is_word, letters)
             bounds = np.searchsorted(starts, firsts)
-        yield first, last, hashes, bounds
+            starts, ends = starts + low, ends + low
+        yield first, last, hashes, bounds, starts, ends
         first = last
 
 
+def hashed_words(
+    column: pa.Array, is_word: np.ndarray = BY_SPACE, letters: np.ndarray = LOWER
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Word hashes of a column of texts, in runs of whole texts of about ``PIECE`` bytes.
+
+    Yields (first, last, hashes, bounds): text ``first + i`` has the words
+    ``hashes[bounds[i]:bounds[i + 1]]``. Texts beyond ``PIECE`` are cut between words.
+    """
+    for first, last, hashes, bounds, _, _ in located_words(column, is_word, letters):
+        yield first, last, hashes, bounds
+
+
 def shingles(hashes: np.ndarray, bounds: np.ndarray, k: int, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every k words in a row within each text, and the new bounds.
 
