@@ -6,27 +6,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import exact_dedup, mixing
+from daytally.llm import bpe, exact_dedup, mixing, ngram_join, toxicity
 from daytally.llm.common import table, written
+from daytally.llm.queries import bpe_digests
+from daytally.llm.training import in_fold
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model scores below one half; rows without text stay."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), in_fold(5, 0))
+    return toxicity.clean(docs, model)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest id."""
     return exact_dedup.deduplicate(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by similar shingle sets the one with the smallest id."""
+    return ngram_join.one_of_each(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's rate and its draw say."""
     return mixing.mix(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of each document's whole text."""
+    decoded = bpe.decode(bpe.encode(docs, bpe.vocabulary()), bpe.vocabulary())
+    return bpe_digests(decoded, "ids")
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
+    ("ngram_join", drop_near_copies),
     ("mixing", mix_sources),
+    ("bpe", encode),
 ]
 
-#: Model scores and similarity links have no SQL: the tests hold the stages against
-#: brute-force versions.
+#: Model scores and token ids have no SQL: the tests hold the stages against brute-force
+#: versions.
 ORACLE_SQL = None
 
 
