@@ -1,4 +1,4 @@
-"""Command line: generate, stream, tables, compact, query."""
+"""Command line: generate, stream, final, tables, compact, query."""
 
 from __future__ import annotations
 
@@ -16,24 +16,30 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     generate = commands.add_parser("generate", help="make synthetic records")
     generate.add_argument("--sample", required=True, help="CSV of sample sales")
     generate.add_argument("--places", required=True, help="CSV of country, city, latitude, longitude")
-    generate.add_argument("--topic", required=True, help="folder to add messages to")
+    generate.add_argument("--topic", required=True, help="topic name with --servers, else a folder to add messages to")
+    generate.add_argument("--servers", help="topic servers; needs the connector package")
     generate.add_argument("--export", required=True, help="folder of daily files")
     generate.add_argument("--seed", type=int, default=0)
     generate.add_argument("--max-per-day", type=int, default=MAX_PER_DAY)
 
     stream = commands.add_parser("stream", help="records to raw table and changelogs")
-    stream.add_argument("--topic", required=True, help="topic name with --servers, else a folder")
-    stream.add_argument("--servers", help="topic servers; needs the connector package")
-
+    final = commands.add_parser("final", help="day totals, each written once when the day is over")
+    final.add_argument("--delay", default="1 day", help="how long after a day's end its records may come")
+    for each in (stream, final):
+        each.add_argument("--topic", required=True, help="topic name with --servers, else a folder")
     tables = commands.add_parser("tables", help="changelogs to report tables")
+    stream.add_argument("--changelogs", help="with --servers: prefix of topics to send changes to")
+    tables.add_argument("--changelogs", default="", help="with --servers: prefix of topics to read changes from")
+    for each in (stream, final, tables):
+        each.add_argument("--servers", help="topic servers; needs the connector package")
+        each.add_argument("--once", action="store_true", help="stop when all there is has been read")
     for each in (stream, tables):
         each.add_argument("--run", type=int, default=0, help="higher than before after a lost checkpoint")
-        each.add_argument("--once", action="store_true", help="stop when all there is has been read")
 
     compact = commands.add_parser("compact", help="snapshot the report tables")
     query = commands.add_parser("query", help="SQL over the reports")
     query.add_argument("sql")
-    for each in (stream, tables, compact, query):
+    for each in (stream, final, tables, compact, query):
         each.add_argument("--root", required=True, help="folder of all tables and checkpoints")
     return parser.parse_args(argv)
 
@@ -45,9 +51,8 @@ def main(argv: list[str] | None = None) -> None:
     if command == "query":
         app.query(spark, **args).show(truncate=False)
     else:
-        {"generate": app.generate, "stream": app.stream, "tables": app.tables, "compact": app.compact_all}[command](
-            spark, **args
-        )
+        jobs = {"generate": app.generate, "stream": app.stream, "final": app.final, "tables": app.tables, "compact": app.compact_all}
+        jobs[command](spark, **args)
 
 
 if __name__ == "__main__":

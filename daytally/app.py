@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.functions.envelope import encode_records
+from daytally.functions.envelope import encode_records, good, inspect
 from daytally.operators import dimensions, generator
 from daytally.operators.reports import REPORTS
 from daytally.schemas import GAZETTEER, SAMPLE_CSV, nullable
 from daytally.session import new_folder
 from daytally.sources import files, topics
 from daytally.streaming import jobs
-from daytally.streaming.changelog import compact, create_tables
+from daytally.streaming.changelog import changelog_from_topic, compact, create_tables, fold_changelog
 
 DATABASE = "daily_report"
 
 
 def generate(
-    spark: SparkSession, sample: str, places: str, topic: str, export: str, seed: int, max_per_day: int
+    spark: SparkSession,
+    sample: str,
+    places: str,
+    topic: str,
+    export: str,
+    seed: int,
+    max_per_day: int,
+    servers: str | None = None,
 ) -> None:
-    """Make a month of records from a sample of sales; send and export them.
+    """Make a month of records from a sample of sales; send them by key and export them.
 
     Another seed makes other records with other ids, so a second run adds to the
-    totals of the first.
+    totals of the first. The same seed sends to a topic folder once, however often it
+    is tried; a broker gets its messages again, as no broker knows of a sending.
     """
     sales = files.read_csv(spark, sample, nullable(SAMPLE_CSV))
     root = new_folder(spark, "dimensions")
@@ -38,7 +48,10 @@ def generate(
     # Written once and read twice: both outputs then hold the same rows.
     records.write.parquet(f"{root}/records")
     made = spark.read.parquet(f"{root}/records")
-    files.append_topic_files(encode_records(made), topic)
+    if servers:
+        topics.send_topic(encode_records(made), servers, topic)
+    else:
+        files.append_topic_files(encode_records(made), topic, f"seed-{seed}")
     files.export_daily(made, export)
 
 
@@ -47,41 +60,69 @@ def read_messages(spark: SparkSession, topic: str, servers: str | None) -> DataF
     return topics.read_topic(spark, servers, topic) if servers else files.read_topic_files(spark, topic)
 
 
-def stream(spark: SparkSession, topic: str, root: str, servers: str | None, run: int, once: bool) -> None:
-    """Topic to intake table, good and bad apart; its good records to the changelogs."""
+def stream(
+    spark: SparkSession,
+    topic: str,
+    root: str,
+    servers: str | None,
+    run: int,
+    once: bool,
+    changelogs: str | None = None,
+) -> None:
+    """Topic to intake table, good and bad apart; its good records to the changelogs.
+
+    With ``servers`` and ``changelogs`` each report's changes go to the topic of that
+    prefix and the report's name as well.
+    """
     trigger = jobs.AVAILABLE_NOW if once else {}
     intake = jobs.start_intake(read_messages(spark, topic, servers), root, **trigger)
     if once:
         jobs.finish([intake])
-    reports = [
-        jobs.start_report(report, jobs.stream_raw(spark, root), root, run, **trigger) for report in REPORTS.values()
-    ]
+    reports = []
+    for report in REPORTS.values():
+        send = partial(topics.send_topic, servers=servers, topic=f"{changelogs}{report.name}") if servers and changelogs else None
+        reports.append(jobs.start_report(report, jobs.stream_raw(spark, root), root, run, send, **trigger))
     if once:
         jobs.finish(reports)
     else:
         jobs.serve(spark, [intake, *reports])
 
 
-def tables(spark: SparkSession, root: str, run: int, once: bool) -> None:
-    """Changelogs to typed report tables; what does not fit goes to the rejects."""
+def tables(
+    spark: SparkSession, root: str, run: int, once: bool, servers: str | None = None, changelogs: str = ""
+) -> None:
+    """Changelogs to typed report tables; what does not fit goes to the rejects.
+
+    With ``servers`` they are read from topics of the prefix ``changelogs``.
+    """
     trigger = jobs.AVAILABLE_NOW if once else {}
     queries = []
     for report in REPORTS.values():
-        queries.append(jobs.start_consumer(spark, report, root, run, **trigger))
-        queries.append(jobs.start_rejects(spark, report, root, **trigger))
+        messages = changelog_from_topic(topics.read_topic(spark, servers, changelogs + report.name)) if servers else None
+        queries.append(jobs.start_consumer(spark, report, root, run, messages, **trigger))
+        queries.append(jobs.start_rejects(spark, report, root, messages, **trigger))
     if once:
         jobs.finish(queries)
     else:
         jobs.serve(spark, queries)
 
 
+def final(spark: SparkSession, topic: str, root: str, servers: str | None, delay: str, once: bool) -> None:
+    """Day totals that are written once, when a day is over."""
+    records = good(inspect(read_messages(spark, topic, servers)))
+    days = jobs.start_final_days(records, root, delay, **(jobs.AVAILABLE_NOW if once else {}))
+    jobs.finish([days]) if once else jobs.serve(spark, [days])
+
+
 def compact_all(spark: SparkSession, root: str) -> None:
-    """Snapshot every report table, at any time."""
+    """Fold every changelog and snapshot every report table, at any time."""
     for report in REPORTS.values():
+        fold_changelog(spark, report, f"{root}/{report.name}/changelog")
         compact(spark, report, f"{root}/{report.name}")
 
 
 def query(spark: SparkSession, root: str, sql: str) -> DataFrame:
-    """Ad-hoc SQL over the reports as ``daily_report.<report>``."""
+    """Ad-hoc SQL over ``daily_report.<report>``, ``<report>_text``, ``daily_records`` and
+    ``quarantine``."""
     create_tables(spark, DATABASE, root, list(REPORTS.values()))
     return spark.sql(sql)

@@ -8,15 +8,25 @@ from pyspark.sql import functions as F
 from daytally.operators.reports import Report
 
 VERSION = "version"
+OFFSET = "offset"
 ARRIVED = "arrived_at"
 
 # A version is (run, batch) in one BIGINT, so the aggregate below keeps fixed-width
-# buffers and Spark can hash instead of sort.
+# buffers and Spark can hash instead of sort. The lowest bit tells a batch from a fold:
+# all versions of the run, and of those before it, up to that batch as one.
 _BATCH_BITS = 40
 
 
 def version_of(run: int, batch: int) -> int:
-    return (run << _BATCH_BITS) | batch
+    return (run << _BATCH_BITS) | (batch << 1)
+
+
+def fold_of(version: int) -> int:
+    return version | 1
+
+
+def run_of(version: int) -> int:
+    return version >> _BATCH_BITS
 
 
 def first_version(run: int) -> int:
@@ -53,10 +63,12 @@ def latest_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def latest_records(raw: DataFrame, resent_same_day: bool = False) -> DataFrame:
-    """The raw table as its users see it: one row per ``ts_id``, the last to arrive.
+    """The raw table as its users see it: one row per ``ts_id``, the last one sent.
 
+    What counts is the place in the topic, never a clock. A topic puts all messages of
+    one key in one order; of messages without a place the last to arrive is taken.
     With ``resent_same_day`` the caller states that a resent record keeps its
     ``ts_date``; the date then joins the key, and a filter on it prunes partitions.
     """
     keys = ["ts_id", "ts_date"] if resent_same_day else ["ts_id"]
-    return latest_by(raw, keys, [ARRIVED]).drop(ARRIVED)
+    return latest_by(raw, keys, [OFFSET, ARRIVED]).drop(OFFSET, ARRIVED)

@@ -7,39 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
-SALTS = 32
-_ROW_OVERHEAD = 32
 
-
-def measured_bytes(rows: DataFrame) -> int:
-    """Size of ``rows`` by one distributed pass; only the total reaches the driver."""
-    width = F.lit(_ROW_OVERHEAD)
-    for name in rows.columns:
-        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
-    return rows.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("n")).first()["n"]
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    broadcast_limit: int = BROADCAST_LIMIT,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], spread_by: Sequence[str]) -> DataFrame:
     """Inner join of many facts to a lookup table that has each key once.
 
-    The lookup is broadcast if its measured size allows. Otherwise both sides are
-    shuffled, and each key is split over ``SALTS`` parts: facts go to a part by a hash
-    of ``spread_by``, the lookup row goes to all of them. A key that holds a third of
-    all facts is then the work of many tasks. It holds for streams too, where
-    runtime skew handling does not apply.
+    A batch leaves the choice to Spark, which knows the sizes when it runs and splits
+    hot keys. A stream keeps its plan for life, without either, so there both sides are
+    salted: facts go to a part of their key by a hash of ``spread_by``, the lookup row
+    to all parts. There are as many parts as the session shuffles to, so one key that
+    has most of the facts still keeps all tasks busy.
     """
     keys = list(keys)
-    if measured_bytes(lookup) <= broadcast_limit:
-        return facts.join(F.broadcast(lookup), keys, "inner")
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
-    parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    if not facts.isStreaming:
+        return facts.join(lookup, keys, "inner")
+    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     return (
         facts.withColumn("_salt", salt)
         .join(lookup.withColumn("_salt", parts), [*keys, "_salt"], "inner")
@@ -53,14 +36,9 @@ def one_place_per_name(gazetteer: DataFrame) -> DataFrame:
     return gazetteer.groupBy("country", "city").agg(place).select("country", "city", "place.*")
 
 
-def geocode(
-    records: DataFrame,
-    gazetteer: DataFrame,
-    spread_by: Sequence[str] = ("ts_id",),
-    broadcast_limit: int = BROADCAST_LIMIT,
-) -> DataFrame:
+def geocode(records: DataFrame, gazetteer: DataFrame, spread_by: Sequence[str] = ("ts_id",)) -> DataFrame:
     """Add ``latitude`` and ``longitude``; records of an unknown place are dropped."""
     places = one_place_per_name(gazetteer).select(
         "country", "city", F.col("latitude").cast("double"), F.col("longitude").cast("double")
     )
-    return lookup_join(records, places, ["country", "city"], spread_by, broadcast_limit)
+    return lookup_join(records, places, ["country", "city"], spread_by)

@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 RSD = 0.05
 
-# Three standard errors.
-BOUND = 0.15
+# Standard errors that an estimate may be off, so that none of millions of groups is.
+ERRORS = 6
 
 
 @dataclass(frozen=True)
@@ -134,8 +134,8 @@ def users_with_bound(records: DataFrame, keys: list[str], user: str = "customer_
 
 
 def within_bound(estimate: Column, exact: Column) -> Column:
-    """Whether the estimate is near enough; in a small group two users off is near enough."""
-    return F.abs(estimate - exact) <= F.greatest(F.lit(2), F.ceil(BOUND * exact))
+    """Whether the estimate is near enough: ERRORS standard errors and two users."""
+    return F.abs(estimate - exact) <= F.lit(2) + F.lit(ERRORS * RSD) * exact
 
 
 def roll_up(report_rows: DataFrame, key: str, measure: str, alias: str) -> DataFrame:

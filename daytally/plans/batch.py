@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from daytally.operators.reports import (
     DAILY_ADDRESS,
     DAILY_CATEGORY_PRODUCT,
     DAILY_PU_REV,
+    REPORTS,
     Report,
     roll_up,
     users_with_bound,
@@ -26,6 +28,7 @@ from daytally.schemas import (
     MESSAGE_FIELDS,
     PRODUCT_SALE_FIELDS,
     RECORD,
+    RECORD_FIELDS,
     SAMPLE_CSV,
     nullable,
 )
@@ -42,9 +45,10 @@ from daytally.sources.tables import (
     table,
 )
 from daytally.streaming.changelog import (
-    as_text,
+    compact,
     create_tables,
     read_changelog,
+    read_changes,
     to_report_types,
     write_changes,
     write_version,
@@ -164,27 +168,16 @@ def raw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Messages
 
 
+def readable(rows: DataFrame) -> DataFrame:
+    """Records with times as text and 32-bit amounts as doubles, which compare exactly."""
+    amounts = [F.col(c).cast("double").alias(c) for c in ("price", "revenue", "profit")]
+    time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts")
+    changed = {"ts": time, **dict(zip(("price", "revenue", "profit"), amounts))}
+    return rows.select(*[changed.get(c, F.col(c)) for c in RECORD_FIELDS])
+
+
 def decode_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = decode(event_messages(spark, sf_dir), RECORD)
-    return rows.select(
-        "ts_id",
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"),
-        "ts_date",
-        "customer_id",
-        "customer_name",
-        "segment",
-        "country",
-        "city",
-        "category",
-        "sub_category",
-        "product_name",
-        F.col("price").cast("double").alias("price"),
-        "quantity",
-        F.col("revenue").cast("double").alias("revenue"),
-        F.col("profit").cast("double").alias("profit"),
-        "latitude",
-        "longitude",
-    )
+    return readable(decode(event_messages(spark, sf_dir), RECORD))
 
 
 def encode_records_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,11 +191,24 @@ def encode_records_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(sent, schema, "key")
 
 
+def stacked(rows: dict[str, DataFrame]) -> DataFrame:
+    """All rows of several reports, with the report's name; what one lacks is null."""
+    named = [df.select(F.lit(name).alias("report"), "*") for name, df in rows.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
+def exact_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {r.name: r.aggregate(report_input(spark, sf_dir, r), exact=True) for r in REPORTS.values()}
+
+
 def encode_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report written as one version of its changelog and read back by field name."""
-    path = new_folder(spark, "changelog")
-    write_version(DAILY_PU_REV.aggregate(report_input(spark, sf_dir, DAILY_PU_REV), exact=True), path, 0, 0)
-    return tidy(_typed_report(DAILY_PU_REV, read_changelog(spark, path)).drop(VERSION))
+    """Each report written as one version of its changelog and read back by field name."""
+    found = {}
+    for name, rows in exact_reports(spark, sf_dir).items():
+        path = new_folder(spark, "changelog")
+        write_version(rows, path, 0, 0)
+        found[name] = tidy(_typed_report(REPORTS[name], read_changelog(spark, path)).drop(VERSION))
+    return stacked(found)
 
 
 def _typed_report(report: Report, messages: DataFrame) -> DataFrame:
@@ -221,7 +227,7 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((kind == "view") & (F.col("revenue") < 5), "")
         .otherwise(whole)
     )
-    return event_records(spark, sf_dir).select(value.alias("value"), "ts_date")
+    return event_records(spark, sf_dir).select(F.col("ts_id").alias("key"), value.alias("value"), "ts_date")
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,24 +244,42 @@ def good_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Keyed tables
 
 
+def kept_without_database(rows: DataFrame, database: str) -> DataFrame:
+    """``rows``, written to the scratch folder, after the database they came from is gone."""
+    spark, path = rows.sparkSession, new_folder(rows.sparkSession, "result")
+    rows.write.parquet(path)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _report_tables(spark: SparkSession, sf_dir: str, suffix: str = "") -> dict[str, DataFrame]:
+    """Text totals of all reports through changelogs into declared tables, read by SQL."""
+    root, database = new_folder(spark, "tables"), f"daily_report_{uuid.uuid4().hex}"
+    for report in REPORTS.values():
+        records = report_input(spark, sf_dir, report)
+        places = [c for c in ("latitude", "longitude") if c in report.inputs]
+        sent = records.withColumns({c: F.col(c).cast("string") for c in places}) if places else records
+        path = f"{root}/{report.name}"
+        write_version(report.aggregate(sent, exact=True), f"{path}/changelog", 0, 0)
+        write_changes(report, _typed_report(report, read_changelog(spark, f"{path}/changelog")), f"{path}/changes", 0, 0)
+    create_tables(spark, database, root, list(REPORTS.values()))
+    return {"database": database, **{n: spark.table(f"{database}.{n}{suffix}") for n in REPORTS}}
+
+
 def typed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text totals through the changelog into a declared, typed table, read by SQL."""
-    root, report = new_folder(spark, "tables"), DAILY_ADDRESS
-    records = report_input(spark, sf_dir, report)
-    sent = records.withColumns({c: F.col(c).cast("string") for c in ("latitude", "longitude")})
-    write_version(report.aggregate(sent, exact=True), f"{root}/{report.name}/changelog", 0, 0)
-    typed = _typed_report(report, read_changelog(spark, f"{root}/{report.name}/changelog"))
-    write_changes(report, typed, f"{root}/{report.name}/changes", 0, 0)
-    database = f"daily_report_{uuid.uuid4().hex}"
-    create_tables(spark, database, root, [report])
-    return spark.table(f"{database}.{report.name}")
+    """The three typed tables."""
+    tables = _report_tables(spark, sf_dir)
+    database = tables.pop("database")
+    return kept_without_database(stacked({n: tidy(rows) for n, rows in tables.items()}), database)
 
 
 def text_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The all-text form; totals are cast back to compare them to the cent."""
-    text = as_text(DAILY_PU_REV.aggregate(report_input(spark, sf_dir, DAILY_PU_REV), exact=True))
-    back = [F.round(F.col(c).cast("double"), 2).alias(c) for c in ("daily_rev", "daily_profit")]
-    return text.select("ts_date", "daily_pu", *back)
+    """The three tables as text; sums are cast back to compare them to the cent."""
+    tables = _report_tables(spark, sf_dir, "_text")
+    database = tables.pop("database")
+    sums = ("daily_rev", "daily_profit")
+    back = lambda rows: rows.withColumns({c: F.round(F.col(c).cast("double"), 2) for c in sums if c in rows.columns})
+    return kept_without_database(stacked({n: back(rows) for n, rows in tables.items()}), database)
 
 
 def running_changelog(spark: SparkSession, sf_dir: str, report: Report) -> DataFrame:
@@ -281,9 +305,15 @@ def running_changelog(spark: SparkSession, sf_dir: str, report: Report) -> DataF
 
 
 def _upsert(spark: SparkSession, sf_dir: str, report: Report) -> DataFrame:
-    changes = running_changelog(spark, sf_dir, report)
-    rows = latest_rows(report, changes, keep_version=True)
-    return tidy(rows.withColumn(VERSION, F.col(VERSION).cast("bigint")))
+    """Versions through the stored table: the later half first, then all of them, so that
+    some come late and some twice; a snapshot is made between."""
+    root, changes = new_folder(spark, "upsert"), running_changelog(spark, sf_dir, report)
+    changes = changes.withColumn(VERSION, F.col(VERSION).cast("bigint"))
+    write_changes(report, changes.filter(F.col(VERSION) > 3), f"{root}/changes", 0, 0)
+    compact(spark, report, root)
+    write_changes(report, changes, f"{root}/changes", 0, 1)
+    write_changes(report, changes.filter(F.col(VERSION) < 3), f"{root}/changes", 0, 2)
+    return tidy(latest_rows(report, read_changes(spark, report, root), keep_version=True))
 
 
 def upsert_daily_pu_rev(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,16 +338,10 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 18 fields by day, gzip; then each day's files counted."""
+    """All 18 fields by day, gzip; every row of every day's files."""
     path = new_folder(spark, "export")
     files.export_daily(located_records(spark, sf_dir, list(MESSAGE_FIELDS)), path)
-    back = spark.read.parquet(path)
-    return back.groupBy(F.col("day").alias("ts_date")).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum("quantity").alias("quantity"),
-        F.min("ts").alias("first_ts"),
-        F.max("discount").alias("top_discount"),
-    )
+    return spark.read.parquet(path)
 
 
 def _synthetic(spark: SparkSession, sf_dir: str, per_customer: bool) -> DataFrame:

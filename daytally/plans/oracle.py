@@ -133,8 +133,36 @@ JOIN nation ON n_name = customers.city AND n_regionkey = r_regionkey
 """
 
 
+_READABLE = (
+    "ts_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, ts_date, customer_id, customer_name, segment, "
+    "country, city, category, sub_category, product_name, price, quantity, revenue, profit, "
+    "CAST(latitude AS VARCHAR) AS latitude, CAST(longitude AS VARCHAR) AS longitude"
+)
+
+def _stacked(pu: str, product: str, address: str) -> str:
+    return (
+        f"SELECT 'daily_pu_rev' AS report, {pu} UNION ALL BY NAME "
+        f"SELECT 'daily_category_product' AS report, {product} UNION ALL BY NAME "
+        f"SELECT 'daily_address' AS report, {address}"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    day_revenue = _e("SELECT ts_date, round(sum(revenue), 2) AS daily_rev FROM e GROUP BY ts_date")
+    days = _e(f"SELECT ts_date, {_SUMS}, TRUE AS pu_in_bound FROM e GROUP BY ts_date")
+    products = f"{_PRODUCT_KEYS}, {_QUANTITY}, {_SUMS}"
+    exact = _r(_stacked(
+        f"ts_date, {_USERS}, {_SUMS} FROM r GROUP BY ts_date",
+        f"{products} FROM r GROUP BY ALL",
+        f"{_PLACE_KEYS}, {_USERS} FROM r GROUP BY ALL",
+    ))
+    text = lambda names: ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in names.split(", "))
+    every_text = _r(_stacked(
+        f"CAST(ts_date AS VARCHAR) AS ts_date, CAST(count(DISTINCT customer_id) AS VARCHAR) AS daily_pu, {_SUMS} FROM r GROUP BY r.ts_date",
+        f"{text(_PRODUCT_KEYS)}, CAST(CAST(sum(quantity) AS BIGINT) AS VARCHAR) AS daily_quantity, {_SUMS} "
+        "FROM r GROUP BY r.ts_date, r.category, r.sub_category, r.product_name",
+        f"{text(_PLACE_KEYS)}, CAST(count(DISTINCT customer_id) AS VARCHAR) AS daily_pu "
+        "FROM r GROUP BY r.ts_date, r.latitude, r.longitude",
+    ))
     event_products = _e(f"SELECT {_PRODUCT_KEYS}, {_QUANTITY}, {_SUMS} FROM e GROUP BY ALL")
     reasons = _e(f"SELECT {_REASON} AS reason, CAST(count(*) AS BIGINT) AS n FROM e GROUP BY ALL")
     daily = _r(f"SELECT ts_date, {_USERS}, {_SUMS} FROM r GROUP BY ts_date")
@@ -168,34 +196,28 @@ def oracle_sql() -> dict[str, str]:
             QUALIFY row_number() OVER (
               PARTITION BY l_orderkey, l_linenumber
               ORDER BY l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1""",
-        "decode_records": _e(
-            "SELECT ts_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, ts_date, customer_id, customer_name, segment, "
-            "country, city, category, sub_category, product_name, price, quantity, revenue, profit, "
-            "CAST(latitude AS VARCHAR) AS latitude, CAST(longitude AS VARCHAR) AS longitude FROM e"
-        ),
+        "decode_records": _e(f"SELECT {_READABLE} FROM e"),
         "encode_records": _r(
             "SELECT ts_id AS key, ts_id, ts, CAST(ts_date AS VARCHAR) AS ts_date, customer_id, customer_name, "
             "segment, country, city, category, sub_category, product_name, price, "
             "CAST(quantity AS VARCHAR) AS quantity, CAST(discount AS VARCHAR) AS discount, revenue, profit, "
             "latitude, longitude FROM r"
         ),
-        "encode_changelog": daily,
+        "encode_changelog": exact,
         "quarantine": reasons,
         "good_records": _e(
             f"SELECT {_PRODUCT_KEYS}, {_QUANTITY}, {_SUMS} FROM e WHERE {_REASON} = 'good' GROUP BY ALL"
         ),
-        "typed_reports": addresses,
-        "text_tables": _r(
-            "SELECT CAST(ts_date AS VARCHAR) AS ts_date, CAST(count(DISTINCT customer_id) AS VARCHAR) AS daily_pu, "
-            f"{_SUMS} FROM r GROUP BY r.ts_date"
-        ),
+        "typed_reports": exact,
+        "text_tables": every_text,
         "csv_scan": _r(
             "SELECT customer_id, customer_name, segment, country, city, category, sub_category, product_name, "
             "sales, quantity, discount FROM r"
         ),
         "daily_export": _r(
-            "SELECT ts_date, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(quantity) AS BIGINT) AS quantity, "
-            "min(ts) AS first_ts, CAST(max(discount) AS VARCHAR) AS top_discount FROM r GROUP BY ts_date"
+            "SELECT ts_id, ts, CAST(ts_date AS VARCHAR) AS ts_date, customer_id, customer_name, segment, country, city, "
+            "category, sub_category, product_name, price, quantity, CAST(discount AS VARCHAR) AS discount, revenue, profit, "
+            "latitude, longitude, ts_date AS day FROM r"
         ),
         "synth_records": _synthetic(str(MAX_PER_DAY)),
         "synth_records_scaled": _synthetic("SELECT count(*) FROM customers"),
@@ -204,28 +226,31 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {_PRODUCT_KEYS}, {_QUANTITY}, {_SUMS}, {last_version} FROM r GROUP BY ALL"
         ),
         "upsert_daily_address": _r(f"SELECT {_PLACE_KEYS}, {_USERS}, {last_version} FROM r GROUP BY ALL"),
-        "stream_raw": _e("SELECT ts_id, ts_date, revenue FROM e"),
-        "stream_daily_pu_rev": _e(f"SELECT ts_date, {_SUMS}, TRUE AS pu_in_bound FROM e GROUP BY ts_date"),
+        "stream_raw": _e(
+            f"SELECT * REPLACE (CAST(CAST(value + 1 AS FLOAT) AS DOUBLE) AS price, "
+            "CAST(CAST(value + 1 AS FLOAT) AS DOUBLE) AS revenue, CAST(quantity + 1 AS INTEGER) AS quantity) "
+            f"FROM (SELECT {_READABLE}, value FROM e)"
+        ).replace("SELECT * REPLACE", "SELECT * EXCLUDE (value) REPLACE"),
+        "stream_daily_pu_rev": days,
         "stream_daily_category_product": event_products,
         "stream_daily_address": _e(f"SELECT DISTINCT {_PLACE_KEYS}, TRUE AS pu_in_bound FROM e"),
-        "stream_late_rows": day_revenue,
+        "stream_late_rows": days,
         "stream_daily_final": _e(
-            "SELECT ts_date, round(sum(revenue), 2) AS daily_rev FROM e GROUP BY ts_date "
+            f"SELECT ts_date, {_SUMS}, TRUE AS pu_in_bound FROM e GROUP BY ts_date "
             "HAVING CAST(ts_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM e) - INTERVAL 1 DAY"
         ),
-        "stream_restart": day_revenue,
-        "stream_fanout": _e(
-            "SELECT 'daily_pu_rev' AS report, CAST(count(DISTINCT ts_date) AS BIGINT) AS n_keys, "
-            "CAST(count(DISTINCT ts_date) AS BIGINT) AS n_days, round(sum(revenue), 2) AS daily_rev FROM e "
-            "UNION ALL "
-            f"SELECT 'daily_category_product', CAST(count(DISTINCT ({_PRODUCT_KEYS})) AS BIGINT), "
-            "CAST(count(DISTINCT ts_date) AS BIGINT), round(sum(revenue), 2) FROM e "
-            "UNION ALL "
-            f"SELECT 'daily_address', CAST(count(DISTINCT ({_PLACE_KEYS})) AS BIGINT), "
-            "CAST(count(DISTINCT ts_date) AS BIGINT), NULL FROM e"
-        ),
+        "stream_restart": days,
+        "stream_fanout": _e(_stacked(
+            f"ts_date, {_SUMS}, TRUE AS pu_in_bound FROM e GROUP BY ts_date",
+            f"{products} FROM e GROUP BY ALL",
+            f"{_PLACE_KEYS}, TRUE AS pu_in_bound FROM e GROUP BY ALL",
+        )),
         "stream_quarantine": reasons,
-        "changelog_latest": day_revenue,
+        "changelog_latest": days,
         "changelog_compacted": event_products,
-        "replay_idempotent": day_revenue,
+        "replay_idempotent": days,
+        "sql_daily_records": _e(f"SELECT {_READABLE} FROM e WHERE {_REASON} = 'good'"),
+        "sql_quarantine": _e(
+            f"SELECT {_REASON} AS reason, CAST(count(*) AS BIGINT) AS n FROM e WHERE {_REASON} <> 'good' GROUP BY ALL"
+        ),
     }

@@ -7,6 +7,7 @@ the whole table. The resulting tables must equal the batch result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,12 +23,19 @@ from daytally.operators.reports import (
     Report,
     within_bound,
 )
-from daytally.plans.batch import damaged_messages, money, tidy
+from daytally.plans.batch import damaged_messages, kept_without_database, readable, stacked, tidy
 from daytally.session import new_folder
 from daytally.sources.files import append_topic_files, read_topic_files
-from daytally.sources.tables import event_messages, event_records
+from daytally.sources.tables import event_messages, event_records, to_messages
 from daytally.streaming import jobs
-from daytally.streaming.changelog import compact, read_changelog, read_report, to_report_types
+from daytally.streaming.changelog import (
+    compact,
+    create_tables,
+    fold_changelog,
+    read_changelog,
+    read_report,
+    to_report_types,
+)
 
 NOW = jobs.AVAILABLE_NOW
 
@@ -49,7 +57,7 @@ def replay(spark: SparkSession, messages: DataFrame, step: Step, parts: list[Col
     """Let each wave arrive as files, then run ``step`` on the feed so far."""
     feed = new_folder(spark, "feed")
     for number, part in enumerate(parts or waves()):
-        append_topic_files(messages.filter(part), feed)
+        append_topic_files(messages.filter(part), feed, f"wave-{number}")
         step(feed, number)
 
 
@@ -83,15 +91,17 @@ def _check_users(spark: SparkSession, sf_dir: str, report: Report, rows: DataFra
 
 
 def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message arrives twice, the second time in a later wave; each id is kept once."""
-    root = new_folder(spark, "stream")
-
-    def step(feed: str, _: int) -> None:
+    """Every message arrives twice, the second time, in a later wave, with other amounts;
+    each id is kept once, as last sent."""
+    root, feed = new_folder(spark, "stream"), new_folder(spark, "feed")
+    first = event_messages(spark, sf_dir)
+    changed = {"price": F.col("price") + 1, "quantity": F.col("quantity") + 1, "revenue": F.col("revenue") + 1}
+    second = to_messages(event_records(spark, sf_dir).withColumns(changed))
+    for number, messages in enumerate((first, second)):
+        append_topic_files(messages, feed, f"wave-{number}")
         jobs.finish([jobs.start_intake(read_topic_files(spark, feed), root, **NOW)])
-
-    replay(spark, event_messages(spark, sf_dir), step, [F.lit(True), F.lit(True)])
     rows = latest_records(jobs.read_raw(spark, root))
-    return rows.select("ts_id", "ts_date", F.col("revenue").cast("double").alias("revenue"))
+    return readable(rows)
 
 
 def stream_daily_pu_rev(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +123,7 @@ def stream_daily_address(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest days arrive first: records weeks behind the watermark still count."""
     root = _report_from_topic(spark, sf_dir, DAILY_PU_REV, waves()[::-1])
-    return tidy(_latest_of_changelog(spark, root, DAILY_PU_REV)).select("ts_date", "daily_rev")
+    return _check_users(spark, sf_dir, DAILY_PU_REV, tidy(_latest_of_changelog(spark, root, DAILY_PU_REV)))
 
 
 def stream_daily_final(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +135,7 @@ def stream_daily_final(spark: SparkSession, sf_dir: str) -> DataFrame:
         jobs.finish([jobs.start_final_days(records, root, **NOW)])
 
     replay(spark, event_messages(spark, sf_dir), step)
-    return tidy(spark.read.parquet(f"{root}/final_days").select("ts_date", "daily_rev"))
+    return _check_users(spark, sf_dir, DAILY_PU_REV, tidy(spark.read.parquet(f"{root}/final_days")))
 
 
 def _run_chain(spark: SparkSession, root: str, feed: str, reports: list[Report]) -> None:
@@ -140,25 +150,20 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "stream")
     step = lambda feed, _: _run_chain(spark, root, feed, [DAILY_PU_REV])
     replay(spark, event_messages(spark, sf_dir), step)
-    return tidy(read_report(spark, DAILY_PU_REV, f"{root}/{DAILY_PU_REV.name}")).select("ts_date", "daily_rev")
+    return _check_users(spark, sf_dir, DAILY_PU_REV, tidy(read_report(spark, DAILY_PU_REV, f"{root}/{DAILY_PU_REV.name}")))
 
 
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One decoded stream feeds three reports, run at the same time."""
+    """One decoded stream feeds three reports, run at the same time: all rows of all three."""
     root = new_folder(spark, "stream")
     reports = list(REPORTS.values())
     replay(spark, event_messages(spark, sf_dir), lambda feed, _: _run_chain(spark, root, feed, reports))
-    summaries = []
+    rows = {}
     for report in reports:
-        total = F.sum("daily_rev") if "daily_rev" in report.measure_names else F.lit(None).cast("double")
-        rows = read_report(spark, report, f"{root}/{report.name}")
-        counted = rows.agg(
-            F.count(F.lit(1)).alias("n_keys"),
-            F.count_distinct("ts_date").alias("n_days"),
-            F.round(total, 2).alias("daily_rev"),
-        )
-        summaries.append(counted.select(F.lit(report.name).alias("report"), "*"))
-    return summaries[0].unionByName(summaries[1]).unionByName(summaries[2])
+        found = tidy(read_report(spark, report, f"{root}/{report.name}"))
+        has_users = "daily_pu" in report.measure_names
+        rows[report.name] = _check_users(spark, sf_dir, report, found) if has_users else found
+    return stacked(rows)
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,16 +184,18 @@ def changelog_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = DAILY_PU_REV
     root = _report_from_topic(spark, sf_dir, report)
     jobs.finish([jobs.start_consumer(spark, report, root, **NOW)])
-    return tidy(read_report(spark, report, f"{root}/{report.name}")).select("ts_date", "daily_rev")
+    return _check_users(spark, sf_dir, report, tidy(read_report(spark, report, f"{root}/{report.name}")))
 
 
 def changelog_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A snapshot is made after each wave; readers take it and the versions after it."""
+    """After each wave the changelog is folded and a snapshot made; readers take them and
+    what came after."""
     report, root = DAILY_CATEGORY_PRODUCT, new_folder(spark, "stream")
 
     def step(feed: str, number: int) -> None:
         _run_chain(spark, root, feed, [report])
         if number < len(waves()) - 1:
+            fold_changelog(spark, report, f"{root}/{report.name}/changelog")
             compact(spark, report, f"{root}/{report.name}")
 
     replay(spark, event_messages(spark, sf_dir), step)
@@ -196,10 +203,40 @@ def changelog_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole changelog is consumed twice, the second time from its start."""
-    report = DAILY_PU_REV
-    root = _report_from_topic(spark, sf_dir, report)
-    for run in (0, 1):
-        jobs.finish([jobs.start_consumer(spark, report, root, run=run, **NOW)])
-    rows = read_report(spark, report, f"{root}/{report.name}")
-    return rows.select("ts_date", money("daily_rev"))
+    """Two waves are consumed by one run, then from the start by a higher one, and a
+    snapshot is made; the third wave comes by the lower run, which goes on."""
+    report, root = DAILY_PU_REV, new_folder(spark, "stream")
+
+    def step(feed: str, number: int) -> None:
+        records = jobs.records_of(read_topic_files(spark, feed))
+        jobs.finish([jobs.start_report(report, records, root, **NOW)])
+        jobs.finish([jobs.start_consumer(spark, report, root, run=0, **NOW)])
+        if number == 1:
+            jobs.finish([jobs.start_consumer(spark, report, root, run=1, **NOW)])
+            compact(spark, report, f"{root}/{report.name}")
+
+    replay(spark, event_messages(spark, sf_dir), step)
+    return _check_users(spark, sf_dir, report, tidy(read_report(spark, report, f"{root}/{report.name}")))
+
+
+def _sql_tables(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """What ad-hoc SQL finds after the damaged feed was taken in; the database goes again."""
+    root, database = new_folder(spark, "stream"), f"daily_report_{uuid.uuid4().hex}"
+
+    def step(feed: str, _: int) -> None:
+        jobs.finish([jobs.start_intake(read_topic_files(spark, feed), root, **NOW)])
+
+    replay(spark, damaged_messages(spark, sf_dir), step)
+    create_tables(spark, database, root, [])
+    found = spark.sql(sql.format(database=database))
+    return kept_without_database(found, database)
+
+
+def sql_daily_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table as SQL sees it: every field of every good record."""
+    return readable(_sql_tables(spark, sf_dir, "SELECT * FROM {database}.daily_records"))
+
+
+def sql_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bad messages as SQL sees them, by reason."""
+    return _sql_tables(spark, sf_dir, "SELECT reason, count(*) AS n FROM {database}.quarantine GROUP BY reason")

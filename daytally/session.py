@@ -9,9 +9,18 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+MARKER = "_SUCCESS"
+MARKER_SETTING = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: Report state grows with the number of keys and is never dropped, so it must not live
+#: on the heap.
+STATE_SETTINGS = {
+    STATE_STORE: ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 _local_roots: dict[str, str] = {}
 
 
@@ -22,8 +31,7 @@ def build_session(name: str = "daytally", **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        STATE_STORE: ROCKSDB,
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        **STATE_SETTINGS,
         "spark.ui.enabled": "false",
         **conf,
     }
@@ -33,16 +41,6 @@ def build_session(name: str = "daytally", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def configure_streaming(spark: SparkSession) -> SparkSession:
-    """Keep streaming state in RocksDB: report state grows with the number of keys
-    and is never dropped, so it must not live on the heap."""
-    spark.conf.set(STATE_STORE, ROCKSDB)
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
-    )
-    return spark
-
-
 @contextmanager
 def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
     """Session settings for the time of a block."""
@@ -100,14 +98,37 @@ def ensure_folder(spark: SparkSession, path: str) -> str:
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a batch write to ``path`` was committed."""
-    return folder_exists(spark, f"{path}/_SUCCESS")
+    return folder_exists(spark, f"{path}/{MARKER}")
 
 
-def newest_complete(spark: SparkSession, path: str, label: str) -> int | None:
-    """The highest n of the complete folders ``label=n`` under ``path``."""
+def require_markers(spark: SparkSession) -> None:
+    """Finished folders are told by Hadoop's marker; a cluster may have turned it off."""
+    if spark._jsc.hadoopConfiguration().get(MARKER_SETTING, "true").lower() != "true":
+        raise RuntimeError(f"set {MARKER_SETTING} to true: finished folders are told by it")
+
+
+def folder_numbers(spark: SparkSession, path: str, label: str) -> list[int]:
+    """The numbers n of the folders ``label=n`` under ``path``, highest first."""
     fs, hadoop_path = _path(spark, path)
     if not fs.exists(hadoop_path):
-        return None
+        return []
     names = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory()]
-    numbers = sorted((int(n.split("=")[1]) for n in names if n.startswith(f"{label}=")), reverse=True)
+    return sorted((int(n.split("=")[1]) for n in names if n.startswith(f"{label}=")), reverse=True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    fs, hadoop_path = _path(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory()]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _path(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def newest_complete(spark: SparkSession, path: str, label: str) -> int | None:
+    """The highest n of the complete folders ``label=n`` under ``path``."""
+    numbers = folder_numbers(spark, path, label)
     return next((n for n in numbers if is_complete(spark, f"{path}/{label}={n}")), None)

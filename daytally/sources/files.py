@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daytally.functions.envelope import message_fields
+from daytally.session import ensure_folder, folder_exists, is_complete
 
 MAX_BYTES_PER_TRIGGER = 64 * 1024**3
 
+OFFSET = "offset"
+KEY = "key"
+
+# A topic as files: what a message broker gives, as far as it is used here.
+TOPIC = T.StructType().add(KEY, T.StringType()).add("value", T.StringType()).add(OFFSET, T.LongType())
+
 
 def batch_limit(options: dict[str, str], max_bytes: int = MAX_BYTES_PER_TRIGGER) -> dict[str, str]:
     """Bound a micro-batch by size, so that a long backlog is worked off in steps."""
@@ -17,13 +24,35 @@ def batch_limit(options: dict[str, str], max_bytes: int = MAX_BYTES_PER_TRIGGER)
 
 
 def read_topic_files(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """A folder of text files, one message per line, as a stream with a ``value`` column."""
-    return spark.readStream.options(**batch_limit(options)).text(path)
+    """A topic folder as a stream of ``key``, ``value`` and ``offset``."""
+    reader = spark.readStream.schema(TOPIC).options(**batch_limit(options))
+    return reader.parquet(ensure_folder(spark, path)).select(*TOPIC.fieldNames())
+
 
+def topic_messages(spark: SparkSession, path: str) -> DataFrame:
+    """All messages of a topic folder, as a table."""
+    return spark.read.schema(TOPIC).parquet(path).select(*TOPIC.fieldNames())
 
-def append_topic_files(messages: DataFrame, path: str) -> None:
-    """Add messages to a topic folder, one per line."""
-    messages.select("value").write.mode("append").text(path)
+
+def append_topic_files(messages: DataFrame, path: str, send: str) -> None:
+    """Add messages to a topic folder, with their ``key`` if they have one.
+
+    ``send`` names this sending. One that is complete is left as it is, so a sender may
+    try again after a crash. Offsets go on from the highest one in the topic, whatever
+    any clock says; within a sending they follow the order of its rows. One sender at a
+    time may write to a topic folder.
+    """
+    spark, folder = messages.sparkSession, f"{path}/send={send}"
+    if is_complete(spark, folder):
+        return
+    first = 0
+    if folder_exists(spark, path):
+        sent = spark.read.schema(T.StructType([*TOPIC, T.StructField("send", T.StringType())])).parquet(path)
+        last = sent.filter(F.col("send") != send).agg(F.max(OFFSET)).first()[0]
+        first = 0 if last is None else last + 1
+    key = F.col(KEY).cast("string") if KEY in messages.columns else F.lit(None).cast("string")
+    offset = (F.lit(first) + F.monotonically_increasing_id()).alias(OFFSET)
+    messages.select(key.alias(KEY), F.col("value").cast("string").alias("value"), offset).write.mode("overwrite").parquet(folder)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

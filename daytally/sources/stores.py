@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
+from daytally.operators.latest import VERSION
 from daytally.operators.reports import Report
 
 
@@ -31,10 +34,26 @@ def stage_report(rows: DataFrame, url: str, staging: str, user: str, password: s
 
 
 def merge_sql(report: Report, target: str, staging: str) -> str:
-    """One set-based upsert for a whole micro-batch."""
-    columns = ", ".join(report.columns)
-    changed = ", ".join(f"{m} = EXCLUDED.{m}" for m in report.measure_names)
+    """One set-based upsert for a whole micro-batch. Rows carry their version, and a row
+    that comes late does not replace a newer one."""
+    columns = ", ".join([*report.columns, VERSION])
+    changed = ", ".join(f"{m} = EXCLUDED.{m}" for m in [*report.measure_names, VERSION])
     return (
         f"INSERT INTO {target} ({columns}) SELECT {columns} FROM {staging} "
-        f"ON CONFLICT ({', '.join(report.key_names)}) DO UPDATE SET {changed}"
+        f"ON CONFLICT ({', '.join(report.key_names)}) DO UPDATE SET {changed} "
+        f"WHERE {target}.{VERSION} < EXCLUDED.{VERSION}"
     )
+
+
+def upsert_sink(report: Report, url: str, table: str, user: str, password: str, run: Callable[[str], None]) -> Callable[[DataFrame], None]:
+    """A sink for ``start_consumer``: stage a micro-batch's rows, then ``run`` the merge.
+
+    ``run`` executes a statement in the database; Spark has no call for that.
+    """
+    staging = f"{table}_staging"
+
+    def write(rows: DataFrame) -> None:
+        stage_report(rows, url, staging, user, password)
+        run(merge_sql(report, table, staging))
+
+    return write

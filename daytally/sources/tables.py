@@ -170,7 +170,11 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(*[named[c].alias(c) for c in MESSAGE_FIELDS])
 
 
+def to_messages(records: DataFrame) -> DataFrame:
+    """One keyed JSON message per record, with its ``ts_date`` beside it to split the feed by."""
+    value = F.to_json(F.struct(*MESSAGE_FIELDS))
+    return records.select(F.col("ts_id").alias("key"), value.alias("value"), "ts_date")
+
+
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON message per event, with its ``ts_date`` beside it to split the feed by."""
-    records = event_records(spark, sf_dir)
-    return records.select(F.to_json(F.struct(*MESSAGE_FIELDS)).alias("value"), "ts_date")
+    return to_messages(event_records(spark, sf_dir))

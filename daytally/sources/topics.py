@@ -7,16 +7,19 @@ Spark's own distribution and has to be on the cluster's class path.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter
 
 
-def source_options(servers: str, topic: str, max_offsets: int | None = None) -> dict[str, str]:
-    """Read one topic from its start; go on if old messages are gone."""
+def source_options(
+    servers: str, topic: str, max_offsets: int | None = None, fail_on_data_loss: bool = False
+) -> dict[str, str]:
+    """Read one topic from its start. By default go on if old messages are gone, which the
+    broker's retention may do at any time; totals are then short. ``fail_on_data_loss``
+    ends the query instead."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
@@ -27,14 +30,13 @@ def sink_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic}
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None) -> DataFrame:
-    return spark.readStream.format("kafka").options(**source_options(servers, topic, max_offsets)).load()
+def read_topic(
+    spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None, fail_on_data_loss: bool = False
+) -> DataFrame:
+    options = source_options(servers, topic, max_offsets, fail_on_data_loss)
+    return spark.readStream.format("kafka").options(**options).load()
 
 
-def write_topic(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> DataStreamWriter:
-    """A writer for a stream of ``value`` (and optionally ``key``) columns."""
-    return (
-        messages.writeStream.format("kafka")
-        .options(**sink_options(servers, topic))
-        .option("checkpointLocation", checkpoint)
-    )
+def send_topic(messages: DataFrame, servers: str, topic: str) -> None:
+    """Send a table of ``value`` (and optionally ``key``) columns, once each at least."""
+    messages.write.format("kafka").options(**sink_options(servers, topic)).save()

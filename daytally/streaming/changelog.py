@@ -2,24 +2,42 @@
 
 Layout under a report's folder, given by the caller:
 
-    changelog/version=<v>/   JSON messages of one micro-batch of the report
-    changes/part=<p>/        the same rows, decoded to report types by a consumer
-    snapshots/upto=<p>/      one row per key of all parts up to p
+    changelog/version=<v>/     JSON messages of one micro-batch of the report, or a fold
+    changes/part=<p>/          the same rows, decoded to report types by a consumer
+    snapshots/<n>_<p>_<q>../   one row per key of all parts up to p of p's run, up to q of q's run
 
 A version is (run, batch number) of the report's stream; rows keep it all the way, so
 the order and number of deliveries do not matter to a reader.
+
+Folding keeps the number of folders small: old changelog versions become one, old parts
+a snapshot. What a fold or a snapshot replaces is removed when the next one is made, so
+a reader may take as long as the time between two of them. Folding is for one process at
+a time; writers and readers go on meanwhile.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daytally.functions.envelope import RAW, REASON, encode, inspect
-from daytally.operators.latest import VERSION, latest_rows, version_of
+from daytally.operators.latest import ARRIVED, OFFSET, VERSION, first_version, fold_of, latest_rows, run_of, version_of
 from daytally.operators.reports import Report
-from daytally.session import ensure_folder, is_complete, newest_complete, settings
+from daytally.schemas import RECORD_FIELDS
+from daytally.session import (
+    ensure_folder,
+    folder_exists,
+    folder_names,
+    folder_numbers,
+    is_complete,
+    newest_complete,
+    remove_folder,
+    require_markers,
+    settings,
+)
 from daytally.sources.files import batch_limit
 
 MESSAGE = T.StructType().add("value", T.StringType()).add(VERSION, T.LongType())
@@ -38,6 +56,7 @@ def _write_once(rows: DataFrame, path: str) -> None:
     query of its own, needs it.
     """
     spark = rows.sparkSession
+    require_markers(spark)
     if is_complete(spark, path):
         rows.write.format("noop").mode("overwrite").save()
         return
@@ -56,6 +75,28 @@ def write_changes(report: Report, typed: DataFrame, path: str, run: int, batch:
     _write_once(rows, f"{path}/{PART}={version_of(run, batch)}")
 
 
+def fold_changelog(spark: SparkSession, report: Report, path: str) -> int | None:
+    """Make the newest message of each key, of all complete versions so far, one version.
+
+    It stands for them: a consumer that has read some of them reads the same totals
+    again, one that has not finds them all. Returns the fold's version.
+    """
+    newest = newest_complete(spark, path, VERSION)
+    if newest is None or newest == fold_of(newest):
+        return newest
+    folds = [v for v in folder_numbers(spark, path, VERSION) if v == fold_of(v) and is_complete(spark, f"{path}/{VERSION}={v}")]
+    messages = read_changelog(spark, path).filter(F.col(VERSION) <= newest)
+    keyed = inspect(messages, report.message_schema, required=report.key_names, carry=[VERSION])
+    keys = [F.col(k) for k in report.key_names]
+    good = keyed.filter(F.col(REASON).isNull()).groupBy(*keys).agg(F.max_by(RAW, VERSION).alias("value")).select("value")
+    rejected = keyed.filter(F.col(REASON).isNotNull()).select(F.col(RAW).alias("value"))
+    _write_once(good.unionByName(rejected), f"{path}/{VERSION}={fold_of(newest)}")
+    for old in folder_numbers(spark, path, VERSION) if folds else []:
+        if old < folds[0]:
+            remove_folder(spark, f"{path}/{VERSION}={old}")
+    return fold_of(newest)
+
+
 def read_changelog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE).parquet(path)
 
@@ -63,8 +104,9 @@ def read_changelog(spark: SparkSession, path: str) -> DataFrame:
 def stream_changelog(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """The changelog as a stream of its own, for a second stage.
 
-    A file of an unfinished write may vanish; the write that replaces it has the same
-    version and rows, so missing files are passed over.
+    A file of an unfinished write may vanish, and one that a fold replaces; the write
+    that replaces it has the same rows or newer totals of the same keys and is read as
+    well, so missing files are passed over and nothing is lost.
     """
     reader = spark.readStream.schema(MESSAGE).option("ignoreMissingFiles", "true")
     return reader.options(**batch_limit(options)).parquet(ensure_folder(spark, path))
@@ -101,19 +143,76 @@ def changes_schema(report: Report) -> T.StructType:
     return T.StructType(list(report.schema) + [T.StructField(VERSION, T.LongType())])
 
 
-def read_changes(spark: SparkSession, report: Report, root: str) -> DataFrame:
-    """All rows a reader must look at: the newest snapshot and the parts after it.
+def changelog_from_topic(messages: DataFrame) -> DataFrame:
+    """Changelog messages of a broker's topic; each holds its version among its fields."""
+    value = F.col("value").cast("string")
+    return messages.select(value.alias("value"), F.get_json_object(value, f"$.{VERSION}").cast("long").alias(VERSION))
 
-    Parts that are in the snapshot are passed over by their folder names, unopened.
-    """
+
+def messages_for_topic(report: Report, rows: DataFrame, run: int, batch: int) -> DataFrame:
+    """A micro-batch as keyed messages that hold their version."""
+    version = F.lit(version_of(run, batch)).alias(VERSION)
+    key = F.to_json(F.struct(*report.key_names))
+    return rows.select(key.alias("key"), F.to_json(F.struct(*report.columns, version)).alias("value"))
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """``parts``: of each run that it holds, the last part."""
+
+    path: str
+    number: int
+    parts: tuple[int, ...]
+
+    def holds(self) -> Column:
+        """Whether a part is in the snapshot; told by folder names, unopened."""
+        held = F.lit(False)
+        for part in self.parts:
+            held = held | F.col(PART).between(first_version(run_of(part)), part)
+        return held
+
+
+def _snapshots(spark: SparkSession, root: str) -> list[Snapshot]:
+    """The complete snapshots, newest first."""
+    found = []
+    for name in folder_names(spark, f"{root}/snapshots"):
+        path = f"{root}/snapshots/{name}"
+        if name.replace("_", "").isdigit() and is_complete(spark, path):
+            number, *parts = map(int, name.split("_"))
+            found.append(Snapshot(path, number, tuple(parts)))
+    return sorted(found, key=lambda s: s.number, reverse=True)
+
+
+def newest_snapshot(spark: SparkSession, root: str) -> Snapshot | None:
+    return next(iter(_snapshots(spark, root)), None)
+
+
+def _newest_parts(spark: SparkSession, root: str) -> dict[int, int]:
+    """The last complete part of each run."""
+    newest: dict[int, int] = {}
+    for part in folder_numbers(spark, f"{root}/changes", PART):
+        if run_of(part) not in newest and is_complete(spark, f"{root}/changes/{PART}={part}"):
+            newest[run_of(part)] = part
+    return newest
+
+
+def newest_part(spark: SparkSession, root: str) -> int | None:
+    """The highest part that was ever complete, folded ones included."""
+    snapshot = newest_snapshot(spark, root)
+    return max([*_newest_parts(spark, root).values(), *(snapshot.parts if snapshot else ())], default=None)
+
+
+def read_changes(spark: SparkSession, report: Report, root: str) -> DataFrame:
+    """All rows a reader must look at: the newest snapshot, and of each run the parts
+    after those in it, whenever they were written."""
     columns = [*report.columns, VERSION]
     schema = changes_schema(report)
-    changes = spark.read.schema(changes_schema(report).add(PART, T.LongType())).parquet(f"{root}/changes")
-    upto = newest_snapshot(spark, root)
-    if upto is None:
+    changes = spark.read.schema(changes_schema(report).add(PART, T.LongType())).parquet(ensure_folder(spark, f"{root}/changes"))
+    snapshot = newest_snapshot(spark, root)
+    if snapshot is None:
         return changes.select(columns)
-    snapshot = spark.read.schema(schema).parquet(snapshot_path(root, upto))
-    return snapshot.select(columns).unionByName(changes.filter(F.col(PART) > upto).select(columns))
+    folded = spark.read.schema(schema).parquet(snapshot.path)
+    return folded.select(columns).unionByName(changes.filter(~snapshot.holds()).select(columns))
 
 
 def read_report(spark: SparkSession, report: Report, root: str) -> DataFrame:
@@ -121,41 +220,55 @@ def read_report(spark: SparkSession, report: Report, root: str) -> DataFrame:
     return latest_rows(report, read_changes(spark, report, root))
 
 
-def snapshot_path(root: str, upto: int) -> str:
-    return f"{root}/snapshots/upto={upto}"
-
+def compact(spark: SparkSession, report: Report, root: str) -> Snapshot | None:
+    """Fold all complete parts into a new snapshot and return it.
 
-def newest_snapshot(spark: SparkSession, root: str) -> int | None:
-    return newest_complete(spark, f"{root}/snapshots", "upto")
-
-
-def compact(spark: SparkSession, report: Report, root: str) -> int | None:
-    """Fold all complete parts into a new snapshot and return the last of them.
-
-    A consumer may go on meanwhile: its later parts are read beside the snapshot.
-    Nothing is overwritten; readers change over when the new folder is complete. Files
-    are ranged by the whole key, so a day with very many keys is spread over several
-    of them, and a filter on the day skips the others.
+    A consumer may go on meanwhile: its later parts are read beside the snapshot, those
+    of a lower run as well as those of a higher one. Files are ranged by the whole key,
+    so a day with very many keys is spread over several of them, and a filter on the day
+    skips the others. Parts in the snapshot before, and older snapshots, are removed.
     """
-    upto = newest_complete(spark, f"{root}/changes", PART)
-    if upto is None or upto == newest_snapshot(spark, root):
-        return upto
+    before = _snapshots(spark, root)
+    parts = {run_of(p): p for p in (before[0].parts if before else ())}
+    parts |= {run: max(part, parts.get(run, part)) for run, part in _newest_parts(spark, root).items()}
+    if not parts or (before and set(before[0].parts) == set(parts.values())):
+        return before[0] if before else None
+    number = before[0].number + 1 if before else 0
+    path = "_".join(map(str, [f"{root}/snapshots/{number}", *sorted(parts.values())]))
+    covered = F.lit(False)
+    for run, part in parts.items():
+        covered = covered | F.col(PART).between(first_version(run), part)
+    schema = changes_schema(report).add(PART, T.LongType())
+    changes = spark.read.schema(schema).parquet(ensure_folder(spark, f"{root}/changes")).filter(covered)
+    columns = [*report.columns, VERSION]
+    if before:
+        folded = spark.read.schema(changes_schema(report)).parquet(before[0].path).select(columns)
+        changes = folded.unionByName(changes.filter(~before[0].holds()).select(columns))
     (
-        latest_rows(report, read_changes(spark, report, root), keep_version=True)
+        latest_rows(report, changes.select(columns), keep_version=True)
         .repartitionByRange(*report.key_names)
         .sortWithinPartitions(*report.key_names)
         .write.mode("overwrite")
-        .parquet(snapshot_path(root, upto))
+        .parquet(path)
     )
-    return upto
+    if before:
+        last = {run_of(p): p for p in before[0].parts}
+        for part in folder_numbers(spark, f"{root}/changes", PART):
+            if part <= last.get(run_of(part), -1):
+                remove_folder(spark, f"{root}/changes/{PART}={part}")
+        for old in before[1:]:
+            remove_folder(spark, old.path)
+    return Snapshot(path, number, tuple(sorted(parts.values())))
 
 
 def create_tables(spark: SparkSession, database: str, root: str, reports: list[Report]) -> None:
-    """Declare the report tables from their schemas, if absent, and a view on each.
+    """Declare the report tables from their schemas, if absent, and views on them.
 
     ``<report>_changes`` is the append-only table under ``root/<report>``, ``<report>``
-    the keyed view that ad-hoc SQL reads. A filter on a key passes through to the
-    files. Call it again to see newly added parts, or to start from a new snapshot.
+    the keyed view that ad-hoc SQL reads, ``<report>_text`` the same as text, the form of
+    a keyed store. Once there is an intake, ``daily_records`` holds one row per record id
+    and ``quarantine`` the bad messages. A filter on a key passes through to the files.
+    Call it again to see newly added parts, or to start from a new snapshot.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/{database}'")
     for report in reports:
@@ -165,13 +278,13 @@ def create_tables(spark: SparkSession, database: str, root: str, reports: list[R
             f"CREATE TABLE IF NOT EXISTS {table}_changes ({fields}) USING parquet "
             f"PARTITIONED BY ({PART}) LOCATION '{ensure_folder(spark, folder + '/changes')}'"
         )
-        spark.sql(f"MSCK REPAIR TABLE {table}_changes")
+        spark.sql(f"MSCK REPAIR TABLE {table}_changes SYNC PARTITIONS")
         columns = ", ".join([*report.columns, VERSION])
         source = f"SELECT {columns} FROM {table}_changes"
-        upto = newest_snapshot(spark, folder)
-        if upto is not None:
-            snapshot = f"SELECT {columns} FROM parquet.`{snapshot_path(folder, upto)}`"
-            source = f"{snapshot} UNION ALL {source} WHERE {PART} > {upto}"
+        snapshot = newest_snapshot(spark, folder)
+        if snapshot is not None:
+            held = " OR ".join(f"{PART} BETWEEN {first_version(run_of(p))} AND {p}" for p in snapshot.parts)
+            source = f"SELECT {columns} FROM parquet.`{snapshot.path}` UNION ALL {source} WHERE NOT ({held})"
         keys = ", ".join(report.key_names)
         newest = f"max(struct({VERSION}, {', '.join(report.measure_names)}))"
         picked = ", ".join(
@@ -179,3 +292,17 @@ def create_tables(spark: SparkSession, database: str, root: str, reports: list[R
             for m in report.measure_names
         )
         spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {keys}, {picked} FROM ({source}) GROUP BY {keys}")
+        text = ", ".join(f"CAST({c} AS STRING) AS {c}" for c in report.columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {table}_text AS SELECT {text} FROM {table}")
+    if folder_exists(spark, f"{root}/intake/_spark_metadata"):
+        source, others = f"parquet.`{root}/intake`", [c for c in RECORD_FIELDS if c != "ts_id"]
+        newest = f"max(struct({OFFSET}, {ARRIVED}, {', '.join(others)}))"
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {database}.daily_records AS SELECT ts_id, "
+            f"{', '.join(f'newest.{c}' for c in others)} FROM "
+            f"(SELECT ts_id, {newest} AS newest FROM {source} WHERE {REASON} = 'good' GROUP BY ts_id)"
+        )
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {database}.quarantine AS "
+            f"SELECT {REASON}, {RAW}, {ARRIVED} FROM {source} WHERE {REASON} <> 'good'"
+        )

@@ -7,7 +7,7 @@ means as soon as possible.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +16,30 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from daytally.functions.envelope import RAW, REASON, bad, good, inspect
-from daytally.operators.latest import ARRIVED, VERSION, first_version
+from daytally.operators.latest import ARRIVED, OFFSET, VERSION, first_version, latest_rows
 from daytally.operators.reports import RSD, Report
 from daytally.schemas import RECORD, RECORD_FIELDS, nullable
-from daytally.session import configure_streaming, ensure_folder, folder_exists, newest_complete, settings
+from daytally.session import STATE_SETTINGS, ensure_folder, folder_exists, newest_complete, settings
 from daytally.sources.files import batch_limit
-from daytally.streaming.changelog import PART, stream_changelog, to_report_types, write_changes, write_version
+from daytally.streaming.changelog import (
+    compact,
+    fold_changelog,
+    messages_for_topic,
+    newest_part,
+    stream_changelog,
+    to_report_types,
+    write_changes,
+    write_version,
+)
 
 WATERMARK = "1 minute"
 
+# Micro-batches between two folds of the folders they leave.
+FOLD_EVERY = 64
+
+# Tasks, and files, that a day of an intake micro-batch is spread over.
+FILES_PER_DAY = 8
+
 # Where the intake table keeps records without fault.
 GOOD = "good"
 AVAILABLE_NOW = {"availableNow": True}
@@ -65,27 +80,29 @@ def records_of(messages: DataFrame) -> DataFrame:
 
 
 def start_intake(
-    messages: DataFrame, root: str, files_per_day: int | None = None, **trigger: Any
+    messages: DataFrame, root: str, files_per_day: int = FILES_PER_DAY, **trigger: Any
 ) -> StreamingQuery:
     """Decode messages once and append them all to the intake table.
 
     Its folders keep good records, by day, apart from bad messages, by reason; only the
-    latter keep their text. Spark logs a micro-batch's time with its offsets, so a
-    batch that runs again stamps the same arrival. ``files_per_day`` shuffles each batch
-    to at most that many files a day; use it for a backlog of many days.
+    latter keep their text. Each row keeps its place in the topic. Spark logs a
+    micro-batch's time with its offsets, so a batch that runs again stamps the same
+    arrival. Each batch is shuffled to at most ``files_per_day`` files a day, so a
+    backlog of many days does not leave a file for each task and day.
     """
-    judged = inspect(messages)
+    place = F.col(OFFSET).cast("long") if OFFSET in messages.columns else F.lit(None).cast("long")
+    judged = inspect(messages.withColumn(OFFSET, place), carry=[OFFSET])
     is_good = F.col(REASON).isNull()
     rows = judged.select(
         *[c for c in RECORD_FIELDS if c != "ts_date"],
         F.when(~is_good, F.col(RAW)).alias(RAW),
+        OFFSET,
         F.current_timestamp().alias(ARRIVED),
         F.coalesce(REASON, F.lit(GOOD)).alias(REASON),
         F.when(is_good, F.col("ts_date")).alias("ts_date"),
     )
-    if files_per_day:
-        part = F.pmod(F.xxhash64("ts_id", RAW), F.lit(files_per_day))
-        rows = rows.repartition(F.col(REASON), F.col("ts_date"), part)
+    part = F.pmod(F.xxhash64("ts_id", RAW), F.lit(files_per_day))
+    rows = rows.repartition(F.col(REASON), F.col("ts_date"), part)
     writer = _append_files(rows, f"{root}/intake", checkpoint(root, "intake"))
     return _start(writer.partitionBy(REASON, "ts_date"), trigger)
 
@@ -94,14 +111,14 @@ def intake_schema() -> T.StructType:
     """Folder columns come last, as Spark puts them: a stream may start on an empty folder
     and cannot tell them from the others before the first file is there."""
     fields = [f for f in nullable(RECORD) if f.name != "ts_date"]
-    kept = T.StructType(fields).add(RAW, "string").add(ARRIVED, "timestamp")
+    kept = T.StructType(fields).add(RAW, "string").add(OFFSET, "long").add(ARRIVED, "timestamp")
     return kept.add(REASON, "string").add("ts_date", "date")
 
 
 def read_raw(spark: SparkSession, root: str) -> DataFrame:
-    """All good records with their arrival, resent ones included."""
+    """All good records with their place and arrival, resent ones included."""
     rows = spark.read.schema(intake_schema()).parquet(f"{root}/intake")
-    return rows.filter(F.col(REASON) == GOOD).select(*RECORD_FIELDS, ARRIVED)
+    return rows.filter(F.col(REASON) == GOOD).select(*RECORD_FIELDS, OFFSET, ARRIVED)
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
@@ -118,20 +135,33 @@ def stream_raw(spark: SparkSession, root: str, **options: str) -> DataFrame:
 
 
 def start_report(
-    report: Report, records: DataFrame, root: str, run: int = 0, **trigger: Any
+    report: Report,
+    records: DataFrame,
+    root: str,
+    run: int = 0,
+    send: Callable[[DataFrame], None] | None = None,
+    fold_every: int = FOLD_EVERY,
+    **trigger: Any,
 ) -> StreamingQuery:
     """Keep a report's totals and write each change of them to its changelog.
 
     ``run`` numbers fresh starts. Batch numbers begin at 0 again with a new
-    checkpoint, so a run must have a higher number than the one before it.
+    checkpoint, so a run must have a higher number than the one before it. ``send``
+    gets each batch as keyed messages too, for a topic. The changelog is folded after
+    every ``fold_every`` batches.
     """
-    spark = configure_streaming(records.sparkSession)
+    spark = records.sparkSession
     name = f"report-{report.name}"
     path = f"{root}/{report.name}/changelog"
-    _refuse_old_run(spark, checkpoint(root, name), path, VERSION, run)
+    if not folder_exists(spark, f"{checkpoint(root, name)}/offsets"):
+        _refuse_old_run(path, newest_complete(spark, path, VERSION), run)
 
     def write(rows: DataFrame, batch: int) -> None:
         write_version(rows, path, run, batch)
+        if send is not None:
+            send(messages_for_topic(report, rows, run, batch))
+        if batch % fold_every == fold_every - 1:
+            fold_changelog(rows.sparkSession, report, path)
 
     writer = (
         report.aggregate(records.select(*dict.fromkeys([*report.inputs, "ts"])))
@@ -141,34 +171,46 @@ def start_report(
     )
     # The watermark closes nothing here, so a batch without data, run only because it
     # moved, would do nothing but cost a commit of all state partitions.
-    with settings(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+    with settings(spark, {**STATE_SETTINGS, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
         return _start(writer, trigger)
 
 
-def _refuse_old_run(spark: SparkSession, checkpoint_path: str, path: str, label: str, run: int) -> None:
+def _refuse_old_run(path: str, newest: int | None, run: int) -> None:
     """With a new checkpoint, batches of a run already written would be taken for repeats."""
-    if folder_exists(spark, f"{checkpoint_path}/offsets"):
-        return
-    newest = newest_complete(spark, path, label)
     if newest is not None and newest >= first_version(run):
         raise ValueError(f"{path} has batches of run {run} or later: give a fresh start a higher run")
 
 
 def start_consumer(
-    spark: SparkSession, report: Report, root: str, run: int = 0, **trigger: Any
+    spark: SparkSession,
+    report: Report,
+    root: str,
+    run: int = 0,
+    messages: DataFrame | None = None,
+    sink: Callable[[DataFrame], None] | None = None,
+    fold_every: int = FOLD_EVERY,
+    **trigger: Any,
 ) -> StreamingQuery:
     """Second stage: read the report's changelog and upsert its typed table.
 
     Spark's checkpoint keeps the place in the changelog; a new ``run`` has a checkpoint
     of its own and reads all of it again. Rows keep their version, so reading a
-    message twice, or late, does not change the keyed table.
+    message twice, or late, does not change the keyed table. ``messages`` is a changelog
+    from elsewhere, such as a topic; ``sink`` gets the newest row of each key and batch
+    as well, with its version. The table is compacted after every ``fold_every`` batches.
     """
-    typed = to_report_types(report, stream_changelog(spark, f"{root}/{report.name}/changelog"))
+    source = stream_changelog(spark, f"{root}/{report.name}/changelog") if messages is None else messages
+    typed = to_report_types(report, source)
     path, progress = f"{root}/{report.name}/changes", checkpoint(root, f"table-{report.name}-{run}")
-    _refuse_old_run(spark, progress, path, PART, run)
+    if not folder_exists(spark, f"{progress}/offsets"):
+        _refuse_old_run(path, newest_part(spark, f"{root}/{report.name}"), run)
 
     def write(rows: DataFrame, batch: int) -> None:
         write_changes(report, rows, path, run, batch)
+        if sink is not None:
+            sink(latest_rows(report, rows, keep_version=True))
+        if batch % fold_every == fold_every - 1:
+            compact(rows.sparkSession, report, f"{root}/{report.name}")
 
     writer = (
         typed.filter(F.col(REASON).isNull())
@@ -180,9 +222,12 @@ def start_consumer(
     return _start(writer, trigger)
 
 
-def start_rejects(spark: SparkSession, report: Report, root: str, **trigger: Any) -> StreamingQuery:
+def start_rejects(
+    spark: SparkSession, report: Report, root: str, messages: DataFrame | None = None, **trigger: Any
+) -> StreamingQuery:
     """Keep the changelog messages that do not fit the report's types."""
-    typed = to_report_types(report, stream_changelog(spark, f"{root}/{report.name}/changelog"))
+    source = stream_changelog(spark, f"{root}/{report.name}/changelog") if messages is None else messages
+    typed = to_report_types(report, source)
     path = f"{root}/{report.name}/rejects"
     return _start(_append_files(bad(typed), path, checkpoint(root, f"rejects-{report.name}")), trigger)
 
@@ -193,7 +238,6 @@ def start_final_days(records: DataFrame, root: str, delay: str = "1 day", **trig
     ``records`` must have no watermark yet. Rows of a day already closed are dropped,
     so the delay must cover the disorder of the feed: a day at least.
     """
-    spark = configure_streaming(records.sparkSession)
     days = (
         records.select("ts", "customer_id", "revenue", "profit")
         .withWatermark("ts", delay)
@@ -205,7 +249,8 @@ def start_final_days(records: DataFrame, root: str, delay: str = "1 day", **trig
         )
         .select(F.to_date("day.start").alias("ts_date"), "daily_pu", "daily_rev", "daily_profit")
     )
-    return _start(_append_files(days, f"{root}/final_days", checkpoint(root, "final-days")), trigger)
+    with settings(records.sparkSession, STATE_SETTINGS):
+        return _start(_append_files(days, f"{root}/final_days", checkpoint(root, "final-days")), trigger)
 
 
 def finish(queries: Sequence[StreamingQuery]) -> None:

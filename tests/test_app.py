@@ -8,7 +8,7 @@ from daytally.operators.places import geocode
 from daytally.operators.reports import DAILY_PU_REV
 from daytally.plans.registry import queries
 from daytally.schemas import SAMPLE_CSV
-from daytally.sources.files import read_topic_files
+from daytally.sources.files import read_topic_files, topic_messages
 from daytally.streaming import jobs
 
 
@@ -48,7 +48,7 @@ def total(spark, root):
 
 
 def test_reports_equal_the_messages(spark, deployment):
-    records = good(inspect(spark.read.text(f"{deployment}/topic")))
+    records = good(inspect(topic_messages(spark, f"{deployment}/topic")))
     want = records.filter("ts_date = '2023-12-01'").agg(F.sum("revenue")).first()[0]
     assert want > 0
     assert total(spark, deployment) == pytest.approx(want)
@@ -58,27 +58,56 @@ def test_reports_equal_the_messages(spark, deployment):
     assert days == records.select("ts_date").distinct().count()
 
 
+def test_a_sending_is_tried_again_safely_and_keeps_keys(spark, deployment):
+    before = topic_messages(spark, f"{deployment}/topic")
+    n = before.count()
+    app.generate(spark, f"{deployment}/sample", f"{deployment}/places", f"{deployment}/topic", f"{deployment}/export", 2, 30)
+    after = topic_messages(spark, f"{deployment}/topic")
+    assert after.count() == n == after.select("offset").distinct().count()
+    assert after.filter("key IS NULL OR key <> get_json_object(value, '$.ts_id')").isEmpty()
+
+
+def test_final_days_by_command(spark, deployment, root):
+    app.final(spark, f"{deployment}/topic", root, None, "1 day", once=True)
+    assert spark.read.parquet(f"{root}/final_days").count() > 0
+    assert parse(["final", "--topic", "t", "--root", "r"]).delay == "1 day"
+
+
+def test_raw_records_by_sql(spark, deployment):
+    n = app.query(spark, f"{deployment}/out", "SELECT count(*) FROM daily_report.daily_records").first()[0]
+    assert n == jobs.read_raw(spark, f"{deployment}/out").select("ts_id").distinct().count() > 0
+
+
+def test_settings_come_back(spark, sf_dir):
+    keys = ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass")
+    before = [spark.conf.get(k, None) for k in keys]
+    databases = {r[0] for r in spark.sql("SHOW DATABASES").collect()}
+    queries()["typed_reports"](spark, sf_dir).count()
+    assert [spark.conf.get(k, None) for k in keys] == before
+    assert {r[0] for r in spark.sql("SHOW DATABASES").collect()} == databases
+
+
 def test_a_second_run_adds_to_the_topic_and_replaces_the_export(spark, deployment):
-    messages = spark.read.text(f"{deployment}/topic").count()
+    messages = topic_messages(spark, f"{deployment}/topic").count()
     exported = spark.read.parquet(f"{deployment}/export").count()
     assert exported < messages
     assert jobs.read_raw(spark, f"{deployment}/out").count() == messages
 
 
 def test_records_of_unknown_places_are_not_sent(spark, deployment):
-    records = good(inspect(spark.read.text(f"{deployment}/topic")))
+    records = good(inspect(topic_messages(spark, f"{deployment}/topic")))
     assert {r.city for r in records.select("city").distinct().collect()} == {"city 0", "city 1", "city 2"}
 
 
-@pytest.mark.parametrize("limit", [64 * 1024 * 1024, 0])
-def test_a_stream_can_be_geocoded(spark, deployment, root, limit):
-    """The lookup is a static table; it works on a stream with and without broadcast."""
+def test_a_stream_can_be_geocoded(spark, deployment, root):
+    """The lookup is a static table; on a stream its keys are salted."""
     places = spark.read.option("header", True).csv(f"{deployment}/places").filter("city <> 'city 1'")
 
     def located(messages):
-        return geocode(good(inspect(messages)).drop("latitude", "longitude"), places, broadcast_limit=limit)
+        return geocode(good(inspect(messages)).drop("latitude", "longitude"), places)
 
     rows = located(read_topic_files(spark, f"{deployment}/topic")).select("ts_id", "latitude", "longitude")
+    assert "_salt" in rows._jdf.queryExecution().analyzed().toString()
     query = (
         rows.writeStream.format("parquet")
         .option("path", f"{root}/out")
@@ -87,7 +116,7 @@ def test_a_stream_can_be_geocoded(spark, deployment, root, limit):
         .start()
     )
     jobs.finish([query])
-    want = located(spark.read.text(f"{deployment}/topic")).select("ts_id", "latitude", "longitude")
+    want = located(topic_messages(spark, f"{deployment}/topic")).select("ts_id", "latitude", "longitude")
     got = spark.read.parquet(f"{root}/out")
     assert got.count() > 0
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -9,7 +9,7 @@ from daytally.operators.dimensions import (
     product_dim,
 )
 from daytally.operators.latest import latest_by, latest_records, latest_rows, version_of
-from daytally.operators.places import SALTS, geocode, measured_bytes
+from daytally.operators.places import geocode
 from daytally.operators.reports import (
     DAILY_ADDRESS,
     DAILY_CATEGORY_PRODUCT,
@@ -139,9 +139,9 @@ def test_latest_by_breaks_ties_by_value(spark):
 
 def test_latest_records_filter_prunes_by_day(spark, root):
     rows = spark.sql(
-        "SELECT 'a' AS ts_id, DATE'2023-12-01' AS ts_date, 1.0 AS revenue, TIMESTAMP'2024-01-01' AS arrived_at "
-        "UNION ALL SELECT 'a', DATE'2023-12-01', 2.0, TIMESTAMP'2024-01-02' "
-        "UNION ALL SELECT 'b', DATE'2023-12-02', 3.0, TIMESTAMP'2024-01-01'"
+        "SELECT 'a' AS ts_id, DATE'2023-12-01' AS ts_date, 1.0 AS revenue, 1L AS offset, TIMESTAMP'2024-01-02' AS arrived_at "
+        "UNION ALL SELECT 'a', DATE'2023-12-01', 2.0, 2L, TIMESTAMP'2024-01-01' "
+        "UNION ALL SELECT 'b', DATE'2023-12-02', 3.0, 3L, TIMESTAMP'2024-01-01'"
     )
     rows.write.partitionBy("ts_date").parquet(f"{root}/raw")
     raw = spark.read.parquet(f"{root}/raw")
@@ -220,19 +220,6 @@ def test_geocode_drops_unknown_places(spark):
     assert rows.filter("city = 'hot'").select("latitude", "longitude").distinct().collect() == [(7.0, 8.0)]
 
 
-def test_geocode_same_beyond_the_broadcast_limit(spark):
-    small = geocode(facts(spark), gazetteer(spark))
-    large = geocode(facts(spark), gazetteer(spark), broadcast_limit=0)
-    assert bag(small) == bag(large)
-
-
-def test_hot_city_is_split_beyond_the_broadcast_limit(spark):
-    salt = F.pmod(F.xxhash64("ts_id"), F.lit(SALTS))
-    sizes = [r["count"] for r in facts(spark).filter("city = 'hot'").groupBy(salt).count().collect()]
-    assert len(sizes) == SALTS
-    assert max(sizes) < 2 * 3000 / SALTS
-
-
 def test_place_with_two_locations_does_not_multiply_records(spark):
     twice = gazetteer(spark).unionAll(spark.sql("SELECT 'US', 'hot', 1.0D, 9.0D"))
     rows = geocode(facts(spark), twice)
@@ -240,13 +227,6 @@ def test_place_with_two_locations_does_not_multiply_records(spark):
     assert rows.filter("city = 'hot'").select("latitude", "longitude").distinct().collect() == [(1.0, 9.0)]
 
 
-def test_measured_bytes_grows_with_text(spark):
-    short = spark.range(100).selectExpr("repeat('x', 10) AS t")
-    long = spark.range(100).selectExpr("repeat('x', 10000) AS t")
-    assert measured_bytes(short) < 10_000 < 1_000_000 <= measured_bytes(long)
-    assert measured_bytes(short.limit(0)) == 0
-
-
 # Generator
 
 

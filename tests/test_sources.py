@@ -122,6 +122,10 @@ def test_topic_source_options():
     assert topics.sink_options("host:1", "daily_address") == {"kafka.bootstrap.servers": "host:1", "topic": "daily_address"}
 
 
+def test_topic_source_may_fail_on_lost_messages():
+    assert topics.source_options("host:1", "t", fail_on_data_loss=True)["failOnDataLoss"] == "true"
+
+
 def test_topic_source_without_the_connector_fails_at_once(spark):
     with pytest.raises(PySparkException):
         topics.read_topic(spark, "host:1", "daily_records")
@@ -134,9 +138,10 @@ def test_store_options_and_upsert():
     }
     assert stores.jdbc_options("jdbc:x", "t", "u", "p")["dbtable"] == "t"
     assert stores.merge_sql(DAILY_ADDRESS, "r.daily_address", "r.new") == (
-        "INSERT INTO r.daily_address (ts_date, latitude, longitude, daily_pu) "
-        "SELECT ts_date, latitude, longitude, daily_pu FROM r.new "
-        "ON CONFLICT (ts_date, latitude, longitude) DO UPDATE SET daily_pu = EXCLUDED.daily_pu"
+        "INSERT INTO r.daily_address (ts_date, latitude, longitude, daily_pu, version) "
+        "SELECT ts_date, latitude, longitude, daily_pu, version FROM r.new "
+        "ON CONFLICT (ts_date, latitude, longitude) DO UPDATE SET daily_pu = EXCLUDED.daily_pu, version = EXCLUDED.version "
+        "WHERE r.daily_address.version < EXCLUDED.version"
     )
 
 
