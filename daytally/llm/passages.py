@@ -98,7 +98,7 @@ def _paragraphs(column: pa.Array) -> Iterator[tuple]:
             continue
         text, place = np.concatenate(texts), np.concatenate(places)
         own = shingles[place[:, None] + np.arange(WINDOW - WORDS + 1)]
-        bands = np.stack([mix((own * _ODD[2 + i]).min(axis=1) + np.uint64(i)) for i in range(BANDS)])
+        bands = np.stack([_least(own * _ODD[2 + i], i) for i in range(BANDS)])
         close = (own * _ODD[5]).min(axis=1)
         whole = reduce(lambda x, y: x * _ODD[0] + y, [own[:, j] for j in range(0, WINDOW - WORDS + 1, WORDS)])
         # similar paragraphs often have the upper bits in common, so that sorting brings them together
@@ -106,6 +106,13 @@ def _paragraphs(column: pa.Array) -> Iterator[tuple]:
         yield first, text, place, kind, bands, own, hashes, bounds
 
 
+def _least(own: np.ndarray, band: int) -> np.ndarray:
+    """The least value of each row and its place in it. With the place, paragraphs of one
+    text that overlap do not collide for the words they have in common."""
+    at = own.argmin(axis=1)
+    return mix(own[np.arange(len(own)), at] + np.uint64(band) + at.astype(np.uint64) * _ODD[0])
+
+
 def _column(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x)
 
