@@ -1,9 +1,9 @@
 """Sets of word n-grams, joined by exact Jaccard similarity, as components.
 
 Only the rarest members of a set are indexed, enough that two similar sets share one
-(prefix filter). An index list is walked in blocks: pairs whose sizes cannot fit, and for
-long lists pairs whose positions leave too few members, are skipped unread. Sets that are
-equal are one set. Relations between sets spare the rest: first each set is compared with
+(prefix filter). A long index list is read in blocks ordered by size; pairs of blocks whose
+sizes cannot fit, or that are in one component already, are skipped unread. Sets that are
+equal are one set. A pair is compared only if the indexed members it shares leave enough. Relations between sets spare the rest: first each set is compared with
 the candidate it shares most with; what is linked then has its answer, its component, from
 there, and only candidates that still are in different components are compared.
 
@@ -15,22 +15,22 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daytally.llm.common import maybe_in, written
 from daytally.llm.components import components
 from daytally.llm.words import distinct_sorted, hashed_words, mix, shingles
 
-#: Members of a block of texts that are counted together, and how often one must occur
-#: in a block to be counted.
-COUNT_BLOCK = 1 << 21
-COUNT_FROM = 4
-#: Counts kept for the order of members: the largest ones, 2 MB.
-COUNTS = 1 << 17
+#: Counts kept for the order of members: the largest ones, 4 MB.
+COUNTS = 1 << 18
+#: How much further than its index a set is looked at for that, as frequent members make
+#: room for those behind them.
+LOOK_AHEAD = 1.5
 #: Index lists up to this length give all their pairs at once.
 SHORT_LIST = 16
 #: Lists of members counted this often are split.
@@ -55,33 +55,23 @@ def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, list[np.ndarray]]
         yield first, distinct_sorted(*shingles(hashes, bounds, words))
 
 
-def _counted(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-
-    def counts() -> pa.RecordBatch:
-        members, n = np.unique(np.concatenate(held), return_counts=True)
-        often = n >= COUNT_FROM
-        return pa.RecordBatch.from_arrays([pa.array(members[often].view(np.int64)), pa.array(n[often])], names=["member", "n"])
-
+def _leading(batches: Iterator[pa.RecordBatch], sim: Similarity) -> Iterator[pa.RecordBatch]:
+    """The members that come first in each set by hash alone, and some more."""
     for batch in batches:
-        for _, sets in _sets(batch.column(0), words):
-            held += sets
-            size += sum(map(len, sets))
-            if size >= COUNT_BLOCK:
-                yield counts()
-                held, size = [], 0
-    if held:
-        yield counts()
-
-
-def frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The members counted most, ascending by hash, and their counts; for the order only."""
-    counted = texts.mapInArrow(lambda batches: _counted(batches, words), "member long, n long")
-    most = counted.groupBy("member").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "member").limit(COUNTS)
-    rows = most.toPandas()
-    members = rows["member"].to_numpy(np.int64).view(np.uint64)
+        for _, sets in _sets(batch.column(0), sim.words):
+            some = [own[: ceil(LOOK_AHEAD * (len(own) - sim.least_shared(len(own)) + 1))] for own in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(some).view(np.int64))], names=["member"])
+
+
+def frequent(texts: DataFrame, sim: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """Members that would have long lists, ascending by hash, and how many sets have them;
+    the most frequent ones, as many as COUNTS. Only the order of members rests on it."""
+    members = texts.mapInArrow(lambda batches: _leading(batches, sim), "member long")
+    counted = members.groupBy("member").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SHORT_LIST)
+    rows = counted.orderBy(F.desc("n"), "member").limit(COUNTS).toArrow()
+    members = rows["member"].to_numpy().view(np.uint64)
     order = np.argsort(members)
-    return members[order], rows["n"].to_numpy(np.int64)[order]
+    return members[order], rows["n"].to_numpy()[order]
 
 
 def _count_of(members: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -111,7 +101,7 @@ def _signed(batches: Iterator[pa.RecordBatch], sim: Similarity, known: tuple[np.
 
 
 def _posted(batches: Iterator[pa.RecordBatch], known: tuple[np.ndarray, np.ndarray], split_at: int) -> Iterator[pa.RecordBatch]:
-    """A row for each indexed member: (member, part, id, n, pos); part 0 is a whole list."""
+    """A row for each indexed member: (member, part, id, n); part 0 is a whole list."""
     for batch in batches:
         for low in range(0, len(batch), 2048):
             some = batch.slice(low, 2048)
@@ -122,11 +112,9 @@ def _posted(batches: Iterator[pa.RecordBatch], known: tuple[np.ndarray, np.ndarr
             ids = np.repeat(some.column(0).to_numpy(), lengths)
             parts = (_count_of(members, known) // split_at).astype(np.uint64)
             part = np.where(parts > 0, 1 + mix(ids.view(np.uint64)) % np.maximum(parts, 1), 0).astype(np.int32)
-            pos = np.arange(len(members)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             n = np.repeat(some.column(1).to_numpy(), lengths)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(members.view(np.int64)), pa.array(part), pa.array(ids), pa.array(n), pa.array(pos.astype(np.int32))],
-                names=["member", "part", "id", "n", "pos"],
+                [pa.array(members.view(np.int64)), pa.array(part), pa.array(ids), pa.array(n)], names=["member", "part", "id", "n"]
             )
 
 
@@ -145,7 +133,7 @@ def _sizes_fit(na: np.ndarray, nb: np.ndarray, sim: Similarity) -> np.ndarray:
 
 def _lists(rows: list[np.ndarray], cut: tuple | None, sim: Similarity) -> Iterator[pa.RecordBatch]:
     """Candidates from whole lists; ``cut`` is a list of which a piece went before."""
-    member, part, ids, n, pos = rows
+    member, part, ids, n = rows
     first = np.concatenate([[True], (member[1:] != member[:-1]) | (part[1:] != part[:-1])])
     lengths = np.diff(np.append(np.flatnonzero(first), len(member)))
     size = np.repeat(lengths, lengths)
@@ -153,11 +141,11 @@ def _lists(rows: list[np.ndarray], cut: tuple | None, sim: Similarity) -> Iterat
     if cut is not None:
         is_long |= (member == cut[0]) & (part == cut[1])
     if is_long.any():
-        m, i, k, at, start = member[is_long], ids[is_long], n[is_long], pos[is_long], first[is_long]
+        m, i, k, start = member[is_long], ids[is_long], n[is_long], first[is_long]
         run = np.diff(np.append(np.flatnonzero(start), len(m)))
         head_id, head_n = np.repeat(i[start], run), np.repeat(k[start], run)
         yield _found(HEAD, m[start], i[start], i[start], k[start], k[start])
-        yield _found(LONG, m, i, i, k, at)
+        yield _found(LONG, m, i, i, k, k)
         for a, na in ((head_id, head_n), (np.roll(i, 1), np.roll(k, 1))):
             use = ~start & (a != i) & _sizes_fit(na, k, sim)
             yield _found(PAIR, np.zeros(use.sum(), np.int64), a[use], i[use], na[use], k[use])
@@ -203,19 +191,19 @@ def _start_of_last(rows: list[np.ndarray]) -> int:
 
 
 BLOCK = 512
-_BLOCKS = "member long, block long, low int, high int, one long, many boolean, ids binary, comps binary, n binary, pos binary"
+_BLOCKS = "member long, block long, low int, high int, one long, many boolean, ids binary, comps binary, n binary"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of a long list's rows (member, n, id, component, pos), sorted by size."""
+    """Blocks of a long list's rows (member, n, id, component), sorted by size."""
     held: list[dict] = []
     place, member = 0, None
 
     def packed(rows: list[np.ndarray]) -> dict:
-        m, n, ids, comps, pos = rows
+        m, n, ids, comps = rows
         return {
             "member": m[0], "block": place, "low": n[0], "high": n[-1], "one": comps[0], "many": bool((comps != comps[0]).any()),
-            "ids": ids.tobytes(), "comps": comps.tobytes(), "n": n.astype(np.int32).tobytes(), "pos": pos.astype(np.int32).tobytes(),
+            "ids": ids.tobytes(), "comps": comps.tobytes(), "n": n.astype(np.int32).tobytes(),
         }
 
     for batch in batches:
@@ -234,24 +222,22 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 _BLOCK_SCHEMA = pa.schema(
     [("member", pa.int64()), ("block", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("one", pa.int64()), ("many", pa.bool_())]
-    + [(name, pa.binary()) for name in ("ids", "comps", "n", "pos")]
+    + [(name, pa.binary()) for name in ("ids", "comps", "n")]
 )
 
 
 def _rest(batches: Iterator[pa.RecordBatch], sim: Similarity) -> Iterator[pa.RecordBatch]:
-    """From pairs of blocks: the pairs of rows in different components whose sizes and
-    places leave enough members to share."""
-    kinds = (np.int64, np.int64, np.int32, np.int32)
+    """From pairs of blocks: the pairs of rows in different components whose sizes fit."""
+    kinds = (np.int64, np.int64, np.int32)
     for batch in batches:
         for row in batch.to_pylist():
-            x, y = ([np.frombuffer(row[f"{side}_{c}"], k) for c, k in zip(("ids", "comps", "n", "pos"), kinds)] for side in "xy")
-            na, nb = x[2][:, None].astype(np.int64), y[2][None, :].astype(np.int64)
-            left = np.minimum(na - x[3][:, None], nb - y[3][None, :])
-            need = -(-sim.percent * (na + nb) // (100 + sim.percent))
-            use = (x[1][:, None] != y[1][None, :]) & _sizes_fit(na, nb, sim) & (left >= need)
-            i, j = np.nonzero(use)
-            a, b = np.minimum(x[0][i], y[0][j]), np.maximum(x[0][i], y[0][j])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            x, y = ([np.frombuffer(row[f"{side}_{c}"], k) for c, k in zip(("ids", "comps", "n"), kinds)] for side in "xy")
+            apart = x[1][:, None] != y[1][None, :]
+            i, j = np.nonzero(apart & _sizes_fit(x[2][:, None], y[2][None, :], sim))
+            turned = x[0][i] > y[0][j]
+            a, b = np.where(turned, y[0][j], x[0][i]), np.where(turned, x[0][i], y[0][j])
+            na, nb = np.where(turned, y[2][j], x[2][i]), np.where(turned, x[2][i], y[2][j])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, na, nb)], names=["a", "b", "na", "nb"])
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], sim: Similarity) -> Iterator[pa.RecordBatch]:
@@ -283,19 +269,25 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return known.filter(F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select("a", "b")
 
 
-def _plausible(pairs: DataFrame, long_rows: DataFrame, sim: Similarity) -> DataFrame:
-    """Candidates that still can share enough, by the indexed members they do share.
+def _beyond(pairs: DataFrame, c: Column, sim: Similarity) -> DataFrame:
+    """The pairs that can be similar if they share ``c`` indexed members.
 
     All members of one's index at or before the other's last one are in both indexes, so
-    the sets share no more than those found, those in long lists, and what is not indexed.
+    besides these a pair shares no more than what one of the two has not indexed.
     """
+    beyond = F.ceil(F.greatest("na", "nb") * sim.percent / 100) - 1
+    need = F.ceil((F.col("na") + F.col("nb")) * sim.percent / (100 + sim.percent))
+    return pairs.filter(c + beyond >= need)
+
+
+def _plausible(pairs: DataFrame, long_rows: DataFrame, sim: Similarity) -> DataFrame:
+    """Candidates that can be similar, by the members they share in short lists and the
+    number of long lists that each is in."""
     in_long = written(long_rows.groupBy("a").agg(F.count(F.lit(1)).alias("h")), "long")
     of = lambda end: in_long.select(F.col("a").alias(end), F.col("h").alias(f"h{end}"))
     more = F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
-    beyond = F.ceil(F.greatest("na", "nb") * sim.percent / 100) - 1
-    need = F.ceil((F.col("na") + F.col("nb")) * sim.percent / (100 + sim.percent))
     known = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return known.filter(F.col("c") + more + beyond >= need).select("a", "b", "c")
+    return _beyond(known, F.col("c") + more, sim).select("a", "b", "c")
 
 
 def join(
@@ -310,13 +302,13 @@ def join(
     other than text and key do not pass.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    known = frequent(rows.select("text"), sim.words)
+    known = frequent(rows.select("text"), sim)
     signed = written(rows.mapInArrow(lambda batches: _signed(batches, sim, known), "id long, n int, fa long, fb long, prefix binary"), "signed")
     same = ["n", "fa", "fb"]
     groups = written(signed.filter("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.first("prefix").alias("prefix")), "sets")
 
     posted = groups.filter("rep IS NOT NULL").select("rep", "n", "prefix")
-    posted = posted.mapInArrow(lambda batches: _posted(batches, known, split_at), "member long, part int, id long, n int, pos int")
+    posted = posted.mapInArrow(lambda batches: _posted(batches, known, split_at), "member long, part int, id long, n int")
     lists = posted.repartition("member", "part").sortWithinPartitions("member", "part", "id")
     found = written(lists.mapInArrow(lambda batches: _walk(batches, sim), _FOUND), "found")
     long_rows = found.filter(F.col("kind") == LONG)
@@ -325,23 +317,27 @@ def join(
     between = heads.join(least, "member").filter("a < b").select("a", "b", "na", "nb")
     pairs = found.filter(F.col("kind") == PAIR).select("a", "b", "na", "nb").unionByName(between)
     counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    counted = written(counted, "counted")
     candidates = written(_plausible(counted, long_rows, sim), "candidates")
 
     best = written(candidates.groupBy("b").agg(F.max_by("a", F.struct("c", -F.col("a"))).alias("a")).select("a", "b"), "best")
     links = written(_links(best, rows, sim), "near")
     labels = written(components(links), "labels")
 
-    in_lists = long_rows.select("member", F.col("a").alias("id"), F.col("na").alias("n"), F.col("nb").alias("pos"))
+    in_lists = long_rows.select("member", F.col("a").alias("id"), F.col("na").alias("n"))
     in_lists = in_lists.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = in_lists.groupBy("member").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("member")
-    in_lists = in_lists.join(mixed, "member", "left_semi").select("member", "n", "id", "component", "pos")
+    in_lists = in_lists.join(mixed, "member", "left_semi").select("member", "n", "id", "component")
     blocks = written(in_lists.repartition("member").sortWithinPartitions("member", "n", "id").mapInArrow(_blocks, _BLOCKS), "blocks")
     sides = [blocks.select("member", *(F.col(c).alias(f"{side}_{c}") for c in blocks.columns[1:])) for side in "xy"]
     fitting = (F.col("x_high") * 100 >= F.col("y_low") * sim.percent) & (F.col("x_block") <= F.col("y_block"))
     unlike = F.col("x_many") | F.col("y_many") | (F.col("x_one") != F.col("y_one"))
     block_pairs = sides[0].join(sides[1], "member").filter(fitting & unlike)
-    wanted = [f"{side}_{c}" for side in "xy" for c in ("ids", "comps", "n", "pos")]
-    rest = block_pairs.select(*wanted).mapInArrow(lambda batches: _rest(batches, sim), "a long, b long")
+    wanted = [f"{side}_{c}" for side in "xy" for c in ("ids", "comps", "n")]
+    rest = block_pairs.select(*wanted).mapInArrow(lambda batches: _rest(batches, sim), "a long, b long, na int, nb int")
+    rest = rest.groupBy("a", "b").agg(F.count(F.lit(1)).alias("in_long"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    rest = rest.join(counted.select("a", "b", "c"), ["a", "b"], "left")
+    rest = _beyond(rest, F.col("in_long") + F.coalesce("c", F.lit(0)), sim).select("a", "b")
     left = _apart(candidates.select("a", "b"), labels).unionByName(rest).distinct().join(best, ["a", "b"], "left_anti")
     more = _links(written(left, "left"), rows, sim)
     found_in = written(components(links.unionByName(more)), "components")
