@@ -1,14 +1,16 @@
 """Sets of word n-grams, joined by exact Jaccard similarity, as components.
 
 Only the rarest members of a set are indexed, enough that two similar sets share one
-(prefix filter). A long index list is read in blocks ordered by size; pairs of blocks whose
-sizes cannot fit, or that are in one component already, are skipped unread. Sets that are
-equal are one set. A pair is compared only if the indexed members it shares leave enough. Relations between sets spare the rest: first each set is compared with
-the candidate it shares most with; what is linked then has its answer, its component, from
-there, and only candidates that still are in different components are compared.
-
-Frequent members come last in the order, so long lists are rare; the order alone rests on
-the counts, never the result.
+(prefix filter). Frequent members come last in the order, so long lists are rare; the
+order alone rests on their counts, never the result. Sets that are equal are one set, and a
+pair is compared only if the indexed members it shares leave enough.
+
+Relations between sets spare the rest. First each set is compared with the candidate it
+shares most with; what is linked then has its answer, its component, from there, and only
+what still is in different components is compared. Sets of a long list are kept as their
+differences from one set, the pivot: what two of them share follows from the differences,
+for whole blocks at once, and blocks whose sizes cannot fit or that are in one component
+are skipped unread.
 """
 
 from __future__ import annotations
@@ -191,53 +193,144 @@ def _start_of_last(rows: list[np.ndarray]) -> int:
 
 
 BLOCK = 512
-_BLOCKS = "member long, block long, low int, high int, one long, many boolean, ids binary, comps binary, n binary"
+#: Rows of one group that are sorted into blocks together.
+PART = 1 << 12
+_HEADER = [("group", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("one", pa.int64()), ("many", pa.bool_()), ("rows", pa.int32())]
+_HEADER_TYPE = "group long, low int, high int, one long, many boolean, rows int"
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of a long list's rows (member, n, id, component), sorted by size."""
-    held: list[dict] = []
-    place, member = 0, None
-
-    def packed(rows: list[np.ndarray]) -> dict:
-        m, n, ids, comps = rows
-        return {
-            "member": m[0], "block": place, "low": n[0], "high": n[-1], "one": comps[0], "many": bool((comps != comps[0]).any()),
-            "ids": ids.tobytes(), "comps": comps.tobytes(), "n": n.astype(np.int32).tobytes(),
-        }
-
+def _blocks(batches: Iterator[pa.RecordBatch], payload: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows (group, part, n, id, component, ...) sorted by the first three, as blocks of up
+    to BLOCK rows of one group and part: a header and the rows' columns as bytes."""
+    schema = pa.schema([*_HEADER, *((name, pa.binary()) for name in payload)])
     for batch in batches:
-        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        starts = np.flatnonzero(np.concatenate([[True], rows[0][1:] != rows[0][:-1]]))
-        for a, b in zip(starts, np.append(starts[1:], len(rows[0]))):
-            place = place if rows[0][a] == member else 0
-            member = rows[0][a]
+        group, part, n, component = (batch.column(name).to_numpy() for name in ("group", "part", "n", "component"))
+        new = np.flatnonzero((group[1:] != group[:-1]) | (part[1:] != part[:-1])) + 1
+        found = []
+        for a, b in zip(np.append(0, new), np.append(new, len(batch))):
             for low in range(a, b, BLOCK):
-                held.append(packed([c[low : min(b, low + BLOCK)] for c in rows]))
-                place += 1
-        if held:
-            yield pa.RecordBatch.from_pylist(held, _BLOCK_SCHEMA)
-            held = []
+                high = min(b, low + BLOCK)
+                own = component[low:high]
+                row = {"group": group[low], "low": n[low], "high": n[high - 1], "one": own[0], "many": bool((own != own[0]).any()), "rows": high - low}
+                found.append(row | {name: _bytes_of(batch.column(name).slice(low, high - low)) for name in payload})
+        if found:
+            yield pa.RecordBatch.from_pylist(found, schema)
+
+
+def _bytes_of(column: pa.Array) -> bytes:
+    """Numbers as they are; of lists of bytes the lengths, then the bytes."""
+    if pa.types.is_binary(column.type):
+        values = column.to_pylist()
+        return np.array([len(values), *map(len, values)], np.int64).tobytes() + b"".join(values)
+    return column.to_numpy().tobytes()
+
+
+def _lists_of(data: bytes, kind) -> list[np.ndarray]:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    ends = np.cumsum(np.frombuffer(data, np.int64, n, 8)) + 8 * (n + 1)
+    return [np.frombuffer(data[a:b], kind) for a, b in zip(np.append(8 * (n + 1), ends), ends)]
+
+
+def _pairs_of_blocks(rows: DataFrame, payload: list[str], sim: Similarity) -> DataFrame:
+    """The pairs of blocks of one group, with both payloads, whose sizes fit and that are
+    not in one component. Groups are cut into parts, and pairs are dealt by block, so no
+    task gets a group."""
+    sizes = rows.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
+    part = F.pmod(F.xxhash64("id"), F.floor(F.col("size") / PART) + 1).cast("int")
+    dealt = rows.join(sizes, "group").withColumn("part", part).select("group", "part", "n", "id", "component", *(c for c in payload if c not in ("n", "id", "component")))
+    dealt = dealt.repartition("group", "part").sortWithinPartitions("group", "part", "n")
+    kinds = _HEADER_TYPE + "".join(f", {name} binary" for name in payload)
+    kept = dealt.mapInArrow(lambda batches: _blocks(batches, payload), kinds)
+    kept = written(kept.withColumn("block", F.monotonically_increasing_id()), "blocks")
+    header = ["block", "low", "high", "one", "many"]
+    x, y = (kept.select("group", *(F.col(c).alias(f"{side}_{c}") for c in header)) for side in "xy")
+    sizes_fit = (F.col("x_high") * 100 >= F.col("y_low") * sim.percent) & (F.col("y_high") * 100 >= F.col("x_low") * sim.percent)
+    unlike = F.col("x_many") | F.col("y_many") | (F.col("x_one") != F.col("y_one"))
+    chosen = x.join(y, "group").filter((F.col("x_block") <= F.col("y_block")) & sizes_fit & unlike).select("x_block", "y_block")
+    of = lambda side: kept.select(F.col("block").alias(f"{side}_block"), *(F.col(c).alias(f"{side}_{c}") for c in payload))
+    return written(chosen, "block_pairs").join(of("x"), "x_block").join(of("y"), "y_block")
 
 
-_BLOCK_SCHEMA = pa.schema(
-    [("member", pa.int64()), ("block", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("one", pa.int64()), ("many", pa.bool_())]
-    + [(name, pa.binary()) for name in ("ids", "comps", "n")]
-)
+def _rest(batches: Iterator[pa.RecordBatch], sim: Similarity) -> Iterator[pa.RecordBatch]:
+    """From pairs of blocks of a list: the pairs of rows in different components and with
+    different pivots whose sizes fit."""
+    kinds = {"id": np.int64, "component": np.int64, "n": np.int32, "pivot": np.int64}
+    for batch in batches:
+        for row in batch.to_pylist():
+            x, y = ({c: np.frombuffer(row[f"{side}_{c}"], k) for c, k in kinds.items()} for side in "xy")
+            apart = (x["component"][:, None] != y["component"]) & (x["pivot"][:, None] != y["pivot"])
+            i, j = np.nonzero(apart & _sizes_fit(x["n"][:, None], y["n"][None, :], sim))
+            turned = x["id"][i] > y["id"][j]
+            sides = [np.where(turned, y[c][j], x[c][i]) for c in ("id", "n")], [np.where(turned, x[c][i], y[c][j]) for c in ("id", "n")]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (sides[0][0], sides[1][0], sides[0][1], sides[1][1])], names=["a", "b", "na", "nb"])
 
 
-def _rest(batches: Iterator[pa.RecordBatch], sim: Similarity) -> Iterator[pa.RecordBatch]:
-    """From pairs of blocks: the pairs of rows in different components whose sizes fit."""
-    kinds = (np.int64, np.int64, np.int32)
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each set by what it lacks of its pivot's (places) and has beyond it (members)."""
+    for batch in batches:
+        lacks, beyond, sizes = [], [], []
+        for own, base in zip(batch.column(4), batch.column(5)):
+            own, base = own.values.to_numpy(), base.values.to_numpy()
+            lacks.append(np.flatnonzero(~np.isin(base, own, assume_unique=True)).astype(np.int32).tobytes())
+            beyond.append(own[~np.isin(own, base, assume_unique=True)].tobytes())
+            sizes.append(len(base))
+        columns = [pa.array(sizes, pa.int32()), pa.array(lacks, pa.binary()), pa.array(beyond, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], *columns], names=["group", "id", "n", "component", "base", "lacks", "beyond"])
+
+
+def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many values each of ``x`` shares with each of ``y``: products of 0-1 matrices,
+    over the values that occur on both sides."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    known = np.intersect1d(np.unique(np.concatenate(x)), np.unique(np.concatenate(y)), assume_unique=True)
+    width = 4096
+    sides = []
+    for side in (x, y):
+        values = np.concatenate(side)
+        owner = np.repeat(np.arange(len(side)), [len(v) for v in side])
+        at = np.minimum(np.searchsorted(known, values), max(0, len(known) - 1))
+        use = known[at] == values if len(known) else np.zeros(len(values), bool)
+        sides.append((owner[use], at[use]))
+    for low in range(0, len(known), width):
+        tiles = []
+        for (owner, at), side in zip(sides, (x, y)):
+            tile = np.zeros((len(side), min(width, len(known) - low)), np.float32)
+            own = (at >= low) & (at < low + width)
+            tile[owner[own], at[own] - low] = 1
+            tiles.append(tile)
+        out += tiles[0] @ tiles[1].T
+    return out
+
+
+def _linked(batches: Iterator[pa.RecordBatch], sim: Similarity) -> Iterator[pa.RecordBatch]:
+    """From pairs of blocks of sets with one pivot: links enough to join the components that
+    any similar pair joins. The shared members of a pair follow from the differences."""
     for batch in batches:
         for row in batch.to_pylist():
-            x, y = ([np.frombuffer(row[f"{side}_{c}"], k) for c, k in zip(("ids", "comps", "n"), kinds)] for side in "xy")
-            apart = x[1][:, None] != y[1][None, :]
-            i, j = np.nonzero(apart & _sizes_fit(x[2][:, None], y[2][None, :], sim))
-            turned = x[0][i] > y[0][j]
-            a, b = np.where(turned, y[0][j], x[0][i]), np.where(turned, x[0][i], y[0][j])
-            na, nb = np.where(turned, y[2][j], x[2][i]), np.where(turned, x[2][i], y[2][j])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, na, nb)], names=["a", "b", "na", "nb"])
+            x, y = (
+                {c: np.frombuffer(row[f"{side}_{c}"], k) for c, k in {"id": np.int64, "component": np.int64, "n": np.int32, "base": np.int32}.items()}
+                | {"lacks": _lists_of(row[f"{side}_lacks"], np.int32), "beyond": _lists_of(row[f"{side}_beyond"], np.int64)}
+                for side in "xy"
+            )
+            lacks = [np.array([len(v) for v in side["lacks"]]) for side in (x, y)]
+            shared = x["base"][:, None] - lacks[0][:, None] - lacks[1][None, :] + _common(x["lacks"], y["lacks"]) + _common(x["beyond"], y["beyond"])
+            union = x["n"][:, None] + y["n"][None, :] - shared
+            i, j = np.nonzero((100 * shared >= sim.percent * union) & (x["component"][:, None] != y["component"][None, :]))
+            parent: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while c in parent:
+                    c = parent[c]
+                return c
+
+            a, b = [], []
+            for p, q in zip(i.tolist(), j.tolist()):
+                one, other = root(int(x["component"][p])), root(int(y["component"][q]))
+                if one != other:
+                    parent[max(one, other)] = min(one, other)
+                    a.append(int(x["id"][p]))
+                    b.append(int(y["id"][q]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], sim: Similarity) -> Iterator[pa.RecordBatch]:
@@ -248,12 +341,16 @@ def _set_rows(batches: Iterator[pa.RecordBatch], sim: Similarity) -> Iterator[pa
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), members], names=["id", "members"])
 
 
-def _links(pairs: DataFrame, rows: DataFrame, sim: Similarity) -> DataFrame:
-    """The (a, b) of ``pairs`` that are similar, by their whole sets, read anew for the
-    documents that occur in a pair."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+def _sets_of(ids: DataFrame, rows: DataFrame, sim: Similarity) -> DataFrame:
+    """(id, members): the whole sets of the documents ``ids``, read anew."""
+    ids = written(ids.distinct(), "ids")
     needed = maybe_in(rows, "id", ids, "id").join(ids, "id", "left_semi")
-    sets = needed.mapInArrow(lambda batches: _set_rows(batches, sim), "id long, members array<long>")
+    return needed.mapInArrow(lambda batches: _set_rows(batches, sim), "id long, members array<long>")
+
+
+def _links(pairs: DataFrame, rows: DataFrame, sim: Similarity) -> DataFrame:
+    """The (a, b) of ``pairs`` that are similar, by their whole sets."""
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), rows, sim)
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b"
     )
@@ -326,20 +423,32 @@ def join(
 
     in_lists = long_rows.select("member", F.col("a").alias("id"), F.col("na").alias("n"))
     in_lists = in_lists.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = in_lists.groupBy("member").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("member")
-    in_lists = in_lists.join(mixed, "member", "left_semi").select("member", "n", "id", "component")
-    blocks = written(in_lists.repartition("member").sortWithinPartitions("member", "n", "id").mapInArrow(_blocks, _BLOCKS), "blocks")
-    sides = [blocks.select("member", *(F.col(c).alias(f"{side}_{c}") for c in blocks.columns[1:])) for side in "xy"]
-    fitting = (F.col("x_high") * 100 >= F.col("y_low") * sim.percent) & (F.col("x_block") <= F.col("y_block"))
-    unlike = F.col("x_many") | F.col("y_many") | (F.col("x_one") != F.col("y_one"))
-    block_pairs = sides[0].join(sides[1], "member").filter(fitting & unlike)
-    wanted = [f"{side}_{c}" for side in "xy" for c in ("ids", "comps", "n")]
-    rest = block_pairs.select(*wanted).mapInArrow(lambda batches: _rest(batches, sim), "a long, b long, na int, nb int")
+    mixed = in_lists.groupBy("member").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("head"))
+    mixed = written(mixed.filter("low < high").select("member", "head"), "mixed")
+    in_lists = in_lists.join(mixed, "member")
+    # a set's pivot is the first set of most of its lists, so that similar sets mostly share it
+    pivots = in_lists.groupBy("id", "head").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("component").alias("component"))
+    pivots = pivots.groupBy("id").agg(F.max_by("head", F.struct("c", -F.col("head"))).alias("pivot"), F.first("n").alias("n"), F.first("component").alias("component"))
+    pivots = written(pivots, "pivots")
+    sets = _sets_of(pivots.select(F.explode(F.array("id", "pivot")).alias("id")), rows, sim)
+    with_base = (
+        pivots.join(sets, "id")
+        .join(sets.select(F.col("id").alias("pivot"), F.col("members").alias("base")), "pivot")
+        .select(F.col("pivot").alias("group"), "id", "n", "component", "members", "base")
+    )
+    apart = with_base.mapInArrow(_differences, "group long, id long, n int, component long, base int, lacks binary, beyond binary")
+    same_pivot = _pairs_of_blocks(apart, ["id", "component", "n", "base", "lacks", "beyond"], sim)
+    links = links.unionByName(written(same_pivot.mapInArrow(lambda batches: _linked(batches, sim), "a long, b long"), "same_pivot"))
+
+    several = pivots.select("id", "pivot").join(in_lists.select("member", "id", "n", "component"), "id")
+    crossed = several.groupBy("member").agg(F.min("pivot").alias("low"), F.max("pivot").alias("high")).filter("low < high").select("member")
+    several = several.join(crossed, "member", "left_semi").withColumnRenamed("member", "group")
+    rest = _pairs_of_blocks(several, ["id", "component", "n", "pivot"], sim).mapInArrow(lambda batches: _rest(batches, sim), "a long, b long, na int, nb int")
     rest = rest.groupBy("a", "b").agg(F.count(F.lit(1)).alias("in_long"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     rest = rest.join(counted.select("a", "b", "c"), ["a", "b"], "left")
     rest = _beyond(rest, F.col("in_long") + F.coalesce("c", F.lit(0)), sim).select("a", "b")
-    left = _apart(candidates.select("a", "b"), labels).unionByName(rest).distinct().join(best, ["a", "b"], "left_anti")
-    more = _links(written(left, "left"), rows, sim)
+    left = _apart(candidates.select("a", "b").unionByName(rest).distinct(), written(components(links), "labels"))
+    more = _links(written(left.join(best, ["a", "b"], "left_anti"), "left"), rows, sim)
     found_in = written(components(links.unionByName(more)), "components")
 
     member_of = signed.select("id", *same).join(groups.select(*same, "rep"), same, "left")
