@@ -193,6 +193,7 @@ def _start_of_last(rows: list[np.ndarray]) -> int:
 
 
 BLOCK = 512
+PIVOT_TURNS = 3
 #: Rows of one group that are sorted into blocks together.
 PART = 1 << 12
 _HEADER = [("group", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("one", pa.int64()), ("many", pa.bool_()), ("rows", pa.int32())]
@@ -387,6 +388,23 @@ def _plausible(pairs: DataFrame, long_rows: DataFrame, sim: Similarity) -> DataF
     return _beyond(known, F.col("c") + more, sim).select("a", "b", "c")
 
 
+def _most_common(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """The value that most rows of a key have; of several the smallest."""
+    counted = rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("c"))
+    return counted.groupBy(key).agg(F.max_by(value, F.struct("c", -F.col(value))).alias(value))
+
+
+def _pivots(in_lists: DataFrame, mixed: DataFrame) -> DataFrame:
+    """(id, pivot): the pivot that most lists of a set have, where a list first has its
+    first set and then what most of its sets have. Sets that share lists come to share it."""
+    of_list = mixed.select("member", F.col("head").alias("pivot"))
+    for turn in range(PIVOT_TURNS):
+        of_set = written(_most_common(in_lists.select("member", "id").join(of_list, "member"), "id", "pivot"), "pivots")
+        if turn < PIVOT_TURNS - 1:
+            of_list = written(_most_common(in_lists.select("member", "id").join(of_set, "id"), "member", "pivot"), "pivots")
+    return of_set
+
+
 def join(
     docs: DataFrame, sim: Similarity = Similarity(), text: str = "text", key: str = "doc_id", split_at: int = SPLIT_AT
 ) -> DataFrame:
@@ -425,11 +443,9 @@ def join(
     in_lists = in_lists.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = in_lists.groupBy("member").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("head"))
     mixed = written(mixed.filter("low < high").select("member", "head"), "mixed")
-    in_lists = in_lists.join(mixed, "member")
-    # a set's pivot is the first set of most of its lists, so that similar sets mostly share it
-    pivots = in_lists.groupBy("id", "head").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("component").alias("component"))
-    pivots = pivots.groupBy("id").agg(F.max_by("head", F.struct("c", -F.col("head"))).alias("pivot"), F.first("n").alias("n"), F.first("component").alias("component"))
-    pivots = written(pivots, "pivots")
+    in_lists = written(in_lists.join(mixed.select("member"), "member", "left_semi"), "in_lists")
+    own = in_lists.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component"))
+    pivots = written(own.join(_pivots(in_lists, mixed), "id"), "pivots")
     sets = _sets_of(pivots.select(F.explode(F.array("id", "pivot")).alias("id")), rows, sim)
     with_base = (
         pivots.join(sets, "id")
