@@ -10,6 +10,7 @@ first, a prefix that many words share is computed once.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import islice
@@ -21,15 +22,27 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from daytally.llm.known import KnownIds
+from daytally.llm.words import EXACT, PIECE, segment_hashes, text_bytes
+
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: how the byte-level vocabulary cuts a text into words.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Below this character the pattern above agrees with any version of Unicode.
 SETTLED = "Ͱ"
+#: First bytes of the UTF-8 forms of white space beyond ASCII.
+OTHER_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+#: Pieces of text whose ids a Python worker knows before it starts anew: about 35 MB.
+KNOWN = 1 << 20
 #: Encoded words held by a Python worker before it starts anew; memory only.
-CACHED = 250_000
+CACHED = 150_000
+#: Pairs of tokens of which a worker remembers whether they may stand together; likewise.
+PAIRS = 300_000
+#: Stands for the beginning of a word.
+START = (1 << 24) - 1
 #: Bytes of text whose words are held at a time.
 GROUP = 1 << 19
 BLOCK = 1 << 16
@@ -42,24 +55,33 @@ def _alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _vocabulary(path: str) -> tuple[dict[bytes, int], dict[int, bytes], dict[str, int], list[tuple[bytes, bytes]]]:
+    """Of a vocabulary file: ids by bytes, bytes by id, special tokens, and the merges."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    of = _alphabet()
+    raw = lambda shown: bytes(of[c] for c in shown)
+    ids = {raw(token): i for token, i in spec["model"]["vocab"].items()}
+    own = {token: token for token in ids}  # the merges share their tokens' bytes
+    merges = [(own[raw(a)], own[raw(b)]) for a, b in spec["model"]["merges"]]
+    return ids, {i: token for token, i in ids.items()}, {t["content"]: t["id"] for t in spec["added_tokens"]}, merges
+
+
 class Encoder:
     """One vocabulary file: words to ids, ids to bytes."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        of = _alphabet()
-        raw = lambda shown: bytes(of[c] for c in shown)
-        self.ids = {raw(token): i for token, i in spec["model"]["vocab"].items()}
-        self.ranks = {(raw(a), raw(b)): rank for rank, (a, b) in enumerate(spec["model"]["merges"])}
+        self.ids, self.bytes_of, self.special, merges = _vocabulary(path)
+        self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.longest = max(map(len, self.ids))
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes_of = {i: token for token, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self._library = Tokenizer.from_file(path)
-        self._together: dict[tuple[bytes, bytes], bool] = {}
-        self._stable: dict[bytes, bool] = {}
+        self._made = {a + b: (rank, a, b) for (a, b), rank in self.ranks.items()}
+        self._length = {i: len(token) for token, i in self.ids.items()}
+        self._together: dict[int, bool] = {}
+        self._edges: dict[tuple[bytes, int], list[tuple[bytes, int, int]]] = {}
         self._words: dict[str, bytes] = {}
+        self._pieces = KnownIds("<u4", KNOWN)
 
     def merged(self, data: bytes) -> list[bytes]:
         """The merges, lowest rank first, as the vocabulary defines them; for short bytes."""
@@ -73,26 +95,47 @@ class Encoder:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _fits(self, before: bytes | None, token: bytes) -> bool:
-        if before is None:
-            known = self._stable.get(token)
-            if known is None:
-                known = self._stable[token] = self.merged(token) == [token]
-            return known
-        known = self._together.get((before, token))
+    def _fits(self, key: int, before: int, token: int) -> bool:
+        """Whether ``token`` may follow ``before``, or begin a word if that is START."""
+        if len(self._together) > PAIRS:
+            self._together.clear()
+        own = self.bytes_of[token]
+        known = self.merged(own) == [own] if before == START else self._stay(self.bytes_of[before], own)
+        self._together[key] = known
+        return known
+
+    def _edge(self, token: bytes, side: int) -> list[tuple[bytes, int, int]]:
+        """What stands at the left (1) or right (2) edge of a token while its bytes merge:
+        each piece with the ranks of the merge that made it and of the one that took it."""
+        known = self._edges.get((token, side))
         if known is None:
-            if len(self._together) > 2 * CACHED:
-                self._together.clear()
-            known = self.merged(before + token) == [before, token]
-            self._together[before, token] = known
+            known, taken = [], len(self.ranks)
+            piece = token
+            while True:
+                rank, *parts = self._made.get(piece, (-1,))
+                known.append((piece, rank, taken))
+                if not parts:
+                    break
+                piece, taken = parts[side - 1], rank
+            self._edges[token, side] = known
         return known
 
-    def walk(self, words: Iterable[bytes]) -> Iterator[list[bytes]]:
-        """The tokens of each of ``words``, which come in ascending order: from one word
-        to the next only the states below their common prefix are dropped."""
-        last: list[bytes | None] = [None]
+    def _stay(self, before: bytes, token: bytes) -> bool:
+        """Whether two tokens side by side stay apart: no merge over their border comes
+        while both its pieces stand there. Of equal merges the left one goes first."""
+        for a, a_made, a_taken in self._edge(before, 2):
+            for b, b_made, b_taken in self._edge(token, 1):
+                rank = self.ranks.get((a, b))
+                if rank is not None and a_made < rank > b_made and rank < a_taken and rank <= b_taken:
+                    return False
+        return True
+
+    def walk(self, words: Iterable[bytes]) -> Iterator[list[int]]:
+        """The ids of each of ``words``, which come in ascending order: from one word to the
+        next only the states below their common prefix are dropped."""
+        last = [START]
         previous = b""
-        ids, longest = self.ids, self.longest
+        find, longest, together, length = self.ids.get, self.longest, self._together, self._length
         for word in words:
             shared, most = 0, min(len(word), len(previous))
             while shared < most and word[shared] == previous[shared]:
@@ -100,17 +143,20 @@ class Encoder:
             del last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
                 for start in range(max(0, end - longest), end):
-                    token = word[start:end]
-                    if token in ids and self._fits(last[start], token):
-                        last.append(token)
-                        break
+                    token = find(word[start:end])
+                    if token is not None:
+                        key = last[start] << 24 | token
+                        fits = together.get(key)
+                        if fits or fits is None and self._fits(key, last[start], token):
+                            last.append(token)
+                            break
                 else:
                     raise ValueError("the vocabulary lacks a byte")
             previous = word
             tokens, end = [], len(word)
             while end:
                 tokens.append(last[end])
-                end -= len(last[end])
+                end -= length[last[end]]
             yield tokens[::-1]
 
     def learn(self, words: Iterable[str]) -> None:
@@ -120,7 +166,50 @@ class Encoder:
         new = {w.encode(): w for w in words if w not in self._words}
         ordered = sorted(new)
         for word, tokens in zip(ordered, self.walk(ordered)):
-            self._words[new[word]] = np.array([self.ids[t] for t in tokens], "<u4").tobytes()
+            self._words[new[word]] = array("I", tokens).tobytes()
+
+    def is_plain(self, texts: pa.Array) -> np.ndarray:
+        """Which texts :meth:`encode_plain` takes: not too long, without special tokens or
+        first bytes that a white space beyond ASCII may have."""
+        data, at = text_bytes(texts)
+        odd = np.concatenate([[0], np.cumsum(OTHER_SPACE[data])]) if len(data) else np.zeros(1, np.int64)
+        plain = (odd[at[1:]] == odd[at[:-1]]) & (np.diff(at) <= PIECE)
+        for special in self.special:
+            found = pc.match_substring(pc.fill_null(texts, ""), special)
+            plain &= ~found.to_numpy(zero_copy_only=False)
+        return plain
+
+    def encode_plain(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Like ``encode`` for texts without special tokens and whose white space is ASCII:
+        of runs of texts the first one's number, all ids, and where each text's begin.
+
+        No word goes over a space or line end between two other characters, so texts fall
+        into pieces there, and each distinct piece is cut and encoded once.
+        """
+        data, at = text_bytes(texts)
+        for first, last in groups(texts, PIECE):
+            low = int(at[first])
+            own = data[low : int(at[last])]
+            firsts = at[first:last] - low
+            gap = (own == 0x20) | (own == 0x0A)
+            solid = own > 0x20
+            starts = np.zeros(len(own) + 1, bool)
+            starts[1 : len(own) - 1] = gap[1:-1] & solid[:-2] & solid[2:] if len(own) > 2 else False
+            starts[firsts] = True
+            starts = np.flatnonzero(starts[: len(own)])
+            ends = np.append(starts[1:], len(own))[: len(starts)]
+            hashes = segment_hashes(own, starts, ends, EXACT)
+            self._pieces.make_room()
+            distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
+            new = sample[self._pieces.missing(distinct)]
+            pieces = [own[a:b].tobytes().decode() for a, b in zip(starts[new], ends[new])]
+            cut = [WORDS.findall(p) for p in pieces]
+            self.learn(w for words in cut for w in words)
+            found = [b"".join(map(self._words.__getitem__, words)) for words in cut]
+            lengths = np.fromiter((len(f) // 4 for f in found), np.int32, len(found))
+            self._pieces.learn(hashes[new], lengths, np.frombuffer(b"".join(found), "<u4"))
+            ids, before = self._pieces.ids_of(distinct, which)
+            yield first, ids, before[np.searchsorted(starts, np.append(firsts, len(own)))]
 
     def _cut(self, text: str) -> Iterator[str]:
         if text.isascii() or max(text) < SETTLED:
@@ -152,6 +241,14 @@ class Encoder:
             out.append(b"".join(whole))
         return out
 
+
+class Decoder:
+    """One vocabulary file: ids to text."""
+
+    def __init__(self, path: str):
+        _, self.bytes_of, special, _ = _vocabulary(path)
+        self.bytes_of |= {i: s.encode() for s, i in special.items()}
+
     def decode(self, ids: bytes) -> str:
         """The text of ids, special tokens included; bytes that are no UTF-8 are replaced."""
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -163,6 +260,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+@cache
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def groups(texts: pa.Array, size: int = GROUP) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``size`` bytes together."""
     lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
@@ -188,9 +290,16 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         for batch in batches:
-            for a, b in groups(batch.column(1)):
-                texts = [t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(bpe.encode(texts), pa.binary())], names=["key", "ids"])
+            plain = bpe.is_plain(batch.column(1))
+            easy, other = batch.filter(pa.array(plain)), batch.filter(pa.array(~plain))
+            for first, ids, at in bpe.encode_plain(easy.column(1)):
+                n = len(at) - 1
+                offsets = pa.py_buffer((at * 4).astype(np.int32))
+                column = pa.Array.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([easy.column(0).slice(first, n), column], names=["key", "ids"])
+            for a, b in groups(other.column(1)):
+                texts = [t or "" for t in other.column(1).slice(a, b - a).to_pylist()]
+                yield pa.RecordBatch.from_arrays([other.column(0).slice(a, b - a), pa.array(bpe.encode(texts), pa.binary())], names=["key", "ids"])
 
     kind = rows.schema["key"].dataType.simpleString()
     return rows.mapInArrow(run, f"key {kind}, ids binary").withColumnRenamed("key", key)
@@ -200,11 +309,11 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
     """``encoded`` with the text of its ids as column ``name``; null ids give null."""
     if name in encoded.columns:
         encoded = encoded.drop(name)
-    schema = encoded.withColumn(name, F.lit("")).schema
+    schema = T.StructType([*encoded.schema, T.StructField(name, T.StringType())])
     names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
+        bpe = decoder(path)
         for batch in batches:
             column = batch.column(names.index(ids))
             for a, b in groups(column):

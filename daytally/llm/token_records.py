@@ -31,6 +31,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from daytally.llm.common import written
+from daytally.llm.known import KnownIds
 from daytally.llm.words import BY_SPACE, EXACT, located_words, text_bytes
 from daytally.session import new_folder
 
@@ -81,50 +82,33 @@ class LibraryEncoder:
     """The tokenizers library over whole texts, each distinct word encoded once.
 
     Only for vocabularies that drop white space and whose rules see no further than a
-    word: then a text's ids are those of its words, one after another. Known words are
-    kept by their 64-bit hash, ascending, with the ids of all of them in one array.
+    word: then a text's ids are those of its words, one after another.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self._forget()
-
-    def _forget(self) -> None:
-        self._hashes, self._starts, self._lengths = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32)
-        self._ids = np.empty(0, f"<u{self.width}")
+        self._known = KnownIds(f"<u{self.width}", KNOWN)
 
     def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        """``hashes`` ascending and new."""
         found = []
         for low in range(0, len(words), 4096):
             some = [w.decode() for w in words[low : low + 4096]]
             found += [e.ids for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int32, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), self._ids.dtype, int(lengths.sum()))
-        at = np.searchsorted(self._hashes, hashes)
-        starts = np.cumsum(lengths) - lengths + len(self._ids)
-        self._hashes, self._lengths = np.insert(self._hashes, at, hashes), np.insert(self._lengths, at, lengths)
-        self._starts, self._ids = np.insert(self._starts, at, starts), np.concatenate([self._ids, flat])
-
-    def _known(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self._hashes, hashes)
-        return (at < len(self._hashes)) & (self._hashes[np.minimum(at, len(self._hashes) - 1)] == hashes) if len(self._hashes) else np.zeros(len(hashes), bool)
+        ids = np.fromiter((i for own in found for i in own), f"<u{self.width}", int(lengths.sum()))
+        self._known.learn(hashes, lengths, ids)
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Of runs of texts: the first text's number, all ids, and where each text's begin."""
         data, _ = text_bytes(texts)
         for first, _, hashes, bounds, starts, ends in located_words(texts, BY_SPACE, EXACT):
-            if len(self._hashes) > KNOWN:
-                self._forget()
+            self._known.make_room()
             distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
-            new = ~self._known(distinct)
+            new = self._known.missing(distinct)
             self._learn(distinct[new], [data[a:b].tobytes() for a, b in zip(starts[sample[new]], ends[sample[new]])])
-            at = np.searchsorted(self._hashes, distinct)[which]
-            lengths = self._lengths[at].astype(np.int64)
-            total = np.concatenate([[0], np.cumsum(lengths)])
-            gather = np.arange(total[-1]) + np.repeat(self._starts[at] - total[:-1], lengths)
-            yield first, self._ids[gather], total[bounds]
+            ids, before = self._known.ids_of(distinct, which)
+            yield first, ids, before[bounds]
 
 
 @cache

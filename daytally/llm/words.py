@@ -54,6 +54,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """Hashes of segments of ``data``, equal for equal bytes wherever they stand."""
+    n, size = len(data), PIECE
+    while size < n:
+        size *= 2
+    powers, inverses = _powers(size)
+    sums = np.empty(n + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(letters[data] * powers[:n], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))
+
+
 def _piece(data: np.ndarray, firsts: np.ndarray, is_word: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, starts and ends of the words of ``data``; a text begins at each of ``firsts``."""
     n = len(data)
@@ -67,14 +79,7 @@ def _piece(data: np.ndarray, firsts: np.ndarray, is_word: np.ndarray, letters: n
     ends_at = begins[1:].copy()
     ends_at[:-1] |= ~inside[1:]
     ends = np.flatnonzero(inside & ends_at) + 1
-    size = PIECE
-    while size < n:
-        size *= 2
-    powers, inverses = _powers(size)
-    sums = np.empty(n + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(letters[data] * powers[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64)), starts, ends
+    return segment_hashes(data, starts, ends, letters), starts, ends
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
