@@ -164,15 +164,20 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id",
     queries, candidates = packed(chosen.repartition(max(1, asked.count() // QUERY_BLOCK // 8)), QUERY_BLOCK, "query"), packed(classes, CANDIDATE_BLOCK, "candidate")
     names = ["ids", "least", *(n for n, _ in _PARTS)]
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_queries = max(1, queries.count())
-    slices = max(1, 2 * width // n_queries)
+    n_queries = queries.count()
+    slices = max(1, 2 * width // max(1, n_queries))
     # each block of queries meets each block of candidates: both keyed by (query block, slice)
-    left = queries.select("dim", "block", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), *(F.col(n).alias(f"q_{n}") for n in names))
-    numbers = queries.select("block", F.col("dim").alias("own")).groupBy("own").agg(F.collect_list("block").alias("blocks"))
-    right = candidates.join(F.broadcast(numbers), F.col("dim") == F.col("own")).select(
-        "dim", F.explode("blocks").alias("block"), F.pmod(F.xxhash64("block"), F.lit(slices)).cast("int").alias("slice"), *(F.col(n).alias(f"c_{n}") for n in names)
+    number = F.row_number().over(Window.orderBy("block")) - 1  # a row of one number for each query block
+    numbers = written(queries.select("block", "dim").withColumn("number", number), "numbers")
+    left = queries.drop("dim").join(numbers, "block").select(
+        "dim", "number", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), *(F.col(n).alias(f"q_{n}") for n in names)
     )
-    tiles = left.join(right, ["dim", "block", "slice"]).select("block", "dim", *(f"{s}_{n}" for s in "qc" for n in names))
+    every = F.explode(F.sequence(F.lit(0), F.lit(max(0, n_queries - 1)))).alias("number")
+    right = candidates.select(
+        F.col("dim").alias("own"), every, F.pmod(F.xxhash64("block"), F.lit(slices)).cast("int").alias("slice"), *(F.col(n).alias(f"c_{n}") for n in names)
+    )
+    met = left.join(right, ["number", "slice"]).filter(F.col("dim") == F.col("own"))
+    tiles = met.select(F.col("number").alias("block"), "dim", *(f"{s}_{n}" for s in "qc" for n in names))
     found = tiles.mapInArrow(lambda batches: _tiles(batches, keep), "q long, c long, least long, distance double")
     best = F.row_number().over(Window.partitionBy("q").orderBy("distance", "least"))
     merged = found.withColumn("place", best).filter(F.col("place") <= keep).select("q", "c", "distance")
