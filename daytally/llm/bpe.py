@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, cached_property
 from itertools import islice
 
 import numpy as np
@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from daytally.llm.common import tidily
 from daytally.llm.known import KnownIds
-from daytally.llm.words import EXACT, PIECE, segment_hashes, text_bytes
+from daytally.llm.words import EXACT, segment_hashes, text_bytes
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: how the byte-level vocabulary cuts a text into words.
@@ -35,16 +36,18 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 SETTLED = "Ͱ"
 #: First bytes of the UTF-8 forms of white space beyond ASCII.
 OTHER_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
-#: Pieces of text whose ids a Python worker knows before it starts anew: about 35 MB.
-KNOWN = 1 << 20
+#: Pieces of text whose ids a Python worker knows before it starts anew: about 20 MB.
+KNOWN = 1 << 19
 #: Encoded words held by a Python worker before it starts anew; memory only.
-CACHED = 150_000
+CACHED = 40_000
 #: Pairs of tokens of which a worker remembers whether they may stand together; likewise.
-PAIRS = 300_000
+PAIRS = 120_000
 #: Stands for the beginning of a word.
 START = (1 << 24) - 1
 #: Bytes of text whose words are held at a time.
-GROUP = 1 << 19
+GROUP = 1 << 18
+PIECE = 1 << 18
+SLICE = 1 << 20
 BLOCK = 1 << 16
 
 
@@ -75,7 +78,7 @@ class Encoder:
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.longest = max(map(len, self.ids))
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self._library = Tokenizer.from_file(path)
+        self._path = path
         self._made = {a + b: (rank, a, b) for (a, b), rank in self.ranks.items()}
         self._length = {i: len(token) for token, i in self.ids.items()}
         self._together: dict[int, bool] = {}
@@ -172,8 +175,8 @@ class Encoder:
         """Which texts :meth:`encode_plain` takes: not too long, without special tokens or
         first bytes that a white space beyond ASCII may have."""
         data, at = text_bytes(texts)
-        odd = np.concatenate([[0], np.cumsum(OTHER_SPACE[data])]) if len(data) else np.zeros(1, np.int64)
-        plain = (odd[at[1:]] == odd[at[:-1]]) & (np.diff(at) <= PIECE)
+        odd = np.flatnonzero(OTHER_SPACE[data[at[0] : at[-1]]]) + at[0]
+        plain = (np.searchsorted(odd, at[1:]) == np.searchsorted(odd, at[:-1])) & (np.diff(at) <= PIECE)
         for special in self.special:
             found = pc.match_substring(pc.fill_null(texts, ""), special)
             plain &= ~found.to_numpy(zero_copy_only=False)
@@ -211,6 +214,10 @@ class Encoder:
             ids, before = self._pieces.ids_of(distinct, which)
             yield first, ids, before[np.searchsorted(starts, np.append(firsts, len(own)))]
 
+    @cached_property
+    def _library(self) -> Tokenizer:
+        return Tokenizer.from_file(self._path)
+
     def _cut(self, text: str) -> Iterator[str]:
         if text.isascii() or max(text) < SETTLED:
             return (m.group() for m in WORDS.finditer(text))
@@ -246,12 +253,25 @@ class Decoder:
     """One vocabulary file: ids to text."""
 
     def __init__(self, path: str):
-        _, self.bytes_of, special, _ = _vocabulary(path)
-        self.bytes_of |= {i: s.encode() for s, i in special.items()}
-
-    def decode(self, ids: bytes) -> str:
-        """The text of ids, special tokens included; bytes that are no UTF-8 are replaced."""
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        _, bytes_of, special, _ = _vocabulary(path)
+        bytes_of |= {i: s.encode() for s, i in special.items()}
+        tokens = [bytes_of.get(i, b"") for i in range(max(bytes_of) + 1)]
+        self._lengths = np.array([*map(len, tokens)], np.int64)
+        self._starts = np.cumsum(self._lengths) - self._lengths
+        self._bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def texts(self, ids: np.ndarray, at: np.ndarray) -> pa.Array:
+        """The texts of ``ids``, the i-th from ``at[i]`` to ``at[i + 1]``; special tokens are
+        included, and bytes that are no UTF-8 are replaced."""
+        lengths = self._lengths[ids]
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        data = self._bytes[np.arange(before[-1]) + np.repeat(self._starts[ids] - before[:-1], lengths)]
+        offsets = pa.py_buffer(before[at].astype(np.int32))
+        found = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, offsets, pa.py_buffer(data)])
+        try:
+            return found.cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([x.decode("utf-8", "replace") for x in found.to_pylist()], pa.string())
 
 
 @cache
@@ -278,6 +298,48 @@ def groups(texts: pa.Array, size: int = GROUP) -> Iterator[tuple[int, int]]:
         yield first, len(lengths)
 
 
+def _as_binary(ids: np.ndarray, at: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * 4).astype(np.int32)), pa.py_buffer(ids)])
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Keys, all ids and where each text's begin, for some rows at a time."""
+    try:
+        yield from _encode_batches(batches, encoder(path))
+    finally:
+        encoder.cache_clear()  # reading the vocabulary takes a fifth of a second
+
+
+def _encode_batches(batches: Iterator[pa.RecordBatch], bpe: Encoder) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for a, b in groups(batch.column(1), SLICE):
+            some = batch.slice(a, b - a)
+            plain = pa.array(bpe.is_plain(some.column(1)))
+            easy, other = some.filter(plain), some.filter(pc.invert(plain))
+            for first, ids, at in bpe.encode_plain(easy.column(1)):
+                yield easy.column(0).slice(first, len(at) - 1), ids, at
+            for first, last in groups(other.column(1)):
+                texts = [t or "" for t in other.column(1).slice(first, last - first).to_pylist()]
+                found = bpe.encode(texts)
+                at = np.cumsum([0, *(len(f) // 4 for f in found)])
+                yield other.column(0).slice(first, last - first), np.frombuffer(b"".join(found), "<u4"), at
+
+
+def _keyed(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    return rows, rows.schema["key"].dataType.simpleString()
+
+
+def _rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    for keys, ids, at in _encoded(batches, path):
+        yield pa.RecordBatch.from_arrays([keys, _as_binary(ids, at)], names=["key", "ids"])
+
+
+def _both_ways(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    for keys, ids, at in _encoded(batches, path):
+        yield pa.RecordBatch.from_arrays([keys, _as_binary(ids, at), decoder(path).texts(ids, at)], names=["key", "ids", "decoded"])
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, ids) for every row: ``ids`` of the whole text, 4 bytes each, little endian.
 
@@ -285,41 +347,35 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
     null text is empty and has no ids; an empty table gives an empty result; equal rows
     give equal rows. Other columns do not pass.
     """
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows, kind = _keyed(docs, text, key)
+    return rows.mapInArrow(lambda batches: tidily(_rows(batches, path)), f"key {kind}, ids binary").withColumnRenamed("key", key)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
-        for batch in batches:
-            plain = bpe.is_plain(batch.column(1))
-            easy, other = batch.filter(pa.array(plain)), batch.filter(pa.array(~plain))
-            for first, ids, at in bpe.encode_plain(easy.column(1)):
-                n = len(at) - 1
-                offsets = pa.py_buffer((at * 4).astype(np.int32))
-                column = pa.Array.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(ids)])
-                yield pa.RecordBatch.from_arrays([easy.column(0).slice(first, n), column], names=["key", "ids"])
-            for a, b in groups(other.column(1)):
-                texts = [t or "" for t in other.column(1).slice(a, b - a).to_pylist()]
-                yield pa.RecordBatch.from_arrays([other.column(0).slice(a, b - a), pa.array(bpe.encode(texts), pa.binary())], names=["key", "ids"])
 
-    kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, ids binary").withColumnRenamed("key", key)
+def there_and_back(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, ids, decoded) for every row: as :func:`encode`, and the text that the ids decode
+    to, in one pass."""
+    rows, kind = _keyed(docs, text, key)
+    found = rows.mapInArrow(lambda batches: tidily(_both_ways(batches, path)), f"key {kind}, ids binary, decoded string")
+    return found.withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """``encoded`` with the text of its ids as column ``name``; null ids give null."""
+    """``encoded`` with the text of its ids as column ``name``, which replaces one of that
+    name. Special tokens are included, bytes that are no UTF-8 replaced; null ids give null."""
     if name in encoded.columns:
         encoded = encoded.drop(name)
     schema = T.StructType([*encoded.schema, T.StructField(name, T.StringType())])
     names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = decoder(path)
         for batch in batches:
-            column = batch.column(names.index(ids))
-            for a, b in groups(column):
+            for a, b in groups(batch.column(names.index(ids))):
                 own = batch.slice(a, b - a)
-                texts = [None if x is None else bpe.decode(x) for x in own.column(names.index(ids)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(texts, pa.string())], names=[*names, name])
+                column = own.column(names.index(ids))
+                data, at = text_bytes(column)
+                texts = decoder(path).texts(data[at[0] : at[-1]].view("<u4") if at[-1] > at[0] else np.empty(0, "<u4"), (at - at[0]) // 4)
+                texts = pc.if_else(column.is_null(), pa.scalar(None, pa.string()), texts)
+                yield pa.RecordBatch.from_arrays([*own.columns, texts], names=[*names, name])
 
     return encoded.mapInArrow(run, schema)
 

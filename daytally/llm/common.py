@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.session import new_folder
+from daytally.session import new_folder, settings
+
+#: Batches between Spark and Python while a table is written: what a task holds of texts.
+ARROW_BYTES = "8m"
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -14,12 +22,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession):
+    """For the time of a block, batches of ARROW_BYTES between Spark and Python."""
+    return settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES})
+
+
+def tidily(batches: Iterator) -> Iterator:
+    """The same batches; then the memory that a Python worker no longer needs goes back, as
+    it stays for tasks of other kinds."""
+    try:
+        yield from batches
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library may have none
+        if trim is not None:
+            trim(0)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared scratch folder: computed once, and there for every
     executor, so that no later loss of an executor computes it again."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

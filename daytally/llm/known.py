@@ -13,9 +13,9 @@ class KnownIds:
 
     def __init__(self, kind: str, most: int):
         self._kind, self._most = kind, most
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self._hashes, self._starts, self._lengths = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32)
         self._ids = np.empty(0, self._kind)
 
@@ -24,7 +24,7 @@ class KnownIds:
 
     def make_room(self) -> None:
         if len(self) > self._most:
-            self._forget()
+            self.forget()
 
     def missing(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self):

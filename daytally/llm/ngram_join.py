@@ -21,10 +21,11 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.common import maybe_in, written
+from daytally.llm.common import maybe_in, small_batches, tidily, written
 from daytally.llm.components import components
 from daytally.llm.words import distinct_sorted, hashed_words, mix, shingles
 
@@ -68,9 +69,10 @@ def _leading(batches: Iterator[pa.RecordBatch], sim: Similarity) -> Iterator[pa.
 def frequent(texts: DataFrame, sim: Similarity) -> tuple[np.ndarray, np.ndarray]:
     """Members that would have long lists, ascending by hash, and how many sets have them;
     the most frequent ones, as many as COUNTS. Only the order of members rests on it."""
-    members = texts.mapInArrow(lambda batches: _leading(batches, sim), "member long")
+    members = texts.mapInArrow(lambda batches: tidily(_leading(batches, sim)), "member long")
     counted = members.groupBy("member").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SHORT_LIST)
-    rows = counted.orderBy(F.desc("n"), "member").limit(COUNTS).toArrow()
+    with small_batches(texts.sparkSession):
+        rows = counted.orderBy(F.desc("n"), "member").limit(COUNTS).toArrow()
     members = rows["member"].to_numpy().view(np.uint64)
     order = np.argsort(members)
     return members[order], rows["n"].to_numpy()[order]
@@ -193,6 +195,7 @@ def _start_of_last(rows: list[np.ndarray]) -> int:
 
 
 BLOCK = 512
+BLOCK_BYTES = 1 << 20
 PIVOT_TURNS = 3
 #: Rows of one group that are sorted into blocks together.
 PART = 1 << 12
@@ -202,15 +205,24 @@ _HEADER_TYPE = "group long, low int, high int, one long, many boolean, rows int"
 
 def _blocks(batches: Iterator[pa.RecordBatch], payload: list[str]) -> Iterator[pa.RecordBatch]:
     """Rows (group, part, n, id, component, ...) sorted by the first three, as blocks of up
-    to BLOCK rows of one group and part: a header and the rows' columns as bytes."""
+    to BLOCK rows, and BLOCK_BYTES or one row, of one group and part: a header and the rows'
+    columns as bytes."""
     schema = pa.schema([*_HEADER, *((name, pa.binary()) for name in payload)])
     for batch in batches:
         group, part, n, component = (batch.column(name).to_numpy() for name in ("group", "part", "n", "component"))
         new = np.flatnonzero((group[1:] != group[:-1]) | (part[1:] != part[:-1])) + 1
+        held = np.zeros(len(batch), np.int64)
+        for name in payload:
+            if pa.types.is_binary(batch.schema.field(name).type):
+                held += pc.binary_length(batch.column(name)).to_numpy()
+        held = np.concatenate([[0], np.cumsum(held)])
         found = []
         for a, b in zip(np.append(0, new), np.append(new, len(batch))):
-            for low in range(a, b, BLOCK):
-                high = min(b, low + BLOCK)
+            high = a
+            while high < b:
+                low = high
+                fits = int(np.searchsorted(held, held[low] + BLOCK_BYTES, "right")) - 1
+                high = max(low + 1, min(b, low + BLOCK, fits))
                 own = component[low:high]
                 row = {"group": group[low], "low": n[low], "high": n[high - 1], "one": own[0], "many": bool((own != own[0]).any()), "rows": high - low}
                 found.append(row | {name: _bytes_of(batch.column(name).slice(low, high - low)) for name in payload})
@@ -346,7 +358,7 @@ def _sets_of(ids: DataFrame, rows: DataFrame, sim: Similarity) -> DataFrame:
     """(id, members): the whole sets of the documents ``ids``, read anew."""
     ids = written(ids.distinct(), "ids")
     needed = maybe_in(rows, "id", ids, "id").join(ids, "id", "left_semi")
-    return needed.mapInArrow(lambda batches: _set_rows(batches, sim), "id long, members array<long>")
+    return needed.mapInArrow(lambda batches: tidily(_set_rows(batches, sim)), "id long, members array<long>")
 
 
 def _links(pairs: DataFrame, rows: DataFrame, sim: Similarity) -> DataFrame:
@@ -418,14 +430,14 @@ def join(
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     known = frequent(rows.select("text"), sim)
-    signed = written(rows.mapInArrow(lambda batches: _signed(batches, sim, known), "id long, n int, fa long, fb long, prefix binary"), "signed")
+    signed = written(rows.mapInArrow(lambda batches: tidily(_signed(batches, sim, known)), "id long, n int, fa long, fb long, prefix binary"), "signed")
     same = ["n", "fa", "fb"]
     groups = written(signed.filter("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.first("prefix").alias("prefix")), "sets")
 
     posted = groups.filter("rep IS NOT NULL").select("rep", "n", "prefix")
     posted = posted.mapInArrow(lambda batches: _posted(batches, known, split_at), "member long, part int, id long, n int")
     lists = posted.repartition("member", "part").sortWithinPartitions("member", "part", "id")
-    found = written(lists.mapInArrow(lambda batches: _walk(batches, sim), _FOUND), "found")
+    found = written(lists.mapInArrow(lambda batches: tidily(_walk(batches, sim)), _FOUND), "found")
     long_rows = found.filter(F.col("kind") == LONG)
     heads = found.filter(F.col("kind") == HEAD).select("member", F.col("a").alias("b"), F.col("na").alias("nb"))
     least = heads.groupBy("member").agg(F.min("b").alias("a"), F.min_by("nb", "b").alias("na"))
@@ -454,7 +466,7 @@ def join(
     )
     apart = with_base.mapInArrow(_differences, "group long, id long, n int, component long, base int, lacks binary, beyond binary")
     same_pivot = _pairs_of_blocks(apart, ["id", "component", "n", "base", "lacks", "beyond"], sim)
-    links = links.unionByName(written(same_pivot.mapInArrow(lambda batches: _linked(batches, sim), "a long, b long"), "same_pivot"))
+    links = links.unionByName(written(same_pivot.mapInArrow(lambda batches: tidily(_linked(batches, sim)), "a long, b long"), "same_pivot"))
 
     several = pivots.select("id", "pivot").join(in_lists.select("member", "id", "n", "component"), "id")
     crossed = several.groupBy("member").agg(F.min("pivot").alias("low"), F.max("pivot").alias("high")).filter("low < high").select("member")

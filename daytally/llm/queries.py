@@ -33,8 +33,7 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), bpe.vocabulary())
-    return bpe_digests(bpe.decode(encoded, bpe.vocabulary()))
+    return bpe_digests(bpe.there_and_back(table(spark, sf_dir, "documents"), bpe.vocabulary()))
 
 
 def bpe_digests(decoded: DataFrame, *more: str) -> DataFrame:

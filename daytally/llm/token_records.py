@@ -102,7 +102,7 @@ class LibraryEncoder:
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Of runs of texts: the first text's number, all ids, and where each text's begin."""
         data, _ = text_bytes(texts)
-        for first, _, hashes, bounds, starts, ends in located_words(texts, BY_SPACE, EXACT):
+        for first, _, hashes, bounds, starts, ends in located_words(texts, BY_SPACE, EXACT, PIECE):
             self._known.make_room()
             distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
             new = self._known.missing(distinct)

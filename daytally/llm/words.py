@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -94,18 +94,18 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def located_words(
-    column: pa.Array, is_word: np.ndarray = BY_SPACE, letters: np.ndarray = LOWER
+    column: pa.Array, is_word: np.ndarray = BY_SPACE, letters: np.ndarray = LOWER, piece: int = PIECE
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Like :func:`hashed_words`, with the words' starts and ends in the column's bytes."""
     data, at = text_bytes(column)
     n, first = len(column), 0
     while first < n:
-        last = max(first + 1, int(np.searchsorted(at, at[first] + PIECE, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(at, at[first] + piece, "right")) - 1)
         low, high = int(at[first]), int(at[last])
-        if last == first + 1 and high - low > PIECE:
+        if last == first + 1 and high - low > piece:
             parts = []
             while low < high:
-                cut = min(low + PIECE, high)
+                cut = min(low + piece, high)
                 while cut < high and is_word[data[cut]]:
                     cut += 1
                 hashes, starts, ends = _piece(data[low:cut], np.zeros(1, np.int64), is_word, letters)

@@ -1,0 +1,103 @@
+"""Exact copies and mixing."""
+
+import hashlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from daytally.llm import exact_dedup, mixing
+from tests.llm.conftest import bag
+
+
+def test_marks_equal_brute_force(awkward):
+    rows = awkward.select("doc_id", "text").collect()
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r.text or ""].append(r.doc_id)
+    want = Counter()
+    for r in rows:
+        same = groups[r.text or ""]
+        ids = [i for i in same if i is not None]
+        want[r.doc_id, max(ids, default=None), len(same), hashlib.sha256((r.text or "").encode()).hexdigest()] += 1
+    got = exact_dedup.mark(awkward)
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got.collect()) == want
+    kept = got.filter("kept").select("text_sha256").collect()
+    assert len(kept) == len({k[0] for k in kept}) == len(groups)
+    assert got.filter("kept AND NOT doc_id <=> keep_id").isEmpty()
+
+
+def test_one_row_of_each_text_stays_with_its_columns(awkward, empty):
+    kept = exact_dedup.deduplicate(awkward)
+    assert kept.columns == awkward.columns
+    texts = [r.text or "" for r in kept.collect()]
+    assert len(texts) == len(set(texts)) == awkward.select(F.coalesce("text", F.lit(""))).distinct().count()
+    assert exact_dedup.deduplicate(empty).isEmpty()
+
+
+def test_only_possible_copies_shuffle(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', if(id < 400, id % 20, id)) AS text")
+    hashed = docs.select(F.xxhash64("text").alias("h"))
+    bitmaps = exact_dedup.repeat_filter(hashed, 1).collect()
+    assert len(bitmaps) == 1 and len(bitmaps[0]["bitmap"]) == exact_dedup.SLICE_BITS // 8
+    ones = sum(bin(b).count("1") for b in bitmaps[0]["bitmap"])
+    assert 20 <= ones < 40 + 3600 * 2 * 2 * 3600 / exact_dedup.SLICE_BITS
+    assert exact_dedup.mark(docs).filter("group_size = 20").count() == 400
+    assert exact_dedup.mark(docs).filter("kept").count() == 3620
+
+
+def test_a_full_filter_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "MAX_BITS", exact_dedup.SLICE_BITS)
+    docs = spark.range(60000).selectExpr("id AS doc_id", "concat('t', id % 50000) AS text")
+    assert exact_dedup.mark(docs).groupBy("group_size", "kept").count().orderBy("group_size", "kept").collect() == [
+        (1, True, 40000), (2, False, 10000), (2, True, 10000)
+    ]
+
+
+def fill(sizes):
+    """Targets by repeated sharing, in exact fractions."""
+    from fractions import Fraction
+
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    closed = {}
+    while True:
+        left = sum(sizes.values()) - sum(closed.values())
+        shares = sum(weight[s] for s in names if s not in closed)
+        goal = {s: Fraction(left * weight[s], shares) for s in names if s not in closed}
+        over = [s for s in goal if goal[s] > 3 * sizes[s]]
+        if not over:
+            return {**goal, **closed}
+        closed |= {s: 3 * sizes[s] for s in over}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_targets_equal_brute_force(spark, seed):
+    rows = spark.range(900).selectExpr(
+        "id AS doc_id", f"repeat('w ', cast(pow(10, 3 * (xxhash64(id, {seed}) % 100 + 100) / 200) as int)) AS text",
+        f"nullif(concat('s', cast(sqrt(abs(xxhash64(id + {seed}) % 400)) as int)), 's7') AS source",
+    )
+    planned = mixing.plan(rows).collect()
+    sizes = Counter()
+    for r in planned:
+        assert r.size == len((r.text or "").split())
+        sizes[r.source] += r.size
+    want = fill(sizes)
+    taken = Counter()
+    for r in planned:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(float(want[r.source]))
+        assert r.taken == r.copies * r.size <= 3 * r.size
+        assert r.copies in (int(r.rate), int(r.rate) + 1)
+        taken[r.source] += r.taken
+    assert sum(taken.values()) == pytest.approx(sum(sizes.values()), rel=0.25)
+
+
+def test_mix_takes_what_the_plan_says_and_reruns_agree(awkward, empty):
+    planned = mixing.plan(awkward)
+    assert planned.count() == awkward.count()
+    assert planned.filter("text IS NULL AND taken <> 0").isEmpty()
+    mixed = mixing.mix(awkward)
+    assert mixed.columns == awkward.columns
+    assert mixed.count() == planned.agg(F.sum("copies")).first()[0]
+    assert bag(mixed) == bag(mixing.mix(awkward))
+    assert mixing.plan(empty).isEmpty() and mixing.mix(empty).isEmpty()

@@ -1,0 +1,125 @@
+"""Encoding, decoding and record files, held against the library itself."""
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from daytally.llm import bpe, token_records
+
+PARTS = ["the", " The", "'s", "'ll", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "é", "́", "ñ", "漢字", "かな", "12", "½", "%%%", "<|endoftext|>", "<|startoftext|>", "\U0001f600", "‍", "İ", "ß", "a"]
+texts = st.lists(st.one_of(st.sampled_from(PARTS), st.characters(exclude_categories=["Cs"])), max_size=40).map("".join)
+
+
+@pytest.fixture(scope="module")
+def bytes_library():
+    return Tokenizer.from_file(bpe.vocabulary())
+
+
+@pytest.fixture(scope="module")
+def words_library():
+    return Tokenizer.from_file(token_records.vocabulary())
+
+
+def decoded(ids):
+    return bpe.decoder(bpe.vocabulary()).texts(np.array(ids, np.int64), np.array([0, len(ids)]))[0].as_py()
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts)
+def test_encoding_equals_the_library(bytes_library, text):
+    ids = bytes_library.encode(text, add_special_tokens=False).ids
+    own = bpe.encoder(bpe.vocabulary())
+    assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == ids
+    assert decoded(ids) == bytes_library.decode(ids, skip_special_tokens=False)
+    plain = pa.array([text, None, "x " + text])
+    if own.is_plain(plain).all():
+        found = [i[a:b].tolist() for _, i, at in own.encode_plain(plain) for a, b in zip(at, at[1:])]
+        assert found == [ids, [], bytes_library.encode("x " + text, add_special_tokens=False).ids]
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts)
+def test_words_of_the_library_equal_whole_texts(words_library, text):
+    own = token_records.encoder(token_records.vocabulary())
+    found = [ids[a:b].tolist() for _, ids, at in own.encode(pa.array([text, None, text])) for a, b in zip(at, at[1:])]
+    ids = words_library.encode(text, add_special_tokens=False).ids
+    assert found == [ids, [], ids]
+
+
+def test_walk_equals_the_merges_on_words_with_shared_prefixes():
+    own, rng = bpe.Encoder(bpe.vocabulary()), random.Random(1)
+    words = sorted({bytes(rng.choices(b"thean\xc3\xa9 ", k=rng.randint(1, 14))) for _ in range(3000)})
+    assert [[own.bytes_of[i] for i in ids] for ids in own.walk(words)] == [own.merged(w) for w in words]
+
+
+def test_forgetting_words_changes_nothing(monkeypatch):
+    for name in ("CACHED", "PAIRS", "KNOWN"):
+        monkeypatch.setattr(bpe, name, 5)
+    monkeypatch.setattr(token_records, "KNOWN", 5)
+    text = " ".join(f"word{i} thing{i}" for i in range(300))
+    a, b = bpe.Encoder(bpe.vocabulary()), Tokenizer.from_file(bpe.vocabulary())
+    for _ in range(3):
+        assert np.frombuffer(a.encode([text])[0], "<u4").tolist() == b.encode(text).ids
+        assert [x for _, ids, _ in a.encode_plain(pa.array([text])) for x in ids.tolist()] == b.encode(text).ids
+    own = token_records.LibraryEncoder(token_records.vocabulary())
+    want = own.library.encode(text, add_special_tokens=False).ids
+    for _ in range(3):
+        assert [x for _, ids, _ in own.encode(pa.array([text])) for x in ids.tolist()] == want
+
+
+def test_bytes_that_are_no_text_are_replaced(bytes_library):
+    for ids in ([222], [220, 222, 64], [128, 50256]):
+        assert decoded(ids) == bytes_library.decode(ids, skip_special_tokens=False)
+
+
+def test_awkward_rows_go_there_and_back(spark, awkward, empty, bytes_library):
+    encoded = bpe.encode(awkward, bpe.vocabulary())
+    assert encoded.columns == ["doc_id", "ids"]
+    back = bpe.decode(encoded, bpe.vocabulary(), name="ids_text").collect()
+    assert sorted((r.ids_text for r in back)) == sorted(r.text or "" for r in awkward.collect())
+    both = bpe.there_and_back(awkward, bpe.vocabulary())
+    assert sorted(r.decoded for r in both.collect()) == sorted(r.text or "" for r in awkward.collect())
+    assert both.select("doc_id", "ids").exceptAll(encoded).isEmpty()
+    assert bpe.encode(empty, bpe.vocabulary()).isEmpty() and bpe.there_and_back(empty, bpe.vocabulary()).isEmpty()
+    assert bpe.decode(spark.createDataFrame([(None, 1)], "ids binary, decoded int"), bpe.vocabulary()).collect() == [(None, None)]
+
+
+def test_record_files_round_trip(spark, awkward, empty, words_library):
+    folder = token_records.scratch(spark)
+    manifest = token_records.write(awkward, folder, token_records.vocabulary())
+    got = sorted(token_records.read(manifest).collect(), key=lambda r: r.start)
+    ids = [np.frombuffer(r.ids, "<u4").tolist() for r in got]
+    keys = [r.doc_id for r in got]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k or 0))
+    assert [r.start for r in got] == np.cumsum([0, *map(len, ids)])[:-1].tolist()
+    want = sorted((r.doc_id if r.doc_id is not None else -1, words_library.encode(r.text or "", add_special_tokens=False).ids + [2]) for r in awkward.collect())
+    assert sorted((k if k is not None else -1, x) for k, x in zip(keys, ids)) == want
+    for row in manifest.collect():
+        part = [x for r, x in zip(got, ids)][: row.n_records] if row.part == 0 else None
+        places = list(range(row.n_records))
+        random.Random(0).shuffle(places)
+        read = token_records.read_at(row.file, places, row.width)
+        assert sum(map(len, read)) == row.n_ids
+        if part is not None:
+            assert [r.tolist() for r in read] == [part[p] for p in places]
+    none = token_records.write(empty, token_records.scratch(spark), token_records.vocabulary())
+    assert token_records.read(none).isEmpty()
+
+
+def test_a_broken_record_is_noticed(tmp_path):
+    good = token_records.frame(b"abc") + token_records.frame(b"")
+    for at in range(len(good)):
+        broken = good[:at] + bytes([good[at] ^ 1]) + good[at + 1 :]
+        with pytest.raises(ValueError):
+            [*token_records.unframed(pa.BufferReader(broken))]
+    for cut in range(1, len(token_records.frame(b"abc"))):
+        with pytest.raises(ValueError):
+            [*token_records.unframed(pa.BufferReader(good[:cut]))]
+    assert [*token_records.unframed(pa.BufferReader(good))] == [b"abc", b""]
+    assert token_records.masked(b"abc") != zlib.crc32(b"abc")
