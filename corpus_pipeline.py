@@ -37,8 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of each document's whole text."""
-    decoded = bpe.decode(bpe.encode(docs, bpe.vocabulary()), bpe.vocabulary())
-    return bpe_digests(decoded, "ids")
+    return bpe_digests(bpe.there_and_back(docs, bpe.vocabulary()), "ids")
 
 
 STAGES: list[tuple[str, Stage]] = [
