@@ -5,11 +5,11 @@ WINDOW words that begins where the text itself says: at the least hash of each s
 places (a stretch is so long that every passage of LONGEST_APART words and more holds a
 whole paragraph). Equal passages then have equal paragraphs wherever they stand.
 
-Paragraphs with equal words are one class. Classes that collide in a band are compared
-by the exact Jaccard similarity of their word shingles, and similar ones are clustered by
+Paragraphs with equal words are one class. Classes that collide in a band, and whose bitmaps
+of shingles differ in no more bits than those of similar ones can, are compared by the exact Jaccard similarity of their word shingles, and similar ones are clustered by
 components. Of a cluster the paragraphs of the document with the smallest id stay. Runs of
-paragraphs make passages; one that its paragraphs do not prove to be long is held against
-all runs of that length around the paragraph.
+paragraphs make passages; their ends, and all of one that its paragraphs do not prove to be
+long, are held against all runs of that length around the paragraph.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ STRETCH = PASSAGE - WINDOW
 RECALL = 0.95
 #: Bands of one MinHash each that similar paragraphs collide in with this probability.
 BANDS = ceil(log(1 - RECALL) / log(1 - SIMILARITY))
-SHORT_LIST = 16
-NEIGHBOURS = 3
+#: Shingles that two similar paragraphs do not share, at most.
+APART = int(2 * (WINDOW - WORDS + 1) * (1 - SIMILARITY) / (1 + SIMILARITY))
 ROWS = 1 << 17
 #: Bits of a filter sent with a task: 2 MB. More keys let more rows pass; joins are exact.
 FILTER_BITS = 1 << 24
@@ -98,19 +98,14 @@ def _paragraphs(column: pa.Array) -> Iterator[tuple]:
             continue
         text, place = np.concatenate(texts), np.concatenate(places)
         own = shingles[place[:, None] + np.arange(WINDOW - WORDS + 1)]
-        bands = np.stack([_least(own * _ODD[2 + i], i) for i in range(BANDS)])
-        close = (own * _ODD[5]).min(axis=1)
-        whole = reduce(lambda x, y: x * _ODD[0] + y, [own[:, j] for j in range(0, WINDOW - WORDS + 1, WORDS)])
-        # similar paragraphs often have the upper bits in common, so that sorting brings them together
-        kind = (mix(close) & ~np.uint64((1 << 40) - 1)) | (mix(whole) >> np.uint64(24))
+        bands = np.stack([mix((own * _ODD[2 + i]).min(axis=1) + np.uint64(i)) for i in range(BANDS)])
+        kind = mix(reduce(lambda x, y: x * _ODD[0] + y, [own[:, j] for j in range(0, WINDOW - WORDS + 1, WORDS)]))
         yield first, text, place, kind, bands, own, hashes, bounds
 
 
-def _least(own: np.ndarray, band: int) -> np.ndarray:
-    """The least value of each row and its place in it. With the place, paragraphs of one
-    text that overlap do not collide for the words they have in common."""
-    at = own.argmin(axis=1)
-    return mix(own[np.arange(len(own)), at] + np.uint64(band) + at.astype(np.uint64) * _ODD[0])
+def _marks(own: np.ndarray) -> np.ndarray:
+    """64 bits of each row of shingles: those of similar paragraphs differ in APART at most."""
+    return np.bitwise_or.reduce(np.uint64(1) << (own * _ODD[4] >> np.uint64(58)), axis=1)
 
 
 def _column(x: np.ndarray) -> pa.Array:
@@ -128,8 +123,9 @@ def _occurrences(batches: Iterator[pa.RecordBatch], wanted: bytes | None = None)
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, _, _, kind, bands, _, _, _ in _paragraphs(batch.column(1)):
-            yield pa.RecordBatch.from_arrays([_column(bands.ravel()), _column(np.tile(kind, BANDS))], names=["band", "class"])
+        for _, _, _, kind, bands, own, _, _ in _paragraphs(batch.column(1)):
+            columns = [bands.ravel(), np.tile(kind, BANDS), np.tile(_marks(own), BANDS)]
+            yield pa.RecordBatch.from_arrays([_column(c) for c in columns], names=["band", "class", "marks"])
 
 
 def _with_shingles(batches: Iterator[pa.RecordBatch], wanted: bytes) -> Iterator[pa.RecordBatch]:
@@ -174,48 +170,58 @@ def _may(keys: np.ndarray, wanted: bytes | None) -> np.ndarray:
     return (np.frombuffer(wanted, np.uint8)[slot >> 3] >> (slot & 7) & 1).astype(bool)
 
 
-def _collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes from rows (band, class) sorted by both: all pairs of a short list,
-    and of a long one each class with the first and with its neighbours."""
+def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Runs of whole lists from rows (list, class, marks) sorted by the first two, each once."""
     held: list[list[np.ndarray]] = []
-    count, cut = 0, None
-
-    def lists(rows: list[np.ndarray]) -> pa.RecordBatch:
-        band, kind = rows
-        new = np.concatenate([[True], (band[1:] != band[:-1]) | (kind[1:] != kind[:-1])])
-        band, kind = band[new], kind[new]
-        first = np.concatenate([[True], band[1:] != band[:-1]])
-        lengths = np.diff(np.append(np.flatnonzero(first), len(band)))
-        owner, size = np.cumsum(first), np.repeat(lengths, lengths)
-        long = (size > SHORT_LIST) | (band == cut)
-        head = np.repeat(kind[first], lengths)
-        left, right = [head[long & ~first]], [kind[long & ~first]]
-        for lag in range(1, min(SHORT_LIST, len(band))):
-            use = owner[lag:] == owner[:-lag]
-            if lag > NEIGHBOURS:
-                use &= ~long[lag:]
-            if not use.any():
-                break
-            left.append(kind[:-lag][use])
-            right.append(kind[lag:][use])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+    count = 0
+
+    def distinct(rows: list[np.ndarray]) -> list[np.ndarray]:
+        new = np.concatenate([[True], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])])
+        return [c[new] for c in rows]
 
     for batch in batches:
+        if not len(batch):
+            continue
         held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
         count += len(batch)
-        if count < ROWS:
+        if count < ROWS or held[0][0][0] == held[-1][0][-1]:
             continue
         rows = [np.concatenate(x) for x in zip(*held)]
-        other = np.flatnonzero(rows[0] != rows[0][-1])
-        last = int(other[-1]) + 1 if len(other) else 0
-        if last:
-            yield lists([c[:last] for c in rows])
-            held, count = [[c[last:] for c in rows]], len(rows[0]) - last
-        else:  # a list longer than memory goes in pieces, joined by their last class
-            yield lists(rows)
-            cut, held, count = rows[0][-1], [[c[-1:] for c in rows]], 1
+        last = int(np.flatnonzero(rows[0] != rows[0][-1])[-1]) + 1
+        yield distinct([c[:last] for c in rows])
+        held, count = [[c[last:] for c in rows]], len(rows[0]) - last
     if count:
-        yield lists([np.concatenate(x) for x in zip(*held)])
+        yield distinct([np.concatenate(x) for x in zip(*held)])
+
+
+def _pairs(lists: np.ndarray, kind: np.ndarray, marks: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """All pairs within lists whose marks do not rule similarity out."""
+    found, count, lag, at, bits = [], 0, 0, np.arange(len(lists)), marks.view(np.uint64)
+    while True:
+        lag += 1
+        at = at[: np.searchsorted(at, len(lists) - lag)]
+        at = at[lists[at + lag] == lists[at]]
+        if len(at):
+            use = at[np.bitwise_count(bits[at] ^ bits[at + lag]) <= APART]
+            found.append((kind[use], kind[use + lag]))
+            count += len(use)
+        if found and (count >= ROWS or not len(at)):
+            a, b = (np.concatenate(x) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            found, count = [], 0
+        if not len(at):
+            return
+
+
+def _collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in _whole_lists(batches):
+        yield from _pairs(*rows)
+
+
+def _candidates(rows: DataFrame) -> DataFrame:
+    """(a, b): the pairs of classes that collide in a band and may be similar."""
+    banded = rows.mapInArrow(_banded, "band long, class long, marks long").repartition("band").sortWithinPartitions("band", "class")
+    return banded.mapInArrow(_collisions, "a long, b long").distinct()
 
 
 def _similar(pairs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -239,8 +245,7 @@ def clusters(rows: DataFrame) -> DataFrame:
     themselves or with similar ones; ``keeper`` is the smallest document of the cluster."""
     counted = rows.mapInArrow(lambda batches: _occurrences(batches), "class long, id long, start long").groupBy("class")
     repeated = written(counted.agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high"), "repeated")
-    banded = rows.mapInArrow(_banded, "band long, class long").repartition("band").sortWithinPartitions("band", "class")
-    pairs = written(banded.mapInArrow(_collisions, "a long, b long").filter("a != b").distinct(), "pairs")
+    pairs = written(_candidates(rows), "pairs")
     links, of_pairs = _similar(pairs, rows)
     labels = written(components(links), "labels").withColumnRenamed("node", "class")
     near = labels.join(of_pairs, "class")
@@ -276,7 +281,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     islands = written(islands.select("id", F.col("start").alias("low"), F.col("end").alias("high")), "islands")
     inside = pieces.join(islands, "id").filter("start >= low AND end <= high")
     proven = inside.filter(F.col("high") - F.col("low") >= PASSAGE).select("id", "start", "end", "cluster", "keeper")
-    open_ = written(inside.filter(F.col("high") - F.col("low") < PASSAGE).select("id", "start", "class", "cluster", "keeper"), "open")
+    at_end = (F.col("start") == F.col("low")) | (F.col("end") == F.col("high"))
+    open_ = written(inside.filter(at_end | (F.col("high") - F.col("low") < PASSAGE)).select("id", "start", "class", "cluster", "keeper"), "open")
     open_classes = _filter(open_.select("class").distinct(), "class")
     runs = written(rows.mapInArrow(lambda batches: _around(batches, open_classes), "run long, id long, start long").distinct(), "runs")
     again = runs.groupBy("run").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("run")

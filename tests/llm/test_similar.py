@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,33 @@ def test_nearly_equal_passages_are_clustered(spark):
     assert {r.doc_id for r in rows} >= {2 * n + 1 for n in range(40)}
 
 
+def paragraphs_of(texts):
+    """{class: set of shingles} by the module's own paragraphs."""
+    return {int(k): frozenset(own.tolist()) for _, _, _, kind, _, owns, _, _ in passages._paragraphs(pa.array(texts)) for k, own in zip(kind.view(np.int64), owns)}
+
+
+def cluster_of(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    return {r["class"]: r.cluster for r in passages.clusters(rows).collect()}
+
+
+def test_similar_paragraphs_of_different_documents_meet(spark):
+    rng = random.Random(11)
+    texts, pairs = [], []
+    for _ in range(100):
+        words = prose(rng, 150).split()
+        changed = words.copy()
+        for i in rng.sample(range(150), 2):
+            changed[i] = f"new{rng.randrange(10**6)}"
+        two = [" ".join(words), " ".join(changed)]
+        texts += two
+        x, y = map(paragraphs_of, ([t] for t in two))
+        pairs += [(a, b) for a in x for b in y if a != b and 5 * len(x[a] & y[b]) >= 4 * len(x[a] | y[b])]
+    found = cluster_of(spark, texts)
+    assert len(pairs) > 50
+    assert sum(a in found and found[a] == found.get(b) for a, b in pairs) >= 0.9 * len(pairs)
+
+
 def test_removal_leaves_one_copy(spark, awkward, empty):
     rng = random.Random(8)
     passage, a, b, c = prose(rng, 90), prose(rng, 30), prose(rng, 30), prose(rng, 30)
