@@ -40,6 +40,8 @@ RECALL = 0.95
 BANDS = ceil(log(1 - RECALL) / log(1 - SIMILARITY))
 #: Shingles that two similar paragraphs do not share, at most.
 APART = int(2 * (WINDOW - WORDS + 1) * (1 - SIMILARITY) / (1 + SIMILARITY))
+#: All pairs of a band up to this length are looked at; a longer one is split first.
+SHORT_LIST = 16
 ROWS = 1 << 17
 #: Bits of a filter sent with a task: 2 MB. More keys let more rows pass; joins are exact.
 FILTER_BITS = 1 << 24
@@ -194,8 +196,11 @@ def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]
         yield distinct([np.concatenate(x) for x in zip(*held)])
 
 
+_PAIRED = "a long, b long, marks long"
+
+
 def _pairs(lists: np.ndarray, kind: np.ndarray, marks: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """All pairs within lists whose marks do not rule similarity out."""
+    """All pairs within lists whose marks do not rule similarity out; without marks."""
     found, count, lag, at, bits = [], 0, 0, np.arange(len(lists)), marks.view(np.uint64)
     while True:
         lag += 1
@@ -207,13 +212,32 @@ def _pairs(lists: np.ndarray, kind: np.ndarray, marks: np.ndarray) -> Iterator[p
             count += len(use)
         if found and (count >= ROWS or not len(at)):
             a, b = (np.concatenate(x) for x in zip(*found))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64())], names=["a", "b", "marks"])
             found, count = [], 0
         if not len(at):
             return
 
 
 def _collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of classes from rows (band, class, marks): all pairs of a short list. A long one
+    gives rows (list, class, marks) of shorter lists: marks that differ in APART bits at most
+    are equal in one of APART + 1 parts, so that similar classes still meet."""
+    width = -(-64 // (APART + 1))
+    for band, kind, marks in _whole_lists(batches):
+        first = np.concatenate([[True], band[1:] != band[:-1]])
+        lengths = np.diff(np.append(np.flatnonzero(first), len(band)))
+        long = np.repeat(lengths, lengths) > SHORT_LIST
+        yield from _pairs(band[~long], kind[~long], marks[~long])
+        if not long.any():
+            continue
+        bits = marks[long].view(np.uint64)
+        for part in range(APART + 1):
+            own = (bits >> np.uint64(part * width)) & np.uint64((1 << width) - 1)
+            lists = mix(mix(band[long].view(np.uint64) + own) + np.uint64(part))
+            yield pa.RecordBatch.from_arrays([_column(lists), pa.array(kind[long]), pa.array(marks[long])], names=["a", "b", "marks"])
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in _whole_lists(batches):
         yield from _pairs(*rows)
 
@@ -221,7 +245,10 @@ def _collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _candidates(rows: DataFrame) -> DataFrame:
     """(a, b): the pairs of classes that collide in a band and may be similar."""
     banded = rows.mapInArrow(_banded, "band long, class long, marks long").repartition("band").sortWithinPartitions("band", "class")
-    return banded.mapInArrow(_collisions, "a long, b long").distinct()
+    found = written(banded.mapInArrow(_collisions, _PAIRED), "collisions")
+    split = found.filter("marks IS NOT NULL").repartition("a").sortWithinPartitions("a", "b")
+    met = split.mapInArrow(_met, _PAIRED)
+    return found.filter("marks IS NULL").unionByName(met).select("a", "b").distinct()
 
 
 def _similar(pairs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -172,6 +172,20 @@ def test_similar_paragraphs_of_different_documents_meet(spark):
     assert sum(a in found and found[a] == found.get(b) for a, b in pairs) >= 0.9 * len(pairs)
 
 
+def test_similar_paragraphs_around_a_very_common_phrase_meet(spark):
+    rng = random.Random(12)
+    phrases = [prose(rng, 5) for _ in range(20000)]
+    least = [int((passages._runs(next(passages.hashed_words(pa.array([p])))[2], 5, passages._ODD[0]) * passages._ODD[2])[0]) for p in phrases]
+    phrase = phrases[least.index(min(least))]
+    texts = []
+    for n in range(300):
+        before, after = prose(rng, 10), prose(rng, 9)
+        texts += [f"{before} {phrase} {after} one{n}", f"{before} {phrase} {after} two{n}"]
+    found = cluster_of(spark, texts)
+    clusters = [{found.get(k) for k in paragraphs_of(texts[2 * n : 2 * n + 2])} for n in range(300)]
+    assert all(len(c) == 1 and None not in c for c in clusters) and len(set.union(*clusters)) == 300
+
+
 def test_removal_leaves_one_copy(spark, awkward, empty):
     rng = random.Random(8)
     passage, a, b, c = prose(rng, 90), prose(rng, 30), prose(rng, 30), prose(rng, 30)
