@@ -124,10 +124,25 @@ def _occurrences(batches: Iterator[pa.RecordBatch], wanted: bytes | None = None)
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(band, class, marks), each once in about ROWS rows, so that a passage that very many
+    documents have is sent on a few times only."""
+    held: list[list[np.ndarray]] = []
+
+    def distinct() -> pa.RecordBatch:
+        band, kind, marks = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((kind, band))
+        band, kind, marks = band[order], kind[order], marks[order]
+        new = np.concatenate([[True], (band[1:] != band[:-1]) | (kind[1:] != kind[:-1])])
+        return pa.RecordBatch.from_arrays([_column(x[new]) for x in (band, kind, marks)], names=["band", "class", "marks"])
+
     for batch in batches:
         for _, _, _, kind, bands, own, _, _ in _paragraphs(batch.column(1)):
-            columns = [bands.ravel(), np.tile(kind, BANDS), np.tile(_marks(own), BANDS)]
-            yield pa.RecordBatch.from_arrays([_column(c) for c in columns], names=["band", "class", "marks"])
+            held.append([bands.ravel(), np.tile(kind, BANDS), np.tile(_marks(own), BANDS)])
+            if sum(len(x[0]) for x in held) >= ROWS:
+                yield distinct()
+                held = []
+    if held:
+        yield distinct()
 
 
 def _with_shingles(batches: Iterator[pa.RecordBatch], wanted: bytes) -> Iterator[pa.RecordBatch]:

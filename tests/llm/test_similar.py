@@ -186,6 +186,15 @@ def test_similar_paragraphs_around_a_very_common_phrase_meet(spark):
     assert all(len(c) == 1 and None not in c for c in clusters) and len(set.union(*clusters)) == 300
 
 
+def test_a_passage_of_very_many_documents_is_sent_on_once_a_run(monkeypatch):
+    rng = random.Random(13)
+    common = prose(rng, 60)
+    texts = pa.array([f"{prose(rng, 20)} {common}" for _ in range(500)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500)), texts], names=["id", "text"])
+    rows = [(r["band"], r["class"]) for out in passages._banded(iter([batch, batch])) for r in out.to_pylist()]
+    assert len(rows) == len(set(rows)) >= 500
+
+
 def test_removal_leaves_one_copy(spark, awkward, empty):
     rng = random.Random(8)
     passage, a, b, c = prose(rng, 90), prose(rng, 30), prose(rng, 30), prose(rng, 30)
