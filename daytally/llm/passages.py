@@ -70,15 +70,28 @@ def _runs(hashes: np.ndarray, k: int, step: np.uint64) -> np.ndarray:
 
 
 def _anchors(ranks: np.ndarray) -> np.ndarray:
-    """Places that are least in some stretch; of equal ones close together the first."""
+    """Places that are least in some stretch."""
     if len(ranks) <= STRETCH:
-        chosen = np.array([int(ranks.argmin())])
-    else:
-        least = _sliding(ranks, STRETCH, np.minimum)
-        padded = np.concatenate([np.zeros(STRETCH - 1, np.uint64), least, np.zeros(STRETCH - 1, np.uint64)])
-        chosen = np.flatnonzero(_sliding(padded, STRETCH, np.maximum) == ranks)
-    again = (ranks[chosen[1:]] == ranks[chosen[:-1]]) & (np.diff(chosen) < STRETCH)
-    return chosen[np.concatenate([[True], ~again])]
+        return np.array([int(ranks.argmin())])
+    least = _sliding(ranks, STRETCH, np.minimum)
+    padded = np.concatenate([np.zeros(STRETCH - 1, np.uint64), least, np.zeros(STRETCH - 1, np.uint64)])
+    return np.flatnonzero(_sliding(padded, STRETCH, np.maximum) == ranks)
+
+
+def _thinned(text: np.ndarray, place: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Which paragraphs stay: of equal ones in a row, in repetitive text, the first, the last
+    and enough between them that no word and no stretch is left without one."""
+    same = (kind[1:] == kind[:-1]) & (text[1:] == text[:-1]) & (np.diff(place) <= WINDOW)
+    inner = np.concatenate([[False], same[1:] & same[:-1], [False]])[: len(kind)]
+    keep, last = np.ones(len(kind), bool), 0
+    for i in np.flatnonzero(inner):
+        if not inner[i - 1]:
+            last = place[i - 1]
+        if place[i + 1] - last <= WINDOW:
+            keep[i] = False
+        else:
+            last = place[i]
+    return keep
 
 
 def _paragraphs(column: pa.Array) -> Iterator[tuple]:
@@ -99,9 +112,11 @@ def _paragraphs(column: pa.Array) -> Iterator[tuple]:
         if not texts:
             continue
         text, place = np.concatenate(texts), np.concatenate(places)
+        kind = mix(reduce(lambda x, y: x * _ODD[0] + y, [shingles[place + j] for j in range(0, WINDOW - WORDS + 1, WORDS)]))
+        keep = _thinned(text, place, kind)
+        text, place, kind = text[keep], place[keep], kind[keep]
         own = shingles[place[:, None] + np.arange(WINDOW - WORDS + 1)]
         bands = np.stack([mix((own * _ODD[2 + i]).min(axis=1) + np.uint64(i)) for i in range(BANDS)])
-        kind = mix(reduce(lambda x, y: x * _ODD[0] + y, [own[:, j] for j in range(0, WINDOW - WORDS + 1, WORDS)]))
         yield first, text, place, kind, bands, own, hashes, bounds
 
 

@@ -195,6 +195,20 @@ def test_a_passage_of_very_many_documents_is_sent_on_once_a_run(monkeypatch):
     assert len(rows) == len(set(rows)) >= 500
 
 
+def test_repetitive_passages_are_found_whole(spark):
+    rng = random.Random(14)
+    line = prose(rng, 10)
+    texts = ["same " * 80, "same " * 2000, f"{line} " * 200]
+    for text, ends in zip(texts, (0, 0, 10)):
+        (_, _, place, *_), = passages._paragraphs(pa.array([text]))
+        n = len(text.split())
+        assert place[0] <= ends and n - place[-1] - passages.WINDOW <= ends
+        assert (np.diff(place) <= passages.WINDOW).all() and len(place) <= n // 10
+    docs = spark.createDataFrame([(10 * n + c, t) for n, t in enumerate(texts) for c in (0, 1)], "doc_id long, text string")
+    rows = passages.passages(docs).collect()
+    assert all(len(covered(rows, 10 * n + c)) >= len(t.split()) - ends for n, (t, ends) in enumerate(zip(texts, (0, 0, 20))) for c in (0, 1))
+
+
 def test_removal_leaves_one_copy(spark, awkward, empty):
     rng = random.Random(8)
     passage, a, b, c = prose(rng, 90), prose(rng, 30), prose(rng, 30), prose(rng, 30)
