@@ -26,8 +26,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by similar shingle sets the one with the smallest id."""
-    return ngram_join.one_of_each(docs)
+    """Of each group of documents linked by similar shingle sets (five words, 80 %) the one
+    with the smallest id."""
+    return ngram_join.one_of_each(docs, ngram_join.Similarity(words=5, percent=80))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

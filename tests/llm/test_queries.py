@@ -1,5 +1,7 @@
 """Registered queries against their SQL, and the pipeline against its stages."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ import corpus_pipeline
 from daytally.llm import oracle, queries
 from daytally.llm.common import table
 from tests.compare import differences, duck
-from tests.llm.conftest import bag
+from tests.llm.conftest import bag, prose
 from tests.llm.test_similar import brute_components
 
 
@@ -41,6 +43,17 @@ def test_stages_of_the_pipeline(spark, sf_dir):
         assert stages[name](spark, docs, sf_dir).columns == docs.columns
 
 
+def test_near_copies_go_by_five_words_and_four_fifths(spark, sf_dir):
+    rng = random.Random(5)
+    words = prose(rng, 1000).split()
+    changed = [f"new{i}" if i % 46 == 45 else w for i, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(changed)), (3, prose(rng, 100))]
+    firsts = {c for _, _, c in brute_components(rows, 5, 80)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert firsts == {1, 3} and {c for _, _, c in brute_components(rows)} == {1, 2, 3}
+    assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["ngram_join"](spark, docs, sf_dir).collect()} == firsts
+
+
 def test_pipeline_is_its_stages_in_turn(spark, sf_dir):
     whole = corpus_pipeline.run(spark, sf_dir)
     assert whole.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
