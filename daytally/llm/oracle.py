@@ -93,5 +93,104 @@ SELECT query_id, (row_number() OVER near)::INT AS rank, vec_id, score FROM score
 WINDOW near AS (PARTITION BY query_id ORDER BY score, vec_id) QUALIFY row_number() OVER near <= 10"""
 
 
+def _nearest(codebook: str) -> str:
+    """Each part with its nearest entry, ties to the lower one."""
+    return f"""
+SELECT r, p, any_value(x) AS x, min(struct_pack(d := d, e := e)) AS best FROM (
+  SELECT a.r, a.p, a.x, c.e, list_reduce(list_transform(range(1, len(a.x) + 1), lambda i: (a.x[i] - c.x[i]) * (a.x[i] - c.x[i])), lambda u, v: u + v) AS d
+  FROM parted a JOIN {codebook} c USING (p)
+) GROUP BY r, p"""
+
+
+def _averaged(codebook: str, assigned: str) -> str:
+    return f"""
+SELECT c.p, c.e, coalesce(m.x, c.x) AS x FROM {codebook} c LEFT JOIN (
+  SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS x FROM (
+    SELECT p, best.e AS e, i, sum(x[i]) AS s, count(*) AS n FROM {assigned}, range(1, len(x) + 1) t(i) GROUP BY ALL
+  ) GROUP BY p, e
+) m USING (p, e)"""
+
+
+OP11 = f"""
+WITH usable AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(embedding) % 16 = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parted AS (SELECT r, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS x FROM usable, range(16) t(p)),
+book0 AS (SELECT p, r AS e, x FROM parted WHERE r < 64),
+near0 AS ({_nearest("book0")}), book1 AS ({_averaged("book0", "near0")}),
+near1 AS ({_nearest("book1")}), book2 AS ({_averaged("book1", "near1")}),
+near2 AS ({_nearest("book2")}),
+coded AS (
+  SELECT vec_id, label, code, error FROM usable JOIN (
+    SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near2 GROUP BY r
+  ) USING (r)
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM coded"""
+
+
+def _framed(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR END"
+
+
+def _leaf(**changed: str) -> str:
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    return f"sha256({' || '.join(_framed(changed.get(c, c)) for c in columns)})"
+
+
+def _crc32(text: str) -> str:
+    """Bit by bit, as there is no such function."""
+    bits = f"list_transform(range(8 * len({text})), lambda i: CASE WHEN i % 8 = 0 THEN ascii(({text})[i // 8 + 1]) ELSE 0 END::BIGINT)"
+    step = "xor(xor(crc, b) >> 1, (xor(crc, b) & 1) * 3988292384)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda crc, b: {step}), 4294967295)"
+
+
+def _climbed(tree: str, nodes: str) -> str:
+    return f"""{tree} AS (
+  SELECT grp, 0 AS level, place AS i, n, h FROM {nodes}
+  UNION ALL
+  SELECT grp, level + 1, i // 2, max((n + 1) // 2), sha256(string_agg(h, '' ORDER BY i)) FROM {tree} WHERE n > 1 GROUP BY grp, level, i // 2
+)"""
+
+
+def _steps(name: str, tree: str, nodes: str) -> str:
+    return f"""{name} AS (
+  SELECT l.grp, l.place, list(CASE WHEN t.i % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(s.h, '') ORDER BY t.level) AS steps
+  FROM {nodes} l JOIN {tree} t ON t.grp IS NOT DISTINCT FROM l.grp AND t.i = l.place >> t.level AND t.n > 1
+  LEFT JOIN {tree} s ON s.grp IS NOT DISTINCT FROM t.grp AND s.level = t.level AND s.i = xor(t.i, 1)
+  GROUP BY l.grp, l.place
+)"""
+
+
+OP12 = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, lang AS grp, {_leaf()} AS h,
+         CASE WHEN doc_id IS NOT NULL AND {_crc32("doc_id::VARCHAR")} % 7 = 0 THEN {_leaf(n_chars="n_chars + 1")} ELSE {_leaf()} END AS seen
+  FROM documents
+),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS place, count(*) OVER (PARTITION BY grp) AS n FROM hashed
+),
+{_climbed("tree", "leaves")},
+tops AS (SELECT 0 AS grp, grp AS lang, h, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM tree WHERE n = 1),
+{_climbed("upper", "tops")},
+{_steps("inner_steps", "tree", "leaves")},
+{_steps("outer_steps", "upper", "tops")},
+joined AS (
+  SELECT l.doc_id, l.h AS leaf, l.seen, t.h AS subroot, (SELECT h FROM upper WHERE n = 1) AS root,
+         list_concat(coalesce(i.steps, []), coalesce(o.steps, [])) AS steps
+  FROM leaves l JOIN tops t ON t.lang IS NOT DISTINCT FROM l.grp
+  LEFT JOIN inner_steps i ON i.grp IS NOT DISTINCT FROM l.grp AND i.place = l.place
+  LEFT JOIN outer_steps o ON o.place = t.place
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256,
+       list_reduce(list_prepend(seen, steps), lambda below, s: CASE WHEN s[1] = 'L' THEN sha256(s[2:] || below) ELSE sha256(below || s[2:]) END) AS folded_root,
+       folded_root = root AS verified
+FROM joined"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1, "op2_knn": OP2, "op4_ngram_join": OP4, "op9_exact_dedup": OP9}
+    return {"op1_mixing": OP1, "op2_knn": OP2, "op4_ngram_join": OP4, "op9_exact_dedup": OP9, "op11_part_codes": OP11, "op12_merkle": OP12}

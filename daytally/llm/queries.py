@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import bpe, exact_dedup, knn, mixing, ngram_join, passages, pii, quality, token_records, toxicity
+from daytally.llm import bpe, exact_dedup, knn, merkle, mixing, ngram_join, packing, part_codes, passages, pii, quality, token_records, toxicity
 from daytally.llm.common import table
 from daytally.llm.training import in_fold
 
@@ -79,6 +79,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(quality.score(docs, weights), in_fold(3, 1, "doc_id"))
 
 
+def op11_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = part_codes.compress(table(spark, sf_dir, "embeddings"))
+    rows = part_codes.with_label_error(codes)
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.struct(*[(F.col(c) + 1 if c == "n_chars" else F.col(c)).alias(c) for c in merkle.COLUMNS])
+    picked = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, tampered)
+    rows = merkle.verified(merkle.manifest(docs, picked))
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), packing.vocabulary())
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "step")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -91,4 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": op8_pii,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_quality": op10_quality,
+        "op11_part_codes": op11_part_codes,
+        "op12_merkle": op12_merkle,
+        "op13_packing": op13_packing,
     }

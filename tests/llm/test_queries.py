@@ -22,7 +22,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_all_are_registered():
     names = entry.queries().keys()
-    assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")}
     assert "pipeline" in names and oracle.oracle_sql().items() <= entry.oracle_sql().items()
 
 
