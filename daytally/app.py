@@ -13,7 +13,7 @@ from daytally.schemas import GAZETTEER, SAMPLE_CSV, nullable
 from daytally.session import new_folder
 from daytally.sources import files, topics
 from daytally.streaming import jobs
-from daytally.streaming.changelog import changelog_from_topic, compact, create_tables, fold_changelog
+from daytally.streaming.changelog import changelog_from_topic, compact, create_tables, fold_changelog, publish_ready
 
 DATABASE = "daily_report"
 
@@ -78,10 +78,9 @@ def stream(
     intake = jobs.start_intake(read_messages(spark, topic, servers), root, **trigger)
     if once:
         jobs.finish([intake])
-    reports = []
-    for report in REPORTS.values():
-        send = partial(topics.send_topic, servers=servers, topic=f"{changelogs}{report.name}") if servers and changelogs else None
-        reports.append(jobs.start_report(report, jobs.stream_raw(spark, root), root, run, send, **trigger))
+    streams = [(report, jobs.stream_raw(spark, root)) for report in REPORTS.values()]
+    send = {name: partial(topics.send_topic, servers=servers, topic=f"{changelogs}{name}") for name in REPORTS} if servers and changelogs else {}
+    reports = jobs.start_reports(streams, root, run, send, **trigger)
     if once:
         jobs.finish(reports)
     else:
@@ -103,6 +102,8 @@ def tables(
         queries.append(jobs.start_rejects(spark, report, root, messages, **trigger))
     if once:
         jobs.finish(queries)
+        for report in REPORTS.values():
+            publish_ready(spark, report, f"{root}/{report.name}")
     else:
         jobs.serve(spark, queries)
 

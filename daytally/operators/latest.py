@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daytally.operators.reports import Report
@@ -33,21 +33,27 @@ def first_version(run: int) -> int:
     return run << _BATCH_BITS
 
 
-def latest_rows(report: Report, changes: DataFrame, keep_version: bool = False) -> DataFrame:
-    """One row per key of ``report``, taken from the row with the highest version.
+def run_column() -> Column:
+    return F.shiftright(VERSION, _BATCH_BITS)
+
+
+def latest_rows(report: Report, changes: DataFrame, keep_version: bool = False, apart: Column | None = None) -> DataFrame:
+    """One row per key of ``report``, taken from the row with the highest version; rows that
+    differ in ``apart`` each keep one of their own.
 
     Partial aggregation before the shuffle keeps one row per key and task, so a key
     with very many versions costs no more than any other.
     """
+    keys = [F.col(k) for k in report.key_names] + ([] if apart is None else [apart.alias("_apart")])
     version = F.max(VERSION).alias(VERSION)
     if report.keys_may_merge:
         # Rows of one version can differ here; break the tie by value so that the
         # result does not depend on the order of arrival.
         newest = F.max(F.struct(VERSION, *report.measure_names)).alias("newest")
-        rows = changes.groupBy(*report.key_names).agg(newest).select(*report.key_names, "newest.*")
+        rows = changes.groupBy(*keys).agg(newest).select(*report.key_names, "newest.*")
     else:
         picked = [F.max_by(m, VERSION).alias(m) for m in report.measure_names]
-        rows = changes.groupBy(*report.key_names).agg(*picked, version)
+        rows = changes.groupBy(*keys).agg(*picked, version)
     return rows.select(*report.columns, *([VERSION] if keep_version else []))
 
 

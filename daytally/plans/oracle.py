@@ -249,6 +249,7 @@ def oracle_sql() -> dict[str, str]:
         "changelog_latest": days,
         "changelog_compacted": event_products,
         "replay_idempotent": days,
+        "publish_run": _e(f"SELECT ts_date, {_SUMS}, TRUE AS pu_in_bound, 0 AS lost FROM e GROUP BY ts_date"),
         "sql_daily_records": _e(f"SELECT {_READABLE} FROM e WHERE {_REASON} = 'good'"),
         "sql_quarantine": _e(
             f"SELECT {_REASON} AS reason, CAST(count(*) AS BIGINT) AS n FROM e WHERE {_REASON} <> 'good' GROUP BY ALL"

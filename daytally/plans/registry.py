@@ -56,6 +56,7 @@ STREAM: dict[str, Query] = {
     "changelog_latest": stream.changelog_latest,
     "changelog_compacted": stream.changelog_compacted,
     "replay_idempotent": stream.replay_idempotent,
+    "publish_run": stream.publish_run,
     "sql_daily_records": stream.sql_daily_records,
     "sql_quarantine": stream.sql_quarantine,
 }

@@ -219,6 +219,37 @@ def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _check_users(spark, sf_dir, report, tidy(read_report(spark, report, f"{root}/{report.name}")))
 
 
+def publish_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two waves go through a first run. A second one begins when the last wave is there, in
+    batches of a file each; between them its table is read: ``lost`` counts the days that
+    were then seen with less revenue than before."""
+    report, root, feed = DAILY_PU_REV, new_folder(spark, "stream"), new_folder(spark, "feed")
+    path, messages, lost = f"{root}/{report.name}", event_messages(spark, sf_dir), []
+    for number, part in enumerate(waves()):
+        append_topic_files(messages.filter(part), feed, f"wave-{number}")
+        if number < len(waves()) - 1:
+            jobs.finish([jobs.start_report(report, jobs.records_of(read_topic_files(spark, feed)), root, **NOW)])
+            jobs.finish([jobs.start_consumer(spark, report, root, **NOW)])
+    before = written_rows(read_report(spark, report, path), "before").select("ts_date", F.col("daily_rev").alias("before"))
+
+    def look(_: DataFrame | None) -> None:
+        jobs.finish([jobs.start_consumer(spark, report, root, **NOW)])
+        both = before.join(read_report(spark, report, path), "ts_date", "left")
+        lost.append(both.filter(F.coalesce("daily_rev", F.lit(0.0)) < F.col("before") - 0.005).count())
+
+    again = jobs.records_of(read_topic_files(spark, feed, maxFilesPerTrigger="1"))
+    jobs.finish([jobs.start_report(report, again, root, run=1, send=look, **NOW)])
+    look(None)
+    rows = _check_users(spark, sf_dir, report, tidy(read_report(spark, report, path)))
+    return rows.withColumn("lost", F.lit(sum(lost)))
+
+
+def written_rows(rows: DataFrame, name: str) -> DataFrame:
+    path = new_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def _sql_tables(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """What ad-hoc SQL finds after the damaged feed was taken in; the database goes again."""
     root, database = new_folder(spark, "stream"), f"daily_report_{uuid.uuid4().hex}"

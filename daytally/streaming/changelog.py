@@ -17,6 +17,7 @@ a time; writers and readers go on meanwhile.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daytally.functions.envelope import RAW, REASON, encode, inspect
-from daytally.operators.latest import ARRIVED, OFFSET, VERSION, first_version, fold_of, latest_rows, run_of, version_of
+from daytally.operators.latest import ARRIVED, OFFSET, VERSION, first_version, fold_of, latest_rows, run_column, run_of, version_of
 from daytally.operators.reports import Report
 from daytally.schemas import RECORD_FIELDS
 from daytally.session import (
@@ -39,6 +40,7 @@ from daytally.session import (
     settings,
 )
 from daytally.sources.files import batch_limit
+from daytally.streaming.publication import in_runs, in_runs_sql, publish, published_runs, waiting
 
 MESSAGE = T.StructType().add("value", T.StringType()).add(VERSION, T.LongType())
 
@@ -70,29 +72,37 @@ def write_version(rows: DataFrame, path: str, run: int, batch: int) -> None:
 
 
 def write_changes(report: Report, typed: DataFrame, path: str, run: int, batch: int) -> None:
-    """Append one consumer batch, reduced to the newest row per key."""
-    rows = latest_rows(report, typed, keep_version=True)
+    """Append one consumer batch, reduced to the newest row per key and run: a newer run may
+    be hidden from readers yet."""
+    rows = latest_rows(report, typed, keep_version=True, apart=run_column())
     _write_once(rows, f"{path}/{PART}={version_of(run, batch)}")
 
 
 def fold_changelog(spark: SparkSession, report: Report, path: str) -> int | None:
-    """Make the newest message of each key, of all complete versions so far, one version.
+    """Make the newest message of each key, of all complete versions of a run, one version.
 
     It stands for them: a consumer that has read some of them reads the same totals
-    again, one that has not finds them all. Returns the fold's version.
+    again, one that has not finds them all. Each run has a fold of its own, as a newer one
+    may be hidden yet. Returns the fold of the newest run.
     """
-    newest = newest_complete(spark, path, VERSION)
-    if newest is None or newest == fold_of(newest):
+    complete = [v for v in folder_numbers(spark, path, VERSION) if is_complete(spark, f"{path}/{VERSION}={v}")]
+    folds = [_fold_run(spark, report, path, [v for v in complete if run_of(v) == run]) for run in sorted({run_of(v) for v in complete})]
+    return folds[-1] if folds else None
+
+
+def _fold_run(spark: SparkSession, report: Report, path: str, versions: list[int]) -> int:
+    """Fold a run's complete ``versions``, highest first."""
+    newest, folds = versions[0], [v for v in versions if v == fold_of(v)]
+    if folds[:1] == [newest]:
         return newest
-    folds = [v for v in folder_numbers(spark, path, VERSION) if v == fold_of(v) and is_complete(spark, f"{path}/{VERSION}={v}")]
-    messages = read_changelog(spark, path).filter(F.col(VERSION) <= newest)
+    messages = read_changelog(spark, path).filter(F.col(VERSION).between(first_version(run_of(newest)), newest))
     keyed = inspect(messages, report.message_schema, required=report.key_names, carry=[VERSION])
     keys = [F.col(k) for k in report.key_names]
     good = keyed.filter(F.col(REASON).isNull()).groupBy(*keys).agg(F.max_by(RAW, VERSION).alias("value")).select("value")
     rejected = keyed.filter(F.col(REASON).isNotNull()).select(F.col(RAW).alias("value"))
     _write_once(good.unionByName(rejected), f"{path}/{VERSION}={fold_of(newest)}")
     for old in folder_numbers(spark, path, VERSION) if folds else []:
-        if old < folds[0]:
+        if first_version(run_of(newest)) <= old < folds[0]:
             remove_folder(spark, f"{path}/{VERSION}={old}")
     return fold_of(newest)
 
@@ -202,17 +212,46 @@ def newest_part(spark: SparkSession, root: str) -> int | None:
     return max([*_newest_parts(spark, root).values(), *(snapshot.parts if snapshot else ())], default=None)
 
 
-def read_changes(spark: SparkSession, report: Report, root: str) -> DataFrame:
+def read_changes(spark: SparkSession, report: Report, root: str, hidden: bool = False) -> DataFrame:
     """All rows a reader must look at: the newest snapshot, and of each run the parts
-    after those in it, whenever they were written."""
+    after those in it, whenever they were written; with ``hidden``, those of runs that are
+    not published as well."""
     columns = [*report.columns, VERSION]
     schema = changes_schema(report)
+    runs = [] if hidden else published_runs(spark, root)
     changes = spark.read.schema(changes_schema(report).add(PART, T.LongType())).parquet(ensure_folder(spark, f"{root}/changes"))
     snapshot = newest_snapshot(spark, root)
     if snapshot is None:
-        return changes.select(columns)
+        return changes.select(columns).filter(in_runs(runs))
     folded = spark.read.schema(schema).parquet(snapshot.path)
-    return folded.select(columns).unionByName(changes.filter(~snapshot.holds()).select(columns))
+    return folded.select(columns).unionByName(changes.filter(~snapshot.holds()).select(columns)).filter(in_runs(runs))
+
+
+def runs_in_full(spark: SparkSession, report: Report, root: str) -> list[int]:
+    """Runs that have caught up and whose totals, as they were then, are all in the table:
+    they may be published. Usually none is waiting, and nothing is read."""
+    ready = []
+    for version in waiting(spark, root):
+        run, path = run_of(version), f"{root}/changelog"
+        # What was written by then may have been folded since.
+        folds = [v for v in folder_numbers(spark, path, VERSION) if v == fold_of(v) and run_of(v) == run and v >= version]
+        written = read_changelog(spark, path).filter(F.col(VERSION).between(first_version(run), min(folds, default=version)))
+        typed = to_report_types(report, written).filter(F.col(REASON).isNull())
+        wanted = typed.groupBy(*report.key_names).agg(F.max(VERSION).alias(VERSION))
+        there = read_changes(spark, report, root, hidden=True).filter(in_runs([run]))
+        there = there.groupBy(*report.key_names).agg(F.max(VERSION).alias("_there"))
+        if wanted.join(there, report.key_names, "left").filter(F.coalesce("_there", F.lit(-1)) < F.col(VERSION)).isEmpty():
+            ready.append(run)
+    return ready
+
+
+def publish_ready(spark: SparkSession, report: Report, root: str, sink: Callable[[DataFrame], None] | None = None) -> None:
+    """Let readers see the runs that have caught up and are in the table; ``sink`` gets all
+    rows of such a run first."""
+    for run in runs_in_full(spark, report, root):
+        if sink is not None:
+            sink(latest_rows(report, read_changes(spark, report, root, hidden=True).filter(in_runs([run])), keep_version=True))
+        publish(spark, root, run)
 
 
 def read_report(spark: SparkSession, report: Report, root: str) -> DataFrame:
@@ -244,8 +283,10 @@ def compact(spark: SparkSession, report: Report, root: str) -> Snapshot | None:
     if before:
         folded = spark.read.schema(changes_schema(report)).parquet(before[0].path).select(columns)
         changes = folded.unionByName(changes.filter(~before[0].holds()).select(columns))
+    # Rows that are hidden yet stand beside those that readers see.
+    apart = F.when(in_runs(published_runs(spark, root)), -1).otherwise(run_column())
     (
-        latest_rows(report, changes.select(columns), keep_version=True)
+        latest_rows(report, changes.select(columns), keep_version=True, apart=apart)
         .repartitionByRange(*report.key_names)
         .sortWithinPartitions(*report.key_names)
         .write.mode("overwrite")
@@ -268,7 +309,8 @@ def create_tables(spark: SparkSession, database: str, root: str, reports: list[R
     the keyed view that ad-hoc SQL reads, ``<report>_text`` the same as text, the form of
     a keyed store. Once there is an intake, ``daily_records`` holds one row per record id
     and ``quarantine`` the bad messages. A filter on a key passes through to the files.
-    Call it again to see newly added parts, or to start from a new snapshot.
+    Call it again to see newly added parts and published runs, or to start from a new
+    snapshot.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/{database}'")
     for report in reports:
@@ -280,11 +322,12 @@ def create_tables(spark: SparkSession, database: str, root: str, reports: list[R
         )
         spark.sql(f"MSCK REPAIR TABLE {table}_changes SYNC PARTITIONS")
         columns = ", ".join([*report.columns, VERSION])
-        source = f"SELECT {columns} FROM {table}_changes"
+        seen = in_runs_sql(published_runs(spark, folder))
+        source = f"SELECT {columns} FROM {table}_changes WHERE {seen}"
         snapshot = newest_snapshot(spark, folder)
         if snapshot is not None:
             held = " OR ".join(f"{PART} BETWEEN {first_version(run_of(p))} AND {p}" for p in snapshot.parts)
-            source = f"SELECT {columns} FROM parquet.`{snapshot.path}` UNION ALL {source} WHERE NOT ({held})"
+            source = f"SELECT {columns} FROM parquet.`{snapshot.path}` WHERE {seen} UNION ALL {source} AND NOT ({held})"
         keys = ", ".join(report.key_names)
         newest = f"max(struct({VERSION}, {', '.join(report.measure_names)}))"
         picked = ", ".join(

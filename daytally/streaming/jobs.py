@@ -7,7 +7,7 @@ means as soon as possible.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +26,13 @@ from daytally.streaming.changelog import (
     fold_changelog,
     messages_for_topic,
     newest_part,
+    publish_ready,
     stream_changelog,
     to_report_types,
     write_changes,
     write_version,
 )
+from daytally.streaming.publication import begin_run, in_runs, is_behind, mark_caught_up, published_runs
 
 WATERMARK = "1 minute"
 
@@ -145,16 +147,60 @@ def start_report(
 ) -> StreamingQuery:
     """Keep a report's totals and write each change of them to its changelog.
 
-    ``run`` numbers fresh starts. Batch numbers begin at 0 again with a new
-    checkpoint, so a run must have a higher number than the one before it. ``send``
-    gets each batch as keyed messages too, for a topic. The changelog is folded after
-    every ``fold_every`` batches.
+    ``run`` numbers fresh starts. Each run has a checkpoint of its own and batch numbers
+    that begin at 0, so a fresh one must have a higher number than the one before it.
+    ``send`` gets each batch as keyed messages too, for a topic. The changelog is folded
+    after every ``fold_every`` batches. A later run than the first has read all there is
+    before this function returns; until then readers do not see it (see ``publication``).
     """
-    spark = records.sparkSession
-    name = f"report-{report.name}"
+    return start_reports([(report, records)], root, run, {report.name: send}, fold_every, **trigger)[0]
+
+
+def start_reports(
+    streams: Sequence[tuple[Report, DataFrame]],
+    root: str,
+    run: int = 0,
+    send: Mapping[str, Callable[[DataFrame], None] | None] | None = None,
+    fold_every: int = FOLD_EVERY,
+    **trigger: Any,
+) -> list[StreamingQuery]:
+    """Several reports at once, as :func:`start_report`; ``send`` is by the report's name.
+
+    Those of a fresh run first read, side by side, what there is now. That Spark ends a
+    query of this trigger when it is through is what tells that they have caught up.
+    """
+    start = lambda report, records, how: _start_changelog(report, records, root, run, (send or {}).get(report.name), fold_every, how)
+    queries: dict[str, StreamingQuery] = {}
+    for report, records in streams:
+        spark, folder = records.sparkSession, f"{root}/{report.name}"
+        if not folder_exists(spark, f"{_progress(root, report, run)}/offsets"):
+            _refuse_old_run(f"{folder}/changelog", newest_complete(spark, f"{folder}/changelog", VERSION), run)
+        begin_run(spark, folder, run)
+        if is_behind(spark, folder, run):
+            queries[report.name] = start(report, records, AVAILABLE_NOW)
+    finish([*queries.values()])
+    for report, records in streams:
+        if report.name in queries:
+            mark_caught_up(records.sparkSession, f"{root}/{report.name}", run)
+        if report.name not in queries or trigger != AVAILABLE_NOW:
+            queries[report.name] = start(report, records, trigger)
+    return [queries[report.name] for report, _ in streams]
+
+
+def _progress(root: str, report: Report, run: int) -> str:
+    return checkpoint(root, f"report-{report.name}" + (f"-{run}" if run else ""))
+
+
+def _start_changelog(
+    report: Report,
+    records: DataFrame,
+    root: str,
+    run: int,
+    send: Callable[[DataFrame], None] | None,
+    fold_every: int,
+    trigger: dict[str, Any],
+) -> StreamingQuery:
     path = f"{root}/{report.name}/changelog"
-    if not folder_exists(spark, f"{checkpoint(root, name)}/offsets"):
-        _refuse_old_run(path, newest_complete(spark, path, VERSION), run)
 
     def write(rows: DataFrame, batch: int) -> None:
         write_version(rows, path, run, batch)
@@ -166,12 +212,12 @@ def start_report(
     writer = (
         report.aggregate(records.select(*dict.fromkeys([*report.inputs, "ts"])))
         .writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint(root, name))
+        .option("checkpointLocation", _progress(root, report, run))
         .outputMode("update")
     )
     # The watermark closes nothing here, so a batch without data, run only because it
     # moved, would do nothing but cost a commit of all state partitions.
-    with settings(spark, {**STATE_SETTINGS, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+    with settings(records.sparkSession, {**STATE_SETTINGS, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
         return _start(writer, trigger)
 
 
@@ -197,7 +243,8 @@ def start_consumer(
     of its own and reads all of it again. Rows keep their version, so reading a
     message twice, or late, does not change the keyed table. ``messages`` is a changelog
     from elsewhere, such as a topic; ``sink`` gets the newest row of each key and batch
-    as well, with its version. The table is compacted after every ``fold_every`` batches.
+    as well, with its version, and of a run that readers do not see yet all rows at the
+    moment they do. The table is compacted after every ``fold_every`` batches.
     """
     source = stream_changelog(spark, f"{root}/{report.name}/changelog") if messages is None else messages
     typed = to_report_types(report, source)
@@ -205,10 +252,14 @@ def start_consumer(
     if not folder_exists(spark, f"{progress}/offsets"):
         _refuse_old_run(path, newest_part(spark, f"{root}/{report.name}"), run)
 
+    publish_ready(spark, report, f"{root}/{report.name}", sink)
+
     def write(rows: DataFrame, batch: int) -> None:
+        session, folder = rows.sparkSession, f"{root}/{report.name}"
         write_changes(report, rows, path, run, batch)
         if sink is not None:
-            sink(latest_rows(report, rows, keep_version=True))
+            sink(latest_rows(report, rows.filter(in_runs(published_runs(session, folder))), keep_version=True))
+        publish_ready(session, report, folder, sink)
         if batch % fold_every == fold_every - 1:
             compact(rows.sparkSession, report, f"{root}/{report.name}")
 

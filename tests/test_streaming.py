@@ -14,7 +14,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from daytally.functions.envelope import RAW, REASON, good, inspect
-from daytally.operators.latest import fold_of, latest_records, version_of
+from daytally.operators.latest import fold_of, latest_records, run_of, version_of
 from daytally.operators.reports import DAILY_ADDRESS, DAILY_CATEGORY_PRODUCT, DAILY_PU_REV, REPORTS
 from daytally.sources.files import read_topic_files, topic_messages
 from daytally.session import MARKER_SETTING
@@ -25,6 +25,7 @@ from daytally.streaming.changelog import (
     create_tables,
     fold_changelog,
     newest_snapshot,
+    publish_ready,
     read_changelog,
     read_changes,
     read_report,
@@ -32,6 +33,7 @@ from daytally.streaming.changelog import (
     write_changes,
     write_version,
 )
+from daytally.streaming.publication import published_runs
 
 NOW = jobs.AVAILABLE_NOW
 
@@ -331,6 +333,72 @@ def test_failure_in_one_query_is_raised(spark, root):
     spark.streams.resetTerminated()
 
 
+# Runs that are published when they have caught up
+
+
+@pytest.mark.parametrize("report", REPORTS.values(), ids=list(REPORTS))
+def test_a_fresh_run_is_seen_only_when_it_has_caught_up(spark, root, report):
+    """A reader looks between all batches of a fresh run, by function and by SQL: it sees what
+    it saw before, until all totals are there; then the new ones, with the latest records."""
+    feed, path, database = f"{root}/feed", f"{root}/{report.name}", f"seen_{report.name}"
+    for n in range(3):
+        put(feed, f"f{n}", [message(i, day=1 + i % 3) for i in range(n * 4, n * 4 + 4)], at=1_700_000_000 + n)
+    run_report(spark, report, root, feed)
+    before = bag(run_table(spark, report, root))
+    put(feed, "f3", [message(i, day=2) for i in range(20, 25)], at=1_700_000_100)
+    after, seen, sunk = bag(batch_result(spark, report, feed)), [], []
+
+    def look(_):
+        query = jobs.start_consumer(spark, report, root, sink=lambda rows: sunk.extend(run_of(r.version) for r in rows.collect()), **NOW)
+        jobs.finish([query])
+        create_tables(spark, database, root, [report])
+        seen.append(bag(read_report(spark, report, path)))
+        assert bag(spark.table(f"{database}.{report.name}")) == seen[-1]
+        if len(seen) == 2:
+            compact(spark, report, path)
+            fold_changelog(spark, report, f"{path}/changelog")
+
+    records = jobs.records_of(read_topic_files(spark, feed, maxFilesPerTrigger="1"))
+    jobs.finish([jobs.start_report(report, records, root, run=1, send=look, **NOW)])
+    assert len(seen) == 4 and all(rows == before != after for rows in seen)
+    assert 1 not in sunk
+    look(None)
+    assert seen[-1] == after and sunk.count(1) >= len(after)
+    compact(spark, report, path)
+    assert bag(run_table(spark, report, root, run=1)) == after
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_a_run_that_crashed_stays_hidden_and_the_old_one_goes_on(spark, root):
+    feed, path = f"{root}/feed", f"{root}/daily_pu_rev"
+    for n in range(2):
+        put(feed, f"f{n}", [message(n)], at=1_700_000_000 + n)
+    run_report(spark, DAILY_PU_REV, root, feed)
+    run_table(spark, DAILY_PU_REV, root)
+    crashes = [True]
+
+    def fail(_):
+        if crashes.pop():
+            raise RuntimeError("lost")
+        crashes.append(False)
+
+    start = lambda: jobs.start_report(
+        DAILY_PU_REV, jobs.records_of(read_topic_files(spark, feed, maxFilesPerTrigger="1")), root, run=1, send=fail, **NOW
+    )
+    with pytest.raises(StreamingQueryException, match="lost"):
+        start()
+    assert [r.daily_rev for r in run_table(spark, DAILY_PU_REV, root).collect()] == [16.0]
+    put(feed, "f2", [message(2)], at=1_700_000_100)
+    run_report(spark, DAILY_PU_REV, root, feed)
+    assert [r.daily_rev for r in run_table(spark, DAILY_PU_REV, root).collect()] == [24.0]
+    assert published_runs(spark, path) == [0]
+    crashes.append(False)
+    jobs.finish([start()])
+    assert [r.daily_rev for r in run_table(spark, DAILY_PU_REV, root).collect()] == [24.0]
+    publish_ready(spark, DAILY_PU_REV, path)
+    assert published_runs(spark, path) == [1, 0]
+
+
 # Keyed tables
 
 
