@@ -14,6 +14,7 @@ from daytally.session import new_folder
 from daytally.sources import files, topics
 from daytally.streaming import jobs
 from daytally.streaming.changelog import changelog_from_topic, compact, create_tables, fold_changelog, publish_ready
+from daytally.streaming.raw import fold
 
 DATABASE = "daily_report"
 
@@ -78,7 +79,7 @@ def stream(
     intake = jobs.start_intake(read_messages(spark, topic, servers), root, **trigger)
     if once:
         jobs.finish([intake])
-    streams = [(report, jobs.stream_raw(spark, root)) for report in REPORTS.values()]
+    streams = [(report, jobs.stream_raw(spark, root, report, run)) for report in REPORTS.values()]
     send = {name: partial(topics.send_topic, servers=servers, topic=f"{changelogs}{name}") for name in REPORTS} if servers and changelogs else {}
     reports = jobs.start_reports(streams, root, run, send, **trigger)
     if once:
@@ -116,7 +117,9 @@ def final(spark: SparkSession, topic: str, root: str, servers: str | None, delay
 
 
 def compact_all(spark: SparkSession, root: str) -> None:
-    """Fold every changelog and snapshot every report table, at any time."""
+    """Fold the intake and every changelog and snapshot every report table, at any time that
+    no streaming command folds."""
+    fold(spark, root)
     for report in REPORTS.values():
         fold_changelog(spark, report, f"{root}/{report.name}/changelog")
         compact(spark, report, f"{root}/{report.name}")

@@ -73,14 +73,15 @@ class Report:
         """Keys that are text in the stream but numbers here: two texts can be one number."""
         return any(isinstance(t, T.DoubleType) for _, t in self.keys)
 
-    def aggregate(self, records: DataFrame, exact: bool = False) -> DataFrame:
+    def aggregate(self, records: DataFrame, exact: bool = False, *more: Column) -> DataFrame:
         """Group and total. Every aggregate has a map-side part, so a day that holds a
         third of all rows still sends only its partial results through the shuffle.
 
         ``exact`` counts users exactly; Spark then first reduces to (key, user) pairs,
-        spread by both. A stream cannot do that and keeps the estimate.
+        spread by both. A stream cannot do that and keeps the estimate. ``more`` are
+        aggregates beside the report's own.
         """
-        return records.groupBy(*self.key_names).agg(*[m.expression(exact) for m in self.measures])
+        return records.groupBy(*self.key_names).agg(*[m.expression(exact) for m in self.measures], *more)
 
 
 def _users() -> Measure:

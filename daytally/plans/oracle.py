@@ -148,6 +148,11 @@ def _stacked(pu: str, product: str, address: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    sent_again = _e(
+        f"SELECT * REPLACE (CAST(CAST(value + 1 AS FLOAT) AS DOUBLE) AS price, "
+        "CAST(CAST(value + 1 AS FLOAT) AS DOUBLE) AS revenue, CAST(quantity + 1 AS INTEGER) AS quantity) "
+        f"FROM (SELECT {_READABLE}, value FROM e)"
+    ).replace("SELECT * REPLACE", "SELECT * EXCLUDE (value) REPLACE")
     days = _e(f"SELECT ts_date, {_SUMS}, TRUE AS pu_in_bound FROM e GROUP BY ts_date")
     products = f"{_PRODUCT_KEYS}, {_QUANTITY}, {_SUMS}"
     exact = _r(_stacked(
@@ -226,11 +231,9 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {_PRODUCT_KEYS}, {_QUANTITY}, {_SUMS}, {last_version} FROM r GROUP BY ALL"
         ),
         "upsert_daily_address": _r(f"SELECT {_PLACE_KEYS}, {_USERS}, {last_version} FROM r GROUP BY ALL"),
-        "stream_raw": _e(
-            f"SELECT * REPLACE (CAST(CAST(value + 1 AS FLOAT) AS DOUBLE) AS price, "
-            "CAST(CAST(value + 1 AS FLOAT) AS DOUBLE) AS revenue, CAST(quantity + 1 AS INTEGER) AS quantity) "
-            f"FROM (SELECT {_READABLE}, value FROM e)"
-        ).replace("SELECT * REPLACE", "SELECT * EXCLUDE (value) REPLACE"),
+        "stream_raw": sent_again,
+        "raw_folded": sent_again,
+        "sql_records_of_day": f"SELECT * FROM ({sent_again}) WHERE ts_date = DATE '2024-01-15'",
         "stream_daily_pu_rev": days,
         "stream_daily_category_product": event_products,
         "stream_daily_address": _e(f"SELECT DISTINCT {_PLACE_KEYS}, TRUE AS pu_in_bound FROM e"),

@@ -45,6 +45,8 @@ BATCH: dict[str, Query] = {
 
 STREAM: dict[str, Query] = {
     "stream_raw": stream.stream_raw,
+    "raw_folded": stream.raw_folded,
+    "sql_records_of_day": stream.sql_records_of_day,
     "stream_daily_pu_rev": stream.stream_daily_pu_rev,
     "stream_daily_category_product": stream.stream_daily_category_product,
     "stream_daily_address": stream.stream_daily_address,

@@ -36,6 +36,7 @@ from daytally.streaming.changelog import (
     read_report,
     to_report_types,
 )
+from daytally.streaming.raw import fold
 
 NOW = jobs.AVAILABLE_NOW
 
@@ -104,6 +105,33 @@ def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readable(rows)
 
 
+def _folded_raw(spark: SparkSession, sf_dir: str) -> str:
+    """The feed of :func:`stream_raw` in three parts: the last one, the other amounts of the
+    newest days, is not folded."""
+    root, feed = new_folder(spark, "stream"), new_folder(spark, "feed")
+    changed = {"price": F.col("price") + 1, "quantity": F.col("quantity") + 1, "revenue": F.col("revenue") + 1}
+    second, newest = to_messages(event_records(spark, sf_dir).withColumns(changed)), F.col("ts_date") >= _CUTS[1]
+    for number, messages in enumerate((event_messages(spark, sf_dir), second.filter(~newest), second.filter(newest))):
+        append_topic_files(messages, feed, f"wave-{number}")
+        jobs.finish([jobs.start_intake(read_topic_files(spark, feed), root, **NOW)])
+        if number < 2:
+            fold(spark, root)
+    return root
+
+
+def raw_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table from two folds and a part after them."""
+    return readable(jobs.read_records(spark, _folded_raw(spark, sf_dir)))
+
+
+def sql_records_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day of it by SQL, which opens that day's segments and the part that is not folded."""
+    root, database = _folded_raw(spark, sf_dir), f"daily_report_{uuid.uuid4().hex}"
+    create_tables(spark, database, root, [])
+    found = spark.sql(f"SELECT * FROM {database}.daily_records WHERE ts_date = DATE'2024-01-15'")
+    return readable(kept_without_database(found, database))
+
+
 def stream_daily_pu_rev(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _report_from_topic(spark, sf_dir, DAILY_PU_REV)
     rows = tidy(_latest_of_changelog(spark, root, DAILY_PU_REV))
@@ -141,7 +169,7 @@ def stream_daily_final(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run_chain(spark: SparkSession, root: str, feed: str, reports: list[Report]) -> None:
     """Decode once into the intake table, then all reports from it, then their tables."""
     jobs.finish([jobs.start_intake(read_topic_files(spark, feed), root, **NOW)])
-    jobs.finish([jobs.start_report(r, jobs.stream_raw(spark, root), root, **NOW) for r in reports])
+    jobs.finish([jobs.start_report(r, jobs.stream_raw(spark, root, r), root, **NOW) for r in reports])
     jobs.finish([jobs.start_consumer(spark, r, root, **NOW) for r in reports])
 
 

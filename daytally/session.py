@@ -128,6 +128,30 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move all files of a folder, its marker last; goes on where an earlier try ended.
+
+    Where the target is not there yet, that is one renaming. A store without folders renames
+    file by file; what it had moved before a crash stays, and the rest follows.
+    """
+    fs, old = _path(spark, source)
+    _, new = _path(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.exists(new) and fs.rename(old, new):
+        return
+    files, listed = [], fs.listFiles(old, True)
+    while listed.hasNext():
+        files.append(listed.next().getPath().toString())
+    base = fs.getFileStatus(old).getPath().toString()
+    for file in sorted(files, key=lambda f: (f.endswith(MARKER), f)):
+        _, into = _path(spark, target + file[len(base) :])
+        fs.mkdirs(into.getParent())
+        fs.delete(into, False)
+        if not fs.rename(_path(spark, file)[1], into):
+            raise OSError(f"cannot move {file}")
+    fs.delete(old, True)
+
+
 def newest_complete(spark: SparkSession, path: str, label: str) -> int | None:
     """The highest n of the complete folders ``label=n`` under ``path``."""
     numbers = folder_numbers(spark, path, label)

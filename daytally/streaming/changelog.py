@@ -25,9 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daytally.functions.envelope import RAW, REASON, encode, inspect
-from daytally.operators.latest import ARRIVED, OFFSET, VERSION, first_version, fold_of, latest_rows, run_column, run_of, version_of
+from daytally.operators.latest import VERSION, first_version, fold_of, latest_rows, run_column, run_of, version_of
 from daytally.operators.reports import Report
-from daytally.schemas import RECORD_FIELDS
 from daytally.session import (
     ensure_folder,
     folder_exists,
@@ -41,6 +40,7 @@ from daytally.session import (
 )
 from daytally.sources.files import batch_limit
 from daytally.streaming.publication import in_runs, in_runs_sql, publish, published_runs, waiting
+from daytally.streaming.raw import create_views
 
 MESSAGE = T.StructType().add("value", T.StringType()).add(VERSION, T.LongType())
 
@@ -66,9 +66,16 @@ def _write_once(rows: DataFrame, path: str) -> None:
         rows.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
-def write_version(rows: DataFrame, path: str, run: int, batch: int) -> None:
-    """Write one micro-batch of a report as JSON messages."""
-    _write_once(encode(rows), f"{path}/{VERSION}={version_of(run, batch)}")
+def write_version(rows: DataFrame, path: str, run: int, batch: int, *carry: str) -> None:
+    """Write one micro-batch of a report as JSON messages; columns ``carry`` beside them."""
+    _write_once(encode(rows, *carry), f"{path}/{VERSION}={version_of(run, batch)}")
+
+
+def last_part(spark: SparkSession, path: str, run: int, batch: int) -> int:
+    """The newest part of the intake that a micro-batch had rows of; -1 if it is not told."""
+    folder = f"{path}/{VERSION}={version_of(run, batch)}"
+    found = spark.read.schema(f"{PART} long").parquet(folder).agg(F.max(PART)).first()[0] if is_complete(spark, folder) else None
+    return -1 if found is None else found
 
 
 def write_changes(report: Report, typed: DataFrame, path: str, run: int, batch: int) -> None:
@@ -337,15 +344,5 @@ def create_tables(spark: SparkSession, database: str, root: str, reports: list[R
         spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {keys}, {picked} FROM ({source}) GROUP BY {keys}")
         text = ", ".join(f"CAST({c} AS STRING) AS {c}" for c in report.columns)
         spark.sql(f"CREATE OR REPLACE VIEW {table}_text AS SELECT {text} FROM {table}")
-    if folder_exists(spark, f"{root}/intake/_spark_metadata"):
-        source, others = f"parquet.`{root}/intake`", [c for c in RECORD_FIELDS if c != "ts_id"]
-        newest = f"max(struct({OFFSET}, {ARRIVED}, {', '.join(others)}))"
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {database}.daily_records AS SELECT ts_id, "
-            f"{', '.join(f'newest.{c}' for c in others)} FROM "
-            f"(SELECT ts_id, {newest} AS newest FROM {source} WHERE {REASON} = 'good' GROUP BY ts_id)"
-        )
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {database}.quarantine AS "
-            f"SELECT {REASON}, {RAW}, {ARRIVED} FROM {source} WHERE {REASON} <> 'good'"
-        )
+    if folder_exists(spark, f"{root}/intake/parts"):
+        create_views(spark, database, root)

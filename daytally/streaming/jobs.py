@@ -1,5 +1,7 @@
 """Streaming jobs: intake of messages, the three reports, second-stage consumers.
 
+The tables that they keep are in ``raw`` (records) and ``changelog`` (reports).
+
 Each job has its own checkpoint under a root the caller gives. Every ``start_``
 function takes the trigger as keyword arguments of ``DataStreamWriter.trigger``; none
 means as soon as possible.
@@ -12,18 +14,17 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from daytally.functions.envelope import RAW, REASON, bad, good, inspect
 from daytally.operators.latest import ARRIVED, OFFSET, VERSION, first_version, latest_rows
 from daytally.operators.reports import RSD, Report
-from daytally.schemas import RECORD, RECORD_FIELDS, nullable
-from daytally.session import STATE_SETTINGS, ensure_folder, folder_exists, newest_complete, settings
-from daytally.sources.files import batch_limit
+from daytally.schemas import RECORD_FIELDS
+from daytally.session import STATE_SETTINGS, folder_exists, newest_complete, settings
 from daytally.streaming.changelog import (
     compact,
     fold_changelog,
+    last_part,
     messages_for_topic,
     newest_part,
     publish_ready,
@@ -33,17 +34,24 @@ from daytally.streaming.changelog import (
     write_version,
 )
 from daytally.streaming.publication import begin_run, in_runs, is_behind, mark_caught_up, published_runs
+from daytally.streaming.raw import (
+    GOOD,
+    PART,
+    WATERMARK,
+    fold,
+    mark_read,
+    read_quarantine,
+    read_raw,
+    read_records,
+    stream_raw,
+    write_part,
+)
 
-WATERMARK = "1 minute"
+__all__ = ["GOOD", "read_quarantine", "read_raw", "read_records", "stream_raw"]
 
 # Micro-batches between two folds of the folders they leave.
 FOLD_EVERY = 64
 
-# Tasks, and files, that a day of an intake micro-batch is spread over.
-FILES_PER_DAY = 8
-
-# Where the intake table keeps records without fault.
-GOOD = "good"
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -81,17 +89,19 @@ def records_of(messages: DataFrame) -> DataFrame:
     return good(inspect(messages)).withWatermark("ts", WATERMARK)
 
 
-def start_intake(
-    messages: DataFrame, root: str, files_per_day: int = FILES_PER_DAY, **trigger: Any
-) -> StreamingQuery:
-    """Decode messages once and append them all to the intake table.
+def start_intake(messages: DataFrame, root: str, fold_every: int = FOLD_EVERY, **trigger: Any) -> StreamingQuery:
+    """Decode messages once; each micro-batch is a part of the intake (see ``raw``).
 
     Its folders keep good records, by day, apart from bad messages, by reason; only the
     latter keep their text. Each row keeps its place in the topic. Spark logs a
     micro-batch's time with its offsets, so a batch that runs again stamps the same
-    arrival. Each batch is shuffled to at most ``files_per_day`` files a day, so a
-    backlog of many days does not leave a file for each task and day.
+    arrival. The parts are folded after every ``fold_every`` batches.
     """
+    spark, progress = messages.sparkSession, checkpoint(root, "intake")
+    if folder_exists(spark, f"{root}/intake/parts") and not folder_exists(spark, f"{progress}/offsets"):
+        raise ValueError(f"{root}/intake belongs to a stream whose checkpoint is gone: use a new root")
+    if folder_exists(spark, f"{root}/intake/_spark_metadata"):
+        raise ValueError(f"{root}/intake has the layout of an older version: use a new root")
     place = F.col(OFFSET).cast("long") if OFFSET in messages.columns else F.lit(None).cast("long")
     judged = inspect(messages.withColumn(OFFSET, place), carry=[OFFSET])
     is_good = F.col(REASON).isNull()
@@ -103,37 +113,13 @@ def start_intake(
         F.coalesce(REASON, F.lit(GOOD)).alias(REASON),
         F.when(is_good, F.col("ts_date")).alias("ts_date"),
     )
-    part = F.pmod(F.xxhash64("ts_id", RAW), F.lit(files_per_day))
-    rows = rows.repartition(F.col(REASON), F.col("ts_date"), part)
-    writer = _append_files(rows, f"{root}/intake", checkpoint(root, "intake"))
-    return _start(writer.partitionBy(REASON, "ts_date"), trigger)
-
-
-def intake_schema() -> T.StructType:
-    """Folder columns come last, as Spark puts them: a stream may start on an empty folder
-    and cannot tell them from the others before the first file is there."""
-    fields = [f for f in nullable(RECORD) if f.name != "ts_date"]
-    kept = T.StructType(fields).add(RAW, "string").add(OFFSET, "long").add(ARRIVED, "timestamp")
-    return kept.add(REASON, "string").add("ts_date", "date")
-
-
-def read_raw(spark: SparkSession, root: str) -> DataFrame:
-    """All good records with their place and arrival, resent ones included."""
-    rows = spark.read.schema(intake_schema()).parquet(f"{root}/intake")
-    return rows.filter(F.col(REASON) == GOOD).select(*RECORD_FIELDS, OFFSET, ARRIVED)
-
-
-def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
-    """All bad messages, whole, with the reason."""
-    rows = spark.read.schema(intake_schema()).parquet(f"{root}/intake")
-    return rows.filter(F.col(REASON) != GOOD).select(REASON, RAW, ARRIVED)
 
+    def write(batch_rows: DataFrame, batch: int) -> None:
+        write_part(batch_rows, root, batch)
+        if batch % fold_every == fold_every - 1:
+            fold(batch_rows.sparkSession, root)
 
-def stream_raw(spark: SparkSession, root: str, **options: str) -> DataFrame:
-    """The good records as a stream, for all reports: read by column, not parsed again."""
-    path = ensure_folder(spark, f"{root}/intake")
-    rows = spark.readStream.schema(intake_schema()).options(**batch_limit(options)).parquet(path)
-    return rows.filter(F.col(REASON) == GOOD).select(*RECORD_FIELDS).withWatermark("ts", WATERMARK)
+    return _start(rows.writeStream.foreachBatch(write).option("checkpointLocation", progress), trigger)
 
 
 def start_report(
@@ -200,17 +186,21 @@ def _start_changelog(
     fold_every: int,
     trigger: dict[str, Any],
 ) -> StreamingQuery:
-    path = f"{root}/{report.name}/changelog"
+    path, of_intake = f"{root}/{report.name}/changelog", PART in records.columns
 
     def write(rows: DataFrame, batch: int) -> None:
-        write_version(rows, path, run, batch)
+        if of_intake and batch:
+            # The batch before is committed now; this one may have to read its files again.
+            mark_read(rows.sparkSession, root, report, run, last_part(rows.sparkSession, path, run, batch - 1))
+        write_version(rows, path, run, batch, *([PART] if of_intake else []))
         if send is not None:
             send(messages_for_topic(report, rows, run, batch))
         if batch % fold_every == fold_every - 1:
             fold_changelog(rows.sparkSession, report, path)
 
+    wanted = dict.fromkeys([*report.inputs, "ts", *([PART] if of_intake else [])])
     writer = (
-        report.aggregate(records.select(*dict.fromkeys([*report.inputs, "ts"])))
+        report.aggregate(records.select(*wanted), False, *([F.max(PART).alias(PART)] if of_intake else []))
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", _progress(root, report, run))
         .outputMode("update")

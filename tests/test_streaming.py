@@ -201,10 +201,10 @@ def test_raw_table_refuses_a_lost_checkpoint(spark, root):
 def test_raw_keeps_one_row_per_id_while_reports_count_twice(spark, root):
     put(f"{root}/feed", "a", [message(1), message(2)])
     put(f"{root}/feed", "b", [message(1)])
-    jobs.finish([jobs.start_intake(read_topic_files(spark, f"{root}/feed"), root, files_per_day=2, **NOW)])
+    jobs.finish([jobs.start_intake(read_topic_files(spark, f"{root}/feed"), root, **NOW)])
     assert jobs.read_raw(spark, root).count() == 3
     assert latest_records(jobs.read_raw(spark, root)).count() == 2
-    jobs.finish([jobs.start_report(DAILY_PU_REV, jobs.stream_raw(spark, root), root, **NOW)])
+    jobs.finish([jobs.start_report(DAILY_PU_REV, jobs.stream_raw(spark, root, DAILY_PU_REV), root, **NOW)])
     assert [r.daily_rev for r in run_table(spark, DAILY_PU_REV, root).collect()] == [24.0]
 
 
@@ -250,7 +250,7 @@ def test_service_takes_files_as_they_come(spark, root):
     feed = f"{root}/feed"
     put(feed, "a", [message(i, day=1 + i % 4) for i in range(20)])
     intake = jobs.start_intake(read_topic_files(spark, feed), root)
-    reports = [jobs.start_report(r, jobs.stream_raw(spark, root), root) for r in REPORTS.values()]
+    reports = [jobs.start_report(r, jobs.stream_raw(spark, root, r), root) for r in REPORTS.values()]
     consumers = [jobs.start_consumer(spark, r, root) for r in REPORTS.values()]
     try:
         put(f"{root}/staging", "b", ["bad", *[message(i, day=3) for i in range(20, 30)]])
