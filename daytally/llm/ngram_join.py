@@ -487,6 +487,13 @@ def join(
 
 def one_of_each(docs: DataFrame, sim: Similarity = Similarity(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose key is the smallest of their component, and those with a
-    null key, with their own columns."""
-    dropped = join(docs, sim, text, key).filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("dropped_key"))
-    return docs.join(written(dropped, "dropped"), F.col(key) == F.col("dropped_key"), "left_anti")
+    null key, with their own columns, whatever these are called.
+
+    Rows without words are linked with nothing and stay; texts of any length count whole;
+    repeated rows share a key and stay together; an empty table gives an empty result.
+    """
+    name = "dropped_key"
+    while name in docs.columns:
+        name += "_"
+    dropped = join(docs, sim, text, key).filter(F.col(key) != F.col("component_id")).select(F.col(key).alias(name))
+    return docs.join(written(dropped, "dropped"), F.col(f"`{key}`") == F.col(name), "left_anti")

@@ -76,34 +76,50 @@ class Leader:
         self.n[at] = grown
 
 
+def _trained(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int) -> np.ndarray:
+    leader = Leader()
+    for _ in range(epochs):
+        for row in rows:
+            leader.step(*row)
+    return leader.weights(slice(None))
+
+
 def _train(batches: Iterator[pa.RecordBatch], epochs: int) -> Iterator[pa.RecordBatch]:
-    """One shard's weights, as 4-byte numbers, from its rows in their order."""
-    rows = []
+    """Of rows sorted by shard: (shard, number of rows, weights as 4-byte numbers)."""
+    shard, rows = None, []
+
+    def done() -> pa.RecordBatch:
+        weights = _trained(rows, epochs).astype("<f4").tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([len(rows)], pa.int64()), pa.array([weights], pa.binary())], names=["shard", "n", "weights"])
+
     for batch in batches:
-        labels = iter(batch.column(1).to_pylist())
+        known = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
         for some in _features(batch.column(0)):
-            for places, label in zip(some, labels):
+            for places, (label, own) in zip(some, known):
+                if own != shard:
+                    if rows:
+                        yield done()
+                    shard, rows = own, []
                 at, n = np.unique(places, return_counts=True)
                 values = n / np.sqrt(max(1, len(places)))
                 rows.append((np.append(at, SIZE), np.append(values, 1.0).astype(np.float32), float(label)))
-    if not rows:
-        return
-    leader = Leader()
-    for _ in range(epochs):
-        for row in rows:
-            leader.step(*row)
-    yield pa.RecordBatch.from_arrays([pa.array([leader.weights(slice(None)).astype("<f4").tobytes()], pa.binary())], names=["weights"])
+    if rows:
+        yield done()
 
 
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "quality", rows: int = TRAIN_ROWS, text: str = "text", key: str = "doc_id") -> np.ndarray:
     """Weights from about ``rows`` labelled documents that are not ``held_out``, the last
-    one the bias. SHARDS vectors of 1 MB reach the driver. Without labels all are zero."""
+    one the bias: those of one model for each of SHARDS parts of the rows, averaged by their
+    numbers of rows. A row's part is drawn by its key, so the weights do not depend on how
+    the tables or the shuffle are cut. SHARDS vectors of 1 MB reach the driver. Without
+    labels all are zero."""
     sample = labelled_sample(docs, labels, label, held_out, rows, text, key)
-    sharded = sample.withColumn("draw", unit(F.col("key"), _SEED)).withColumn("shard", F.floor(F.col("draw") * SHARDS))
-    ordered = sharded.repartition(SHARDS, "shard").sortWithinPartitions("draw", "label").select("text", "label")
-    models = ordered.mapInArrow(lambda batches: _train(batches, EPOCHS), "weights binary").collect()
+    sharded = sample.withColumn("draw", unit(F.col("key"), _SEED)).withColumn("shard", F.floor(F.col("draw") * SHARDS).cast("long"))
+    ordered = sharded.repartition(SHARDS, "shard").sortWithinPartitions("shard", "draw", "label", F.xxhash64("text")).select("text", "label", "shard")
+    models = ordered.mapInArrow(lambda batches: _train(batches, EPOCHS), "shard long, n long, weights binary").collect()
+    models.sort(key=lambda m: m["shard"])
     vectors = [np.frombuffer(m["weights"], "<f4") for m in models]
-    return np.mean(vectors, axis=0).astype(np.float32) if vectors else np.zeros(SIZE + 1, np.float32)
+    return np.average(vectors, axis=0, weights=[m["n"] for m in models]).astype(np.float32) if vectors else np.zeros(SIZE + 1, np.float32)
 
 
 def _score_rows(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -116,8 +132,9 @@ def _score_rows(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Itera
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, score) for every row, between 0 and 1.
 
-    A null or empty text has no features, so the bias alone is its score. Equal rows get
-    equal scores; an empty table gives an empty result; other columns do not pass.
+    A null or empty text has no features, so the bias alone is its score. A text of any
+    length is scored whole; null keys pass. Equal rows get equal scores, so ties stay ties;
+    an empty table gives an empty result; other columns do not pass.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()

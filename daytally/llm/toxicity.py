@@ -79,25 +79,27 @@ def token_scores(sample: DataFrame) -> Scores:
 
 def maximal_segments(places: np.ndarray, scores: np.ndarray) -> list[tuple[float, int, int]]:
     """All maximal scoring segments (score, first, last) of a sequence in which every
-    place not among ``places`` adds DRIFT: one scan, in time linear in the places."""
-    found: list[tuple[float, float, int, int]] = []  # total before, total after, first, last
+    place not among ``places`` adds DRIFT: one scan, in time linear in the places.
+
+    Each candidate keeps a link to the nearest one before it that begins at a lower total;
+    those in between begin no lower than itself, so a search that passes it may skip them.
+    """
+    found: list[tuple[float, float, int, int, int]] = []  # total before, total after, first, last, link
     total, at = 0.0, -1
     for place, score in zip(places.tolist(), scores.tolist()):
         total += DRIFT * (place - at - 1)
         low, total, at = total, total + score, place
         if score <= 0:
             continue
-        high, first = total, place
-        while found:
-            j = len(found) - 1
-            while j >= 0 and found[j][0] >= low:
-                j -= 1
-            if j < 0 or found[j][1] >= high:
-                break
-            low, first = found[j][0], found[j][2]
+        first, j = place, len(found) - 1
+        while j >= 0 and found[j][0] >= low:
+            j = found[j][4]
+        while j >= 0 and found[j][1] < total:
+            low, _, first, _, link = found[j]
             del found[j:]
-        found.append((low, high, first, place))
-    return [(high - low, first, last) for low, high, first, last in found]
+            j = link
+        found.append((low, total, first, place, j))
+    return [(high - low, first, last) for low, high, first, last, _ in found]
 
 
 def _scored(column: pa.Array, model: Scores) -> Iterator[tuple[int, list[tuple[float, int, int]]]]:
@@ -126,30 +128,42 @@ def features(n: int, segments: list[tuple[float, int, int]], model: Scores) -> t
 
 
 def _segment_rows(batches: Iterator[pa.RecordBatch], model: Scores) -> Iterator[pa.RecordBatch]:
+    """(n, score): of each text its number of tokens once, and the score of each segment."""
+    for batch in batches:
+        for n, segments in _scored(batch.column(0), model):
+            columns = [pa.array([n] + [None] * len(segments), pa.int64()), pa.array([None, *(s for s, _, _ in segments)], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["n", "score"])
+
+
+def _feature_rows(batches: Iterator[pa.RecordBatch], model: Scores) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [*_scored(batch.column(0), model)]
-        n = pa.array([x for x, _ in found], pa.int64())
-        scores = pa.array([[s for s, _, _ in segments] for _, segments in found], pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([batch.column(1), n, scores], names=["label", "n", "scores"])
+        x = [features(n, segments, model) for n, segments in _scored(batch.column(0), model)]
+        columns = [pa.array([row[i] for row in x], pa.float64()) for i in range(4)]
+        yield pa.RecordBatch.from_arrays([batch.column(1), *columns], names=["label", "x0", "x1", "x2", "x3"])
 
 
-def _law(model: Scores, counts: np.ndarray, texts: list[tuple[int, list[float]]]) -> tuple[float, float]:
-    """The constants of the law: the rate at which E[exp(rate * score)] is 1 for the
-    tokens of texts that are not toxic, and the scale that fits their segments."""
-    n = sum(n for n, _ in texts)
+def _rate(scores: np.ndarray, counts: np.ndarray, n: int) -> float:
+    """The rate of the law: at which E[exp(rate * score)] is 1 for the ``n`` tokens of texts
+    that are not toxic, ``counts`` of which have ``scores``."""
     share = counts / max(1, n)
     low, high = 1e-3, 1.0
-    mean = lambda r: float(share @ np.exp(r * model.scores) + (1 - share.sum()) * np.exp(r * DRIFT))
+    mean = lambda r: float(share @ np.exp(r * scores) + (1 - share.sum()) * np.exp(r * DRIFT))
     while mean(high) < 1 and high < 64:
         high *= 2
     for _ in range(60):
         middle = (low + high) / 2
         low, high = (middle, high) if mean(middle) < 1 else (low, middle)
-    segments = np.array([s for _, own in texts for s in own])
-    if not len(segments):
-        return high, 1.0
-    at = float(np.median(segments))
-    return high, float((segments >= at).sum() * np.exp(high * at) / max(1, n))
+    return high
+
+
+def _scale(segments: DataFrame, rate: float, n: int) -> float:
+    """The scale of the law: such that it gives as many segments above their median score as
+    there are. Only the median and a count leave the tasks."""
+    at = segments.agg(F.percentile_approx("score", 0.5, 10_000)).first()[0]
+    if at is None:
+        return 1.0
+    above = segments.filter(F.col("score") >= at - 1e-9).count()  # equal segments differ in their last bits
+    return float(above * np.exp(rate * at) / max(1, n))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
@@ -178,20 +192,22 @@ def _token_counts(batches: Iterator[pa.RecordBatch], model: Scores) -> Iterator[
 
 
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic", rows: int = TRAIN_ROWS, text: str = "text", key: str = "doc_id") -> Scores:
-    """A model from about ``rows`` labelled documents that are not ``held_out``; what
-    reaches the driver is bounded by ``rows`` and TOKENS. Without labels every score is 0.5."""
+    """A model from about ``rows`` labelled documents that are not ``held_out``. What reaches
+    the driver is bounded by ``rows`` (four numbers of each text, however long it is) and
+    TOKENS. Without labels every score is 0.5."""
     sample = written(labelled_sample(docs, labels, label, held_out, rows, text, key), "training")
     model = token_scores(sample)
-    found = sample.select("text", "label").mapInArrow(lambda batches: _segment_rows(batches, model), "label int, n long, scores array<double>").toPandas()
-    texts = [(int(n), [float(s) for s in own]) for n, own in zip(found["n"], found["scores"])]
-    y = found["label"].to_numpy(float)
-    others = sample.filter("label = 0").select("text").mapInArrow(lambda batches: _token_counts(batches, model), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    others = sample.filter("label = 0").select("text")
+    known = others.mapInArrow(lambda batches: _token_counts(batches, model), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(len(model.tokens))
-    counts[others["at"].to_numpy(np.int64)] = others["n"].to_numpy(float)
-    rate, scale = _law(model, counts, [t for t, own in zip(texts, y) if not own])
-    model = Scores(model.tokens, model.scores, rate, scale)
-    x = np.array([features(n, [(s, 0, 0) for s in own], model) for n, own in texts]).reshape(-1, 4)
-    return Scores(model.tokens, model.scores, rate, scale, _logistic(x, y))
+    counts[known["at"].to_numpy(np.int64)] = known["n"].to_numpy(float)
+    segments = written(others.mapInArrow(lambda batches: _segment_rows(batches, model), "n long, score double"), "segments")
+    n = segments.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rate = _rate(model.scores, counts, n)
+    model = Scores(model.tokens, model.scores, rate, _scale(segments.filter("score IS NOT NULL"), rate, n))
+    found = sample.select("text", "label").mapInArrow(lambda batches: _feature_rows(batches, model), "label int, x0 double, x1 double, x2 double, x3 double").toPandas()
+    weights = _logistic(found[["x0", "x1", "x2", "x3"]].to_numpy(float), found["label"].to_numpy(float))
+    return Scores(model.tokens, model.scores, model.rate, model.scale, weights)
 
 
 _SCORED = "key {kind}, score double, n_passages int, passages array<struct<first:int,last:int,score:double>>"
@@ -214,8 +230,10 @@ def score(docs: DataFrame, model: Scores, text: str = "text", key: str = "doc_id
     """(key, score, n_passages, passages) for every row: ``score`` between 0 and 1, and
     each significant passage by its first and last token (counted from 0) and score.
 
-    A null or empty text has no tokens and the score of a text without any. Equal rows
-    get equal scores; an empty table gives an empty result; other columns do not pass.
+    A null or empty text has no tokens and the score of a text without any. A text of any
+    length is scored whole, in time linear in it. Null keys pass. Equal rows get equal
+    scores, so ties stay ties; an empty table gives an empty result; other columns do not
+    pass.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
@@ -223,7 +241,12 @@ def score(docs: DataFrame, model: Scores, text: str = "text", key: str = "doc_id
 
 
 def clean(docs: DataFrame, model: Scores, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text scores below one half, with their own columns."""
+    """The rows of ``docs`` whose text scores below one half, with their own columns.
+
+    Scores are those of :func:`score`. A text of any length is scored whole; a null or empty
+    text scores as one without tokens; equal rows stay or go together; nulls in other columns
+    pass; an empty table gives an empty result.
+    """
     kinds, names = docs.schema, docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,8 +21,8 @@ def awkward(spark):
         (9, "x@y.zz or +1 (456) 555-2186, or 10.0.0.1, or 4111111111111111", "c"), (10, "é 漢字 <|endoftext|> \U0001f600", "é"),
         (11, prose(rng, 80), "a"), (11, prose(rng, 80), "a"), (2**62, "one two three four five", "b"),
     ]
-    rows = [(*r, "x", 1.5, 2, "r", [1], True) for r in base]
-    names = "doc_id long, text string, source string, row string, score double, size long, key string, spans array<int>, kept boolean"
+    rows = [(*r, "x", 1.5, 2, "r", [1], True, 4) for r in base]
+    names = "doc_id long, text string, source string, row string, score double, size long, key string, spans array<int>, kept boolean, dropped_key long"
     return spark.createDataFrame(rows, names)
 
 

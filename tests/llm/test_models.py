@@ -1,10 +1,12 @@
 """Toxicity, quality and personal data."""
 
 import hashlib
+import inspect
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +68,111 @@ def test_segments_equal_brute_force(seed):
     assert [s for s, _, _ in got] == pytest.approx([s for s, _, _ in want])
 
 
+def test_the_scan_is_linear_on_falling_totals():
+    """Positive places between deeper negative ones: no candidate is ever joined."""
+    steps = []
+
+    class Counted(list):
+        """Counts how often a candidate is looked at."""
+
+        def __getitem__(self, at):
+            steps[-1] += 1
+            return super().__getitem__(at)
+
+    source = inspect.getsource(toxicity.maximal_segments).replace("= []", "= Counted()", 1)
+    scan = {}
+    exec(source, {**vars(toxicity), "Counted": Counted}, scan)  # noqa: S102
+    for n in (1000, 2000, 4000):
+        steps.append(0)
+        scores = np.tile([1.0, -1.5], n)
+        assert len(scan["maximal_segments"](np.arange(2 * n), scores)) == n
+    rising = np.concatenate([np.tile([1.0, -1.5], 2000), np.full(2000, 1.0)])
+    assert toxicity.maximal_segments(np.arange(6000), rising)[-1][1:] == (4000, 5999)
+    assert steps[2] <= 2.1 * steps[1] <= 4.3 * steps[0] <= 4.3 * 4 * 1000
+
+
+def test_law_and_features_equal_plain_versions(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = ["good", "fine", "awful", "vile", *"abcdefgh"]
+    rows = []
+    for i in range(300):
+        toxic = int(i % 4 == 0)
+        weights = np.array([1, 1, 6 * toxic + 0.02, 6 * toxic + 0.02, *[2] * 8])
+        rows.append((i, " ".join(rng.choice(words, int(rng.integers(0, 60)), p=weights / weights.sum())), toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    fitted = toxicity.fit(df.drop("toxic"), df.drop("text"), F.lit(False))
+    plain = {w: h for w in words for *_, hashes, _ in toxicity.hashed_words(pa.array([w]), toxicity.BY_LETTER) for h in hashes.tolist()}
+    scores = dict(zip(fitted.tokens.tolist(), fitted.scores.tolist()))
+    assert {w for w in words if plain[w] in scores} >= {"awful", "vile"}
+    # The scores themselves: log-odds of documents under the prior.
+    sets = [(set(t.split()), y) for _, t, y in rows]
+    n1, n0 = ({w: sum(w in s for s, y in sets if y == label) for w in words} for label in (1, 0))
+    all1, all0, mass = sum(n1.values()), sum(n0.values()), toxicity.FLAT * len(words) + toxicity.PRIOR
+    for w in words:
+        prior = toxicity.FLAT + toxicity.PRIOR * (n1[w] + n0[w]) / (all1 + all0)
+        odds = [np.log((n + prior) / (total + mass - n - prior)) for n, total in ((n1[w], all1), (n0[w], all0))]
+        if plain[w] in scores:
+            assert scores[plain[w]] == pytest.approx(odds[0] - odds[1])
+    sequences = [np.array([scores.get(plain[w], toxicity.DRIFT) for w in t.split()]) for _, t, _ in rows]
+    clean = np.concatenate([x for x, (*_, y) in zip(sequences, rows) if not y])
+    assert np.exp(fitted.rate * clean).mean() == pytest.approx(1, abs=1e-6) or fitted.rate >= 63
+    segments = [brute_segments(np.arange(len(x)), x, len(x)) for x in sequences]
+    of_clean = sorted(s for own, (*_, y) in zip(segments, rows) if not y for s, _, _ in own)
+    at = of_clean[(len(of_clean) - 1) // 2]
+    above = sum(s >= at - 1e-9 for s in of_clean)
+    assert fitted.scale == pytest.approx(above * np.exp(fitted.rate * at) / len(clean), rel=1e-6)
+    x = []
+    for own, sequence in zip(segments, sequences):
+        normal = [fitted.rate * s - np.log(max(fitted.scale * len(sequence), 1e-9)) for s, _, _ in own]
+        x.append([1, fitted.rate * max((s for s, _, _ in own), default=0), sum(v for v in normal if v > 0), np.log1p(len(sequence))])
+    got = {r.doc_id: r.score for r in toxicity.score(df, fitted).collect()}
+    want = 1 / (1 + np.exp(-np.clip(np.array(x) @ fitted.weights, -30, 30)))
+    assert [got[i] for i in range(300)] == pytest.approx(want.tolist(), abs=1e-6)
+
+
+def plain_leader(rows):
+    """Follow-the-regularised-leader steps, one weight at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0)) <= quality.L1:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * quality.L1) / ((quality.SMOOTH + np.sqrt(n[i])) / quality.RATE + quality.L2)
+
+    for _ in range(quality.EPOCHS):
+        for values, label in rows:
+            w = {i: weight(i) for i in values}
+            slope = 1 / (1 + np.exp(-sum(w[i] * v for i, v in values.items()))) - label
+            for i, v in values.items():
+                g = slope * v
+                z[i] = z.get(i, 0) + g - (np.sqrt(n.get(i, 0) + g * g) - np.sqrt(n.get(i, 0))) / quality.RATE * w[i]
+                n[i] = n.get(i, 0) + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_weights_equal_a_plain_leader_however_rows_are_cut(spark):
+    rng = random.Random(4)
+    rows = [(i, prose(rng, rng.randint(0, 12)) + (" !! !!" if i % 3 else ""), int(i % 3 == 0)) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    fitted = [quality.fit(df.repartition(n).drop("quality"), df.drop("text"), F.lit(False)) for n in (4, 211)]
+    assert np.array_equal(*fitted)
+    draw = lambda i: int(hashlib.md5(f"{quality._SEED}:{i}".encode()).hexdigest()[:13], 16) / 2**52
+    want, total = np.zeros(quality.SIZE + 1), 0
+    for shard in range(quality.SHARDS):
+        own = []
+        for i, text, label in sorted(rows, key=lambda r: draw(r[0])):
+            if int(draw(i) * quality.SHARDS) == shard:
+                (places,), = quality._features(pa.array([text]))
+                values = {quality.SIZE: 1.0}
+                for p in places.tolist():
+                    values[p] = values.get(p, 0) + 1 / np.sqrt(len(places))
+                own.append((values, label))
+        for i, w in plain_leader(own).items():
+            want[i] += w * len(own)
+        total += len(own)
+    assert total == 80 and np.abs(fitted[0] - want / total).max() < 1e-4 and np.abs(want).max() > 1
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     return toxicity.fit(table(spark, SF, "documents"), table(spark, SF, "labels"), in_fold(5, 0))
