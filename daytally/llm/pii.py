@@ -1,10 +1,10 @@
-"""Personal data: spans of fixed kinds, and terms near them that give them away.
+"""Personal data: spans of fixed kinds, and terms that give them away.
 
-A protected value that the corpus repeats may be told from the words around it. How much
-a term reveals of a value is their pointwise mutual information over the corpus as a share
-of the information in the value itself: 1 if the term occurs with that value alone. Terms
-above a threshold are generalised, and above a higher one removed, wherever they stand
-close to the value.
+A protected value that the corpus repeats may be told from the words of its documents. How
+much a term reveals of a value is their pointwise mutual information over the corpus, in
+whole documents, as a share of the information in the value itself: 1 if the term occurs in
+documents with that value alone. Terms above a threshold are generalised, and above a higher
+one removed, wherever they stand in a document with the value.
 
 Everything is DataFrame functions: a text is split at the matches of a pattern, and the
 lengths of the pieces give the places.
@@ -30,10 +30,10 @@ PATTERNS = {
 BYTE = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 TERM = "term"
 TERM_PATTERN = r"\p{L}{3,}"
-#: Characters of context on either side of a value.
-CONTEXT = 64
-#: Different contexts of a value that a term must stand in.
+#: Documents with a value in which a term must stand, where those with the same characters
+#: on either side of the value count as copies of one document.
 SUPPORT = 2
+SURROUNDING = 64
 GENERALISE, REMOVE = 0.75, 0.95
 
 
@@ -76,7 +76,7 @@ def keyed(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
 
 
 def base_spans(rows: DataFrame) -> DataFrame:
-    """(id, h, kind, start, end, found, left, right): valid matches with their context."""
+    """(id, h, kind, start, end, found, context): valid matches and a hash of what surrounds them."""
     may = {"email": F.instr("text", "@") > 0, "phone": F.instr("text", "+") > 0}
     kinds = F.array(
         *(
@@ -92,13 +92,13 @@ def base_spans(rows: DataFrame) -> DataFrame:
     pieces = pieces.select(
         "id", "h", "kind", "pos",
         F.length("piece.gap").alias("gap"), F.col("piece.found").alias("found"),
-        F.right("piece.gap", F.lit(CONTEXT)).alias("left"), F.left("piece.gap", F.lit(CONTEXT)).alias("next"),
+        F.right("piece.gap", F.lit(SURROUNDING)).alias("left"), F.left("piece.gap", F.lit(SURROUNDING)).alias("next"),
     ).repartition("id", "h", "kind").distinct()
     place = Window.partitionBy("id", "h", "kind").orderBy("pos")
     end = F.sum(F.col("gap") + F.coalesce(F.length("found"), F.lit(0))).over(place)
     placed = pieces.select("*", end.alias("end"), F.lead("next").over(place).alias("right")).filter("found IS NOT NULL")
     placed = placed.filter(_holds(F.col("kind"), F.col("found")))
-    return placed.select("id", "h", "kind", (F.col("end") - F.length("found")).cast("long").alias("start"), F.col("end").cast("long").alias("end"), "found", "left", "right")
+    return placed.select("id", "h", "kind", (F.col("end") - F.length("found")).cast("long").alias("start"), F.col("end").cast("long").alias("end"), "found", F.xxhash64("left", "right").alias("context"))
 
 
 def _value(kind: Column, found: Column) -> Column:
@@ -106,42 +106,28 @@ def _value(kind: Column, found: Column) -> Column:
     return F.concat(kind, F.lit(":"), F.when(kind.isin("email", "ip"), F.lower(found)).otherwise(_digits(found)))
 
 
-def _terms_near(spans: DataFrame) -> DataFrame:
-    """(id, h, value, context, term, start, end): the terms in each value's context."""
-
-    def terms(context: Column, offset: Column) -> Column:
-        pieces = F.filter(_pieces(context, TERM_PATTERN), lambda p: F.lit(True))
-        zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<term:string,start:bigint,end:bigint>>").alias("all"))
-
-        def add(so_far: Column, p: Column) -> Column:
-            start = so_far["at"] + F.length(p["gap"])
-            end = start + F.coalesce(F.length(p["found"]), F.lit(0))
-            term = F.struct(F.lower(p["found"]).alias("term"), (start + offset).cast("long").alias("start"), (end + offset).cast("long").alias("end"))
-            more = F.when(p["found"].isNotNull(), F.concat(so_far["all"], F.array(term))).otherwise(so_far["all"])
-            return F.struct(end.cast("long").alias("at"), more.alias("all"))
-
-        return F.aggregate(pieces, zero, add, lambda x: x["all"])
-
-    before = F.when(F.length("left") == CONTEXT, F.regexp_replace("left", r"^\P{Z}*", "")).otherwise(F.col("left"))
-    after = F.when(F.length("right") == CONTEXT, F.regexp_replace("right", r"\P{Z}*$", "")).otherwise(F.col("right"))
-    near = spans.withColumns({"value": _value(F.col("kind"), F.col("found")), "before": before, "after": after})
-    near = near.withColumn("context", F.xxhash64("before", "after"))
-    found = F.concat(terms(F.col("before"), F.col("start") - F.length("before")), terms(F.col("after"), F.col("end")))
-    near = near.select("id", "h", "value", "context", F.explode(found).alias("t"))
-    return near.select("id", "h", "value", "context", "t.*")
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM_PATTERN), F.lit(0)))
 
 
 def disclosing(rows: DataFrame, spans: DataFrame) -> DataFrame:
-    """(value, term, share): terms in at least SUPPORT different contexts of a value that
-    reveal at least GENERALISE of it; counts of documents are over all of ``rows``."""
-    near = _terms_near(spans)
-    together = near.groupBy("value", "term", "id", "h").agg(F.min("context").alias("context"))
-    pairs = together.groupBy("value", "term").agg(F.count(F.lit(1)).alias("n_both"), F.count_distinct("context").alias("support")).filter(F.col("support") >= SUPPORT)
-    pairs = written(pairs, "pairs")
-    values = spans.select(_value(F.col("kind"), F.col("found")).alias("value"), "id", "h").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("n_value"))
-    wanted = pairs.select("term").distinct()
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM_PATTERN), F.lit(0)))
-    counted = maybe_in(rows.select(F.explode(words).alias("term")), "term", wanted, "term")
+    """(value, term, share): terms in documents with a value, at least SUPPORT of them no
+    copies, that reveal at least GENERALISE of it. All counts are of whole documents."""
+    held = spans.groupBy(_value(F.col("kind"), F.col("found")).alias("value"), "id", "h").agg(F.min("context").alias("context"))
+    # Equal texts have equal terms: their terms are taken once, for all values that they hold.
+    held = held.groupBy("value", "h").agg(F.count(F.lit(1)).alias("copies"), F.min("context").alias("context"))
+    values = held.groupBy("value").agg(F.sum("copies").alias("n_value"), F.count_distinct("context").alias("support"))
+    values = written(values.filter(F.col("support") >= SUPPORT).select("value", "n_value"), "values")
+    several = written(held.join(values.select("value"), "value"), "held")
+
+    texts = maybe_in(rows.select("h", "text"), "h", several.select("h"), "h").select("h", _terms(F.col("text")).alias("terms"))
+    texts = texts.join(several.select("h").distinct(), "h", "left_semi").dropDuplicates(["h"])
+    together = texts.join(several, "h").select("value", "copies", "context", F.explode("terms").alias("term"))
+    by_context = together.groupBy("value", "term", "context").agg(F.sum("copies").alias("n"))
+    pairs = by_context.groupBy("value", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("support"))
+    pairs = written(pairs.filter(F.col("support") >= SUPPORT).select("value", "term", "n_both"), "pairs")
+
+    counted = maybe_in(rows.select(F.explode(_terms(F.col("text"))).alias("term")), "term", pairs.select("term").distinct(), "term")
     n_term = counted.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     n = max(1, rows.count())
     known = pairs.join(n_term, "term").join(values, "value")
@@ -151,14 +137,29 @@ def disclosing(rows: DataFrame, spans: DataFrame) -> DataFrame:
     return known.select("value", "term", share.alias("share")).filter(F.col("share") >= GENERALISE)
 
 
+def _places(rows: DataFrame, base: DataFrame, told: DataFrame) -> DataFrame:
+    """(id, h, start, end, share): each place of a disclosing term in the documents that hold
+    a value it discloses."""
+    held = base.select(_value(F.col("kind"), F.col("found")).alias("value"), "id", "h").distinct()
+    wanted = written(held.join(told, "value").groupBy("id", "h", "term").agg(F.max("share").alias("share")), "wanted")
+    texts = maybe_in(rows, "h", wanted.select("h").distinct(), "h").distinct()
+    pieces = texts.select("id", "h", F.posexplode(_pieces(F.col("text"), TERM_PATTERN)).alias("pos", "piece"))
+    place = Window.partitionBy("id", "h").orderBy("pos")
+    end = F.sum(F.length("piece.gap") + F.coalesce(F.length("piece.found"), F.lit(0))).over(place).cast("long")
+    placed = pieces.select("id", "h", F.col("piece.found").alias("found"), end.alias("end")).filter("found IS NOT NULL")
+    placed = placed.select("id", "h", F.lower("found").alias("term"), (F.col("end") - F.length("found")).alias("start"), "end")
+    theirs = wanted.select(F.col("id").alias("of"), F.col("h").alias("hash"), F.col("term").alias("told"), "share")
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("hash")) & (F.col("term") == F.col("told"))
+    return placed.join(theirs, same).select("id", "h", "start", "end", "share")
+
+
 def all_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(id, h, kind, start, end, share): base spans, then disclosing terms, each once.
     ``start`` and ``end`` count code points from 0; ``share`` is null for base spans."""
     rows = keyed(docs, text, key)
     base = written(base_spans(rows), "spans")
     told = written(disclosing(rows, base), "disclosing")
-    near = _terms_near(base).join(told, ["value", "term"]).groupBy("id", "h", "start", "end").agg(F.max("share").alias("share"))
-    more = near.select("id", "h", F.lit(TERM).alias("kind"), "start", "end", "share")
+    more = _places(rows, base, told).select("id", "h", F.lit(TERM).alias("kind"), "start", "end", "share")
     return base.select("id", "h", "kind", "start", "end", F.lit(None).cast("double").alias("share")).unionByName(more)
 
 
@@ -170,8 +171,10 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, spans) for every row: an array of (rank, start, end, kind, share), by kind in
     the order of KINDS, terms last, then start.
 
-    A null text is empty and has no spans, nor has an empty one; equal rows have equal
-    spans; an empty table gives an empty result; other columns do not pass.
+    A null text is empty and has no spans, nor has an empty one; a text of any length is
+    searched whole, and terms anywhere in it count. Null keys pass; equal rows have equal
+    spans, and rows that share only the key are told apart by their texts; an empty table
+    gives an empty result; other columns do not pass.
     """
     listed = all_spans(docs, text, key).withColumn("span", F.struct(_order(F.col("kind")).alias("rank"), "start", "end", "kind", "share"))
     lists = listed.groupBy("id", "h").agg(F.sort_array(F.collect_set("span")).alias("spans"))
@@ -190,7 +193,9 @@ def as_text(spans: Column) -> Column:
 def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with base spans replaced by their kind in brackets, and disclosing terms by
     ``[TERM]`` or, from REMOVE on, by nothing. Where spans overlap, the first one counts,
-    and of those that start together the longest. Other rows pass as they are."""
+    and of those that start together the longest. Rows without spans, null and empty texts
+    pass as they are, with all their columns, whatever these are called; equal rows stay
+    equal; texts of any length are sanitised whole; an empty table gives an empty result."""
     listed = all_spans(docs, text, key).groupBy("id", "h").agg(F.sort_array(F.collect_set(F.struct("start", (-F.col("end")).alias("to"), "kind", "share"))).alias("spans"))
     lists = listed.select(F.col("id").alias("of"), F.col("h").alias("hash"), "spans")
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(key).alias("id"), text_or_empty(text).alias("text"))

@@ -278,6 +278,62 @@ def test_terms_that_give_a_value_away(spark):
     assert clean[300] == texts[300]
 
 
+def term_spans(docs):
+    """{doc_id: the terms that are marked}, and the places."""
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    return {r.doc_id: [(texts[r.doc_id][s.start : s.end].lower(), s.start) for s in r.spans if s.kind == pii.TERM] for r in pii.find(docs).collect()}
+
+
+def test_terms_far_from_a_value_and_beside_failing_matches(spark):
+    rng = random.Random(7)
+    rows = [(n, f"Zanzibar {prose(rng, 40)} or ann@x.org {prose(rng, 300)} zanzibar") for n in range(5)]
+    rows += [(50 + n, f"{prose(rng, 9)} ask Ruritania, ext 10, card 4111 1111 1111 1111 {prose(rng, 9)}") for n in range(5)]
+    rows += [(100 + n, f"{prose(rng, 30)} ask card b{n}@x.org ext {prose(rng, 30)}") for n in range(120)]
+    found = term_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    for n in range(5):
+        assert [t for t, _ in found[n]].count("zanzibar") == 2
+        assert "ruritania" in [t for t, _ in found[50 + n]]
+
+
+def test_terms_equal_brute_force(spark):
+    rng = random.Random(9)
+    vocabulary = [f"w{a}{b}" for a in "abcdefgh" for b in "xyzuv"]
+    letters = lambda w: w.replace("w", "wo")
+    rows = []
+    for n in range(150):
+        value = rng.choice([f"u{n % 7}@a.org", f"u{n % 7}@a.org", "10.0.0.%d" % (n % 3), ""])
+        own = [letters(rng.choice(vocabulary)) for _ in range(rng.randint(0, 12))] + ([f"Near{'abcdefg'[n % 7]}"] if "@" in value else [])
+        rng.shuffle(own)
+        rows.append((n, " ".join([*own, value, *(letters(rng.choice(vocabulary)) for _ in range(rng.randint(0, 5)))])))
+    rows += [(200 + n, rows[n][1]) for n in range(20)]
+    terms = {n: set(re.findall(r"[^\W\d_]{3,}", t.lower())) for n, t in rows}
+    values, contexts = {}, {}
+    for n, t in rows:
+        matches = {k: [*re.finditer(PATTERNS[k], t)] for k in PATTERNS}
+        for k, a, b in brute_spans(t):
+            i = [m.start() for m in matches[k]].index(a)
+            left = t[matches[k][i - 1].end() if i else 0 : a][-64:]
+            right = t[b : matches[k][i + 1].start() if i + 1 < len(matches[k]) else None][:64]
+            values.setdefault(f"{k}:{t[a:b].lower()}", set()).add(n)
+            contexts.setdefault((f"{k}:{t[a:b].lower()}", n), (left, right))
+    n_term = {w: sum(w in own for own in terms.values()) for own in terms.values() for w in own}
+    want = {n: set() for n, _ in rows}
+    for value, holders in values.items():
+        for w in set().union(*(terms[n] for n in holders)):
+            both = [n for n in holders if w in terms[n]]
+            if len({contexts[value, n] for n in both}) < pii.SUPPORT:
+                continue
+            share = np.log(len(both) * len(rows) / (n_term[w] * len(holders))) / np.log(len(rows) / len(holders))
+            if share >= pii.GENERALISE - 1e-12:
+                for n in both:
+                    want[n].add(w)
+    found = term_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sum(map(len, want.values())) > 50
+    for n, t in rows:
+        places = [(m.group().lower(), m.start()) for m in re.finditer(r"[^\W\d_]{3,}", t) if m.group().lower() in want[n]]
+        assert sorted(found[n]) == sorted(places), n
+
+
 def test_sanitised_awkward_rows(awkward, empty):
     got = pii.sanitise(awkward)
     assert got.columns == awkward.columns and got.count() == awkward.count()
