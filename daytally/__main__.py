@@ -27,6 +27,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     final.add_argument("--delay", default="1 day", help="how long after a day's end its records may come")
     for each in (stream, final):
         each.add_argument("--topic", required=True, help="topic name with --servers, else a folder")
+        each.add_argument("--fail-on-data-loss", action="store_true", help="end when the servers no longer have messages that are to be read")
     tables = commands.add_parser("tables", help="changelogs to report tables")
     stream.add_argument("--changelogs", help="with --servers: prefix of topics to send changes to")
     tables.add_argument("--changelogs", default="", help="with --servers: prefix of topics to read changes from")

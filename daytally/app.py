@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daytally.functions.envelope import encode_records, good, inspect
 from daytally.operators import dimensions, generator
-from daytally.operators.reports import REPORTS
+from daytally.operators.reports import ALL_REPORTS
 from daytally.schemas import GAZETTEER, SAMPLE_CSV, nullable
 from daytally.session import new_folder
 from daytally.sources import files, topics
@@ -56,9 +56,11 @@ def generate(
     files.export_daily(made, export)
 
 
-def read_messages(spark: SparkSession, topic: str, servers: str | None) -> DataFrame:
+def read_messages(spark: SparkSession, topic: str, servers: str | None, fail_on_data_loss: bool = False) -> DataFrame:
     """A topic by name if ``servers`` are given, else a folder of topic files."""
-    return topics.read_topic(spark, servers, topic) if servers else files.read_topic_files(spark, topic)
+    if servers:
+        return topics.read_topic(spark, servers, topic, fail_on_data_loss=fail_on_data_loss)
+    return files.read_topic_files(spark, topic)
 
 
 def stream(
@@ -69,6 +71,7 @@ def stream(
     run: int,
     once: bool,
     changelogs: str | None = None,
+    fail_on_data_loss: bool = False,
 ) -> None:
     """Topic to intake table, good and bad apart; its good records to the changelogs.
 
@@ -76,11 +79,11 @@ def stream(
     prefix and the report's name as well.
     """
     trigger = jobs.AVAILABLE_NOW if once else {}
-    intake = jobs.start_intake(read_messages(spark, topic, servers), root, **trigger)
+    intake = jobs.start_intake(read_messages(spark, topic, servers, fail_on_data_loss), root, **trigger)
     if once:
         jobs.finish([intake])
-    streams = [(report, jobs.stream_raw(spark, root, report, run)) for report in REPORTS.values()]
-    send = {name: partial(topics.send_topic, servers=servers, topic=f"{changelogs}{name}") for name in REPORTS} if servers and changelogs else {}
+    streams = [(report, jobs.stream_raw(spark, root, report, run)) for report in ALL_REPORTS.values()]
+    send = {name: partial(topics.send_topic, servers=servers, topic=f"{changelogs}{name}") for name in ALL_REPORTS} if servers and changelogs else {}
     reports = jobs.start_reports(streams, root, run, send, **trigger)
     if once:
         jobs.finish(reports)
@@ -97,21 +100,23 @@ def tables(
     """
     trigger = jobs.AVAILABLE_NOW if once else {}
     queries = []
-    for report in REPORTS.values():
+    for report in ALL_REPORTS.values():
         messages = changelog_from_topic(topics.read_topic(spark, servers, changelogs + report.name)) if servers else None
         queries.append(jobs.start_consumer(spark, report, root, run, messages, **trigger))
         queries.append(jobs.start_rejects(spark, report, root, messages, **trigger))
     if once:
         jobs.finish(queries)
-        for report in REPORTS.values():
+        for report in ALL_REPORTS.values():
             publish_ready(spark, report, f"{root}/{report.name}")
     else:
         jobs.serve(spark, queries)
 
 
-def final(spark: SparkSession, topic: str, root: str, servers: str | None, delay: str, once: bool) -> None:
+def final(
+    spark: SparkSession, topic: str, root: str, servers: str | None, delay: str, once: bool, fail_on_data_loss: bool = False
+) -> None:
     """Day totals that are written once, when a day is over."""
-    records = good(inspect(read_messages(spark, topic, servers)))
+    records = good(inspect(read_messages(spark, topic, servers, fail_on_data_loss)))
     days = jobs.start_final_days(records, root, delay, **(jobs.AVAILABLE_NOW if once else {}))
     jobs.finish([days]) if once else jobs.serve(spark, [days])
 
@@ -120,13 +125,13 @@ def compact_all(spark: SparkSession, root: str) -> None:
     """Fold the intake and every changelog and snapshot every report table, at any time that
     no streaming command folds."""
     fold(spark, root)
-    for report in REPORTS.values():
+    for report in ALL_REPORTS.values():
         fold_changelog(spark, report, f"{root}/{report.name}/changelog")
         compact(spark, report, f"{root}/{report.name}")
 
 
 def query(spark: SparkSession, root: str, sql: str) -> DataFrame:
-    """Ad-hoc SQL over ``daily_report.<report>``, ``<report>_text``, ``daily_records`` and
-    ``quarantine``."""
-    create_tables(spark, DATABASE, root, list(REPORTS.values()))
+    """Ad-hoc SQL over ``daily_report.<report>``, ``<report>_text``, ``<report>_rejects``,
+    ``daily_records``, ``quarantine`` and ``final_days``."""
+    create_tables(spark, DATABASE, root, list(ALL_REPORTS.values()))
     return spark.sql(sql)

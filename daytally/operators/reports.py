@@ -10,13 +10,17 @@ from pyspark.sql import types as T
 
 RSD = 0.05
 
+# Of a sketch: 2^12 places, a standard error of 1.6 %.
+SKETCH_BITS = 12
+
 # Standard errors that an estimate may be off, so that none of millions of groups is.
 ERRORS = 6
 
 
 @dataclass(frozen=True)
 class Measure:
-    """``users`` counts distinct values of ``source``; ``sum`` adds them up."""
+    """``users`` counts distinct values of ``source``; ``sum`` adds them up; ``sketch`` holds
+    the distinct values in a form that can be united over keys and then counted."""
 
     name: str
     kind: str
@@ -27,6 +31,8 @@ class Measure:
         if self.kind == "users":
             count = F.count_distinct(self.source) if exact else F.approx_count_distinct(self.source, RSD)
             return count.alias(self.name)
+        if self.kind == "sketch":
+            return F.hll_sketch_agg(self.source, SKETCH_BITS).alias(self.name)
         return F.sum(self.source).alias(self.name)
 
 
@@ -120,6 +126,16 @@ DAILY_ADDRESS = Report(
 
 REPORTS = {r.name: r for r in (DAILY_PU_REV, DAILY_CATEGORY_PRODUCT, DAILY_ADDRESS)}
 
+#: The customers of a day and country, from which those of any days and countries follow:
+#: numbers of users, unlike money, cannot be added up.
+DAILY_USERS = Report(
+    "daily_users",
+    (("ts_date", T.DateType()), ("country", T.StringType())),
+    (Measure("users", "sketch", "customer_id", T.BinaryType()),),
+)
+
+ALL_REPORTS = {**REPORTS, DAILY_USERS.name: DAILY_USERS}
+
 
 def users_with_bound(records: DataFrame, keys: list[str], user: str = "customer_id") -> DataFrame:
     """Exact and estimated users per key, and whether the estimate is close enough.
@@ -139,6 +155,12 @@ def within_bound(estimate: Column, exact: Column) -> Column:
     return F.abs(estimate - exact) <= F.lit(2) + F.lit(ERRORS * RSD) * exact
 
 
+def users_over(daily_users: DataFrame, *keys: Column) -> DataFrame:
+    """Estimated distinct users of each group of days and countries, from their sketches:
+    ``keys`` and ``users``. Tasks unite sketches first, of a few kilobytes each."""
+    return daily_users.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("users")).alias("users"))
+
+
 def roll_up(report_rows: DataFrame, key: str, measure: str, alias: str) -> DataFrame:
     """Total a finished report over all but one of its keys."""
     return report_rows.groupBy(key).agg(F.sum(measure).alias(alias))

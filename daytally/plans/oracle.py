@@ -252,6 +252,16 @@ def oracle_sql() -> dict[str, str]:
         "changelog_latest": days,
         "changelog_compacted": event_products,
         "replay_idempotent": days,
+        "users_rolled_up": _e(
+            "SELECT DISTINCT 'week' AS span, CAST(CAST(date_trunc('week', ts_date) AS DATE) AS VARCHAR) AS period, TRUE AS pu_in_bound FROM e "
+            "UNION ALL SELECT DISTINCT 'month', CAST(CAST(date_trunc('month', ts_date) AS DATE) AS VARCHAR), TRUE FROM e "
+            "UNION ALL SELECT DISTINCT 'country', country, TRUE FROM e"
+        ),
+        "late_account": _e(
+            "SELECT ts_date, count(*) AS sent, CASE WHEN ts_date >= DATE '2024-01-11' AND ts_date < DATE '2024-01-21' THEN count(*) ELSE 0 END AS late "
+            "FROM e GROUP BY ts_date "
+            "HAVING CAST(ts_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM e) - INTERVAL 1 DAY"
+        ),
         "publish_run": _e(f"SELECT ts_date, {_SUMS}, TRUE AS pu_in_bound, 0 AS lost FROM e GROUP BY ts_date"),
         "sql_daily_records": _e(f"SELECT {_READABLE} FROM e WHERE {_REASON} = 'good'"),
         "sql_quarantine": _e(

@@ -59,6 +59,8 @@ STREAM: dict[str, Query] = {
     "changelog_compacted": stream.changelog_compacted,
     "replay_idempotent": stream.replay_idempotent,
     "publish_run": stream.publish_run,
+    "users_rolled_up": stream.users_rolled_up,
+    "late_account": stream.late_account,
     "sql_daily_records": stream.sql_daily_records,
     "sql_quarantine": stream.sql_quarantine,
 }

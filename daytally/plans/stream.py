@@ -19,8 +19,10 @@ from daytally.operators.reports import (
     DAILY_ADDRESS,
     DAILY_CATEGORY_PRODUCT,
     DAILY_PU_REV,
+    DAILY_USERS,
     REPORTS,
     Report,
+    users_over,
     within_bound,
 )
 from daytally.plans.batch import damaged_messages, kept_without_database, readable, stacked, tidy
@@ -272,6 +274,41 @@ def publish_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("lost", F.lit(sum(lost)))
 
 
+def users_rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of each week, month and country from the stored daily report, whose sketches went
+    through changelog and table; the estimates are compared with the exact numbers."""
+    root = new_folder(spark, "stream")
+    replay(spark, event_messages(spark, sf_dir), lambda feed, _: _run_chain(spark, root, feed, [DAILY_USERS]))
+    stored = read_report(spark, DAILY_USERS, f"{root}/{DAILY_USERS.name}")
+    events = event_records(spark, sf_dir).withColumn("ts_date", F.col("ts_date").cast("date"))
+    spans = {
+        "week": F.date_trunc("week", "ts_date").cast("date").cast("string"),
+        "month": F.date_trunc("month", "ts_date").cast("date").cast("string"),
+        "country": F.col("country"),
+    }
+    found = []
+    for span, key in spans.items():
+        exact = events.groupBy(key.alias("period")).agg(F.count_distinct("customer_id").alias("exact"))
+        both = users_over(stored, key.alias("period")).join(exact, "period", "left")
+        near = F.coalesce(within_bound(F.col("users"), F.col("exact")), F.lit(False))
+        found.append(both.select(F.lit(span).alias("span"), "period", near.alias("pu_in_bound")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def late_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest third of the days comes before the middle one: of the days that are closed
+    by then, what came later is accounted for, to the record."""
+    root, feed = new_folder(spark, "stream"), new_folder(spark, "feed")
+    first, middle, last = waves()
+    for number, part in enumerate((first, last, middle)):
+        append_topic_files(event_messages(spark, sf_dir).filter(part), feed, f"wave-{number}")
+        records = jobs.good(jobs.inspect(read_topic_files(spark, feed)))
+        jobs.finish([jobs.start_final_days(records, root, **NOW)])
+    everything = jobs.good(jobs.inspect(event_messages(spark, sf_dir)))
+    account = jobs.late_rows(spark.read.parquet(f"{root}/final_days"), everything)
+    return account.select("ts_date", "sent", "late")
+
+
 def written_rows(rows: DataFrame, name: str) -> DataFrame:
     path = new_folder(rows.sparkSession, name)
     rows.write.parquet(path)

@@ -46,6 +46,10 @@ MESSAGE = T.StructType().add("value", T.StringType()).add(VERSION, T.LongType())
 
 PART = "part"
 
+#: Messages that do not fit a report's types, and days that are over (see ``jobs``).
+REJECTS = f"{REASON} STRING, {RAW} STRING"
+FINAL_DAYS = "ts_date DATE, daily_pu BIGINT, daily_rev DOUBLE, daily_profit DOUBLE, n_records BIGINT"
+
 
 def _write_once(rows: DataFrame, path: str) -> None:
     """Write a folder unless it is there already, complete.
@@ -148,12 +152,15 @@ def to_report_types(report: Report, messages: DataFrame) -> DataFrame:
 
 
 def _typed(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.BinaryType):  # as JSON has it
+        return F.try_to_binary(F.col(field.name), F.lit("base64"))
     return F.col(field.name).try_cast(field.dataType)
 
 
 def as_text(report_rows: DataFrame) -> DataFrame:
     """The all-text form in which the keyed store holds a report."""
-    return report_rows.select(*[F.col(c).cast("string").alias(c) for c in report_rows.columns])
+    text = {f.name: F.base64(f.name) if isinstance(f.dataType, T.BinaryType) else F.col(f.name).cast("string") for f in report_rows.schema}
+    return report_rows.select(*[column.alias(name) for name, column in text.items()])
 
 
 def changes_schema(report: Report) -> T.StructType:
@@ -314,8 +321,9 @@ def create_tables(spark: SparkSession, database: str, root: str, reports: list[R
 
     ``<report>_changes`` is the append-only table under ``root/<report>``, ``<report>``
     the keyed view that ad-hoc SQL reads, ``<report>_text`` the same as text, the form of
-    a keyed store. Once there is an intake, ``daily_records`` holds one row per record id
-    and ``quarantine`` the bad messages. A filter on a key passes through to the files.
+    a keyed store, and ``<report>_rejects`` the messages that did not fit. Once there is an
+    intake, ``daily_records`` holds one row per record id and ``quarantine`` the bad messages;
+    ``final_days`` has the days that are over. A filter on a key passes through to the files.
     Call it again to see newly added parts and published runs, or to start from a new
     snapshot.
     """
@@ -342,7 +350,17 @@ def create_tables(spark: SparkSession, database: str, root: str, reports: list[R
             for m in report.measure_names
         )
         spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {keys}, {picked} FROM ({source}) GROUP BY {keys}")
-        text = ", ".join(f"CAST({c} AS STRING) AS {c}" for c in report.columns)
+        text = ", ".join(f"{'base64' if isinstance(f.dataType, T.BinaryType) else 'string'}({f.name}) AS {f.name}" for f in report.schema)
         spark.sql(f"CREATE OR REPLACE VIEW {table}_text AS SELECT {text} FROM {table}")
+        _create_appended(spark, f"{database}.{report.name}_rejects", REJECTS, f"{folder}/rejects")
+    _create_appended(spark, f"{database}.final_days", FINAL_DAYS, f"{root}/final_days")
     if folder_exists(spark, f"{root}/intake/parts"):
         create_views(spark, database, root)
+
+
+def _create_appended(spark: SparkSession, view: str, schema: str, path: str) -> None:
+    """A view on a table that a stream appends to, once it is there: of the files in its log
+    only, as those of an attempt that failed may lie beside them."""
+    if folder_exists(spark, f"{path}/_spark_metadata"):
+        columns = ", ".join(f.name for f in T.StructType.fromDDL(schema))
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM parquet.`{path}`")

@@ -277,7 +277,8 @@ def start_final_days(records: DataFrame, root: str, delay: str = "1 day", **trig
     """Day totals that are written once, when the day is over, with bounded state.
 
     ``records`` must have no watermark yet. Rows of a day already closed are dropped,
-    so the delay must cover the disorder of the feed: a day at least.
+    so the delay must cover the disorder of the feed: a day at least. ``n_records`` counts
+    those that were not (see :func:`late_rows`).
     """
     days = (
         records.select("ts", "customer_id", "revenue", "profit")
@@ -287,13 +288,28 @@ def start_final_days(records: DataFrame, root: str, delay: str = "1 day", **trig
             F.approx_count_distinct("customer_id", RSD).alias("daily_pu"),
             F.sum("revenue").alias("daily_rev"),
             F.sum("profit").alias("daily_profit"),
+            F.count(F.lit(1)).alias("n_records"),
         )
-        .select(F.to_date("day.start").alias("ts_date"), "daily_pu", "daily_rev", "daily_profit")
+        .select(F.to_date("day.start").alias("ts_date"), "daily_pu", "daily_rev", "daily_profit", "n_records")
     )
     with settings(records.sparkSession, STATE_SETTINGS):
         return _start(_append_files(days, f"{root}/final_days", checkpoint(root, "final-days")), trigger)
 
 
+def late_rows(final_days: DataFrame, records: DataFrame) -> DataFrame:
+    """The account of days that are over: (ts_date, sent, counted, late). ``records`` are all
+    that were sent; those that came when their day was closed are ``late``. Days before the
+    newest finished one are closed; one of which nothing came in time has no row there.
+
+    Spark's own count of what a watermark drops is of groups, after rows of one day and task
+    were put together, so it does not tell how many records are missing.
+    """
+    newest = final_days.agg(F.max("ts_date")).first()[0]
+    sent = records.groupBy(F.to_date("ts").alias("ts_date")).agg(F.count(F.lit(1)).alias("sent")).filter(F.col("ts_date") <= F.lit(newest))
+    account = sent.join(final_days.select("ts_date", F.col("n_records").alias("counted")), "ts_date", "left")
+    return account.fillna(0, ["counted"]).withColumn("late", F.col("sent") - F.col("counted"))
+
+
 def finish(queries: Sequence[StreamingQuery]) -> None:
     """Wait for bounded runs; the first failure is raised, after the others are stopped."""
     try:

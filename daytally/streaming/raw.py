@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from daytally.functions.envelope import RAW, REASON
 from daytally.operators.latest import ARRIVED, OFFSET, latest_by
-from daytally.operators.reports import REPORTS, Report
+from daytally.operators.reports import Report
 from daytally.schemas import RECORD, RECORD_FIELDS, nullable
 from daytally.session import (
     ensure_folder,
@@ -437,11 +437,10 @@ def _read_by_reports(spark: SparkSession, root: str) -> list[int]:
     """The parts that runs of reports have read last, or read first; of runs that a newer one
     has replaced none."""
     found = []
-    for report in REPORTS.values():
-        runs = folder_numbers(spark, f"{root}/intake/readers/{report.name}", "run")
-        shown = max(published_runs(spark, f"{root}/{report.name}"), default=0)
-        for run in runs:
-            folder = _reader(root, report, run)
+    for name in folder_names(spark, f"{root}/intake/readers"):
+        shown = max(published_runs(spark, f"{root}/{name}"), default=0)
+        for run in folder_numbers(spark, f"{root}/intake/readers/{name}", "run"):
+            folder = f"{root}/intake/readers/{name}/run={run}"
             if run >= shown:
                 found.append(max([*folder_numbers(spark, folder, "seen"), *folder_numbers(spark, folder, "first")], default=0))
     return found

@@ -132,6 +132,7 @@ def test_exact_users_cannot_stream(spark, deployment):
 def test_command_line():
     args = parse(["stream", "--topic", "t", "--root", "r", "--once"])
     assert (args.command, args.topic, args.servers, args.run, args.once) == ("stream", "t", None, 0, True)
+    assert not args.fail_on_data_loss and parse(["final", "--topic", "t", "--root", "r", "--fail-on-data-loss"]).fail_on_data_loss
     assert parse(["query", "SELECT 1", "--root", "r"]).sql == "SELECT 1"
     assert parse(["generate", "--sample", "s", "--places", "p", "--topic", "t", "--export", "e"]).max_per_day == 30
 

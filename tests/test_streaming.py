@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from daytally.functions.envelope import RAW, REASON, good, inspect
 from daytally.operators.latest import fold_of, latest_records, run_of, version_of
-from daytally.operators.reports import DAILY_ADDRESS, DAILY_CATEGORY_PRODUCT, DAILY_PU_REV, REPORTS
+from daytally.operators.reports import DAILY_ADDRESS, DAILY_CATEGORY_PRODUCT, DAILY_PU_REV, DAILY_USERS, REPORTS, users_over
 from daytally.sources.files import read_topic_files, topic_messages
 from daytally.session import MARKER_SETTING
 from daytally.streaming import jobs
@@ -157,6 +157,41 @@ def test_final_days_drop_what_comes_after_the_close(spark, root):
     assert step() == [("2023-12-01", 8.0), ("2023-12-02", 8.0), ("2023-12-04", 16.0)]
 
 
+def test_dropped_plus_counted_is_sent(spark, root):
+    def step():
+        jobs.finish([jobs.start_final_days(good(inspect(read_topic_files(spark, f"{root}/feed"))), root, **NOW)])
+
+    put(f"{root}/feed", "a", [message(i, day=d) for i in range(3) for d in (1, 2, 6)], at=1_700_000_000)
+    step()
+    put(f"{root}/feed", "b", [message(i, day=d) for i in range(10, 14) for d in (1, 3, 6, 9)], at=1_700_000_001)
+    step()
+    sent = good(inspect(topic_messages(spark, f"{root}/feed")))
+    account = jobs.late_rows(spark.read.parquet(f"{root}/final_days"), sent).orderBy("ts_date").collect()
+    assert [(r.ts_date.day, r.sent, r.counted, r.late) for r in account] == [(1, 7, 3, 4), (2, 3, 3, 0), (3, 4, 0, 4), (6, 7, 7, 0)]
+    create_tables(spark, "closed", root, [])
+    assert spark.sql("SELECT sum(n_records) FROM closed.final_days").first()[0] == 13
+    spark.sql("DROP DATABASE closed CASCADE")
+
+
+def test_users_roll_up_over_days_and_countries(spark, root):
+    """Each user comes on many days; the daily numbers add up to far more than there are."""
+    lines = [message(i, day=1 + i % 9, customer_id=f"c{i % 400}", country=f"k{i % 2}") for i in range(3000)]
+    for n in range(2):
+        put(f"{root}/feed", f"f{n}", lines[n::2], at=1_700_000_000 + n)
+        run_report(spark, DAILY_USERS, root, f"{root}/feed")
+        table = run_table(spark, DAILY_USERS, root)
+    compact(spark, DAILY_USERS, f"{root}/daily_users")
+    stored = read_report(spark, DAILY_USERS, f"{root}/daily_users")
+    assert stored.schema == table.schema == DAILY_USERS.schema and stored.count() == 18
+    assert abs(users_over(stored).first().users - 400) <= 40
+    assert all(abs(r.users - 200) <= 20 for r in users_over(stored, F.col("country")).collect())
+    create_tables(spark, "people", root, [DAILY_USERS])
+    by_sql = spark.sql("SELECT hll_sketch_estimate(hll_union_agg(users)) FROM people.daily_users WHERE ts_date <= '2023-12-04'").first()[0]
+    assert abs(by_sql - 400) <= 40
+    assert spark.table("people.daily_users_text").schema["users"].dataType.simpleString() == "string"
+    spark.sql("DROP DATABASE people CASCADE")
+
+
 def test_restart_goes_on_from_the_checkpoint(spark, root):
     put(f"{root}/feed", "a", [message(i) for i in range(5)])
     run_report(spark, DAILY_CATEGORY_PRODUCT, root, f"{root}/feed")
@@ -561,6 +596,9 @@ def test_totals_that_are_no_numbers_are_set_aside(spark, root):
     assert kept.schema == DAILY_PU_REV.schema
     jobs.finish([jobs.start_rejects(spark, DAILY_PU_REV, root, **NOW)])
     assert spark.read.parquet(f"{root}/daily_pu_rev/rejects").count() == 3
+    create_tables(spark, "rejected", root, [DAILY_PU_REV])
+    assert spark.sql("SELECT count(*) FROM rejected.daily_pu_rev_rejects WHERE reason = 'malformed'").first()[0] == 1
+    spark.sql("DROP DATABASE rejected CASCADE")
 
 
 def test_text_form(spark):
