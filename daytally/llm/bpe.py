@@ -344,8 +344,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
     """(key, ids) for every row: ``ids`` of the whole text, 4 bytes each, little endian.
 
     Ids equal those of the tokenizers library for the same file without added tokens. A
-    null text is empty and has no ids; an empty table gives an empty result; equal rows
-    give equal rows. Other columns do not pass.
+    null text is empty and has no ids; a text of any length is encoded whole, block by block;
+    null keys pass; an empty table gives an empty result; equal rows give equal rows and rows
+    with one key stay apart. Other columns do not pass.
     """
     rows, kind = _keyed(docs, text, key)
     return rows.mapInArrow(lambda batches: tidily(_rows(batches, path)), f"key {kind}, ids binary").withColumnRenamed("key", key)
@@ -353,7 +354,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
 
 def there_and_back(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, ids, decoded) for every row: as :func:`encode`, and the text that the ids decode
-    to, in one pass."""
+    to, in one pass. Nulls, empty and very long texts, ties, repeated rows and empty tables
+    are taken as there; a null text decodes to the empty one."""
     rows, kind = _keyed(docs, text, key)
     found = rows.mapInArrow(lambda batches: tidily(_both_ways(batches, path)), f"key {kind}, ids binary, decoded string")
     return found.withColumnRenamed("key", key)

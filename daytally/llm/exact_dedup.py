@@ -85,7 +85,8 @@ def mark(docs: DataFrame, text: str = "text", order: str = "doc_id") -> DataFram
     Texts are equal when they are identical; null counts as empty. Of equal texts the row
     with the largest ``order`` stays; a null ``order`` is below all others. If several
     rows share that largest one, exactly one of them stays. ``keep_id`` is the ``order``
-    of the row that stays and ``group_size`` the number of equal texts. An empty table
+    of the row that stays and ``group_size`` the number of equal texts. Texts of any length
+    are compared whole, by their SHA-256. An empty table
     gives an empty result. Columns of the input with these names are replaced.
     """
     slices = max(1, min(MAX_BITS, docs.count() * BITS_PER_ROW) // SLICE_BITS)
@@ -128,6 +129,8 @@ def mark(docs: DataFrame, text: str = "text", order: str = "doc_id") -> DataFram
 
 
 def deduplicate(docs: DataFrame, text: str = "text", order: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that :func:`mark` keeps, with their own columns."""
+    """The rows of ``docs`` that :func:`mark` keeps, with their own columns, whatever these
+    are called. Null and empty texts are equal; texts of any length count whole; of ties and
+    repeated rows exactly one stays; an empty table gives an empty result."""
     kept = mark(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("all"), F.col(text).alias("t"), F.col(order).alias("o")), "t", "o")
     return kept.filter("kept").select("all.*")

@@ -62,7 +62,8 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     ``size`` is the number of words, 0 for null or empty texts; rate is target by size of
     the source. A row is taken floor(rate) times, and once more if the number drawn from
     its key lies below the fraction: rows with equal keys get equal draws, and a run
-    again the same ones. A null source is one source, the last by name. An empty table
+    again the same ones. A null source is one source, the last by name. A text of any length
+    counts whole; repeated rows and ties are rows of their own with equal draws. An empty table
     gives an empty result. Columns of the input with these names are replaced.
     """
     rows = packed(docs, source=F.col(source), key=F.col(key), size=n_words(text))
@@ -80,7 +81,12 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", key: str =
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", seed: int = SEED) -> DataFrame:
-    """The mixed rows, each as often as :func:`plan` takes it, with the input's columns."""
+    """The mixed rows, each as often as :func:`plan` takes it, with the input's columns.
+
+    Null and empty texts have no words but copies as their source's rate has it; texts of any
+    length stay whole; null keys share one draw, as repeated rows do; extra columns pass; an
+    empty table gives an empty result.
+    """
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("all"), F.col(text).alias("t"), F.col(source).alias("s"), F.col(key).alias("k"))
     taken = plan(whole, "t", "s", "k", seed).filter("copies > 0")
     return taken.select("all", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("all.*")

@@ -425,8 +425,9 @@ def join(
     ``component_id`` is the smallest key that links lead to, the row's own included. A
     null, empty or blank text has no shingles and no links. Rows with one key are one
     document where a link is concerned. A null key links nothing and has a null component
-    unless its text equals another row's. An empty table gives an empty result; columns
-    other than text and key do not pass.
+    unless its text equals another row's. Texts of any length count whole, and repeated rows
+    and equal texts each have their row. An empty table gives an empty result; columns other
+    than text and key do not pass.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     known = frequent(rows.select("text"), sim)

@@ -357,8 +357,8 @@ def passages(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     ``start`` and ``end`` count words from 0, ``first_doc`` is the smallest document that
     holds a part of it, and ``removed`` tells whether any of it goes since an earlier
     document keeps it. Documents that share nothing have no row, nor have null, empty and
-    short texts; rows with a null key take no part; repeated rows of one key are one
-    document. An empty table gives an empty result; other columns do not pass.
+    short texts; texts of any length are searched whole; rows with a null key take no part;
+    repeated rows of one key are one document, and equal texts share all of theirs. An empty table gives an empty result; other columns do not pass.
     """
     spans = repeated_spans(docs, text, key)
     more = [F.min("cluster").alias("cluster"), F.min("keeper").alias("first_doc"), F.max(F.col("keeper") != F.col("id")).alias("removed")]
@@ -383,7 +383,9 @@ def _without(text: str, spans: list) -> str:
 def remove(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with each shared passage cut out of all documents but the one that keeps
     it; white space and other columns stay. A passage that a document keeps for others
-    stays even where it overlaps one that goes."""
+    stays even where it overlaps one that goes. Null, empty and short texts and rows with a
+    null key pass as they are; texts of any length are cut whole; repeated rows of one key are
+    cut alike; an empty table gives an empty result."""
     spans = repeated_spans(docs, text, key).groupBy("id").agg(
         F.collect_set(F.struct("start", "end", (F.col("keeper") != F.col("id")).alias("gone"))).alias("spans")
     )

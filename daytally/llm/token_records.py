@@ -151,8 +151,9 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, text: s
     """Encode every whole text and write it under ``folder``; returns the manifest:
     (part, file, n_records, n_ids, width), a row for each file, itself a written table.
 
-    A null text is empty and has the end id alone. Null ids come first; rows with one id
-    are ordered by the hash of the text. An empty table gives an empty manifest.
+    A null text is empty and has the end id alone; a text of any length is one record. Null
+    ids come first; rows with one id are ordered by the hash of the text, and equal rows are
+    records of their own. An empty table gives an empty manifest. Other columns do not pass.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("key", "tie").sortWithinPartitions("key", "tie")
@@ -181,7 +182,10 @@ def _read_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read(manifest: DataFrame) -> DataFrame:
     """(doc_id, start, ids) from the files: ``start`` counts the ids of all documents
-    before, ``ids`` are 4 bytes each. Every checksum is tested."""
+    before, ``ids`` are 4 bytes each. Every checksum is tested.
+
+    A record of any length is read whole; null document ids, repeated records and documents
+    with the end id alone come back as they were written; an empty manifest gives no rows."""
     before = F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row for each file
     placed = manifest.withColumn("before", F.coalesce(before, F.lit(0)))
 
