@@ -36,8 +36,10 @@ WINDOW = 25
 PASSAGE = 51
 STRETCH = PASSAGE - WINDOW
 RECALL = 0.95
-#: Bands of one MinHash each that similar paragraphs collide in with this probability.
-BANDS = ceil(log(1 - RECALL) / log(1 - SIMILARITY))
+#: MinHashes of a band, and bands that similar paragraphs collide in with this probability. Of
+#: two, so that paragraphs which share a common phrase alone seldom meet.
+DEPTH = 2
+BANDS = ceil(log(1 - RECALL) / log(1 - SIMILARITY**DEPTH))
 #: Shingles that two similar paragraphs do not share, at most.
 APART = int(2 * (WINDOW - WORDS + 1) * (1 - SIMILARITY) / (1 + SIMILARITY))
 #: All pairs of a band up to this length are looked at; a longer one is split first.
@@ -49,6 +51,8 @@ _PAGE = 32768
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
+_TURNS = mix(np.arange(1, DEPTH * BANDS + 1, dtype=np.uint64)) | np.uint64(1)
+
 
 def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     """``pick`` (minimum or maximum) of every ``width`` values in a row."""
@@ -94,6 +98,14 @@ def _thinned(text: np.ndarray, place: np.ndarray, kind: np.ndarray) -> np.ndarra
     return keep
 
 
+def _band(own: np.ndarray, number: int) -> np.ndarray:
+    """A band's key: the least of the shingles under each of its DEPTH hashes."""
+    key = np.full(len(own), number, np.uint64)
+    for turn in _TURNS[number * DEPTH : (number + 1) * DEPTH]:
+        key = mix(key * _ODD[2] + (own * turn).min(axis=1))
+    return key
+
+
 def _paragraphs(column: pa.Array) -> Iterator[tuple]:
     """Of runs of texts: the first text's number, then of each paragraph its text, place,
     class, bands and shingles, then all word hashes and the texts' bounds in them."""
@@ -116,7 +128,7 @@ def _paragraphs(column: pa.Array) -> Iterator[tuple]:
         keep = _thinned(text, place, kind)
         text, place, kind = text[keep], place[keep], kind[keep]
         own = shingles[place[:, None] + np.arange(WINDOW - WORDS + 1)]
-        bands = np.stack([mix((own * _ODD[2 + i]).min(axis=1) + np.uint64(i)) for i in range(BANDS)])
+        bands = np.stack([_band(own, i) for i in range(BANDS)])
         yield first, text, place, kind, bands, own, hashes, bounds
 
 
