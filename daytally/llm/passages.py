@@ -42,9 +42,8 @@ DEPTH = 2
 BANDS = ceil(log(1 - RECALL) / log(1 - SIMILARITY**DEPTH))
 #: Shingles that two similar paragraphs do not share, at most.
 APART = int(2 * (WINDOW - WORDS + 1) * (1 - SIMILARITY) / (1 + SIMILARITY))
-#: All pairs of a band up to this length are looked at in memory, by their marks; a longer one
-#: is split first, which costs a row for each part of the marks.
-SHORT_LIST = 256
+#: All pairs of a band up to this length are looked at; a longer one is split first.
+SHORT_LIST = 16
 ROWS = 1 << 17
 #: Bits of a filter sent with a task: 2 MB. More keys let more rows pass; joins are exact.
 FILTER_BITS = 1 << 24
