@@ -42,8 +42,10 @@ DEPTH = 2
 BANDS = ceil(log(1 - RECALL) / log(1 - SIMILARITY**DEPTH))
 #: Shingles that two similar paragraphs do not share, at most.
 APART = int(2 * (WINDOW - WORDS + 1) * (1 - SIMILARITY) / (1 + SIMILARITY))
-#: All pairs of a band up to this length are looked at; a longer one is split first.
+#: All pairs of a band up to this length are looked at; a longer one is split first,
 SHORT_LIST = 16
+#: in memory up to this length, and by a shuffle beyond it.
+HELD_LIST = 1 << 16
 ROWS = 1 << 17
 #: Bits of a filter sent with a task: 2 MB. More keys let more rows pass; joins are exact.
 FILTER_BITS = 1 << 24
@@ -260,23 +262,61 @@ def _pairs(lists: np.ndarray, kind: np.ndarray, marks: np.ndarray) -> Iterator[p
             return
 
 
+_WIDTH = -(-64 // (APART + 1))
+
+
+def _parts(band: np.ndarray, kind: np.ndarray, marks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows (list, class, marks) of the shorter lists that bands are split into: marks that
+    differ in APART bits at most are equal in one of APART + 1 parts, so that similar classes
+    still meet."""
+    bits = marks.view(np.uint64)
+    for part in range(APART + 1):
+        own = (bits >> np.uint64(part * _WIDTH)) & np.uint64((1 << _WIDTH) - 1)
+        yield mix(mix(band.view(np.uint64) + own) + np.uint64(part)).view(np.int64), kind, marks
+
+
+def _once(pairs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs, each once in about 8 * ROWS of them."""
+    held, count = [], 0
+
+    def distinct() -> pa.RecordBatch:
+        a, b = (np.concatenate([x.column(i).to_numpy() for x in held]) for i in (0, 1))
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.nulls(int(new.sum()), pa.int64())], names=["a", "b", "marks"])
+
+    for batch in pairs:
+        held.append(batch)
+        count += len(batch)
+        if count >= 8 * ROWS:
+            yield distinct()
+            held, count = [], 0
+    if count:
+        yield distinct()
+
+
 def _collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes from rows (band, class, marks): all pairs of a short list. A long one
-    gives rows (list, class, marks) of shorter lists: marks that differ in APART bits at most
-    are equal in one of APART + 1 parts, so that similar classes still meet."""
-    width = -(-64 // (APART + 1))
+    """Pairs of classes from rows (band, class, marks): all pairs of a short list, and those
+    of the parts of a longer one. One too long for that gives rows (list, class, marks)."""
     for band, kind, marks in _whole_lists(batches):
         first = np.concatenate([[True], band[1:] != band[:-1]])
         lengths = np.diff(np.append(np.flatnonzero(first), len(band)))
-        long = np.repeat(lengths, lengths) > SHORT_LIST
-        yield from _pairs(band[~long], kind[~long], marks[~long])
-        if not long.any():
-            continue
-        bits = marks[long].view(np.uint64)
-        for part in range(APART + 1):
-            own = (bits >> np.uint64(part * width)) & np.uint64((1 << width) - 1)
-            lists = mix(mix(band[long].view(np.uint64) + own) + np.uint64(part))
-            yield pa.RecordBatch.from_arrays([_column(lists), pa.array(kind[long]), pa.array(marks[long])], names=["a", "b", "marks"])
+        length = np.repeat(lengths, lengths)
+        short, far = length <= SHORT_LIST, length > HELD_LIST
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            yield from _pairs(band[short], kind[short], marks[short])
+            held = ~short & ~far
+            if held.any():
+                for rows in _parts(band[held], kind[held], marks[held]):
+                    order = np.lexsort((rows[1], rows[0]))
+                    yield from _pairs(*(c[order] for c in rows))
+
+        yield from _once(pairs())
+        if far.any():
+            for rows in _parts(band[far], kind[far], marks[far]):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=["a", "b", "marks"])
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """N-gram join, shared passages and nearest neighbours against brute force."""
 
+import itertools
 import random
 import re
 
@@ -195,6 +196,30 @@ def test_a_passage_of_very_many_documents_is_sent_on_once_a_run(monkeypatch):
     assert len(rows) == len(set(rows)) >= 500
 
 
+@pytest.mark.parametrize("held", [16, 400, 1 << 16])
+def test_long_bands_give_the_same_pairs_in_memory_and_by_lists(monkeypatch, held):
+    monkeypatch.setattr(passages, "HELD_LIST", held)
+    rng = np.random.default_rng(15)
+    band = np.repeat(np.arange(40), rng.integers(1, 30, 40)).tolist() + [77] * 300 + [78] * 500
+    base = rng.integers(-(1 << 62), 1 << 62, 60)
+    marks = rng.choice(base, len(band)) ^ (1 << rng.integers(0, 62, len(band)))
+    kind = rng.permutation(len(band))
+    rows = sorted(zip(band, kind.tolist(), marks.tolist()))
+    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["a", "b", "marks"])
+    out = [r for b in passages._collisions(iter([batch(rows)])) for r in b.to_pylist()]
+    got = [(r["a"], r["b"]) for r in out if r["marks"] is None]
+    lists = sorted((r["a"], r["b"], r["marks"]) for r in out if r["marks"] is not None)
+    assert bool(lists) == (held < 500) and len(got) == len(set(got))
+    if lists:
+        got += [(r["a"], r["b"]) for b in passages._met(iter([batch(lists)])) for r in b.to_pylist()]
+    want = {
+        frozenset((x, y))
+        for (p, x, m), (q, y, n) in itertools.combinations(rows, 2)
+        if p == q and ((m ^ n) & (1 << 64) - 1).bit_count() <= passages.APART
+    }
+    assert {frozenset(p) for p in got} == want and len(want) > 500
+
+
 def test_repetitive_passages_are_found_whole(spark):
     rng = random.Random(14)
     line = prose(rng, 10)
