@@ -179,10 +179,25 @@ def _with_shingles(batches: Iterator[pa.RecordBatch], wanted: bytes) -> Iterator
         for first, text, _, kind, _, own, _, _ in _paragraphs(batch.column(1)):
             use = _may(kind, wanted)
             ids = batch.column(0).take(pa.array(first + text[use]))
-            sets = pa.FixedSizeListArray.from_arrays(_column(own[use].ravel()), own.shape[1]).cast(pa.list_(pa.int64()))
+            low = np.ascontiguousarray(own[use].astype(np.uint32))
+            sets = pa.Array.from_buffers(pa.binary(4 * low.shape[1]), len(low), [None, pa.py_buffer(low)]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([_column(kind[use]), ids, sets], names=["class", "id", "shingles"])
 
 
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (a, b, x, y) whose sets of shingles, 32 bits of each, are similar; without these."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        x, y = (np.sort(np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(len(batch), -1), axis=1) for i in (2, 3))
+        again_x, again_y = (np.pad(v[:, 1:] == v[:, :-1], ((0, 0), (1, 0))) for v in (x, y))
+        shared = np.zeros(len(x), np.int64)
+        for i in range(x.shape[1]):
+            shared += (y == x[:, i, None]).any(axis=1) & ~again_x[:, i]
+        union = x.shape[1] + y.shape[1] - again_x.sum(axis=1) - again_y.sum(axis=1) - shared
+        yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(shared >= SIMILARITY * union))
+
+
 def _around(batches: Iterator[pa.RecordBatch], wanted: bytes) -> Iterator[pa.RecordBatch]:
     """(run, id, start): every run of PASSAGE words that holds a wanted paragraph."""
     for batch in batches:
@@ -194,7 +209,8 @@ def _around(batches: Iterator[pa.RecordBatch], wanted: bytes) -> Iterator[pa.Rec
             start = place[use][:, None] - np.arange(STRETCH + 1)
             own = np.broadcast_to(text[use][:, None], start.shape)
             fits = (start >= bounds[own]) & (start + PASSAGE <= bounds[own + 1])
-            start, own = start[fits], own[fits]
+            start, at = np.unique(start[fits], return_index=True)
+            own = own[fits][at]
             ids = batch.column(0).take(pa.array(first + own))
             yield pa.RecordBatch.from_arrays([_column(runs[start]), ids, pa.array(start - bounds[own])], names=["run", "id", "start"])
 
@@ -243,15 +259,27 @@ def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]
 _PAIRED = "a long, b long, marks long"
 
 
-def _pairs(lists: np.ndarray, kind: np.ndarray, marks: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """All pairs within lists whose marks do not rule similarity out; without marks."""
+_WIDTH = -(-64 // (APART + 1))
+_MASK = np.uint64((1 << _WIDTH) - 1)
+
+
+def _pairs(lists: np.ndarray, kind: np.ndarray, marks: np.ndarray, part: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """All pairs within lists whose marks do not rule similarity out; without marks. Of lists
+    that hold a ``part`` of a longer one, those that no list of an earlier part gives."""
     found, count, lag, at, bits = [], 0, 0, np.arange(len(lists)), marks.view(np.uint64)
     while True:
         lag += 1
         at = at[: np.searchsorted(at, len(lists) - lag)]
         at = at[lists[at + lag] == lists[at]]
         if len(at):
-            use = at[np.bitwise_count(bits[at] ^ bits[at + lag]) <= APART]
+            unequal = bits[at] ^ bits[at + lag]
+            close = np.bitwise_count(unequal) <= APART
+            use, unequal = at[close], unequal[close]
+            if part is not None:
+                new = np.ones(len(use), bool)
+                for earlier in range(APART):
+                    new &= (part[use] <= earlier) | ((unequal >> np.uint64(earlier * _WIDTH) & _MASK) != 0)
+                use = use[new]
             found.append((kind[use], kind[use + lag]))
             count += len(use)
         if found and (count >= ROWS or not len(at)):
@@ -262,38 +290,14 @@ def _pairs(lists: np.ndarray, kind: np.ndarray, marks: np.ndarray) -> Iterator[p
             return
 
 
-_WIDTH = -(-64 // (APART + 1))
-
-
 def _parts(band: np.ndarray, kind: np.ndarray, marks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Rows (list, class, marks) of the shorter lists that bands are split into: marks that
     differ in APART bits at most are equal in one of APART + 1 parts, so that similar classes
-    still meet."""
+    still meet. The low bits of a list are the number of its part."""
     bits = marks.view(np.uint64)
     for part in range(APART + 1):
-        own = (bits >> np.uint64(part * _WIDTH)) & np.uint64((1 << _WIDTH) - 1)
-        yield mix(mix(band.view(np.uint64) + own) + np.uint64(part)).view(np.int64), kind, marks
-
-
-def _once(pairs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs, each once in about 8 * ROWS of them."""
-    held, count = [], 0
-
-    def distinct() -> pa.RecordBatch:
-        a, b = (np.concatenate([x.column(i).to_numpy() for x in held]) for i in (0, 1))
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-        return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.nulls(int(new.sum()), pa.int64())], names=["a", "b", "marks"])
-
-    for batch in pairs:
-        held.append(batch)
-        count += len(batch)
-        if count >= 8 * ROWS:
-            yield distinct()
-            held, count = [], 0
-    if count:
-        yield distinct()
+        own = bits >> np.uint64(part * _WIDTH) & _MASK
+        yield (mix(band.view(np.uint64) * _ODD[0] + own) & ~np.uint64(7) | np.uint64(part)).view(np.int64), kind, marks
 
 
 def _collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,24 +308,20 @@ def _collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = np.diff(np.append(np.flatnonzero(first), len(band)))
         length = np.repeat(lengths, lengths)
         short, far = length <= SHORT_LIST, length > HELD_LIST
-
-        def pairs() -> Iterator[pa.RecordBatch]:
-            yield from _pairs(band[short], kind[short], marks[short])
-            held = ~short & ~far
-            if held.any():
-                for rows in _parts(band[held], kind[held], marks[held]):
-                    order = np.lexsort((rows[1], rows[0]))
-                    yield from _pairs(*(c[order] for c in rows))
-
-        yield from _once(pairs())
+        held = ~short & ~far
+        yield from _pairs(band[short], kind[short], marks[short])
+        if held.any():
+            for lists, classes, own in _parts(band[held], kind[held], marks[held]):
+                order = np.lexsort((classes, lists))
+                yield from _pairs(lists[order], classes[order], own[order], lists[order] & 7)
         if far.any():
             for rows in _parts(band[far], kind[far], marks[far]):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=["a", "b", "marks"])
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in _whole_lists(batches):
-        yield from _pairs(*rows)
+    for lists, kind, marks in _whole_lists(batches):
+        yield from _pairs(lists, kind, marks, lists & 7)
 
 
 def _candidates(rows: DataFrame) -> DataFrame:
@@ -338,14 +338,12 @@ def _similar(pairs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     the largest document of each class that occurs in a pair."""
     classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     wanted = _filter(classes, "class")
-    found = rows.mapInArrow(lambda batches: _with_shingles(batches, wanted), "class long, id long, shingles array<long>")
+    found = rows.mapInArrow(lambda batches: _with_shingles(batches, wanted), "class long, id long, shingles binary")
     found = found.join(classes, "class", "left_semi").groupBy("class")
     sets = written(found.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.first("shingles").alias("shingles")), "shingles")
-    of = lambda end, name: sets.select(F.col("class").alias(end), F.array_distinct("shingles").alias(name))
-    both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    union = F.size("x") + F.size("y") - shared
-    links = both.filter(shared.cast("double") >= F.lit(SIMILARITY) * union).select("a", "b")
+    of = lambda end, name: sets.select(F.col("class").alias(end), F.col("shingles").alias(name))
+    both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y")
+    links = both.mapInArrow(_alike, "a long, b long")
     return written(links, "similar"), sets.select("class", "low", "high")
 
 
@@ -364,14 +362,18 @@ def clusters(rows: DataFrame) -> DataFrame:
     return written(alone.unionByName(joined), "clusters")
 
 
-def _islands(spans: DataFrame, *more: Column) -> DataFrame:
-    """Spans (id, start, end, ...) that touch, as one."""
+def _numbered(spans: DataFrame) -> DataFrame:
+    """Spans (id, start, end, ...) with the number of their island: those that touch are one."""
     order = Window.partitionBy("id").orderBy("start", "end")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0)
     island = F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    numbered = spans.withColumn("new", new).withColumn("island", island)
-    return numbered.groupBy("id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), *more)
+    return spans.withColumn("new", new).withColumn("island", island).drop("new")
+
+
+def _islands(spans: DataFrame, *more: Column) -> DataFrame:
+    """Spans (id, start, end, ...) that touch, as one."""
+    return _numbered(spans).groupBy("id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), *more)
 
 
 def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -385,15 +387,14 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     wanted = _filter(known, "class")
     found = rows.mapInArrow(lambda batches: _occurrences(batches, wanted), "class long, id long, start long")
     pieces = found.join(known, "class").withColumn("end", F.col("start") + WINDOW)
-    pieces = written(pieces.distinct(), "pieces")
-    islands = _islands(pieces.select("id", "start", "end"))
-    islands = written(islands.select("id", F.col("start").alias("low"), F.col("end").alias("high")), "islands")
-    inside = pieces.join(islands, "id").filter("start >= low AND end <= high")
+    ends = Window.partitionBy("id", "island")
+    inside = _numbered(pieces).withColumns({"low": F.min("start").over(ends), "high": F.max("end").over(ends)})
+    inside = written(inside.drop("island"), "pieces")
     proven = inside.filter(F.col("high") - F.col("low") >= PASSAGE).select("id", "start", "end", "cluster", "keeper")
     at_end = (F.col("start") == F.col("low")) | (F.col("end") == F.col("high"))
     open_ = written(inside.filter(at_end | (F.col("high") - F.col("low") < PASSAGE)).select("id", "start", "class", "cluster", "keeper"), "open")
     open_classes = _filter(open_.select("class").distinct(), "class")
-    runs = written(rows.mapInArrow(lambda batches: _around(batches, open_classes), "run long, id long, start long").distinct(), "runs")
+    runs = written(rows.mapInArrow(lambda batches: _around(batches, open_classes), "run long, id long, start long"), "runs")
     again = runs.groupBy("run").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("run")
     long_runs = runs.join(again, "run", "left_semi").select("id", F.col("start").alias("run_start"))
     holds = F.col("start").between(F.col("run_start"), F.col("run_start") + STRETCH)
