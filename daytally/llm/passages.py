@@ -75,13 +75,26 @@ def _runs(hashes: np.ndarray, k: int, step: np.uint64) -> np.ndarray:
     return mix(total)
 
 
-def _anchors(ranks: np.ndarray) -> np.ndarray:
-    """Places that are least in some stretch."""
-    if len(ranks) <= STRETCH:
-        return np.array([int(ranks.argmin())])
-    least = _sliding(ranks, STRETCH, np.minimum)
-    padded = np.concatenate([np.zeros(STRETCH - 1, np.uint64), least, np.zeros(STRETCH - 1, np.uint64)])
-    return np.flatnonzero(_sliding(padded, STRETCH, np.maximum) == ranks)
+def _anchors(ranks: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of texts whose places are ``ranks[starts[i]:ends[i]]``: the number of the text and the
+    place of all that are least in some stretch; in texts of one stretch or less, the first."""
+    lengths = ends - starts
+    short, long = np.flatnonzero((lengths > 0) & (lengths <= STRETCH)), np.flatnonzero(lengths > STRETCH)
+    first = np.array([starts[i] + ranks[starts[i] : ends[i]].argmin() for i in short], np.int64)
+    if not len(long):
+        return short, first
+    # the texts in a row, with zeros between, so that no stretch over two texts counts
+    before = np.cumsum(lengths[long] + STRETCH) - lengths[long]
+    texts = np.repeat(long, lengths[long])
+    shift = np.repeat(before - starts[long], lengths[long])
+    places = np.arange(len(texts)) + np.repeat(starts[long] - (np.cumsum(lengths[long]) - lengths[long]), lengths[long])
+    row = np.zeros(before[-1] + lengths[long[-1]] + STRETCH, np.uint64)
+    row[places + shift] = ranks[places]
+    padded = np.concatenate([np.zeros(STRETCH - 1, np.uint64), _sliding(row, STRETCH, np.minimum), np.zeros(STRETCH - 1, np.uint64)])
+    least = (_sliding(padded, STRETCH, np.maximum) == row)[places + shift]
+    text, place = np.concatenate([short, texts[least]]), np.concatenate([first, places[least]])
+    order = np.argsort(place, kind="stable")
+    return text[order], place[order]
 
 
 def _thinned(text: np.ndarray, place: np.ndarray, kind: np.ndarray) -> np.ndarray:
@@ -109,29 +122,26 @@ def _band(own: np.ndarray, number: int) -> np.ndarray:
 
 
 def _paragraphs(column: pa.Array) -> Iterator[tuple]:
-    """Of runs of texts: the first text's number, then of each paragraph its text, place,
-    class, bands and shingles, then all word hashes and the texts' bounds in them."""
+    """Of runs of texts: the first text's number, then of each paragraph its text, place and
+    class, then the shingles at all places, all word hashes and the texts' bounds in them."""
     for first, _, hashes, bounds in hashed_words(column):
         if len(hashes) < WINDOW:
             continue
         shingles = _runs(hashes, WORDS, _ODD[0])
         ranks = shingles * _ODD[1]
-        texts, places = [], []
-        for i in range(len(bounds) - 1):
-            a, b = int(bounds[i]), int(bounds[i + 1])
-            if b - a >= WINDOW:
-                at = _anchors(ranks[a : b - WINDOW + 1]) + a
-                texts.append(np.full(len(at), i))
-                places.append(at)
-        if not texts:
+        bounds = np.asarray(bounds)
+        text, place = _anchors(ranks, bounds[:-1], bounds[1:] - WINDOW + 1)
+        if not len(text):
             continue
-        text, place = np.concatenate(texts), np.concatenate(places)
         kind = mix(reduce(lambda x, y: x * _ODD[0] + y, [shingles[place + j] for j in range(0, WINDOW - WORDS + 1, WORDS)]))
         keep = _thinned(text, place, kind)
         text, place, kind = text[keep], place[keep], kind[keep]
-        own = shingles[place[:, None] + np.arange(WINDOW - WORDS + 1)]
-        bands = np.stack([_band(own, i) for i in range(BANDS)])
-        yield first, text, place, kind, bands, own, hashes, bounds
+        yield first, text, place, kind, shingles, hashes, bounds
+
+
+def _own(shingles: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The shingles of the paragraphs at these places, a row for each."""
+    return shingles[place[:, None] + np.arange(WINDOW - WORDS + 1)]
 
 
 def _marks(own: np.ndarray) -> np.ndarray:
@@ -143,13 +153,12 @@ def _column(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x)
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch], wanted: bytes | None = None) -> Iterator[pa.RecordBatch]:
-    """(class, id, start) of the paragraphs, or of those whose class may be wanted."""
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class, id, start) of the paragraphs."""
     for batch in batches:
-        for first, text, place, kind, _, _, _, bounds in _paragraphs(batch.column(1)):
-            use = _may(kind, wanted)
-            ids = batch.column(0).take(pa.array(first + text[use]))
-            yield pa.RecordBatch.from_arrays([_column(kind[use]), ids, pa.array((place - bounds[text])[use])], names=["class", "id", "start"])
+        for first, text, place, kind, _, _, bounds in _paragraphs(batch.column(1)):
+            ids = batch.column(0).take(pa.array(first + text))
+            yield pa.RecordBatch.from_arrays([_column(kind), ids, pa.array(place - bounds[text])], names=["class", "id", "start"])
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,8 +174,10 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([_column(x[new]) for x in (band, kind, marks)], names=["band", "class", "marks"])
 
     for batch in batches:
-        for _, _, _, kind, bands, own, _, _ in _paragraphs(batch.column(1)):
-            held.append([bands.ravel(), np.tile(kind, BANDS), np.tile(_marks(own), BANDS)])
+        for _, _, place, kind, shingles, _, _ in _paragraphs(batch.column(1)):
+            own = _own(shingles, place)
+            bands = np.concatenate([_band(own, i) for i in range(BANDS)])
+            held.append([bands, np.tile(kind, BANDS), np.tile(_marks(own), BANDS)])
             if sum(len(x[0]) for x in held) >= ROWS:
                 yield distinct()
                 held = []
@@ -176,10 +187,10 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _with_shingles(batches: Iterator[pa.RecordBatch], wanted: bytes) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, text, _, kind, _, own, _, _ in _paragraphs(batch.column(1)):
-            use = _may(kind, wanted)
+        for first, text, place, kind, shingles, _, _ in _paragraphs(batch.column(1)):
+            use = np.flatnonzero(_may(kind, wanted))
             ids = batch.column(0).take(pa.array(first + text[use]))
-            low = np.ascontiguousarray(own[use].astype(np.uint32))
+            low = np.ascontiguousarray(_own(shingles, place[use]).astype(np.uint32))
             sets = pa.Array.from_buffers(pa.binary(4 * low.shape[1]), len(low), [None, pa.py_buffer(low)]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([_column(kind[use]), ids, sets], names=["class", "id", "shingles"])
 
@@ -198,10 +209,12 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(shared >= SIMILARITY * union))
 
 
-def _around(batches: Iterator[pa.RecordBatch], wanted: bytes) -> Iterator[pa.RecordBatch]:
-    """(run, id, start): every run of PASSAGE words that holds a wanted paragraph."""
+def _around(batches: Iterator[pa.RecordBatch], wanted: bytes, documents: bytes) -> Iterator[pa.RecordBatch]:
+    """(run, id, start): every run of PASSAGE words that holds a wanted paragraph, in the
+    documents that may have any to settle."""
     for batch in batches:
-        for first, text, place, kind, _, _, hashes, bounds in _paragraphs(batch.column(1)):
+        batch = batch.filter(pa.array(_may(batch.column(0).to_numpy().view(np.uint64), documents)))
+        for first, text, place, kind, _, hashes, bounds in _paragraphs(batch.column(1)):
             use = np.flatnonzero(_may(kind, wanted))
             if not len(use) or len(hashes) < PASSAGE:
                 continue
@@ -225,9 +238,7 @@ def _filter(keys: DataFrame, key: str) -> bytes:
     return bits.tobytes()
 
 
-def _may(keys: np.ndarray, wanted: bytes | None) -> np.ndarray:
-    if wanted is None:
-        return np.ones(len(keys), bool)
+def _may(keys: np.ndarray, wanted: bytes) -> np.ndarray:
     slot = (keys & np.uint64(FILTER_BITS - 1)).astype(np.int64)
     return (np.frombuffer(wanted, np.uint8)[slot >> 3] >> (slot & 7) & 1).astype(bool)
 
@@ -336,7 +347,7 @@ def _candidates(rows: DataFrame) -> DataFrame:
 def _similar(pairs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The similar ones of ``pairs`` of classes, and (class, low, high): the smallest and
     the largest document of each class that occurs in a pair."""
-    classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    classes = written(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "classes")
     wanted = _filter(classes, "class")
     found = rows.mapInArrow(lambda batches: _with_shingles(batches, wanted), "class long, id long, shingles binary")
     found = found.join(classes, "class", "left_semi").groupBy("class")
@@ -347,10 +358,16 @@ def _similar(pairs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(links, "similar"), sets.select("class", "low", "high")
 
 
-def clusters(rows: DataFrame) -> DataFrame:
+def occurrences(rows: DataFrame) -> DataFrame:
+    """(class, id, start): all paragraphs of ``rows`` (id, text)."""
+    return written(rows.mapInArrow(_occurrences, "class long, id long, start long"), "occurrences")
+
+
+def clusters(rows: DataFrame, found: DataFrame) -> DataFrame:
     """(class, cluster, keeper) of the classes that more than one document holds, by
-    themselves or with similar ones; ``keeper`` is the smallest document of the cluster."""
-    counted = rows.mapInArrow(lambda batches: _occurrences(batches), "class long, id long, start long").groupBy("class")
+    themselves or with similar ones; ``keeper`` is the smallest document of the cluster.
+    ``found`` are the :func:`occurrences` of ``rows``."""
+    counted = found.groupBy("class")
     repeated = written(counted.agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high"), "repeated")
     pairs = written(_candidates(rows), "pairs")
     links, of_pairs = _similar(pairs, rows)
@@ -383,9 +400,8 @@ def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
 def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(id, start, end, cluster, keeper): the pieces of shared passages, in words."""
     rows = _rows(docs, text, key)
-    known = clusters(rows)
-    wanted = _filter(known, "class")
-    found = rows.mapInArrow(lambda batches: _occurrences(batches, wanted), "class long, id long, start long")
+    found = occurrences(rows)
+    known = clusters(rows, found)
     pieces = found.join(known, "class").withColumn("end", F.col("start") + WINDOW)
     ends = Window.partitionBy("id", "island")
     inside = _numbered(pieces).withColumns({"low": F.min("start").over(ends), "high": F.max("end").over(ends)})
@@ -394,7 +410,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     at_end = (F.col("start") == F.col("low")) | (F.col("end") == F.col("high"))
     open_ = written(inside.filter(at_end | (F.col("high") - F.col("low") < PASSAGE)).select("id", "start", "class", "cluster", "keeper"), "open")
     open_classes = _filter(open_.select("class").distinct(), "class")
-    runs = written(rows.mapInArrow(lambda batches: _around(batches, open_classes), "run long, id long, start long"), "runs")
+    documents = _filter(open_.select("id").distinct(), "id")
+    runs = written(rows.mapInArrow(lambda batches: _around(batches, open_classes, documents), "run long, id long, start long"), "runs")
     again = runs.groupBy("run").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("run")
     long_runs = runs.join(again, "run", "left_semi").select("id", F.col("start").alias("run_start"))
     holds = F.col("start").between(F.col("run_start"), F.col("run_start") + STRETCH)

@@ -148,12 +148,28 @@ def test_nearly_equal_passages_are_clustered(spark):
 
 def paragraphs_of(texts):
     """{class: set of shingles} by the module's own paragraphs."""
-    return {int(k): frozenset(own.tolist()) for _, _, _, kind, _, owns, _, _ in passages._paragraphs(pa.array(texts)) for k, own in zip(kind.view(np.int64), owns)}
+    return {int(k): frozenset(own.tolist()) for _, _, place, kind, shingles, *_ in passages._paragraphs(pa.array(texts)) for k, own in zip(kind.view(np.int64), passages._own(shingles, place))}
+
+
+def test_anchors_of_all_texts_at_once_are_those_of_each():
+    rng = np.random.default_rng(16)
+    lengths = np.concatenate([rng.integers(-3, 3 * passages.STRETCH, 300), [passages.STRETCH, passages.STRETCH + 1, 5000]])
+    starts = np.cumsum(np.maximum(lengths, 0) + 24) - np.maximum(lengths, 0)
+    ranks = rng.choice(rng.integers(1, 1 << 62, 400).astype(np.uint64), starts[-1] + 5000)
+    want = []
+    for i, (a, n) in enumerate(zip(starts, lengths)):
+        own = ranks[a : a + max(n, 0)].tolist()
+        if 0 < n <= passages.STRETCH:
+            want.append((i, a + own.index(min(own))))
+        windows = [(j, min(own[j : j + passages.STRETCH])) for j in range(n - passages.STRETCH + 1)] if n > passages.STRETCH else []
+        want += sorted({(i, a + k) for j, least in windows for k in range(j, j + passages.STRETCH) if own[k] == least})
+    text, place = passages._anchors(ranks, starts, starts + lengths)
+    assert list(zip(text.tolist(), place.tolist())) == want
 
 
 def cluster_of(spark, texts):
     rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    return {r["class"]: r.cluster for r in passages.clusters(rows).collect()}
+    return {r["class"]: r.cluster for r in passages.clusters(rows, passages.occurrences(rows)).collect()}
 
 
 def test_similar_paragraphs_of_different_documents_meet(spark):
