@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +47,45 @@ def test_only_possible_copies_shuffle(spark):
     assert exact_dedup.mark(docs).filter("kept").count() == 3620
 
 
+def test_unique_rows_pass_a_filter_beyond_what_is_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "MAX_BITS", exact_dedup.SLICE_BITS)
+    docs = spark.range(60000).selectExpr("id AS doc_id", "concat('t', if(id % 100 = 0, id % 500, id)) AS text")
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("h"))
+    tested = exact_dedup.possible_copies(hashed)
+    assert tested.filter("again AND doc_id % 100 = 0").count() == 600  # no copy is missed
+    assert tested.count() == 60000 and tested.filter("again").count() < 600 + 0.02 * 60000  # 16 bits a row: about 1.4 %
+    assert exact_dedup.mark(docs).filter("kept").count() == 59400 + 5
+
+
+@pytest.mark.parametrize("run", [1, 1 << 20])
+def test_bits_of_a_task_are_counted_in_runs(run, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(exact_dedup, "RUN", run)
+    rng = np.random.default_rng(4)
+    rows = [rng.integers(0, 5, 700), rng.integers(0, 300, 700), rng.integers(0, 300, 700)]
+    want = Counter((s, x) for s, *both in zip(*map(np.ndarray.tolist, rows)) for x in both)
+    cut = [pa.RecordBatch.from_arrays([pa.array(r[i : i + 50], pa.int32()) for r in rows], names=["slice", "a", "b"]) for i in range(0, 700, 50)]
+    got = {}
+    for batch in exact_dedup._own_bits(iter(cut)):
+        r = batch.to_pylist()[0]
+        got |= {(r["slice"], x): t for x, t in zip(np.frombuffer(r["bits"], "<u2").tolist(), r["times"])}
+    assert got == {k: min(n, 2) for k, n in want.items()}
+    assert list(exact_dedup._own_bits(iter([]))) == []
+
+
+def test_copies_of_one_text_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "HOT_ROWS", 50)
+    docs = spark.range(0, 3000, 1, 6).selectExpr("if(id < 900, 7, id) AS doc_id", "if(id < 1500, 'same', concat('t', id)) AS text", "id % 3 AS extra")
+    got = exact_dedup.mark(docs)
+    assert got.filter("text = 'same'").select("group_size", "keep_id").distinct().collect() == [(1500, 1499)]
+    assert got.count() == 3000 and got.filter("kept").count() == 1501
+    tied = docs.filter("doc_id = 7")  # 900 rows of one text and key, three different ones
+    assert exact_dedup.mark(tied).groupBy("kept", "group_size").count().orderBy("kept").collect() == [(False, 900, 899), (True, 900, 1)]
+    one, other = (exact_dedup.deduplicate(t).collect() for t in (tied, tied.repartition(5)))
+    assert one == other and len(one) == 1
+
+
 def test_a_full_filter_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(exact_dedup, "MAX_BITS", exact_dedup.SLICE_BITS)
     docs = spark.range(60000).selectExpr("id AS doc_id", "concat('t', id % 50000) AS text")
