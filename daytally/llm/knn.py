@@ -5,6 +5,9 @@ product of the codes gives all distances, each with a bound of its error; only p
 may be among the nearest are computed again from the vectors themselves. A heap for each
 query keeps the nearest of a task's tiles, and the heaps are merged. The answer is exact.
 
+Blocks of candidates never shuffle. Blocks of queries, in groups of at most 16 MB, go to
+all tasks, which read the candidates from their written table once a group.
+
 Equal vectors are one candidate with its smallest ids, and one query, so that a vector
 that very many rows share costs no more than another.
 """
@@ -13,17 +16,22 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daytally.llm.common import written
+from daytally.session import new_folder
 
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 2048
+#: Bytes of the blocks of queries that are broadcast at a time (one block, if it is greater).
+GROUP_BYTES = 16 << 20
 #: Rounding of the bounds themselves, relative to the vectors' lengths.
 ROUNDING = 1e-6
 
@@ -62,11 +70,11 @@ def _packed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
                 yield pa.RecordBatch.from_pylist([row], _BLOCK)
 
 
-def _opened(row: dict, side: str) -> dict:
-    out = {name: np.frombuffer(row[f"{side}_{name}"], kind) for name, kind in [("ids", np.int64), ("least", np.int64), *_PARTS]}
+def _opened(row: dict) -> dict:
+    out = {name: np.frombuffer(row[name], kind) for name, kind in [("ids", np.int64), ("least", np.int64), *_PARTS]}
     for name in ("codes", "vectors"):
         out[name] = out[name].reshape(-1, row["dim"])
-    return out
+    return out | {"dim": row["dim"]}
 
 
 def exact_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -106,27 +114,49 @@ def _tile(q: dict, c: dict, keep: int, heaps: list[list[tuple[float, int, int]]]
                 heapq.heapreplace(heap, item)
 
 
-def _tiles(batches: Iterator[pa.RecordBatch], keep: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of blocks, those of one query block together: the nearest of each query."""
-    block, q, heaps = None, None, []
-
-    def done() -> pa.RecordBatch:
+def _tiles(batches: Iterator[pa.RecordBatch], group: Broadcast, keep: int) -> Iterator[pa.RecordBatch]:
+    """A task's blocks of candidates against all blocks of queries of the group: the nearest
+    of each query."""
+    asked = [(q, [[] for _ in q["ids"]]) for q in map(_opened, group.value)]
+    for batch in batches:
+        for start in range(len(batch)):
+            c = _opened(batch.slice(start, 1).to_pylist()[0])
+            for q, heaps in asked:
+                if q["dim"] == c["dim"]:
+                    _tile(q, c, keep, heaps)
+    for q, heaps in asked:
         rows = [(int(i), -cid, -least, -d) for i, heap in zip(q["ids"], heaps) for d, least, cid in heap]
         columns = [list(x) for x in zip(*rows)] or [[], [], [], []]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["q", "c", "least", "distance"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["q", "c", "least", "distance"])
+
+
+def _groups(blocks: DataFrame) -> list[tuple[int, int]]:
+    """Ranges of block numbers whose blocks have GROUP_BYTES or less together. The driver
+    gets two numbers a block, that is for every QUERY_BLOCK queries."""
+    sizes = blocks.select("block", F.expr("octet_length(codes) + octet_length(vectors) + 40 * n").alias("size")).orderBy("block")
+    out, held = [], 0
+    for block, size in sizes.toLocalIterator():
+        if out and held + size <= GROUP_BYTES:
+            out[-1], held = (out[-1][0], block), held + size
+        else:
+            out, held = [*out, (block, block)], size
+    return out
 
-    for batch in batches:
-        for start in range(len(batch)):
-            row = batch.slice(start, 1).to_pylist()[0]
-            if row["block"] != block:
-                if q is not None:
-                    yield done()
-                block, q = row["block"], _opened(row, "q")
-                heaps = [[] for _ in q["ids"]]
-            _tile(q, _opened(row, "c"), keep, heaps)
-    if q is not None:
-        yield done()
+
+def _met(queries: DataFrame, candidates: DataFrame, keep: int) -> DataFrame:
+    """(q, c, distance): the ``keep`` nearest classes of each query class."""
+    spark = queries.sparkSession
+    root = new_folder(spark, "nearest")
+    best = F.row_number().over(Window.partitionBy("q").orderBy("distance", "least"))
+    tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # fewer tasks send fewer heaps
+    for number, (low, high) in enumerate(_groups(queries) or [(0, -1)]):
+        rows = queries.filter(F.col("block").between(low, high)).collect()
+        group = spark.sparkContext.broadcast([r.asDict() for r in rows])
+        found = candidates.coalesce(tasks).mapInArrow(partial(_tiles, group=group, keep=keep), "q long, c long, least long, distance double")
+        found.withColumn("place", best).filter(F.col("place") <= keep).select("q", "c", "distance").write.parquet(f"{root}/group={number}")
+        group.unpersist()
+    return spark.read.schema("q long, c long, distance double").parquet(root)
 
 
 def _classes(rows: DataFrame, keep: int) -> DataFrame:
@@ -162,25 +192,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id",
 
     chosen = classes.join(asked.select(F.col("q").alias("class")).distinct(), "class", "left_semi")
     queries, candidates = packed(chosen.repartition(max(1, asked.count() // QUERY_BLOCK // 8)), QUERY_BLOCK, "query"), packed(classes, CANDIDATE_BLOCK, "candidate")
-    names = ["ids", "least", *(n for n, _ in _PARTS)]
-    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_queries = queries.count()
-    slices = max(1, 2 * width // max(1, n_queries))
-    # each block of queries meets each block of candidates: both keyed by (query block, slice)
-    number = F.row_number().over(Window.orderBy("block")) - 1  # a row of one number for each query block
-    numbers = written(queries.select("block", "dim").withColumn("number", number), "numbers")
-    left = queries.drop("dim").join(numbers, "block").select(
-        "dim", "number", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), *(F.col(n).alias(f"q_{n}") for n in names)
-    )
-    every = F.explode(F.sequence(F.lit(0), F.lit(max(0, n_queries - 1)))).alias("number")
-    right = candidates.select(
-        F.col("dim").alias("own"), every, F.pmod(F.xxhash64("block"), F.lit(slices)).cast("int").alias("slice"), *(F.col(n).alias(f"c_{n}") for n in names)
-    )
-    met = left.join(right, ["number", "slice"]).filter(F.col("dim") == F.col("own"))
-    tiles = met.select(F.col("number").alias("block"), "dim", *(f"{s}_{n}" for s in "qc" for n in names))
-    found = tiles.mapInArrow(lambda batches: _tiles(batches, keep), "q long, c long, least long, distance double")
-    best = F.row_number().over(Window.partitionBy("q").orderBy("distance", "least"))
-    merged = found.withColumn("place", best).filter(F.col("place") <= keep).select("q", "c", "distance")
+    merged = _met(queries, candidates, keep)
     answers = merged.join(classes.select(F.col("class").alias("c"), "ids"), "c").select("q", "distance", F.explode("ids").alias("id"))
     first = F.row_number().over(Window.partitionBy("q").orderBy("distance", "id"))
     answers = answers.withColumn("place", first).filter(F.col("place") <= keep).select("q", "distance", "id")

@@ -279,10 +279,11 @@ def brute_nearest(rows, k, every):
     return out
 
 
-@pytest.mark.parametrize("blocks", [(1024, 2048), (3, 7)])
+@pytest.mark.parametrize("blocks", [(1024, 2048, 1 << 24), (3, 7, 4000)])
 def test_neighbours_equal_brute_force(spark, monkeypatch, blocks):
     monkeypatch.setattr(knn, "QUERY_BLOCK", blocks[0])
     monkeypatch.setattr(knn, "CANDIDATE_BLOCK", blocks[1])
+    monkeypatch.setattr(knn, "GROUP_BYTES", blocks[2])
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=16).astype(np.float32).tolist()) for i in range(500)]
     rows += [(i, rows[i % 3][1]) for i in range(500, 620)]  # very common vectors, queries among them
@@ -297,6 +298,15 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, blocks):
     assert all(r.score == pytest.approx(scores[r.query_id, r["rank"], r.vec_id], rel=1e-14) for r in got)
 
 
+def test_blocks_of_queries_are_grouped_by_size(spark, monkeypatch):
+    blocks = spark.createDataFrame([(n, b"c" * 16, b"v" * 128, 2) for n in (1, 2, 5, 9, 70)], "block long, codes binary, vectors binary, n int")
+    one = 16 + 128 + 40 * 2
+    for room, want in [(one, [(1, 1), (2, 2), (5, 5), (9, 9), (70, 70)]), (2 * one, [(1, 2), (5, 9), (70, 70)]), (1, 5), (9 * one, [(1, 70)])]:
+        monkeypatch.setattr(knn, "GROUP_BYTES", room)
+        got = knn._groups(blocks)
+        assert got == want or len(got) == want
+
+
 def test_few_or_no_vectors(spark):
     table = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [4.0])], "vec_id long, embedding array<double>")
     assert bag(knn.nearest(table, F.col("id") == 0)) == [(0, 1, 1, 1.0), (0, 2, 2, 3.0)]
