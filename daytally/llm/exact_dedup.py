@@ -135,6 +135,7 @@ def _with_groups(maybe: DataFrame, groups: DataFrame) -> DataFrame:
     left = left.withColumn("part", F.pmod(F.xxhash64("row", F.spark_partition_id()), parts).cast("int")).drop("bucket", "parts")
     right = groups.withColumn("bucket", bucket("sha")).join(F.broadcast(hot), "bucket", "left")
     right = right.select(F.col("sha").alias("group_sha"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("group_part"), "group_size", "keep_id", "n_top")
+    right = written(right, "dealt")  # of a known size, so that Spark broadcasts few groups instead of sending the texts
     return left.join(right, (F.col("sha") == F.col("group_sha")) & (F.col("part") == F.col("group_part")), "left").drop("group_sha", "group_part", "part")
 
 
