@@ -31,6 +31,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     tables = commands.add_parser("tables", help="changelogs to report tables")
     stream.add_argument("--changelogs", help="with --servers: prefix of topics to send changes to")
     tables.add_argument("--changelogs", default="", help="with --servers: prefix of topics to read changes from")
+    tables.add_argument("--database", help="JDBC address of a database to upsert the reports into; needs its driver package")
+    tables.add_argument("--user", default="", help="user of the database")
+    tables.add_argument("--password-variable", default="", help="environment variable that holds the password")
+    tables.add_argument("--table-prefix", default="", help="of the tables' names in the database, such as a schema and a point")
+    tables.add_argument("--fill", action="store_true", help="first send the database all rows that the tables hold")
     for each in (stream, final, tables):
         each.add_argument("--servers", help="topic servers; needs the connector package")
         each.add_argument("--once", action="store_true", help="stop when all there is has been read")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +13,9 @@ from daytally.operators import dimensions, generator
 from daytally.operators.reports import ALL_REPORTS
 from daytally.schemas import GAZETTEER, SAMPLE_CSV, nullable
 from daytally.session import new_folder
-from daytally.sources import files, topics
+from daytally.sources import files, stores, topics
 from daytally.streaming import jobs
-from daytally.streaming.changelog import changelog_from_topic, compact, create_tables, fold_changelog, publish_ready
+from daytally.streaming.changelog import changelog_from_topic, compact, create_tables, fold_changelog, newest_rows, publish_ready
 from daytally.streaming.raw import fold
 
 DATABASE = "daily_report"
@@ -91,23 +93,52 @@ def stream(
         jobs.serve(spark, [intake, *reports])
 
 
+def database_sinks(spark: SparkSession, url: str, user: str, password: str, prefix: str = "") -> dict[str, Callable[[DataFrame], None]]:
+    """For each report a sink that upserts into the database's table of ``prefix`` and its
+    name. Tables that are not there are made."""
+    run = stores.statement_runner(spark, url, user, password)
+    sinks = {}
+    for name, report in ALL_REPORTS.items():
+        run(stores.create_sql(report, prefix + name))
+        sinks[name] = stores.upsert_sink(report, url, prefix + name, user, password, run)
+    return sinks
+
+
 def tables(
-    spark: SparkSession, root: str, run: int, once: bool, servers: str | None = None, changelogs: str = ""
+    spark: SparkSession,
+    root: str,
+    run: int,
+    once: bool,
+    servers: str | None = None,
+    changelogs: str = "",
+    database: str | None = None,
+    user: str = "",
+    password_variable: str = "",
+    table_prefix: str = "",
+    fill: bool = False,
 ) -> None:
     """Changelogs to typed report tables; what does not fit goes to the rejects.
 
-    With ``servers`` they are read from topics of the prefix ``changelogs``.
+    With ``servers`` they are read from topics of the prefix ``changelogs``. With the JDBC
+    address of a ``database`` every micro-batch is upserted there as well; ``fill`` first
+    sends what the tables hold, which a database that is new or was away for long needs.
+    Rows go from all tasks to a staging table and from there by one statement; a row that
+    is sent again, or late, changes nothing.
     """
     trigger = jobs.AVAILABLE_NOW if once else {}
+    sinks = database_sinks(spark, database, user, os.environ.get(password_variable, ""), table_prefix) if database else {}
     queries = []
     for report in ALL_REPORTS.values():
+        sink = sinks.get(report.name)
+        if fill and sink is not None:
+            sink(newest_rows(spark, report, f"{root}/{report.name}"))
         messages = changelog_from_topic(topics.read_topic(spark, servers, changelogs + report.name)) if servers else None
-        queries.append(jobs.start_consumer(spark, report, root, run, messages, **trigger))
+        queries.append(jobs.start_consumer(spark, report, root, run, messages, sink, **trigger))
         queries.append(jobs.start_rejects(spark, report, root, messages, **trigger))
     if once:
         jobs.finish(queries)
         for report in ALL_REPORTS.values():
-            publish_ready(spark, report, f"{root}/{report.name}")
+            publish_ready(spark, report, f"{root}/{report.name}", sinks.get(report.name))
     else:
         jobs.serve(spark, queries)
 

@@ -1,10 +1,11 @@
-"""Keyed-store and SQL-database sinks: connector options only, as in ``topics``."""
+"""Keyed-store and SQL-database sinks: options and statements, as in ``topics``."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from daytally.operators.latest import VERSION
 from daytally.operators.reports import Report
@@ -45,6 +46,37 @@ def merge_sql(report: Report, target: str, staging: str) -> str:
     )
 
 
+_SQL_TYPES = {
+    T.DateType(): "DATE",
+    T.StringType(): "TEXT",
+    T.IntegerType(): "INTEGER",
+    T.LongType(): "BIGINT",
+    T.DoubleType(): "DOUBLE PRECISION",
+    T.BinaryType(): "BYTEA",
+}
+
+
+def create_sql(report: Report, table: str) -> str:
+    """The table that ``merge_sql`` upserts into, keyed as the report. Keys are never null:
+    messages that lack a field are in quarantine."""
+    columns = ", ".join(f"{f.name} {_SQL_TYPES[f.dataType]}" for f in report.schema)
+    return f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {VERSION} BIGINT, PRIMARY KEY ({', '.join(report.key_names)}))"
+
+
+def statement_runner(spark: SparkSession, url: str, user: str, password: str) -> Callable[[str], None]:
+    """A function that executes one statement in the database, by the driver's JDBC package."""
+    drivers = spark.sparkContext._jvm.java.sql.DriverManager
+
+    def run(sql: str) -> None:
+        connection = drivers.getConnection(url, user, password)
+        try:
+            connection.createStatement().execute(sql)
+        finally:
+            connection.close()
+
+    return run
+
+
 def upsert_sink(report: Report, url: str, table: str, user: str, password: str, run: Callable[[str], None]) -> Callable[[DataFrame], None]:
     """A sink for ``start_consumer``: stage a micro-batch's rows, then ``run`` the merge.
 

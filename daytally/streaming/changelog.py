@@ -273,6 +273,11 @@ def read_report(spark: SparkSession, report: Report, root: str) -> DataFrame:
     return latest_rows(report, read_changes(spark, report, root))
 
 
+def newest_rows(spark: SparkSession, report: Report, root: str) -> DataFrame:
+    """The same rows with their versions, as a sink gets them."""
+    return latest_rows(report, read_changes(spark, report, root), keep_version=True)
+
+
 def compact(spark: SparkSession, report: Report, root: str) -> Snapshot | None:
     """Fold all complete parts into a new snapshot and return it.
 

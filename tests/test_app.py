@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,11 +6,13 @@ from daytally import app
 from daytally.__main__ import parse
 from daytally.functions.envelope import good, inspect
 from daytally.operators.places import geocode
-from daytally.operators.reports import DAILY_PU_REV
+from daytally.operators.reports import ALL_REPORTS, DAILY_PU_REV
 from daytally.plans.registry import queries
 from daytally.schemas import SAMPLE_CSV
+from daytally.sources import stores
 from daytally.sources.files import read_topic_files, topic_messages
 from daytally.streaming import jobs
+from daytally.streaming.changelog import newest_rows
 
 
 @pytest.fixture(scope="module")
@@ -99,6 +102,38 @@ def test_records_of_unknown_places_are_not_sent(spark, deployment):
     assert {r.city for r in records.select("city").distinct().collect()} == {"city 0", "city 1", "city 2"}
 
 
+def test_reports_are_upserted_into_a_database_by_command(spark, deployment, monkeypatch):
+    """The statements run in an embedded database in place of a served one."""
+    database = duckdb.connect()
+
+    def stage(rows, url, staging, user, password):
+        assert (url, user, password) == ("jdbc:x", "me", "secret")
+        database.register("sent", rows.toArrow())
+        database.execute(f"CREATE OR REPLACE TABLE {staging} AS SELECT * FROM sent")
+
+    monkeypatch.setenv("DATABASE_SECRET", "secret")
+    monkeypatch.setattr(stores, "stage_report", stage)
+    monkeypatch.setattr(stores, "statement_runner", lambda *_: database.execute)
+    args = vars(parse(["tables", "--root", f"{deployment}/out", "--once", "--fill", "--database", "jdbc:x", "--user", "me", "--password-variable", "DATABASE_SECRET", "--table-prefix", "r_"]))
+    assert args.pop("command") == "tables"
+    for _ in range(2):  # a second time changes nothing
+        app.tables(spark, **args)
+        for name, report in ALL_REPORTS.items():
+            want = newest_rows(spark, report, f"{deployment}/out/{name}").toArrow().to_pylist()
+            got = database.sql(f"SELECT * FROM r_{name}").to_arrow_table().to_pylist()
+            assert sorted(map(str, got)) == sorted(map(str, want)) and got
+
+    sink = app.database_sinks(spark, "jdbc:x", "me", "secret", "r_")["daily_pu_rev"]
+    rows = newest_rows(spark, DAILY_PU_REV, f"{deployment}/out/daily_pu_rev")
+    one = rows.filter("ts_date = '2023-12-01'").withColumn("daily_rev", F.lit(-1).cast(rows.schema["daily_rev"].dataType))
+    read = lambda: database.execute("SELECT daily_rev, version FROM r_daily_pu_rev WHERE ts_date = '2023-12-01'").fetchall()[0]
+    before = read()
+    sink(one.withColumn("version", F.col("version") - 1))
+    assert read() == before
+    sink(one.withColumn("version", F.col("version") + 1))
+    assert read() == (-1, before[1] + 1)
+
+
 def test_a_stream_can_be_geocoded(spark, deployment, root):
     """The lookup is a static table; on a stream its keys are salted."""
     places = spark.read.option("header", True).csv(f"{deployment}/places").filter("city <> 'city 1'")
