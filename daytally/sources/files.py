@@ -11,6 +11,9 @@ from daytally.session import ensure_folder, folder_exists, is_complete
 
 MAX_BYTES_PER_TRIGGER = 64 * 1024**3
 
+# Of topic files: messages are parsed by as many tasks as there are row groups.
+ROW_GROUP_BYTES = 16 * 1024**2
+
 OFFSET = "offset"
 KEY = "key"
 
@@ -52,7 +55,8 @@ def append_topic_files(messages: DataFrame, path: str, send: str) -> None:
         first = 0 if last is None else last + 1
     key = F.col(KEY).cast("string") if KEY in messages.columns else F.lit(None).cast("string")
     offset = (F.lit(first) + F.monotonically_increasing_id()).alias(OFFSET)
-    messages.select(key.alias(KEY), F.col("value").cast("string").alias("value"), offset).write.mode("overwrite").parquet(folder)
+    rows = messages.select(key.alias(KEY), F.col("value").cast("string").alias("value"), offset)
+    rows.write.mode("overwrite").option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(folder)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -28,7 +28,7 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -222,10 +222,12 @@ def _merged(live: list[Segment]) -> tuple[list[Segment], int]:
 
 
 def _counted(rows: DataFrame) -> DataFrame:
-    """Equal records as one, with how often they were sent and the last place and arrival."""
-    last = F.max(F.struct(OFFSET, ARRIVED)).alias("last")
-    counted = rows.groupBy(*RECORD_FIELDS).agg(last, F.sum(SENT).alias(SENT), F.max(NEWEST).alias(NEWEST))
-    return counted.select(*RECORD_FIELDS, f"last.{OFFSET}", f"last.{ARRIVED}", SENT, NEWEST)
+    """Equal records as one, with how often they were sent and the last place and arrival.
+
+    All that is aggregated has a fixed width, so Spark hashes the records and sorts none."""
+    at_last = F.coalesce(F.max_by(ARRIVED, OFFSET), F.max(ARRIVED)).alias(ARRIVED)  # without places, the last to arrive
+    sums = F.max(OFFSET).alias(OFFSET), at_last, F.sum(SENT).alias(SENT), F.max(NEWEST).alias(NEWEST)
+    return rows.groupBy(*RECORD_FIELDS).agg(*sums).select(*RECORD_FIELDS, OFFSET, ARRIVED, SENT, NEWEST)
 
 
 def fold(spark: SparkSession, root: str) -> Manifest | None:
@@ -238,22 +240,22 @@ def fold(spark: SparkSession, root: str) -> Manifest | None:
     good = arrived.filter(F.col(REASON) == GOOD).withColumns({SENT: F.lit(1).cast("long"), NEWEST: F.lit(False)})
 
     scratch = new_folder(spark, "fold")
-    _counted(good).write.parquet(f"{scratch}/counted")
-    counted = spark.read.parquet(f"{scratch}/counted")
-    rank = F.struct(OFFSET, ARRIVED, *[c for c in RECORD_FIELDS if c != "ts_id"])
-    top = counted.groupBy("ts_id").agg(F.max(rank).alias("top"))
-    fresh = counted.join(top, "ts_id").withColumn(NEWEST, rank.eqNullSafe(F.col("top"))).drop("top")
+    last_first = [F.desc(c) for c in (OFFSET, ARRIVED, *RECORD_FIELDS) if c != "ts_id"]
+    place = F.row_number().over(Window.partitionBy("ts_id").orderBy(*last_first))
+    _counted(good).withColumn(NEWEST, place == 1).write.parquet(f"{scratch}/fresh")
+    fresh = spark.read.parquet(f"{scratch}/fresh")
+    ids = fresh.filter(NEWEST).select("ts_id")
 
     # A record's id is looked for by one column of the live segments; ids that are not among
     # the new ones are dropped by Spark's run-time filter before the shuffle.
     moved = spark.createDataFrame([], "ts_id string, ts_date date, in_fold long")
     if before:
-        again = _settled(spark, root, before).select("ts_id", DAY, F.col(FOLD).alias("in_fold")).join(top.select("ts_id"), "ts_id", "left_semi")
+        again = _settled(spark, root, before).select("ts_id", DAY, F.col(FOLD).alias("in_fold")).join(ids, "ts_id", "left_semi")
         moved = _moved(spark, root, before).unionByName(again)
     moved.write.parquet(f"{scratch}/moved")
     moved = spark.read.schema(moved.schema).parquet(f"{scratch}/moved")
 
-    days = [None, *(str(r[DAY]) for r in counted.select(DAY).distinct().collect())]
+    days = [None, *(str(r[DAY]) for r in fresh.select(DAY).distinct().collect())]
     by_day = defaultdict(list)
     for segment in before.live if before else ():
         by_day[segment.day].append(segment)

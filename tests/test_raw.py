@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from daytally.functions.envelope import REASON
 from daytally.operators.latest import latest_records
 from daytally.operators.reports import DAILY_CATEGORY_PRODUCT, DAILY_PU_REV
+from daytally.sources import files
 from daytally.sources.files import read_topic_files
 from daytally.streaming import jobs, raw
 from daytally.streaming.changelog import create_tables, read_report
@@ -181,3 +182,21 @@ def test_parts_wait_for_a_report_that_is_behind(spark, root):
         assert [r.daily_rev for r in read_by_report(spark, root, DAILY_PU_REV).collect()] == [8.0 * (batch + 1)]
     assert min(raw.complete_parts(spark, root)) >= 3
     assert read_report(spark, DAILY_PU_REV, f"{root}/daily_pu_rev").count() == 1
+
+
+def test_a_fold_hashes_records_and_sorts_none(spark, root):
+    put(f"{root}/feed", "0", [message(1), message(1), message(2)])
+    take_in(spark, root)
+    rows = raw.read_parts(spark, root).withColumns({raw.SENT: F.lit(1).cast("long"), raw.NEWEST: F.lit(False)})
+    counted = raw._counted(rows)
+    assert "SortAggregate" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r[raw.SENT] for r in counted.collect()) == [1, 2]
+
+
+def test_topic_files_have_row_groups_for_many_readers(spark, root, monkeypatch):
+    monkeypatch.setattr(files, "ROW_GROUP_BYTES", 64 * 1024)
+    rows = spark.range(0, 20_000, 1, 1).select(F.sha2(F.col("id").cast("string"), 256).alias("value"))
+    files.append_topic_files(rows, f"{root}/topic", "0")
+    (name,) = [n for n in os.listdir(f"{root}/topic/send=0") if n.endswith(".parquet")]
+    assert pq.ParquetFile(f"{root}/topic/send=0/{name}").num_row_groups > 4
+    assert files.topic_messages(spark, f"{root}/topic").count() == 20_000
