@@ -1,12 +1,16 @@
 """Hot keys and plan shapes: what must hold when the data is far larger."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
+from daytally.operators.latest import run_of
 from daytally.operators.reports import DAILY_CATEGORY_PRODUCT, DAILY_PU_REV
-from daytally.plans import batch, registry
-from daytally.session import settings
+from daytally.plans import batch, registry, stream
+from daytally.session import folder_numbers, settings
 from daytally.sources.tables import daily_records, table
+from daytally.streaming import changelog
 
 # Thresholds that let a few megabytes stand for the gigabytes of a real shuffle.
 SMALL_LIMITS = {
@@ -94,3 +98,18 @@ def test_running_totals_read_each_table_once(spark, sf_dir):
 def test_no_table_is_read_in_vain(spark, sf_dir, name, tables):
     plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == tables
+
+
+def test_a_second_run_reads_many_files_in_a_few_batches(spark, tmp_path, monkeypatch):
+    events = spark.range(0, 600, 1, 12).selectExpr(
+        "id event_id", "id % 20 user_id", "timestamp'2024-01-01' + make_dt_interval(int(id % 30)) ts", "'view' event_type",
+        "1.5D value", "'{\"k\": 3}' props",
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    folders, new = [], stream.new_folder
+    monkeypatch.setattr(stream, "new_folder", lambda session, name: folders.append(new(session, name)) or folders[-1])
+    rows = registry.queries()["publish_run"](spark, str(tmp_path)).collect()
+    assert len(rows) == 30 and {r.lost for r in rows} == {0}
+    (root,) = [f for f in folders if "/stream-" in f]
+    versions = folder_numbers(spark, f"{root}/daily_pu_rev/changelog", "version")
+    assert 2 <= len([v for v in versions if run_of(v) == 1]) <= stream._BATCHES
