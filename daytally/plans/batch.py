@@ -306,9 +306,10 @@ def running_changelog(spark: SparkSession, sf_dir: str, report: Report) -> DataF
 
 def _upsert(spark: SparkSession, sf_dir: str, report: Report) -> DataFrame:
     """Versions through the stored table: the later half first, then all of them, so that
-    some come late and some twice; a snapshot is made between."""
-    root, changes = new_folder(spark, "upsert"), running_changelog(spark, sf_dir, report)
-    changes = changes.withColumn(VERSION, F.col(VERSION).cast("bigint"))
+    some come late and some twice; a snapshot is made between. The versions are computed once."""
+    root = new_folder(spark, "upsert")
+    running_changelog(spark, sf_dir, report).withColumn(VERSION, F.col(VERSION).cast("bigint")).write.parquet(f"{root}/versions")
+    changes = spark.read.parquet(f"{root}/versions")
     write_changes(report, changes.filter(F.col(VERSION) > 3), f"{root}/changes", 0, 0)
     compact(spark, report, root)
     write_changes(report, changes, f"{root}/changes", 0, 1)

@@ -51,7 +51,7 @@ REJECTS = f"{REASON} STRING, {RAW} STRING"
 FINAL_DAYS = "ts_date DATE, daily_pu BIGINT, daily_rev DOUBLE, daily_profit DOUBLE, n_records BIGINT"
 
 
-def _write_once(rows: DataFrame, path: str) -> None:
+def _write_once(rows: DataFrame, path: str, level: bool = True) -> None:
     """Write a folder unless it is there already, complete.
 
     A micro-batch that runs again after a crash has the same content. Leaving a
@@ -59,7 +59,8 @@ def _write_once(rows: DataFrame, path: str) -> None:
     then only computed, as that is what brings a stream's state up to date. The
     rebalance turns the many small outputs of the state partitions into files of a fair
     size. Spark turns run-time planning off in a stream's session; this write, a batch
-    query of its own, needs it.
+    query of its own, needs it. Rows that come out of a shuffle of this query itself are
+    joined to fair files without another one: ``level`` is for others.
     """
     spark = rows.sparkSession
     require_markers(spark)
@@ -67,12 +68,13 @@ def _write_once(rows: DataFrame, path: str) -> None:
         rows.write.format("noop").mode("overwrite").save()
         return
     with settings(spark, {"spark.sql.adaptive.enabled": "true"}):
-        rows.hint("rebalance").write.mode("overwrite").parquet(path)
+        (rows.hint("rebalance") if level else rows).write.mode("overwrite").parquet(path)
 
 
-def write_version(rows: DataFrame, path: str, run: int, batch: int, *carry: str) -> None:
-    """Write one micro-batch of a report as JSON messages; columns ``carry`` beside them."""
-    _write_once(encode(rows, *carry), f"{path}/{VERSION}={version_of(run, batch)}")
+def write_version(rows: DataFrame, path: str, run: int, batch: int, *carry: str, level: bool = True) -> None:
+    """Write one micro-batch of a report as JSON messages; columns ``carry`` beside them.
+    Totals that are grouped by the same query, not by a stream, need no ``level`` files."""
+    _write_once(encode(rows, *carry), f"{path}/{VERSION}={version_of(run, batch)}", level)
 
 
 def last_part(spark: SparkSession, path: str, run: int, batch: int) -> int:
@@ -86,7 +88,7 @@ def write_changes(report: Report, typed: DataFrame, path: str, run: int, batch:
     """Append one consumer batch, reduced to the newest row per key and run: a newer run may
     be hidden from readers yet."""
     rows = latest_rows(report, typed, keep_version=True, apart=run_column())
-    _write_once(rows, f"{path}/{PART}={version_of(run, batch)}")
+    _write_once(rows, f"{path}/{PART}={version_of(run, batch)}", level=False)
 
 
 def fold_changelog(spark: SparkSession, report: Report, path: str) -> int | None:
@@ -304,9 +306,9 @@ def compact(spark: SparkSession, report: Report, root: str) -> Snapshot | None:
         changes = folded.unionByName(changes.filter(~before[0].holds()).select(columns))
     # Rows that are hidden yet stand beside those that readers see.
     apart = F.when(in_runs(published_runs(spark, root)), -1).otherwise(run_column())
+    # Ranged first, rows of a key are together for both the newest of them and the files.
     (
-        latest_rows(report, changes.select(columns), keep_version=True, apart=apart)
-        .repartitionByRange(*report.key_names)
+        latest_rows(report, changes.select(columns).repartitionByRange(*report.key_names), keep_version=True, apart=apart)
         .sortWithinPartitions(*report.key_names)
         .write.mode("overwrite")
         .parquet(path)

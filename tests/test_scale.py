@@ -100,6 +100,35 @@ def test_no_table_is_read_in_vain(spark, sf_dir, name, tables):
     assert plan.count("FileScan") == tables
 
 
+@pytest.mark.parametrize("report", [DAILY_PU_REV, DAILY_CATEGORY_PRODUCT])
+def test_versions_to_upsert_are_computed_once(spark, sf_dir, monkeypatch, report):
+    plans, write = [], batch.write_changes
+
+    def seen(report, typed, *place):
+        plans.append(typed._jdf.queryExecution().optimizedPlan().toString())
+        write(report, typed, *place)
+
+    monkeypatch.setattr(batch, "write_changes", seen)
+    batch._upsert(spark, sf_dir, report)
+    assert len(plans) == 3
+    assert not [p for p in plans if "l_shipdate" in p]
+
+
+def test_compaction_shuffles_once(spark, tmp_path, monkeypatch):
+    rows = spark.range(100).selectExpr("date'2024-01-01' + int(id % 9) ts_date", "id daily_pu", "1D daily_rev", "1D daily_profit", "id version")
+    changelog.write_changes(DAILY_PU_REV, rows, f"{tmp_path}/changes", 0, 0)
+    plans, latest = [], changelog.latest_rows
+
+    def seen(*given, **named):
+        found = latest(*given, **named)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(changelog, "latest_rows", seen)
+    changelog.compact(spark, DAILY_PU_REV, str(tmp_path))
+    assert plans[0].count("Exchange") == plans[0].count("Exchange rangepartitioning") == 1
+
+
 def test_a_second_run_reads_many_files_in_a_few_batches(spark, tmp_path, monkeypatch):
     events = spark.range(0, 600, 1, 12).selectExpr(
         "id event_id", "id % 20 user_id", "timestamp'2024-01-01' + make_dt_interval(int(id % 30)) ts", "'view' event_type",
