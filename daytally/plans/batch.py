@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +34,7 @@ from daytally.schemas import (
     SAMPLE_CSV,
     nullable,
 )
-from daytally.session import new_folder
+from daytally.session import new_folder, settings
 from daytally.sources import files
 from daytally.sources.tables import (
     customers,
@@ -206,7 +208,7 @@ def encode_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = {}
     for name, rows in exact_reports(spark, sf_dir).items():
         path = new_folder(spark, "changelog")
-        write_version(rows, path, 0, 0)
+        write_version(rows, path, 0, 0, level=False)
         found[name] = tidy(_typed_report(REPORTS[name], read_changelog(spark, path)).drop(VERSION))
     return stacked(found)
 
@@ -255,13 +257,18 @@ def kept_without_database(rows: DataFrame, database: str) -> DataFrame:
 def _report_tables(spark: SparkSession, sf_dir: str, suffix: str = "") -> dict[str, DataFrame]:
     """Text totals of all reports through changelogs into declared tables, read by SQL."""
     root, database = new_folder(spark, "tables"), f"daily_report_{uuid.uuid4().hex}"
-    for report in REPORTS.values():
+
+    def make(report: Report) -> None:
         records = report_input(spark, sf_dir, report)
         places = [c for c in ("latitude", "longitude") if c in report.inputs]
         sent = records.withColumns({c: F.col(c).cast("string") for c in places}) if places else records
         path = f"{root}/{report.name}"
-        write_version(report.aggregate(sent, exact=True), f"{path}/changelog", 0, 0)
+        write_version(report.aggregate(sent, exact=True), f"{path}/changelog", 0, 0, level=False)
         write_changes(report, _typed_report(report, read_changelog(spark, f"{path}/changelog")), f"{path}/changes", 0, 0)
+
+    # Side by side: the last tasks of one report's stages leave cores to the others.
+    with settings(spark, {"spark.sql.adaptive.enabled": "true"}), ThreadPoolExecutor(len(REPORTS)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(make), REPORTS.values()))
     create_tables(spark, database, root, list(REPORTS.values()))
     return {"database": database, **{n: spark.table(f"{database}.{n}{suffix}") for n in REPORTS}}
 

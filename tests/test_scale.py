@@ -129,6 +129,17 @@ def test_compaction_shuffles_once(spark, tmp_path, monkeypatch):
     assert plans[0].count("Exchange") == plans[0].count("Exchange rangepartitioning") == 1
 
 
+def test_report_tables_are_made_side_by_side(spark, sf_dir, monkeypatch):
+    all_there, write = threading.Barrier(3, timeout=60), batch.write_version
+
+    def wait(*given, **named):
+        all_there.wait()
+        write(*given, **named)
+
+    monkeypatch.setattr(batch, "write_version", wait)
+    assert registry.queries()["typed_reports"](spark, sf_dir).count()
+
+
 def test_a_second_run_reads_many_files_in_a_few_batches(spark, tmp_path, monkeypatch):
     events = spark.range(0, 600, 1, 12).selectExpr(
         "id event_id", "id % 20 user_id", "timestamp'2024-01-01' + make_dt_interval(int(id % 30)) ts", "'view' event_type",
