@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from daytally.llm.common import written
+from daytally.llm.common import tidily, written
 from daytally.llm.known import KnownIds
 from daytally.llm.words import BY_SPACE, EXACT, located_words, text_bytes
 from daytally.session import new_folder
@@ -158,7 +158,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, text: s
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("key", "tie").sortWithinPartitions("key", "tie")
 
-    return written(ordered.drop("tie").mapInArrow(lambda batches: _write_part(batches, folder, path, end_id), "part int, file string, n_records long, n_ids long, width int"), "manifest")
+    return written(ordered.drop("tie").mapInArrow(lambda batches: tidily(_write_part(batches, folder, path, end_id)), "part int, file string, n_records long, n_ids long, width int"), "manifest")
 
 
 def _read_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +190,7 @@ def read(manifest: DataFrame) -> DataFrame:
     placed = manifest.withColumn("before", F.coalesce(before, F.lit(0)))
 
     n = max(1, manifest.count())
-    return placed.repartition(n).mapInArrow(_read_parts, "doc_id long, start long, ids binary")
+    return placed.repartition(n).mapInArrow(lambda batches: tidily(_read_parts(batches)), "doc_id long, start long, ids binary")
 
 
 
