@@ -36,12 +36,12 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 SETTLED = "Ͱ"
 #: First bytes of the UTF-8 forms of white space beyond ASCII.
 OTHER_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
-#: Pieces of text whose ids a Python worker knows before it starts anew: about 20 MB.
-KNOWN = 1 << 19
+#: Pieces of text whose ids a Python worker knows before it starts anew: about 40 MB.
+KNOWN = 1 << 20
 #: Encoded words held by a Python worker before it starts anew; memory only.
-CACHED = 40_000
+CACHED = 300_000
 #: Pairs of tokens of which a worker remembers whether they may stand together; likewise.
-PAIRS = 120_000
+PAIRS = 500_000
 #: Stands for the beginning of a word.
 START = (1 << 24) - 1
 #: Bytes of text whose words are held at a time.

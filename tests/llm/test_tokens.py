@@ -123,3 +123,11 @@ def test_a_broken_record_is_noticed(tmp_path):
             [*token_records.unframed(pa.BufferReader(good[:cut]))]
     assert [*token_records.unframed(pa.BufferReader(good))] == [b"abc", b""]
     assert token_records.masked(b"abc") != zlib.crc32(b"abc")
+
+
+def test_words_of_a_task_are_encoded_once():
+    own = bpe.Encoder(bpe.vocabulary())
+    many = [f"w{i:x}" for i in range(50_000)]
+    own.learn(many)
+    own.learn(["another"])
+    assert {"w0", "another"} <= own._words.keys()
