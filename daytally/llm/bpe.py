@@ -44,6 +44,8 @@ CACHED = 300_000
 PAIRS = 500_000
 #: Stands for the beginning of a word.
 START = (1 << 24) - 1
+#: Lengths of the tokens that may end where no longer one does.
+SHORT = (2, 1)
 #: Bytes of text whose words are held at a time.
 GROUP = 1 << 18
 PIECE = 1 << 18
@@ -58,6 +60,16 @@ def _alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _lengths_by_end(tokens: Iterable[bytes]) -> dict[bytes, tuple[int, ...]]:
+    """How long the tokens are that end with the same three bytes, longest first; two and one
+    last, as shorter tokens are not told by their ends."""
+    found: dict[bytes, set[int]] = {}
+    for token in tokens:
+        if len(token) > 2:
+            found.setdefault(token[-3:], {2, 1}).add(len(token))
+    return {end: tuple(sorted(lengths, reverse=True)) for end, lengths in found.items()}
+
+
 def _vocabulary(path: str) -> tuple[dict[bytes, int], dict[int, bytes], dict[str, int], list[tuple[bytes, bytes]]]:
     """Of a vocabulary file: ids by bytes, bytes by id, special tokens, and the merges."""
     with open(path, encoding="utf-8") as file:
@@ -76,7 +88,7 @@ class Encoder:
     def __init__(self, path: str):
         self.ids, self.bytes_of, self.special, merges = _vocabulary(path)
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
-        self.longest = max(map(len, self.ids))
+        self._lengths = _lengths_by_end(self.ids)
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self._path = path
         self._made = {a + b: (rank, a, b) for (a, b), rank in self.ranks.items()}
@@ -138,14 +150,17 @@ class Encoder:
         next only the states below their common prefix are dropped."""
         last = [START]
         previous = b""
-        find, longest, together, length = self.ids.get, self.longest, self._together, self._length
+        find, lengths, together, length = self.ids.get, self._lengths.get, self._together, self._length
         for word in words:
             shared, most = 0, min(len(word), len(previous))
             while shared < most and word[shared] == previous[shared]:
                 shared += 1
             del last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
+                for size in lengths(word[end - 3 : end], SHORT) if end > 2 else SHORT:
+                    start = end - size
+                    if start < 0:
+                        continue
                     token = find(word[start:end])
                     if token is not None:
                         key = last[start] << 24 | token

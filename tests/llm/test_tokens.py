@@ -131,3 +131,10 @@ def test_words_of_a_task_are_encoded_once():
     own.learn(many)
     own.learn(["another"])
     assert {"w0", "another"} <= own._words.keys()
+
+
+def test_lengths_by_end_pass_over_no_token():
+    own = bpe.Encoder(bpe.vocabulary())
+    assert all(len(t) in own._lengths.get(t[-3:], bpe.SHORT) for t in own.ids if len(t) > 2)
+    gone = sum(len(sizes) for sizes in own._lengths.values()) / len(own._lengths)
+    assert gone < 8  # of up to the longest token's length
