@@ -4,17 +4,26 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from daytally.session import new_folder, settings
 
 #: Batches between Spark and Python while a table is written: what a task holds of texts.
 ARROW_BYTES = "8m"
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Spark removes the shuffle files of a query when it ends, not when the driver happens to collect garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+#: Files of a gathered table for each core, and at least.
+FILES_A_CORE, LEAST_FILES = 4, 32
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -24,7 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def small_batches(spark: SparkSession):
     """For the time of a block, batches of ARROW_BYTES between Spark and Python."""
-    return settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES})
+    return settings(spark, {_BATCH_BYTES: ARROW_BYTES})
+
+
+def keep_batches_small(spark: SparkSession) -> None:
+    """Batches of ARROW_BYTES from now on, for results that the caller writes; a session with
+    a size of its own keeps it."""
+    if _BATCH_BYTES not in spark.conf.getAll:
+        spark.conf.set(_BATCH_BYTES, ARROW_BYTES)
 
 
 def tidily(batches: Iterator) -> Iterator:
@@ -40,16 +56,32 @@ def tidily(batches: Iterator) -> Iterator:
             trim(0)
 
 
+def tokenizer(path: str) -> Tokenizer:
+    """The tokenizers library with one thread: Spark runs a task on each core, and threads beside
+    them wait for one another, which costs as much CPU time as the work itself."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Tokenizer.from_file(path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared scratch folder: computed once, and there for every
-    executor, so that no later loss of an executor computes it again."""
+    executor, so that no later loss of an executor computes it again. The shuffles that made it
+    are not needed then, and their files go at once."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    with small_batches(spark):
+    with small_batches(spark), settings(spark, {_CLEANUP: "true"}):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def gathered(df: DataFrame, name: str) -> DataFrame:
+    """As :func:`written`, in a few files for each core however many parts ``df`` has. An operator
+    with many small tables would else make thousands of files, and for each one on a local disk
+    the executor starts processes that set its permissions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return written(df.coalesce(max(LEAST_FILES, FILES_A_CORE * cores)), name)
+
+
 def packed(df: DataFrame, **columns: Column) -> DataFrame:
     """Every column of ``df`` in one struct ``row``, beside ``columns``: names of the
     input cannot clash with an operator's own."""

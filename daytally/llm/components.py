@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.common import written
+from daytally.llm.common import gathered
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
     end when nothing changes, after about the logarithm of the longest chain. Nulls and
     links of a node to itself are left out; no links give an empty result."""
     edges = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
-    edges, before = written(edges, "links"), None
+    edges, before = gathered(edges, "links"), None
     while True:
         count, total = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if (count, total) == before or not count:
@@ -41,4 +41,4 @@ def components(links: DataFrame) -> DataFrame:
                 edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
             )
         before = (count, total)
-        edges = written(_small_star(_large_star(edges)), "stars")
+        edges = gathered(_small_star(_large_star(edges)), "stars")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daytally.llm.common import written
+from daytally.llm.common import gathered, tidily
 from daytally.llm.components import components
 from daytally.llm.words import hashed_words, mix
 
@@ -337,30 +337,30 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _candidates(rows: DataFrame) -> DataFrame:
     """(a, b): the pairs of classes that collide in a band and may be similar."""
-    banded = rows.mapInArrow(_banded, "band long, class long, marks long").repartition("band").sortWithinPartitions("band", "class")
-    found = written(banded.mapInArrow(_collisions, _PAIRED), "collisions")
+    banded = rows.mapInArrow(lambda batches: tidily(_banded(batches)), "band long, class long, marks long").repartition("band").sortWithinPartitions("band", "class")
+    found = gathered(banded.mapInArrow(lambda batches: tidily(_collisions(batches)), _PAIRED), "collisions")
     split = found.filter("marks IS NOT NULL").repartition("a").sortWithinPartitions("a", "b")
-    met = split.mapInArrow(_met, _PAIRED)
+    met = split.mapInArrow(lambda batches: tidily(_met(batches)), _PAIRED)
     return found.filter("marks IS NULL").unionByName(met).select("a", "b").distinct()
 
 
 def _similar(pairs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The similar ones of ``pairs`` of classes, and (class, low, high): the smallest and
     the largest document of each class that occurs in a pair."""
-    classes = written(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "classes")
+    classes = gathered(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "classes")
     wanted = _filter(classes, "class")
-    found = rows.mapInArrow(lambda batches: _with_shingles(batches, wanted), "class long, id long, shingles binary")
+    found = rows.mapInArrow(lambda batches: tidily(_with_shingles(batches, wanted)), "class long, id long, shingles binary")
     found = found.join(classes, "class", "left_semi").groupBy("class")
-    sets = written(found.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.first("shingles").alias("shingles")), "shingles")
+    sets = gathered(found.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.first("shingles").alias("shingles")), "shingles")
     of = lambda end, name: sets.select(F.col("class").alias(end), F.col("shingles").alias(name))
     both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y")
-    links = both.mapInArrow(_alike, "a long, b long")
-    return written(links, "similar"), sets.select("class", "low", "high")
+    links = both.mapInArrow(lambda batches: tidily(_alike(batches)), "a long, b long")
+    return gathered(links, "similar"), sets.select("class", "low", "high")
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
     """(class, id, start): all paragraphs of ``rows`` (id, text)."""
-    return written(rows.mapInArrow(_occurrences, "class long, id long, start long"), "occurrences")
+    return gathered(rows.mapInArrow(lambda batches: tidily(_occurrences(batches)), "class long, id long, start long"), "occurrences")
 
 
 def clusters(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -368,15 +368,15 @@ def clusters(rows: DataFrame, found: DataFrame) -> DataFrame:
     themselves or with similar ones; ``keeper`` is the smallest document of the cluster.
     ``found`` are the :func:`occurrences` of ``rows``."""
     counted = found.groupBy("class")
-    repeated = written(counted.agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high"), "repeated")
-    pairs = written(_candidates(rows), "pairs")
+    repeated = gathered(counted.agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high"), "repeated")
+    pairs = gathered(_candidates(rows), "pairs")
     links, of_pairs = _similar(pairs, rows)
-    labels = written(components(links), "labels").withColumnRenamed("node", "class")
+    labels = gathered(components(links), "labels").withColumnRenamed("node", "class")
     near = labels.join(of_pairs, "class")
     spread = near.groupBy("component").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high")
     joined = labels.join(spread, "component").select("class", F.col("component").alias("cluster"), F.col("low").alias("keeper"))
     alone = repeated.join(labels.select("class"), "class", "left_anti").select("class", F.col("class").alias("cluster"), F.col("low").alias("keeper"))
-    return written(alone.unionByName(joined), "clusters")
+    return gathered(alone.unionByName(joined), "clusters")
 
 
 def _numbered(spans: DataFrame) -> DataFrame:
@@ -405,13 +405,13 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     pieces = found.join(known, "class").withColumn("end", F.col("start") + WINDOW)
     ends = Window.partitionBy("id", "island")
     inside = _numbered(pieces).withColumns({"low": F.min("start").over(ends), "high": F.max("end").over(ends)})
-    inside = written(inside.drop("island"), "pieces")
+    inside = gathered(inside.drop("island"), "pieces")
     proven = inside.filter(F.col("high") - F.col("low") >= PASSAGE).select("id", "start", "end", "cluster", "keeper")
     at_end = (F.col("start") == F.col("low")) | (F.col("end") == F.col("high"))
-    open_ = written(inside.filter(at_end | (F.col("high") - F.col("low") < PASSAGE)).select("id", "start", "class", "cluster", "keeper"), "open")
+    open_ = gathered(inside.filter(at_end | (F.col("high") - F.col("low") < PASSAGE)).select("id", "start", "class", "cluster", "keeper"), "open")
     open_classes = _filter(open_.select("class").distinct(), "class")
     documents = _filter(open_.select("id").distinct(), "id")
-    runs = written(rows.mapInArrow(lambda batches: _around(batches, open_classes, documents), "run long, id long, start long"), "runs")
+    runs = gathered(rows.mapInArrow(lambda batches: tidily(_around(batches, open_classes, documents)), "run long, id long, start long"), "runs")
     again = runs.groupBy("run").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("run")
     long_runs = runs.join(again, "run", "left_semi").select("id", F.col("start").alias("run_start"))
     holds = F.col("start").between(F.col("run_start"), F.col("run_start") + STRETCH)

@@ -1,8 +1,10 @@
 """N-gram join, shared passages and nearest neighbours against brute force."""
 
+import glob
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daytally.llm import knn, ngram_join, passages
+from daytally.llm.common import FILES_A_CORE, LEAST_FILES, gathered, written
 from daytally.llm.components import components
 from tests.llm.conftest import bag, prose
 
@@ -321,3 +324,29 @@ def test_bounds_hold():
     true = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     seen = np.sqrt(((near[:, None] - near[None]) ** 2).sum(-1))
     assert (np.abs(true - seen) <= (error[:, None] + error[None]) * (1 + 1e-9) + 1e-12).all()
+
+
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in folders for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
+
+
+def test_shuffles_of_a_written_table_leave_no_files(spark):
+    before = _shuffle_files(spark)
+    made = written(spark.range(1000, numPartitions=8).repartition(7, "id").groupBy((F.col("id") % 10).alias("g")).count(), "made")
+    deadline = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < deadline:
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+    assert sorted(map(tuple, made.collect())) == [(g, 100) for g in range(10)]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_gathered_tables_have_few_files(spark):
+    many = spark.range(10_000, numPartitions=400)
+    assert len(written(many, "many").inputFiles()) == 400
+    few = gathered(many, "few")
+    assert len(few.inputFiles()) == max(LEAST_FILES, FILES_A_CORE * spark.sparkContext.defaultParallelism) < 100
+    assert (few.count(), few.agg(F.sum("id")).first()[0]) == (10_000, sum(range(10_000)))
+    links = spark.range(600).select(F.col("id").alias("a"), (F.col("id") + 600).alias("b")).repartition(300, "a")
+    assert len(components(links).inputFiles()) <= LEAST_FILES
