@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from daytally.llm.common import tidily
+from daytally.llm.common import tidily, tokenizer
 from daytally.llm.known import KnownIds
 from daytally.llm.words import EXACT, segment_hashes, text_bytes
 
@@ -231,7 +231,7 @@ class Encoder:
 
     @cached_property
     def _library(self) -> Tokenizer:
-        return Tokenizer.from_file(self._path)
+        return tokenizer(self._path)
 
     def _cut(self, text: str) -> Iterator[str]:
         if text.isascii() or max(text) < SETTLED:

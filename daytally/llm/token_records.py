@@ -28,9 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
-from tokenizers import Tokenizer
 
-from daytally.llm.common import tidily, written
+from daytally.llm.common import tidily, tokenizer, written
 from daytally.llm.known import KnownIds
 from daytally.llm.words import BY_SPACE, EXACT, located_words, text_bytes
 from daytally.session import new_folder
@@ -86,7 +85,7 @@ class LibraryEncoder:
     """
 
     def __init__(self, path: str):
-        self.library = Tokenizer.from_file(path)
+        self.library = tokenizer(path)
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self._known = KnownIds(f"<u{self.width}", KNOWN)
 

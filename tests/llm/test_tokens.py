@@ -1,5 +1,6 @@
 """Encoding, decoding and record files, held against the library itself."""
 
+import os
 import random
 import zlib
 
@@ -138,3 +139,11 @@ def test_lengths_by_end_pass_over_no_token():
     assert all(len(t) in own._lengths.get(t[-3:], bpe.SHORT) for t in own.ids if len(t) > 2)
     gone = sum(len(sizes) for sizes in own._lengths.values()) / len(own._lengths)
     assert gone < 8  # of up to the longest token's length
+
+
+def test_the_library_takes_one_thread(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    token_records.LibraryEncoder(token_records.vocabulary())
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    assert bpe.Encoder(bpe.vocabulary())._library and os.environ["TOKENIZERS_PARALLELISM"] == "false"
