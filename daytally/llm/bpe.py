@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from daytally.llm.common import tidily, tokenizer
+from daytally.llm.common import keep_batches_small, tidily, tokenizer
 from daytally.llm.known import KnownIds
 from daytally.llm.words import EXACT, segment_hashes, text_bytes
 
@@ -371,6 +371,7 @@ def there_and_back(docs: DataFrame, path: str, text: str = "text", key: str = "d
     """(key, ids, decoded) for every row: as :func:`encode`, and the text that the ids decode
     to, in one pass. Nulls, empty and very long texts, ties, repeated rows and empty tables
     are taken as there; a null text decodes to the empty one."""
+    keep_batches_small(docs.sparkSession)
     rows, kind = _keyed(docs, text, key)
     found = rows.mapInArrow(lambda batches: tidily(_both_ways(batches, path)), f"key {kind}, ids binary, decoded string")
     return found.withColumnRenamed("key", key)

@@ -14,8 +14,9 @@ from tokenizers import Tokenizer
 
 from daytally.session import new_folder, settings
 
-#: Batches between Spark and Python while a table is written: what a task holds of texts.
-ARROW_BYTES = "8m"
+#: Batches between Spark and Python while a table is written: what a task holds of texts. So
+#: small that the JVM gives the same native memory to one after the other.
+ARROW_BYTES = "2m"
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Spark removes the shuffle files of a query when it ends, not when the driver happens to collect garbage.

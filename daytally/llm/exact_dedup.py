@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daytally.llm.common import packed, text_or_empty, unpacked, written
+from daytally.llm.common import packed, text_or_empty, tidily, unpacked, written
 
 SLICE_BITS = 1 << 16
 BITS_PER_ROW = 16
@@ -87,9 +87,9 @@ def repeat_filter(hashes: DataFrame, slices: int, often: int = 2) -> DataFrame:
     """(slice, bitmap) over a table of one hash a row: ``slices`` bitmaps of 8 KB at most, of
     the bits that were set at least ``often`` times."""
     s, a, b = _bits(F.col("h"), slices)
-    own = hashes.select(s.alias("slice"), a.alias("a"), b.alias("b")).mapInArrow(_own_bits, "slice int, bits binary, times binary")
+    own = hashes.select(s.alias("slice"), a.alias("a"), b.alias("b")).mapInArrow(lambda batches: tidily(_own_bits(batches)), "slice int, bits binary, times binary")
     ordered = own.repartition("slice").sortWithinPartitions("slice")
-    return ordered.mapInArrow(lambda batches: _set_bits(batches, often), "slice int, bitmap binary")
+    return ordered.mapInArrow(lambda batches: tidily(_set_bits(batches, often)), "slice int, bitmap binary")
 
 
 def _slices(rows: int) -> int:

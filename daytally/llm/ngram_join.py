@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.common import maybe_in, small_batches, tidily, written
+from daytally.llm.common import gathered, maybe_in, small_batches, tidily
 from daytally.llm.components import components
 from daytally.llm.words import distinct_sorted, hashed_words, mix, shingles
 
@@ -253,15 +253,15 @@ def _pairs_of_blocks(rows: DataFrame, payload: list[str], sim: Similarity) -> Da
     dealt = rows.join(sizes, "group").withColumn("part", part).select("group", "part", "n", "id", "component", *(c for c in payload if c not in ("n", "id", "component")))
     dealt = dealt.repartition("group", "part").sortWithinPartitions("group", "part", "n")
     kinds = _HEADER_TYPE + "".join(f", {name} binary" for name in payload)
-    kept = dealt.mapInArrow(lambda batches: _blocks(batches, payload), kinds)
-    kept = written(kept.withColumn("block", F.monotonically_increasing_id()), "blocks")
+    kept = dealt.mapInArrow(lambda batches: tidily(_blocks(batches, payload)), kinds)
+    kept = gathered(kept.withColumn("block", F.monotonically_increasing_id()), "blocks")
     header = ["block", "low", "high", "one", "many"]
     x, y = (kept.select("group", *(F.col(c).alias(f"{side}_{c}") for c in header)) for side in "xy")
     sizes_fit = (F.col("x_high") * 100 >= F.col("y_low") * sim.percent) & (F.col("y_high") * 100 >= F.col("x_low") * sim.percent)
     unlike = F.col("x_many") | F.col("y_many") | (F.col("x_one") != F.col("y_one"))
     chosen = x.join(y, "group").filter((F.col("x_block") <= F.col("y_block")) & sizes_fit & unlike).select("x_block", "y_block")
     of = lambda side: kept.select(F.col("block").alias(f"{side}_block"), *(F.col(c).alias(f"{side}_{c}") for c in payload))
-    return written(chosen, "block_pairs").join(of("x"), "x_block").join(of("y"), "y_block")
+    return gathered(chosen, "block_pairs").join(of("x"), "x_block").join(of("y"), "y_block")
 
 
 def _rest(batches: Iterator[pa.RecordBatch], sim: Similarity) -> Iterator[pa.RecordBatch]:
@@ -356,7 +356,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch], sim: Similarity) -> Iterator[pa
 
 def _sets_of(ids: DataFrame, rows: DataFrame, sim: Similarity) -> DataFrame:
     """(id, members): the whole sets of the documents ``ids``, read anew."""
-    ids = written(ids.distinct(), "ids")
+    ids = gathered(ids.distinct(), "ids")
     needed = maybe_in(rows, "id", ids, "id").join(ids, "id", "left_semi")
     return needed.mapInArrow(lambda batches: tidily(_set_rows(batches, sim)), "id long, members array<long>")
 
@@ -393,7 +393,7 @@ def _beyond(pairs: DataFrame, c: Column, sim: Similarity) -> DataFrame:
 def _plausible(pairs: DataFrame, long_rows: DataFrame, sim: Similarity) -> DataFrame:
     """Candidates that can be similar, by the members they share in short lists and the
     number of long lists that each is in."""
-    in_long = written(long_rows.groupBy("a").agg(F.count(F.lit(1)).alias("h")), "long")
+    in_long = gathered(long_rows.groupBy("a").agg(F.count(F.lit(1)).alias("h")), "long")
     of = lambda end: in_long.select(F.col("a").alias(end), F.col("h").alias(f"h{end}"))
     more = F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
     known = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
@@ -411,9 +411,9 @@ def _pivots(in_lists: DataFrame, mixed: DataFrame) -> DataFrame:
     first set and then what most of its sets have. Sets that share lists come to share it."""
     of_list = mixed.select("member", F.col("head").alias("pivot"))
     for turn in range(PIVOT_TURNS):
-        of_set = written(_most_common(in_lists.select("member", "id").join(of_list, "member"), "id", "pivot"), "pivots")
+        of_set = gathered(_most_common(in_lists.select("member", "id").join(of_list, "member"), "id", "pivot"), "pivots")
         if turn < PIVOT_TURNS - 1:
-            of_list = written(_most_common(in_lists.select("member", "id").join(of_set, "id"), "member", "pivot"), "pivots")
+            of_list = gathered(_most_common(in_lists.select("member", "id").join(of_set, "id"), "member", "pivot"), "pivots")
     return of_set
 
 
@@ -431,54 +431,54 @@ def join(
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     known = frequent(rows.select("text"), sim)
-    signed = written(rows.mapInArrow(lambda batches: tidily(_signed(batches, sim, known)), "id long, n int, fa long, fb long, prefix binary"), "signed")
+    signed = gathered(rows.mapInArrow(lambda batches: tidily(_signed(batches, sim, known)), "id long, n int, fa long, fb long, prefix binary"), "signed")
     same = ["n", "fa", "fb"]
-    groups = written(signed.filter("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.first("prefix").alias("prefix")), "sets")
+    groups = gathered(signed.filter("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.first("prefix").alias("prefix")), "sets")
 
     posted = groups.filter("rep IS NOT NULL").select("rep", "n", "prefix")
-    posted = posted.mapInArrow(lambda batches: _posted(batches, known, split_at), "member long, part int, id long, n int")
+    posted = posted.mapInArrow(lambda batches: tidily(_posted(batches, known, split_at)), "member long, part int, id long, n int")
     lists = posted.repartition("member", "part").sortWithinPartitions("member", "part", "id")
-    found = written(lists.mapInArrow(lambda batches: tidily(_walk(batches, sim)), _FOUND), "found")
+    found = gathered(lists.mapInArrow(lambda batches: tidily(_walk(batches, sim)), _FOUND), "found")
     long_rows = found.filter(F.col("kind") == LONG)
     heads = found.filter(F.col("kind") == HEAD).select("member", F.col("a").alias("b"), F.col("na").alias("nb"))
     least = heads.groupBy("member").agg(F.min("b").alias("a"), F.min_by("nb", "b").alias("na"))
     between = heads.join(least, "member").filter("a < b").select("a", "b", "na", "nb")
     pairs = found.filter(F.col("kind") == PAIR).select("a", "b", "na", "nb").unionByName(between)
     counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-    counted = written(counted, "counted")
-    candidates = written(_plausible(counted, long_rows, sim), "candidates")
+    counted = gathered(counted, "counted")
+    candidates = gathered(_plausible(counted, long_rows, sim), "candidates")
 
-    best = written(candidates.groupBy("b").agg(F.max_by("a", F.struct("c", -F.col("a"))).alias("a")).select("a", "b"), "best")
-    links = written(_links(best, rows, sim), "near")
-    labels = written(components(links), "labels")
+    best = gathered(candidates.groupBy("b").agg(F.max_by("a", F.struct("c", -F.col("a"))).alias("a")).select("a", "b"), "best")
+    links = gathered(_links(best, rows, sim), "near")
+    labels = gathered(components(links), "labels")
 
     in_lists = long_rows.select("member", F.col("a").alias("id"), F.col("na").alias("n"))
     in_lists = in_lists.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = in_lists.groupBy("member").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("head"))
-    mixed = written(mixed.filter("low < high").select("member", "head"), "mixed")
-    in_lists = written(in_lists.join(mixed.select("member"), "member", "left_semi"), "in_lists")
+    mixed = gathered(mixed.filter("low < high").select("member", "head"), "mixed")
+    in_lists = gathered(in_lists.join(mixed.select("member"), "member", "left_semi"), "in_lists")
     own = in_lists.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component"))
-    pivots = written(own.join(_pivots(in_lists, mixed), "id"), "pivots")
+    pivots = gathered(own.join(_pivots(in_lists, mixed), "id"), "pivots")
     sets = _sets_of(pivots.select(F.explode(F.array("id", "pivot")).alias("id")), rows, sim)
     with_base = (
         pivots.join(sets, "id")
         .join(sets.select(F.col("id").alias("pivot"), F.col("members").alias("base")), "pivot")
         .select(F.col("pivot").alias("group"), "id", "n", "component", "members", "base")
     )
-    apart = with_base.mapInArrow(_differences, "group long, id long, n int, component long, base int, lacks binary, beyond binary")
+    apart = with_base.mapInArrow(lambda batches: tidily(_differences(batches)), "group long, id long, n int, component long, base int, lacks binary, beyond binary")
     same_pivot = _pairs_of_blocks(apart, ["id", "component", "n", "base", "lacks", "beyond"], sim)
-    links = links.unionByName(written(same_pivot.mapInArrow(lambda batches: tidily(_linked(batches, sim)), "a long, b long"), "same_pivot"))
+    links = links.unionByName(gathered(same_pivot.mapInArrow(lambda batches: tidily(_linked(batches, sim)), "a long, b long"), "same_pivot"))
 
     several = pivots.select("id", "pivot").join(in_lists.select("member", "id", "n", "component"), "id")
     crossed = several.groupBy("member").agg(F.min("pivot").alias("low"), F.max("pivot").alias("high")).filter("low < high").select("member")
     several = several.join(crossed, "member", "left_semi").withColumnRenamed("member", "group")
-    rest = _pairs_of_blocks(several, ["id", "component", "n", "pivot"], sim).mapInArrow(lambda batches: _rest(batches, sim), "a long, b long, na int, nb int")
+    rest = _pairs_of_blocks(several, ["id", "component", "n", "pivot"], sim).mapInArrow(lambda batches: tidily(_rest(batches, sim)), "a long, b long, na int, nb int")
     rest = rest.groupBy("a", "b").agg(F.count(F.lit(1)).alias("in_long"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     rest = rest.join(counted.select("a", "b", "c"), ["a", "b"], "left")
     rest = _beyond(rest, F.col("in_long") + F.coalesce("c", F.lit(0)), sim).select("a", "b")
-    left = _apart(candidates.select("a", "b").unionByName(rest).distinct(), written(components(links), "labels"))
-    more = _links(written(left.join(best, ["a", "b"], "left_anti"), "left"), rows, sim)
-    found_in = written(components(links.unionByName(more)), "components")
+    left = _apart(candidates.select("a", "b").unionByName(rest).distinct(), gathered(components(links), "labels"))
+    more = _links(gathered(left.join(best, ["a", "b"], "left_anti"), "left"), rows, sim)
+    found_in = gathered(components(links.unionByName(more)), "components")
 
     member_of = signed.select("id", *same).join(groups.select(*same, "rep"), same, "left")
     labelled = member_of.join(found_in.withColumnRenamed("node", "rep"), "rep", "left")
@@ -497,4 +497,4 @@ def one_of_each(docs: DataFrame, sim: Similarity = Similarity(), text: str = "te
     while name in docs.columns:
         name += "_"
     dropped = join(docs, sim, text, key).filter(F.col(key) != F.col("component_id")).select(F.col(key).alias(name))
-    return docs.join(written(dropped, "dropped"), F.col(f"`{key}`") == F.col(name), "left_anti")
+    return docs.join(gathered(dropped, "dropped"), F.col(f"`{key}`") == F.col(name), "left_anti")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.common import written
+from daytally.llm.common import keep_batches_small, tidily, written
 from daytally.llm.training import TRAIN_ROWS, labelled_sample
 from daytally.llm.words import BY_LETTER, hashed_words
 
@@ -59,7 +59,7 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def token_scores(sample: DataFrame) -> Scores:
-    counts = sample.select("text", "label").mapInArrow(_presence, "token long, n1 long, n0 long")
+    counts = sample.select("text", "label").mapInArrow(lambda batches: tidily(_presence(batches)), "token long, n1 long, n0 long")
     counts = written(counts.groupBy("token").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")), "tokens")
     all1, all0, n = counts.agg(F.coalesce(F.sum("n1"), F.lit(0)), F.coalesce(F.sum("n0"), F.lit(0)), F.count(F.lit(1))).first()
     prior = F.lit(FLAT) + F.lit(PRIOR) * (F.col("n1") + F.col("n0")) / F.lit(max(1, all1 + all0))
@@ -198,14 +198,14 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
     sample = written(labelled_sample(docs, labels, label, held_out, rows, text, key), "training")
     model = token_scores(sample)
     others = sample.filter("label = 0").select("text")
-    known = others.mapInArrow(lambda batches: _token_counts(batches, model), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    known = others.mapInArrow(lambda batches: tidily(_token_counts(batches, model)), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(len(model.tokens))
     counts[known["at"].to_numpy(np.int64)] = known["n"].to_numpy(float)
-    segments = written(others.mapInArrow(lambda batches: _segment_rows(batches, model), "n long, score double"), "segments")
+    segments = written(others.mapInArrow(lambda batches: tidily(_segment_rows(batches, model)), "n long, score double"), "segments")
     n = segments.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     rate = _rate(model.scores, counts, n)
     model = Scores(model.tokens, model.scores, rate, _scale(segments.filter("score IS NOT NULL"), rate, n))
-    found = sample.select("text", "label").mapInArrow(lambda batches: _feature_rows(batches, model), "label int, x0 double, x1 double, x2 double, x3 double").toPandas()
+    found = sample.select("text", "label").mapInArrow(lambda batches: tidily(_feature_rows(batches, model)), "label int, x0 double, x1 double, x2 double, x3 double").toPandas()
     weights = _logistic(found[["x0", "x1", "x2", "x3"]].to_numpy(float), found["label"].to_numpy(float))
     return Scores(model.tokens, model.scores, model.rate, model.scale, weights)
 
@@ -237,7 +237,7 @@ def score(docs: DataFrame, model: Scores, text: str = "text", key: str = "doc_id
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(lambda batches: _score_rows(batches, model), _SCORED.format(kind=kind)).withColumnRenamed("key", key)
+    return rows.mapInArrow(lambda batches: tidily(_score_rows(batches, model)), _SCORED.format(kind=kind)).withColumnRenamed("key", key)
 
 
 def clean(docs: DataFrame, model: Scores, text: str = "text") -> DataFrame:
@@ -247,6 +247,7 @@ def clean(docs: DataFrame, model: Scores, text: str = "text") -> DataFrame:
     text scores as one without tokens; equal rows stay or go together; nulls in other columns
     pass; an empty table gives an empty result.
     """
+    keep_batches_small(docs.sparkSession)
     kinds, names = docs.schema, docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,4 +257,4 @@ def clean(docs: DataFrame, model: Scores, text: str = "text") -> DataFrame:
                 keep.append(float(np.dot(model.weights, features(n, segments, model))) < 0)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, kinds)
+    return docs.mapInArrow(lambda batches: tidily(run(batches)), kinds)

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from daytally.llm import bpe, token_records
+from daytally.llm import bpe, token_records, toxicity
 
 PARTS = ["the", " The", "'s", "'ll", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "é", "́", "ñ", "漢字", "かな", "12", "½", "%%%", "<|endoftext|>", "<|startoftext|>", "\U0001f600", "‍", "İ", "ß", "a"]
 texts = st.lists(st.one_of(st.sampled_from(PARTS), st.characters(exclude_categories=["Cs"])), max_size=40).map("".join)
@@ -147,3 +147,18 @@ def test_the_library_takes_one_thread(monkeypatch):
     assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
     monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
     assert bpe.Encoder(bpe.vocabulary())._library and os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+def test_batches_of_a_lazy_result_stay_small(spark):
+    name, docs = "spark.sql.execution.arrow.maxBytesPerBatch", spark.createDataFrame([(i, "a" * (1 << 20)) for i in range(24)], "doc_id long, text string")
+    spark.conf.unset(name)
+    sizes = docs.coalesce(1).mapInArrow(lambda batches: (pa.record_batch({"n": [b.nbytes]}) for b in batches), "n long")
+    assert max(r.n for r in sizes.collect()) > 20 << 20
+    try:
+        bpe.there_and_back(docs, bpe.vocabulary())
+        assert max(r.n for r in docs.coalesce(1).mapInArrow(lambda batches: (pa.record_batch({"n": [b.nbytes]}) for b in batches), "n long").collect()) < 12 << 20
+        spark.conf.set(name, "3m")
+        toxicity.clean(docs, toxicity.Scores(np.empty(0, np.uint64), np.empty(0)))
+        assert spark.conf.get(name) == "3m"
+    finally:
+        spark.conf.unset(name)
