@@ -43,6 +43,7 @@ from daytally.sources.tables import (
     event_records,
     gazetteer,
     line_id,
+    place_of,
     sample_sales,
     table,
 )
@@ -218,7 +219,7 @@ def _typed_report(report: Report, messages: DataFrame) -> DataFrame:
     return typed.filter(F.col(REASON).isNull()).select(*report.columns, VERSION)
 
 
-def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def damaged_messages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Event messages, those of some kinds damaged: each reason for quarantine occurs."""
     kind = F.col("category")
     fields = [F.when(kind != "click", F.col("ts_id")).alias("ts_id"), *MESSAGE_FIELDS[1:]]
@@ -229,7 +230,8 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((kind == "view") & (F.col("revenue") < 5), "")
         .otherwise(whole)
     )
-    return event_records(spark, sf_dir).select(F.col("ts_id").alias("key"), value.alias("value"), "ts_date")
+    records = event_records(spark, sf_dir, events)
+    return records.select(F.col("ts_id").alias("key"), value.alias("value"), "ts_date", *place_of(records))
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from daytally.operators.reports import (
 from daytally.plans.batch import damaged_messages, kept_without_database, readable, stacked, tidy
 from daytally.session import new_folder
 from daytally.sources.files import append_topic_files, read_topic_files, topic_messages
-from daytally.sources.tables import event_messages, event_records, to_messages
+from daytally.sources.tables import even_events, event_messages, event_records, to_messages
 from daytally.streaming import jobs
 from daytally.streaming.changelog import (
     compact,
@@ -67,6 +67,11 @@ def replay(spark: SparkSession, messages: DataFrame, step: Step, parts: list[Col
         step(feed, number)
 
 
+def sent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table as messages that are made from its even copy, once for all waves."""
+    return event_messages(spark, sf_dir, even_events(spark, sf_dir))
+
+
 def _report_from_topic(
     spark: SparkSession, sf_dir: str, report: Report, parts: list[Column] | None = None
 ) -> str:
@@ -76,7 +81,7 @@ def _report_from_topic(
         records = jobs.records_of(read_topic_files(spark, feed))
         jobs.finish([jobs.start_report(report, records, root, **NOW)])
 
-    replay(spark, event_messages(spark, sf_dir), step, parts)
+    replay(spark, sent_events(spark, sf_dir), step, parts)
     return root
 
 
@@ -86,10 +91,10 @@ def _latest_of_changelog(spark: SparkSession, root: str, report: Report) -> Data
     return latest_rows(report, typed.drop(REASON, RAW))
 
 
-def _check_users(spark: SparkSession, sf_dir: str, report: Report, rows: DataFrame) -> DataFrame:
-    """Compare estimated users to the exact number from the event table."""
-    events = event_records(spark, sf_dir).withColumn("ts_date", F.col("ts_date").cast("date"))
-    exact = events.groupBy(*report.key_names).agg(F.count_distinct("customer_id").alias("exact"))
+def _check_users(spark: SparkSession, sf_dir: str, report: Report, rows: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """Compare estimated users to the exact number from the event table, or its copy ``events``."""
+    records = event_records(spark, sf_dir, events).withColumn("ts_date", F.col("ts_date").cast("date"))
+    exact = records.groupBy(*report.key_names).agg(F.count_distinct("customer_id").alias("exact"))
     near = within_bound(F.col("daily_pu"), F.col("exact"))
     others = [c for c in report.columns if c != "daily_pu"]
     checked = rows.join(exact, report.key_names, "left")
@@ -100,9 +105,10 @@ def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message arrives twice, the second time, in a later wave, with other amounts;
     each id is kept once, as last sent."""
     root, feed = new_folder(spark, "stream"), new_folder(spark, "feed")
-    first = event_messages(spark, sf_dir)
+    events = even_events(spark, sf_dir)
+    first = event_messages(spark, sf_dir, events)
     changed = {"price": F.col("price") + 1, "quantity": F.col("quantity") + 1, "revenue": F.col("revenue") + 1}
-    second = to_messages(event_records(spark, sf_dir).withColumns(changed))
+    second = to_messages(event_records(spark, sf_dir, events).withColumns(changed))
     for number, messages in enumerate((first, second)):
         append_topic_files(messages, feed, f"wave-{number}")
         jobs.finish([jobs.start_intake(read_topic_files(spark, feed), root, **NOW)])
@@ -113,10 +119,10 @@ def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _folded_raw(spark: SparkSession, sf_dir: str) -> str:
     """The feed of :func:`stream_raw` in three parts: the last one, the other amounts of the
     newest days, is not folded."""
-    root, feed = new_folder(spark, "stream"), new_folder(spark, "feed")
+    root, feed, events = new_folder(spark, "stream"), new_folder(spark, "feed"), even_events(spark, sf_dir)
     changed = {"price": F.col("price") + 1, "quantity": F.col("quantity") + 1, "revenue": F.col("revenue") + 1}
-    second, newest = to_messages(event_records(spark, sf_dir).withColumns(changed)), F.col("ts_date") >= _CUTS[1]
-    for number, messages in enumerate((event_messages(spark, sf_dir), second.filter(~newest), second.filter(newest))):
+    second, newest = to_messages(event_records(spark, sf_dir, events).withColumns(changed)), F.col("ts_date") >= _CUTS[1]
+    for number, messages in enumerate((event_messages(spark, sf_dir, events), second.filter(~newest), second.filter(newest))):
         append_topic_files(messages, feed, f"wave-{number}")
         jobs.finish([jobs.start_intake(read_topic_files(spark, feed), root, **NOW)])
         if number < 2:
@@ -167,7 +173,7 @@ def stream_daily_final(spark: SparkSession, sf_dir: str) -> DataFrame:
         records = jobs.good(jobs.inspect(read_topic_files(spark, feed)))
         jobs.finish([jobs.start_final_days(records, root, **NOW)])
 
-    replay(spark, event_messages(spark, sf_dir), step)
+    replay(spark, sent_events(spark, sf_dir), step)
     return _check_users(spark, sf_dir, DAILY_PU_REV, tidy(spark.read.parquet(f"{root}/final_days")))
 
 
@@ -182,20 +188,20 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All jobs stop after each wave and go on from their checkpoints."""
     root = new_folder(spark, "stream")
     step = lambda feed, _: _run_chain(spark, root, feed, [DAILY_PU_REV])
-    replay(spark, event_messages(spark, sf_dir), step)
+    replay(spark, sent_events(spark, sf_dir), step)
     return _check_users(spark, sf_dir, DAILY_PU_REV, tidy(read_report(spark, DAILY_PU_REV, f"{root}/{DAILY_PU_REV.name}")))
 
 
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One decoded stream feeds three reports, run at the same time: all rows of all three."""
-    root = new_folder(spark, "stream")
+    root, events = new_folder(spark, "stream"), even_events(spark, sf_dir)
     reports = list(REPORTS.values())
-    replay(spark, event_messages(spark, sf_dir), lambda feed, _: _run_chain(spark, root, feed, reports))
+    replay(spark, event_messages(spark, sf_dir, events), lambda feed, _: _run_chain(spark, root, feed, reports))
     rows = {}
     for report in reports:
         found = tidy(read_report(spark, report, f"{root}/{report.name}"))
         has_users = "daily_pu" in report.measure_names
-        rows[report.name] = _check_users(spark, sf_dir, report, found) if has_users else found
+        rows[report.name] = _check_users(spark, sf_dir, report, found, events) if has_users else found
     return stacked(rows)
 
 
@@ -206,7 +212,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     def step(feed: str, _: int) -> None:
         jobs.finish([jobs.start_intake(read_topic_files(spark, feed), root, **NOW)])
 
-    replay(spark, damaged_messages(spark, sf_dir), step)
+    replay(spark, damaged_messages(spark, sf_dir, even_events(spark, sf_dir)), step)
     bad = jobs.read_quarantine(spark, root).groupBy(REASON).agg(F.count(F.lit(1)).alias("n"))
     good = jobs.read_raw(spark, root).agg(F.count(F.lit(1)).alias("n"))
     return bad.unionByName(good.select(F.lit(jobs.GOOD).alias(REASON), "n"))
@@ -231,7 +237,7 @@ def changelog_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
             fold_changelog(spark, report, f"{root}/{report.name}/changelog")
             compact(spark, report, f"{root}/{report.name}")
 
-    replay(spark, event_messages(spark, sf_dir), step)
+    replay(spark, sent_events(spark, sf_dir), step)
     return tidy(read_report(spark, report, f"{root}/{report.name}"))
 
 
@@ -248,7 +254,7 @@ def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
             jobs.finish([jobs.start_consumer(spark, report, root, run=1, **NOW)])
             compact(spark, report, f"{root}/{report.name}")
 
-    replay(spark, event_messages(spark, sf_dir), step)
+    replay(spark, sent_events(spark, sf_dir), step)
     return _check_users(spark, sf_dir, report, tidy(read_report(spark, report, f"{root}/{report.name}")))
 
 
@@ -257,7 +263,7 @@ def publish_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches of a file each, or of more where there are many; between them its table is read: ``lost`` counts the days that
     were then seen with less revenue than before."""
     report, root, feed = DAILY_PU_REV, new_folder(spark, "stream"), new_folder(spark, "feed")
-    path, messages, lost = f"{root}/{report.name}", event_messages(spark, sf_dir), []
+    path, messages, lost = f"{root}/{report.name}", sent_events(spark, sf_dir), []
     for number, part in enumerate(waves()):
         append_topic_files(messages.filter(part), feed, f"wave-{number}")
         if number < len(waves()) - 1:
@@ -281,10 +287,10 @@ def publish_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def users_rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users of each week, month and country from the stored daily report, whose sketches went
     through changelog and table; the estimates are compared with the exact numbers."""
-    root = new_folder(spark, "stream")
-    replay(spark, event_messages(spark, sf_dir), lambda feed, _: _run_chain(spark, root, feed, [DAILY_USERS]))
+    root, copy = new_folder(spark, "stream"), even_events(spark, sf_dir)
+    replay(spark, event_messages(spark, sf_dir, copy), lambda feed, _: _run_chain(spark, root, feed, [DAILY_USERS]))
     stored = read_report(spark, DAILY_USERS, f"{root}/{DAILY_USERS.name}")
-    events = event_records(spark, sf_dir).withColumn("ts_date", F.col("ts_date").cast("date"))
+    events = event_records(spark, sf_dir, copy).withColumn("ts_date", F.col("ts_date").cast("date"))
     spans = {
         "week": F.date_trunc("week", "ts_date").cast("date").cast("string"),
         "month": F.date_trunc("month", "ts_date").cast("date").cast("string"),
@@ -302,13 +308,13 @@ def users_rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
 def late_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest third of the days comes before the middle one: of the days that are closed
     by then, what came later is accounted for, to the record."""
-    root, feed = new_folder(spark, "stream"), new_folder(spark, "feed")
+    root, feed, messages = new_folder(spark, "stream"), new_folder(spark, "feed"), sent_events(spark, sf_dir)
     first, middle, last = waves()
     for number, part in enumerate((first, last, middle)):
-        append_topic_files(event_messages(spark, sf_dir).filter(part), feed, f"wave-{number}")
+        append_topic_files(messages.filter(part), feed, f"wave-{number}")
         records = jobs.good(jobs.inspect(read_topic_files(spark, feed)))
         jobs.finish([jobs.start_final_days(records, root, **NOW)])
-    everything = jobs.good(jobs.inspect(event_messages(spark, sf_dir)))
+    everything = jobs.good(jobs.inspect(messages))
     account = jobs.late_rows(spark.read.parquet(f"{root}/final_days"), everything)
     return account.select("ts_date", "sent", "late")
 
@@ -326,7 +332,7 @@ def _sql_tables(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     def step(feed: str, _: int) -> None:
         jobs.finish([jobs.start_intake(read_topic_files(spark, feed), root, **NOW)])
 
-    replay(spark, damaged_messages(spark, sf_dir), step)
+    replay(spark, damaged_messages(spark, sf_dir, even_events(spark, sf_dir)), step)
     create_tables(spark, database, root, [])
     found = spark.sql(sql.format(database=database))
     return kept_without_database(found, database)

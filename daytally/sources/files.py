@@ -17,6 +17,9 @@ ROW_GROUP_BYTES = 16 * 1024**2
 OFFSET = "offset"
 KEY = "key"
 
+# Of messages that no longer stand in the order they are to be sent in: their places.
+POSITION = "position"
+
 # A topic as files: what a message broker gives, as far as it is used here.
 TOPIC = T.StructType().add(KEY, T.StringType()).add("value", T.StringType()).add(OFFSET, T.LongType())
 
@@ -42,8 +45,8 @@ def append_topic_files(messages: DataFrame, path: str, send: str) -> None:
 
     ``send`` names this sending. One that is complete is left as it is, so a sender may
     try again after a crash. Offsets go on from the highest one in the topic, whatever
-    any clock says; within a sending they follow the order of its rows. One sender at a
-    time may write to a topic folder.
+    any clock says; within a sending they follow the order of its rows, or their
+    ``position`` if they have one. One sender at a time may write to a topic folder.
     """
     spark, folder = messages.sparkSession, f"{path}/send={send}"
     if is_complete(spark, folder):
@@ -54,7 +57,8 @@ def append_topic_files(messages: DataFrame, path: str, send: str) -> None:
         last = sent.filter(F.col("send") != send).agg(F.max(OFFSET)).first()[0]
         first = 0 if last is None else last + 1
     key = F.col(KEY).cast("string") if KEY in messages.columns else F.lit(None).cast("string")
-    offset = (F.lit(first) + F.monotonically_increasing_id()).alias(OFFSET)
+    place = F.col(POSITION) if POSITION in messages.columns else F.monotonically_increasing_id()
+    offset = (F.lit(first) + place).alias(OFFSET)
     rows = messages.select(key.alias(KEY), F.col("value").cast("string").alias("value"), offset)
     rows.write.mode("overwrite").option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(folder)
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from daytally.functions.envelope import TS_FORMAT
 from daytally.functions.pricing import list_price, profit, revenue
 from daytally.schemas import MESSAGE_FIELDS, SAMPLE_CSV
+from daytally.session import new_folder
+from daytally.sources.files import POSITION
 
 _CUSTOMER_SIDE = {"customer_name", "segment", "country", "city"}
 _PLACE = {"country", "city"}
@@ -142,8 +144,22 @@ def sample_sales(
     return daily_records(spark, sf_dir, columns)
 
 
-def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table as sales records, with times in whole seconds as sent."""
+def even_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table in even files, with each row's place in the table.
+
+    A row group is read by one task, and the table may be a single one. What sends it or
+    reads it several times takes this copy, so that as many tasks work as there are cores.
+    """
+    path = new_folder(spark, "events")
+    placed = table(spark, sf_dir, "events").withColumn(POSITION, F.monotonically_increasing_id())
+    placed.repartition(POSITION).write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
+
+
+def event_records(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """The event table as sales records, with times in whole seconds as sent; of ``events``,
+    if given (see :func:`even_events`), with their places."""
+    rows = table(spark, sf_dir, "events") if events is None else events
     user, spot = F.col("user_id"), F.col("user_id") % 25
     k = F.get_json_object("props", "$.k").cast("int")
     discount = F.lit(0.1)
@@ -167,14 +183,19 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "latitude": (spot * 5 - 60).cast("double"),
         "longitude": (spot * 13 - 160).cast("double"),
     }
-    return table(spark, sf_dir, "events").select(*[named[c].alias(c) for c in MESSAGE_FIELDS])
+    return rows.select(*[named[c].alias(c) for c in MESSAGE_FIELDS], *place_of(rows))
 
 
 def to_messages(records: DataFrame) -> DataFrame:
-    """One keyed JSON message per record, with its ``ts_date`` beside it to split the feed by."""
+    """One keyed JSON message per record, with its ``ts_date`` beside it to split the feed by,
+    and its place if it has one."""
     value = F.to_json(F.struct(*MESSAGE_FIELDS))
-    return records.select(F.col("ts_id").alias("key"), value.alias("value"), "ts_date")
+    return records.select(F.col("ts_id").alias("key"), value.alias("value"), "ts_date", *place_of(records))
+
+
+def place_of(rows: DataFrame) -> list[str]:
+    return [POSITION] if POSITION in rows.columns else []
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_messages(event_records(spark, sf_dir))
+def event_messages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    return to_messages(event_records(spark, sf_dir, events))

@@ -9,6 +9,7 @@ from daytally.operators.latest import run_of
 from daytally.operators.reports import DAILY_CATEGORY_PRODUCT, DAILY_PU_REV
 from daytally.plans import batch, registry, stream
 from daytally.session import folder_numbers, settings
+from daytally.sources.files import topic_messages
 from daytally.sources.tables import daily_records, table
 from daytally.streaming import changelog
 
@@ -153,3 +154,27 @@ def test_a_second_run_reads_many_files_in_a_few_batches(spark, tmp_path, monkeyp
     (root,) = [f for f in folders if "/stream-" in f]
     versions = folder_numbers(spark, f"{root}/daily_pu_rev/changelog", "version")
     assert 2 <= len([v for v in versions if run_of(v) == 1]) <= stream._BATCHES
+
+
+def test_one_row_group_is_sent_by_several_tasks_in_its_order(spark, tmp_path, monkeypatch):
+    events = spark.range(0, 900, 1, 1).selectExpr(
+        "id * 7 % 900 event_id", "id % 20 user_id", "timestamp'2024-01-01' + make_dt_interval(int(id % 30)) ts", "'view' event_type",
+        "1.5D value", "'{\"k\": 3}' props",
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    sent, append = [], stream.append_topic_files
+
+    def seen(messages, path, send):
+        sent.append((messages.groupBy(F.spark_partition_id()).count().count(), path))
+        append(messages, path, send)
+
+    monkeypatch.setattr(stream, "append_topic_files", seen)
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        rows = registry.queries()["stream_fanout"](spark, str(tmp_path)).collect()
+    assert len([r for r in rows if r.report == "daily_pu_rev"]) == 30
+    assert sum(r.daily_quantity or 0 for r in rows) == 900 * 3
+    assert [tasks > 1 for tasks, _ in sent] == [True] * 3
+    messages = topic_messages(spark, sent[0][1]).orderBy("offset").collect()
+    assert len({m.offset for m in messages}) == 900
+    table_order = [i * 7 % 900 for wave in range(3) for i in range(900) if i % 30 // 10 == wave]
+    assert [int(m.key) for m in messages] == table_order
