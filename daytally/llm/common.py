@@ -22,6 +22,12 @@ _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Spark removes the shuffle files of a query when it ends, not when the driver happens to collect garbage.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Rows that a task decodes of a file at a time. Spark's own 4,096 whole texts are arrays of
+#: megabytes, which grow by doubling and each need free memory in one piece: the heap grows for them.
+READER_ROWS = "256"
+
+_READER_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
+
 #: Files of a gathered table for each core, and at least.
 FILES_A_CORE, LEAST_FILES = 4, 32
 
@@ -44,6 +50,13 @@ def keep_batches_small(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_BYTES, ARROW_BYTES)
 
 
+def keep_reads_small(spark: SparkSession) -> None:
+    """READER_ROWS rows at a time from files from now on, for results that the caller writes;
+    a session with a size of its own keeps it."""
+    if _READER_ROWS not in spark.conf.getAll:
+        spark.conf.set(_READER_ROWS, READER_ROWS)
+
+
 def tidily(batches: Iterator) -> Iterator:
     """The same batches; then the memory that a Python worker no longer needs goes back, as
     it stays for tasks of other kinds."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.llm import bpe, exact_dedup, knn, merkle, mixing, ngram_join, packing, part_codes, passages, pii, quality, token_records, toxicity
-from daytally.llm.common import table
+from daytally.llm.common import keep_reads_small, table
 from daytally.llm.training import in_fold
 
 
@@ -69,6 +69,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keep_reads_small(spark)
     marked = exact_dedup.mark(table(spark, sf_dir, "documents"))
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 

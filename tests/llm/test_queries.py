@@ -68,3 +68,16 @@ def test_stages_take_awkward_and_empty_tables(spark, sf_dir, awkward, empty):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, sf_dir)
             assert out.count() <= 3 * docs.count()
+
+
+def test_exact_dedup_reads_texts_in_small_batches(spark, sf_dir):
+    """A session that says nothing of it; one with a size of its own keeps that."""
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    own = spark.newSession()
+    rows = queries.op9_exact_dedup(own, sf_dir)
+    assert int(own.conf.get(key)) <= 256
+    assert rows.count() == table(own, sf_dir, "documents").count()
+    other = spark.newSession()
+    other.conf.set(key, "1024")
+    queries.op9_exact_dedup(other, sf_dir)
+    assert other.conf.get(key) == "1024"
