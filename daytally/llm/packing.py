@@ -15,6 +15,7 @@ from __future__ import annotations
 from bisect import bisect_right, insort
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 
 from daytally.llm import bpe
 from daytally.llm.common import text_or_empty, tidily
+from daytally.llm.known import HashedIds
 from daytally.llm.words import EXACT, segment_hashes, text_bytes
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -56,6 +58,7 @@ class PieceEncoder(bpe.Encoder):
 
     def __init__(self, path: str):
         super().__init__(path)
+        self._pieces = HashedIds("<u4", bpe.KNOWN)
         self._bytes_in = np.zeros(max(self.bytes_of) + 1, np.int64)
         for token, data in self.bytes_of.items():
             self._bytes_in[token] = len(data)
@@ -70,7 +73,8 @@ class PieceEncoder(bpe.Encoder):
         for word, ids in zip(new, self._ids(new)):
             self._words[word] = np.array(ids, "<u4").tobytes()
 
-    def _learn_pieces(self, hashes: np.ndarray, pieces: list[bytes], chained: np.ndarray) -> None:
+    def _learn_pieces(self, hashes: np.ndarray, pieces: list[bytes], chained: np.ndarray) -> np.ndarray:
+        """The places of new, distinct pieces, once they are known."""
         chain = [p for p, c in zip(pieces, chained) if c]
         ids = np.array(self._ids([b"".join(chain).decode()])[0], np.uint32)
         until = np.searchsorted(np.cumsum(self._bytes_in[ids]), np.cumsum([*map(len, chain)], dtype=np.int64)) + 1
@@ -82,7 +86,7 @@ class PieceEncoder(bpe.Encoder):
         of_chain = np.repeat(chained, lengths)
         found[of_chain] = ids
         found[~of_chain] = [i for own in others for i in own]
-        self._pieces.learn(hashes, lengths, found)
+        return self._pieces.learn(hashes, lengths, found)
 
     def encode_plain(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         data, at = text_bytes(texts)
@@ -99,18 +103,26 @@ class PieceEncoder(bpe.Encoder):
             ends = np.append(starts[1:], len(own))[: len(starts)]
             hashes = segment_hashes(own, starts, ends, EXACT)
             self._pieces.make_room()
-            distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
-            new = sample[self._pieces.missing(distinct)]
-            if len(new):
-                pieces = [own[a:b].tobytes() for a, b in zip(starts[new], ends[new])]
-                self._learn_pieces(hashes[new], pieces, gap[starts[new]] & solid[ends[new] - 1])
-            ids, before = self._pieces.ids_of(distinct, which)
+            places = self._pieces.places(hashes)
+            missing = np.flatnonzero(places < 0)
+            if len(missing):
+                distinct, sample, which = np.unique(hashes[missing], return_index=True, return_inverse=True)
+                new = missing[sample]
+                pieces = [own[a:b].tobytes() for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+                places[missing] = self._learn_pieces(distinct, pieces, gap[starts[new]] & solid[ends[new] - 1])[which]
+            ids, before = self._pieces.ids_of(places)
             yield first, ids, before[np.searchsorted(starts, np.append(firsts, len(own)))]
 
 
+@cache
+def encoder(path: str) -> PieceEncoder:
+    """One for each Python worker, until it packs: what a task has learned the next ones know."""
+    return PieceEncoder(path)
+
+
 def _tokens(batches: Iterator[pa.RecordBatch], path: str, end_id: int, width: int) -> Iterator[pa.RecordBatch]:
     """(row, ids) with the end id, ``width`` bytes each."""
-    for carried, ids, at in bpe._encode_batches(batches, PieceEncoder(path)):
+    for carried, ids, at in bpe._encode_batches(batches, encoder(path)):
         ended = np.insert(ids, at[1:], end_id).astype(f"<u{width}")
         at = at + np.arange(len(at))
         binary = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * width).astype(np.int32)), pa.py_buffer(ended)])
@@ -224,6 +236,7 @@ def _batch(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
 
 def _packed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Rows of a pool follow one another; each pool, or part of it, is packed on its own."""
+    encoder.cache_clear()  # its memory is for the pools now
     pool, key_type = _Pool(None), pa.null()
     for batch in batches:
         key_type = batch.schema.field(0).type

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from daytally.llm import bpe, merkle, packing, part_codes
+from daytally.llm.known import HashedIds
 from tests.llm.test_tokens import texts
 
 # --- vector codes
@@ -219,6 +220,38 @@ def test_gaps_of_long_windows_take_shorter_tiers_first():
     assert second == [(1500, 0, 0), (540, 1, 0), (8, 3, 0)]  # the longest that fits, then a cut
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2)), max_size=8), max_size=9))
+def test_pieces_of_one_slot_are_told_apart(batches):
+    known = HashedIds("<u4", 8)
+    for batch in batches:
+        hashes = np.array([a << 40 | 29 + b for a, b in batch], np.uint64)  # the last slots, and on from the first
+        known.make_room()
+        places = known.places(hashes)
+        missing = np.flatnonzero(places < 0)
+        new, which = np.unique(hashes[missing], return_inverse=True)
+        own = [[int(h >> np.uint64(40))] * int(h & np.uint64(3)) for h in new]
+        places[missing] = known.learn(new, np.array([*map(len, own)], np.int32), np.array(sum(own, []), "<u4"))[which]
+        assert (known.places(hashes) == places).all()
+        ids, before = known.ids_of(places)
+        assert [ids[s:e].tolist() for s, e in zip(before, before[1:])] == [[int(h >> np.uint64(40))] * int(h & np.uint64(3)) for h in hashes]
+
+
+def test_tasks_of_a_worker_know_what_earlier_ones_learned(library, monkeypatch):
+    asked, ids = [], packing.PieceEncoder._ids
+    monkeypatch.setattr(packing.PieceEncoder, "_ids", lambda self, texts: asked.extend(texts) or ids(self, texts))
+    rows = ["one two, three\nfour", None, "two  1\u3000x<|endoftext|>", "é two, x.y"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(rows)], names=["row", "text"])
+    packing.encoder.cache_clear()
+    for learned in (True, False):
+        asked.clear()
+        found = [row for b in packing._tokens(iter([batch]), packing.vocabulary(), 1, 2) for row in b.to_pylist()]
+        assert bool("".join(asked)) == learned
+        assert {r["row"]: np.frombuffer(r["ids"], "<u2").tolist() for r in found} == {i: library.encode(t or "", add_special_tokens=False).ids + [1] for i, t in enumerate(rows)}
+    assert [*packing._packed(iter([]), 2)] == []
+    assert packing.encoder.cache_info().currsize == 0
+
+
 def test_packed_documents_come_back_whole(spark, awkward, empty, library, monkeypatch):
     awkward = awkward.withColumns({"start": F.lit(1), "pool": F.lit(2), "ids": F.lit(b"x"), "place": F.lit(0), "text_": F.lit(0)})
     for pool_docs, pool_tokens in ((4096, 1 << 22), (3, 50)):
